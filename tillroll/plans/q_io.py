@@ -189,7 +189,7 @@ ORDER_FILE_DOC = StructType([
         StructField("l_quantity", DecimalType(12, 2)),
     ]))),
 ])
-DOCS_PER_FILE = 500
+DOCS_PER_FILE = 10_000
 
 
 @query("q_multiline_json", "B1,B3", """
