@@ -257,3 +257,37 @@ def q_objects_to_table(spark: SparkSession, sf: str):
     t = _table_name("orders_loaded")
     jobs.objects_to_table(spark.read.text(path), parse, ["o_orderkey"], jobs.load_catalog_table(t))
     return spark.table(t)
+
+
+# ------------------------------------------------------------------ B12 incremental
+@query("q_stream_ingest", "B12,A19", """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders
+""")
+def q_stream_ingest(spark: SparkSession, sf: str):
+    """Objects land in two waves (finished+open orders, then pending ones);
+    an ``availableNow`` streaming run after each wave, plus a third run with
+    nothing new, loads every row exactly once."""
+    from tillroll.streaming.ingest import run_ingestion
+
+    orders = read_table(spark, sf, "orders")
+    base = shared_path(spark, "stream", "orders", unique=True)
+    landing, target = f"{base}/landing", f"{base}/table"
+    quarantine, checkpoint = f"{base}/quarantine", f"{base}/_checkpoint"
+    line = files.delimited_line(_LINE_COLS).alias("line")
+
+    def parse(raw):
+        parts = F.split(F.col("value"), r"\|")
+        return raw.select(
+            parts[0].cast("bigint").alias("o_orderkey"),
+            parts[1].cast("bigint").alias("o_custkey"),
+            parts[2].alias("o_orderstatus"),
+            parts[3].alias("o_orderpriority"),
+        )
+
+    rules = quality.not_null_rules(["o_orderkey", "o_custkey"])
+    waves = [F.col("o_orderstatus") != "P", F.col("o_orderstatus") == "P"]
+    for i, wave in enumerate(waves):
+        files.write_text(orders.filter(wave).select(line), f"{landing}/wave={i}")
+        run_ingestion(spark, landing, parse, rules, target, quarantine, checkpoint, glob="*.txt")
+    run_ingestion(spark, landing, parse, rules, target, quarantine, checkpoint, glob="*.txt")
+    return spark.read.parquet(target).select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
