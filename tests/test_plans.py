@@ -44,3 +44,20 @@ def test_no_python_in_plans(spark, name):
     p = _plan(spark, name)
     for marker in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas"):
         assert marker not in p, f"{name} runs Python: {marker}"
+
+
+def test_checked_broadcast_only_within_bound(spark):
+    from tillroll.operators.model import checked_broadcast
+
+    nation = spark.read.parquet(f"{SF}/nation.parquet")
+    # a broadcast hint shows up as a ResolvedHint in the analyzed plan
+    within = checked_broadcast(nation, 25)._jdf.queryExecution().analyzed().toString()
+    beyond = checked_broadcast(nation, 24)._jdf.queryExecution().analyzed().toString()
+    assert "strategy=broadcast" in within
+    assert "strategy=broadcast" not in beyond
+
+
+def test_nest_joins_only_heavy_keys(spark):
+    p = _plan(spark, "q_explode_items")
+    assert "(_n" in p and "> 1000)" in p  # only keys over max_items come back
+    assert "LeftOuter" in p

@@ -130,9 +130,13 @@ def nest(
     assigned by a hash of their content, so no array, row or task ever holds
     an unbounded group, whatever share of the data one key has:
 
-    1. per-key row counts (partial aggregation, a hot key is one row/task);
-    2. the counts are joined back (null-safe on the keys; adaptive execution
-       broadcasts them when small, else splits skewed partitions);
+    1. per-key row counts (partial aggregation, a hot key is one row/task),
+       kept only for the heavy keys (more than ``max_items`` rows);
+    2. the heavy keys are left-joined back (null-safe on the keys). There
+       are at most ``rows / max_items`` of them and usually a handful, so
+       adaptive execution broadcasts them after measuring their size and the
+       rows are not shuffled for the join; when there are many, it plans a
+       sort-merge join instead;
     3. rows are hash-partitioned by ``keys + chunk`` and collected per
        document; elements are sorted so the result does not depend on the
        order rows arrive in.
@@ -142,17 +146,19 @@ def nest(
     if not items:
         raise ValueError("nothing to nest")
     # key copies get fresh names so the self-join cannot resolve ambiguously
-    counts = df.groupBy(*[F.col(_q(k)).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(
-        F.count(F.lit(1)).alias("_n")
+    heavy = (
+        df.groupBy(*[F.col(_q(k)).alias(f"_k{i}") for i, k in enumerate(keys)])
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") > F.lit(max_items))
     )
     cond = None
     for i, k in enumerate(keys):
         term = F.col(_q(k)).eqNullSafe(F.col(f"_k{i}"))
         cond = term if cond is None else cond & term
-    joined = df.join(counts, cond, "inner").select(
+    joined = df.join(heavy, cond, "left").select(
         *[F.col(_q(k)) for k in keys], *[F.col(_q(c)) for c in items], F.col("_n")
     )
-    n_chunks = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(max_items)))
+    n_chunks = F.coalesce(F.ceil(F.col("_n") / F.lit(max_items)), F.lit(1))
     chunk = F.pmod(F.xxhash64(*[F.col(_q(c)) for c in items]), n_chunks).cast("int")
     keyed = joined.withColumn(chunk_col, chunk).repartition(*keys, chunk_col)
     return keyed.groupBy(*keys, chunk_col).agg(

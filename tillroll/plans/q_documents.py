@@ -68,9 +68,9 @@ def q_flatten(spark: SparkSession, sf: str):
     into envelopes per market segment, then unwrapped and flattened."""
     cust = read_table(spark, sf, "customer")
     geo = model.lookup(cust, read_table(spark, sf, "nation"), ("c_nationkey", "n_nationkey"),
-                       required=False, bounded=True, dim_cols=["n_name", "n_regionkey"])
+                       required=False, bounded=model.BOUNDED_DIMENSIONS["nation"], dim_cols=["n_name", "n_regionkey"])
     geo = model.lookup(geo, read_table(spark, sf, "region"), ("n_regionkey", "r_regionkey"),
-                       required=False, bounded=True, dim_cols=["r_name"])
+                       required=False, bounded=model.BOUNDED_DIMENSIONS["region"], dim_cols=["r_name"])
     docs = geo.select(
         "c_mktsegment",
         F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("nome"),
