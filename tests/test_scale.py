@@ -60,3 +60,36 @@ def test_many_partitions_quartiles(spark):
     ref = np.arange(0, 20000) * 0.5
     for q, name in [(0.25, "25%"), (0.5, "50%"), (0.75, "75%")]:
         assert got[name] == pytest.approx(float(np.quantile(ref, q)))
+
+
+def _brute(values, levels=(0.25, 0.5, 0.75)):
+    s = np.sort(np.asarray(values, dtype=float))
+    return {q: float(np.quantile(s, q)) if not np.isnan(s).any() else None for q in levels}
+
+
+@pytest.mark.parametrize("case", ["spread", "hot", "negative"])
+def test_bracket_rounds_stay_exact(spark, case):
+    # a tiny window and a coarse sketch force several narrowing rounds
+    rng = np.random.default_rng(7)
+    if case == "spread":
+        vals = rng.lognormal(3, 2, 30000)
+    elif case == "hot":
+        vals = np.where(rng.random(30000) < 0.4, 42.0, rng.normal(40, 5, 30000))
+    else:
+        vals = np.round(rng.normal(-100, 30, 30000), 1)
+    df = spark.createDataFrame(pd.DataFrame({"x": vals})).repartition(7)
+    got = {r["level"]: r["value"] for r in
+           profile._exact_quantiles(df, ["x"], (0.25, 0.5, 0.75), accuracy=50, max_window=300).collect()}
+    for q, ref in _brute(vals).items():
+        assert got[q] == pytest.approx(ref, rel=1e-12, abs=1e-12)
+
+
+def test_quantiles_with_nan_and_null(spark):
+    vals = [1.0, 2.0, None, float("nan"), 3.0, 4.0, float("nan")]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    got = {r["level"]: r["value"] for r in
+           profile._exact_quantiles(df, ["x"], (0.25, 0.5, 0.75)).collect()}
+    # 6 non-null values, NaN sorts last: [1, 2, 3, 4, NaN, NaN]
+    assert got[0.25] == pytest.approx(2.25)
+    assert got[0.5] == pytest.approx(3.5)
+    assert np.isnan(got[0.75])

@@ -1,11 +1,13 @@
 """A2 schema report, A4 descriptive statistics, A8 group mean.
 
-All three are single aggregate passes over the input; the statistics keep
-exact quartiles without funnelling a column's values into one task.
+The schema report and group mean are single aggregate passes; the
+statistics keep exact quartiles without shuffling the whole column or
+funnelling its values into one task.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -89,65 +91,141 @@ def _long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(F.inline(pairs)).filter(F.col("v").isNotNull())
 
 
-def _exact_quartiles(long: DataFrame, levels: Sequence[float]) -> DataFrame:
-    """Exact, linearly interpolated quantiles per column, fully distributed.
+def _exact_quantiles(
+    df: DataFrame,
+    cols: Sequence[str],
+    levels: Sequence[float],
+    accuracy: int = 10_000,
+    max_window: int = 200_000,
+    max_rounds: int = 8,
+) -> DataFrame:
+    """Exact, linearly interpolated quantiles ``(column_name, level, value)``.
 
-    1. Collapse to (column, value, weight): a hot value becomes one row.
-    2. Range-partition by (column, value); a column's values then lie in
-       consecutive partitions in value order. The piece of a column inside
-       one partition is a *slice*; a running weight numbers rows in a slice.
-    3. Slice totals (at most partitions + columns rows) give each slice's
-       starting rank, so every value knows its global rank span.
-    4. The floor/ceil ranks each level needs (a few rows per column) are
-       matched against the spans; interpolation is a tiny final aggregate.
+    Approximate, then exact. For every (column, level) the two ranks the
+    interpolation needs, ``floor`` and ``ceil`` of ``(n - 1) * level``, are
+    kept inside a value bracket ``[lo, hi]``; ``below`` counts the values
+    under it. Each round
+    1. sketches the bracket with ``percentile_approx`` (a bounded summary
+       per task, merged in a tiny final aggregate), asking for the two ranks
+       widened by a few times the sketch's rank error;
+    2. checks the narrower bracket with exact counts and keeps it only if it
+       still holds both ranks (otherwise the widening grows).
+    Rounds stop once a bracket holds at most ``max_window`` values. The last
+    pass collapses the values inside each bracket to (value, weight) and
+    numbers them with a running sum, one small window per bracket.
 
-    No task holds more than one range partition of distinct values, and no
-    single value or column is collected anywhere.
+    Every pass is a scan of the numeric columns with partial aggregation;
+    only bracket-sized data is shuffled, and a value held by many rows is
+    one weighted row. The driver sees a few numbers per bracket. NaN sorts
+    above every number (as in Spark and DuckDB); NULLs are skipped.
     """
-    weighted = long.groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("w"))
-    ranged = weighted.repartitionByRange("column_name", "v").withColumn(
-        "_part", F.spark_partition_id()
-    )
-    in_slice = Window.partitionBy("_part", "column_name").orderBy("v").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    ranged = ranged.withColumn("_upto", F.sum("w").over(in_slice))
-    slices = ranged.groupBy("column_name", "_part").agg(F.sum("w").alias("_slice_w"))
-    earlier = Window.partitionBy("column_name").orderBy("_part").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    slices = slices.select(
-        "column_name", "_part",
-        F.coalesce(F.sum("_slice_w").over(earlier), F.lit(0)).alias("_start"),
-    )
-    spans = ranged.join(slices, ["column_name", "_part"]).select(
-        "column_name",
-        "v",
-        (F.col("_start") + F.col("_upto") - F.col("w")).alias("_rank_lo"),
-        (F.col("_start") + F.col("_upto")).alias("_rank_hi"),
+    xs = [F.col(f"`{c}`").cast("double") for c in cols]
+    counts = df.agg(*[a for i, x in enumerate(xs) for a in (
+        F.count(x).alias(f"n{i}"), F.count_if(F.isnan(x)).alias(f"m{i}"))]).first()
+
+    done: list[tuple[str, float, float | None]] = []
+    open_: list[dict] = []
+    for i, c in enumerate(cols):
+        n, finite = counts[f"n{i}"], counts[f"n{i}"] - counts[f"m{i}"]
+        if n == 0:
+            continue
+        for level in levels:
+            h = (n - 1) * float(level)
+            r0, r1 = math.floor(h), math.ceil(h)
+            if r1 >= finite:  # the upper rank is a NaN
+                done.append((c, float(level), float("nan")))
+                continue
+            open_.append(dict(col=c, x=xs[i], level=float(level), h=h, r0=r0, r1=r1,
+                              lo=-math.inf, hi=math.inf, below=0, inside=finite,
+                              widen=3.0 / accuracy, stalled=False))
+
+    for _ in range(max_rounds):
+        active = [t for t in open_ if t["inside"] > max_window and t["lo"] < t["hi"] and not t["stalled"]]
+        if not active:
+            break
+        # one sketch per bracket, asked for every rank its levels need
+        groups: dict[tuple, list[dict]] = {}
+        for t in active:
+            groups.setdefault((t["col"], t["lo"], t["hi"]), []).append(t)
+        sketches = []
+        for g, members in enumerate(groups.values()):
+            x, lo, hi = members[0]["x"], members[0]["lo"], members[0]["hi"]
+            fractions = []
+            for t in members:
+                inside = t["inside"]
+                t["_at"] = (g, len(fractions))
+                fractions += [min(max((t["r0"] - t["below"]) / inside - t["widen"], 0.0), 1.0),
+                              min(max((t["r1"] - t["below"] + 1) / inside + t["widen"], 0.0), 1.0)]
+            in_bracket = x.between(F.lit(lo), F.lit(hi)) & ~F.isnan(x)
+            sketches.append(F.percentile_approx(F.when(in_bracket, x), fractions, accuracy).alias(f"s{g}"))
+        guess = df.agg(*sketches).first()
+        checks = []
+        for j, t in enumerate(active):
+            g, k = t["_at"]
+            t["_lo"], t["_hi"] = guess[f"s{g}"][k], guess[f"s{g}"][k + 1]
+            checks += [F.count_if(t["x"] < F.lit(t["_lo"])).alias(f"b{j}"),
+                       F.count_if((t["x"] <= F.lit(t["_hi"])) & ~F.isnan(t["x"])).alias(f"u{j}")]
+        seen = df.agg(*checks).first()
+        for j, t in enumerate(active):
+            below, upto = seen[f"b{j}"], seen[f"u{j}"]
+            if below <= t["r0"] and upto >= t["r1"] + 1:
+                shrunk = upto - below
+                t["stalled"] = shrunk > t["inside"] // 2  # e.g. few distinct values
+                t.update(lo=t["_lo"], hi=t["_hi"], below=below, inside=shrunk)
+            else:  # the sketch missed a rank: widen and retry
+                t["widen"] *= 4
+                t["stalled"] = t["widen"] > 1.0
+
+    fixed = [F.struct(F.lit(c).alias("column_name"), F.lit(level).alias("level"), F.lit(v).alias("value"))
+             for c, level, v in done]
+    if not open_:
+        return df.sparkSession.range(1).select(F.inline(F.array(*fixed))) if fixed else \
+            df.sparkSession.createDataFrame([], "column_name string, level double, value double")
+    # levels whose brackets coincide (e.g. no round was needed) share one
+    brackets: dict[tuple, list[dict]] = {}
+    for t in open_:
+        brackets.setdefault((t["col"], t["lo"], t["hi"]), []).append(t)
+    members = list(brackets.values())
+    picks = F.array(*[
+        F.when(ts[0]["x"].between(F.lit(ts[0]["lo"]), F.lit(ts[0]["hi"])) & ~F.isnan(ts[0]["x"]),
+               F.struct(F.lit(b).alias("_t"), ts[0]["x"].alias("v")))
+        for b, ts in enumerate(members)
+    ])
+    in_brackets = (
+        df.select(F.explode(F.filter(picks, lambda e: e.isNotNull())).alias("_e"))
+        .select("_e._t", "_e.v")
+        .groupBy("_t", "v").agg(F.count(F.lit(1)).alias("w"))
     )
-    # 0-based ranks each level needs: floor and ceil of (n - 1) * level
-    totals = long.groupBy("column_name").agg(F.count(F.lit(1)).alias("_n"))
-    targets = totals.select(
-        "column_name",
-        F.explode(F.array(*[F.lit(float(q)) for q in levels])).alias("level"),
-        ((F.col("_n") - 1)).alias("_n1"),
-    ).withColumn("_h", F.col("_n1") * F.col("level"))
-    targets = targets.select(
-        F.col("column_name").alias("_tcol"), "level", "_h",
-        F.explode(F.array(F.floor("_h"), F.ceil("_h"))).alias("_r"),
+    upto = F.sum("w").over(Window.partitionBy("_t").orderBy("v").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow))
+    # the levels of each bracket, as constants indexed by bracket id
+    levels_of = F.array(*[
+        F.array(*[F.struct(F.lit(t["col"]).alias("column_name"), F.lit(t["level"]).alias("level"),
+                           F.lit(t["h"]).alias("_h"), F.lit(t["r0"]).alias("_r0"),
+                           F.lit(t["r1"]).alias("_r1"), F.lit(t["below"]).alias("_below"))
+                  for t in ts])
+        for ts in members
+    ])
+    spans = in_brackets.withColumn("_upto", upto).select(
+        "v", "w", "_upto", F.inline(F.element_at(levels_of, F.col("_t") + 1))
+    ).select(
+        "column_name", "level", "_h", "_r0", "_r1", "v",
+        (F.col("_below") + F.col("_upto") - F.col("w")).alias("_lo"),
+        (F.col("_below") + F.col("_upto")).alias("_hi"),
     )
-    hit = spans.join(
-        targets,
-        (spans.column_name == targets._tcol)
-        & (targets._r >= spans._rank_lo)
-        & (targets._r < spans._rank_hi),
+    holds = lambda r: (F.col(r) >= F.col("_lo")) & (F.col(r) < F.col("_hi"))
+    found = spans.filter(holds("_r0") | holds("_r1")).groupBy("column_name", "level").agg(
+        F.max(F.when(holds("_r0"), F.col("v"))).alias("_v0"),
+        F.max(F.when(holds("_r1"), F.col("v"))).alias("_v1"),
+        F.max("_h").alias("_h"),
     )
-    return hit.groupBy("column_name", "level").agg(
-        (
-            F.min("v") + (F.max("_h") - F.floor(F.max("_h"))) * (F.max("v") - F.min("v"))
-        ).alias("value")
+    exact = found.select(
+        "column_name", "level",
+        (F.col("_v0") + (F.col("_h") - F.floor("_h")) * (F.col("_v1") - F.col("_v0"))).alias("value"),
     )
+    if not fixed:
+        return exact
+    return exact.unionByName(df.sparkSession.range(1).select(F.inline(F.array(*fixed))))
 
 
 def describe_numeric(
@@ -156,7 +234,7 @@ def describe_numeric(
     """Long-form summary ``(column_name, stat, value)`` of numeric columns.
 
     count, mean, sample std, min, 25/50/75 % (linear interpolation), max.
-    Exact quartiles by default (see ``_exact_quartiles``); ``approx=True``
+    Exact quartiles by default (see ``_exact_quantiles``); ``approx=True``
     uses ``percentile_approx`` (a bounded sketch per column) instead.
     """
     cols = _numeric_columns(df, cols)
@@ -187,7 +265,7 @@ def describe_numeric(
             "value",
         )
     else:
-        quart = _exact_quartiles(long, QUARTILES).select(
+        quart = _exact_quantiles(df, cols, QUARTILES).select(
             "column_name",
             F.concat((F.col("level") * 100).cast("int").cast("string"), F.lit("%")).alias("stat"),
             "value",
