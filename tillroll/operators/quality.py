@@ -11,8 +11,9 @@ Cost model:
   together in **one** scan and one partial/final aggregate;
 * key rules (primary key, unique) are one grouped count each; partial
   aggregation makes a hot key one row per task before the shuffle;
-* foreign keys are a left-anti join; the planner broadcasts the parent only
-  when its measured size is under the broadcast threshold, else sort-merge.
+* foreign keys: distinct child keys are anti-joined with the parent keys;
+  the child rows of orphan keys are then picked by a semi join, which the
+  planner broadcasts only when the measured orphan set is small.
 """
 
 from __future__ import annotations
@@ -157,16 +158,32 @@ def check_foreign_key(
 
     A NULL in any foreign-key column passes (nullable reference). The whole
     child row is returned so it can be quarantined.
+
+    Only keys are shuffled: the child's distinct foreign keys (partially
+    aggregated per task, so a hot key is one row per task) are anti-joined
+    with the parent keys, and the orphan keys then pick their child rows
+    with a semi join. Orphans are usually few, so adaptive execution
+    broadcasts them after measuring them and the child rows never move.
     """
+    child_cols, parent_cols = list(child_cols), list(parent_cols)
     if len(child_cols) != len(parent_cols):
         raise ValueError("key arity differs")
     keyed = child.filter(~_any_null(child_cols))
+    fks = keyed.select(*[F.col(c).alias(f"_fk{i}") for i, c in enumerate(child_cols)]).distinct()
     p = parent.select(*[F.col(pc).alias(f"_pk{i}") for i, pc in enumerate(parent_cols)])
+    orphans = fks.join(p, _all_equal(fks, p, "_fk", "_pk", len(child_cols)), "left_anti")
     cond = None
     for i, cc in enumerate(child_cols):
-        term = keyed[cc] == p[f"_pk{i}"]
+        term = keyed[cc] == orphans[f"_fk{i}"]
         cond = term if cond is None else cond & term
-    return keyed.join(p, cond, "left_anti")
+    return keyed.join(orphans, cond, "left_semi")
+
+
+def _all_equal(a: DataFrame, b: DataFrame, pa: str, pb: str, n: int) -> Column:
+    cond = a[f"{pa}0"] == b[f"{pb}0"]
+    for i in range(1, n):
+        cond = cond & (a[f"{pa}{i}"] == b[f"{pb}{i}"])
+    return cond
 
 
 # ----------------------------------------------------------- A13
