@@ -26,31 +26,40 @@ def objects_to_table(
     raw: DataFrame,
     parse: Callable[[DataFrame], DataFrame],
     key: Sequence[str],
-    load: Callable[[DataFrame], None],
+    load: Callable[[DataFrame, str], object],
+    name: str = "objects",
 ) -> DataFrame:
-    """Parse ``raw`` objects, refuse duplicate/NULL keys, then ``load``.
-
-    The parsed data is materialised once in the target (not recomputed for
-    the check); the key check reads at most one offending row.
+    """Parse ``raw`` once into a staged copy, refuse duplicate/NULL keys,
+    then ``load(staged, location)``.
+
+    The objects are read and parsed exactly once: the parsed rows are
+    written as parquet under the shared folder, the key check reads only the
+    key columns of that copy (and returns at most one offending row), and
+    the load works from the copy. A failed check leaves the live target
+    untouched.
     """
-    parsed = parse(raw)
-    quality.assert_empty(quality.check_primary_key(parsed, key), "key violations in input objects")
-    load(parsed)
-    return parsed
+    spark = raw.sparkSession
+    location = tables.stage(parse(raw), f"staging.{name}")
+    staged = spark.read.parquet(location)
+    quality.assert_empty(quality.check_primary_key(staged, key), "key violations in input objects")
+    load(staged, location)
+    return staged
+
 
+def load_catalog_table(table: str) -> Callable[[DataFrame, str], None]:
+    """The staged folder becomes the table's data: no second write."""
 
-def load_catalog_table(table: str) -> Callable[[DataFrame], None]:
-    def run(df: DataFrame) -> None:
-        tables.reload(df, table)
+    def run(df: DataFrame, location: str) -> None:
+        tables.publish(df.sparkSession, table, location, df.schema)
 
     return run
 
 
 def load_jdbc_staged(conn: Mapping[str, str], live: str, staging: str,
-                     num_partitions: int | None = None) -> Callable[[DataFrame], list[str]]:
+                     num_partitions: int | None = None) -> Callable[[DataFrame, str], list[str]]:
     """Write a staging table; the returned statements swap it in."""
 
-    def run(df: DataFrame) -> list[str]:
+    def run(df: DataFrame, location: str) -> list[str]:
         jdbc_sink.write_jdbc(df, conn, staging, mode="overwrite", num_partitions=num_partitions)
         return jdbc_sink.swap_sql(live, staging)
 

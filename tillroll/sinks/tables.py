@@ -21,16 +21,27 @@ def _quote(name: str) -> str:
     return ".".join(f"`{p}`" for p in name.split("."))
 
 
-def reload(df: DataFrame, table: str, fmt: str = "parquet") -> str:
-    """Replace ``table``'s contents with ``df``; create it when missing."""
-    spark: SparkSession = df.sparkSession
-    location = shared_path(spark, "tables", table.replace(".", "_"), unique=True)
+def stage(df: DataFrame, table: str, fmt: str = "parquet") -> str:
+    """Write ``df`` to a fresh folder under the shared folder; return it."""
+    location = shared_path(df.sparkSession, "tables", table.replace(".", "_"), unique=True)
     df.write.mode("errorifexists").format(fmt).save(location)
+    return location
+
+
+def publish(spark: SparkSession, table: str, location: str, schema, fmt: str = "parquet") -> None:
+    """Point ``table`` at a staged folder (one catalog operation); create the
+    table when missing."""
     if spark.catalog.tableExists(table):
         spark.sql(f"ALTER TABLE {_quote(table)} SET LOCATION '{location}'")
         spark.catalog.refreshTable(table)
     else:
-        spark.catalog.createTable(table, path=location, source=fmt, schema=df.schema)
+        spark.catalog.createTable(table, path=location, source=fmt, schema=schema)
+
+
+def reload(df: DataFrame, table: str, fmt: str = "parquet") -> str:
+    """Replace ``table``'s contents with ``df``; create it when missing."""
+    location = stage(df, table, fmt)
+    publish(df.sparkSession, table, location, df.schema, fmt)
     return location
 
 
