@@ -116,3 +116,13 @@ def test_jdbc_options():
         jdbc_source.jdbc_options(conn, table="t", query="select 1")
     sql = jdbc_sink.swap_sql("produto", "produto_stage")
     assert sql[0] == "BEGIN" and sql[-1] == "COMMIT"
+
+
+def test_scale_settings():
+    from tillroll.session import scale_settings
+
+    big = scale_settings(100 * 2**40, 8000)
+    assert big["spark.sql.shuffle.partitions"] == "100000"
+    assert big["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
+    small = scale_settings(10 << 20, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"

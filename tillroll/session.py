@@ -65,13 +65,44 @@ def ensure_shared_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return configured.rstrip("/")
-    # Unset: local runs and tests only.
+    if not sc.master.startswith("local"):
+        # a machine-local folder would vanish with the executor that wrote it
+        raise RuntimeError(f"set {_CHECKPOINT_KEY} to a folder shared by all executors")
+    # Unset in a local run (tests): a private folder is enough.
     local = tempfile.mkdtemp(prefix="tillroll-shared-")
     sc.setCheckpointDir(local)
     # setCheckpointDir creates a uuid sub-folder; report the one in use.
     return (sc.getCheckpointDir() or local).rstrip("/")
 
 
+def scale_settings(input_bytes: int, total_cores: int,
+                   target_partition_bytes: int = 256 << 20,
+                   max_shuffle_partitions: int = 100_000) -> dict[str, str]:
+    """Settings for a job that reads ``input_bytes`` on ``total_cores`` cores.
+
+    * scan splits of ``target_partition_bytes`` (parquet row groups permitting);
+    * an initial shuffle partition count that keeps each shuffle partition
+      near the target size even if a stage's output is as large as its input,
+      never fewer than two waves of tasks and capped (mappers x reducers
+      fetches grow quadratically; beyond the cap a partition spills rather
+      than multiplying fetches); adaptive execution then coalesces small
+      partitions and splits skewed ones at run time;
+    * skew thresholds expressed in the same partition size.
+    The caller applies them with ``SparkSession.builder.config`` or
+    ``spark.conf.set`` before the job runs.
+    """
+    parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    parts = min(parts, max(max_shuffle_partitions, 2 * total_cores))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    }
+
+
 def shared_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     """A path below the shared folder; ``unique`` appends a fresh suffix."""
     base = ensure_shared_dir(spark)
