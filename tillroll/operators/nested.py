@@ -140,6 +140,11 @@ def nest(
     3. rows are hash-partitioned by ``keys + chunk`` and collected per
        document; elements are sorted so the result does not depend on the
        order rows arrive in.
+
+    The chunk is a function of the row's content, so a retried task sends
+    every row to the same document again. Limit: rows of one key that are
+    identical in every item column share a chunk. Give such data a
+    distinguishing item column (e.g. a line number) to keep the bound.
     """
     keys = list(keys)
     items = [c for c in (item_cols or df.columns) if c not in keys]

@@ -132,8 +132,8 @@ def q_text_roundtrip(spark: SparkSession, sf: str):
     files.write_text(orders.select(files.delimited_line(_LINE_COLS).alias("line")), path)
     parts = F.split(F.col("value"), r"\|")
     return spark.read.text(path).select(
-        parts[0].cast("bigint").alias("o_orderkey"),
-        parts[1].cast("bigint").alias("o_custkey"),
+        parts[0].try_cast("bigint").alias("o_orderkey"),
+        parts[1].try_cast("bigint").alias("o_custkey"),
         parts[2].alias("o_orderstatus"),
         parts[3].alias("o_orderpriority"),
     )
@@ -248,8 +248,8 @@ def q_objects_to_table(spark: SparkSession, sf: str):
     def parse(raw):
         parts = F.split(F.col("value"), r"\|")
         return raw.select(
-            parts[0].cast("bigint").alias("o_orderkey"),
-            parts[1].cast("bigint").alias("o_custkey"),
+            parts[0].try_cast("bigint").alias("o_orderkey"),
+            parts[1].try_cast("bigint").alias("o_custkey"),
             parts[2].alias("o_orderstatus"),
             parts[3].alias("o_orderpriority"),
         )
@@ -278,8 +278,8 @@ def q_stream_ingest(spark: SparkSession, sf: str):
     def parse(raw):
         parts = F.split(F.col("value"), r"\|")
         return raw.select(
-            parts[0].cast("bigint").alias("o_orderkey"),
-            parts[1].cast("bigint").alias("o_custkey"),
+            parts[0].try_cast("bigint").alias("o_orderkey"),
+            parts[1].try_cast("bigint").alias("o_custkey"),
             parts[2].alias("o_orderstatus"),
             parts[3].alias("o_orderpriority"),
         )
