@@ -98,6 +98,7 @@ def _exact_quantiles(
     accuracy: int = 10_000,
     max_window: int = 200_000,
     max_rounds: int = 8,
+    counts: dict[str, tuple[int, int]] | None = None,
 ) -> DataFrame:
     """Exact, linearly interpolated quantiles ``(column_name, level, value)``.
 
@@ -118,15 +119,19 @@ def _exact_quantiles(
     only bracket-sized data is shuffled, and a value held by many rows is
     one weighted row. The driver sees a few numbers per bracket. NaN sorts
     above every number (as in Spark and DuckDB); NULLs are skipped.
+    ``counts`` (column -> (non-NULL values, NaN values)) saves the first
+    pass when the caller already has them.
     """
     xs = [F.col(f"`{c}`").cast("double") for c in cols]
-    counts = df.agg(*[a for i, x in enumerate(xs) for a in (
-        F.count(x).alias(f"n{i}"), F.count_if(F.isnan(x)).alias(f"m{i}"))]).first()
+    if counts is None:
+        row = df.agg(*[a for i, x in enumerate(xs) for a in (
+            F.count(x).alias(f"n{i}"), F.count_if(F.isnan(x)).alias(f"m{i}"))]).first()
+        counts = {c: (row[f"n{i}"], row[f"m{i}"]) for i, c in enumerate(cols)}
 
     done: list[tuple[str, float, float | None]] = []
     open_: list[dict] = []
     for i, c in enumerate(cols):
-        n, finite = counts[f"n{i}"], counts[f"n{i}"] - counts[f"m{i}"]
+        n, finite = counts[c][0], counts[c][0] - counts[c][1]
         if n == 0:
             continue
         for level in levels:
@@ -240,6 +245,35 @@ def describe_numeric(
     cols = _numeric_columns(df, cols)
     if not cols:
         raise ValueError("no numeric columns")
+    if approx:
+        return _describe_approx(df, cols, accuracy)
+    # one pass: moments and the counts the quartile search starts from
+    xs = [F.col(f"`{c}`").cast("double") for c in cols]
+    row = df.agg(*[a for i, x in enumerate(xs) for a in (
+        F.count(x).alias(f"n{i}"), F.count_if(F.isnan(x)).alias(f"m{i}"),
+        F.avg(x).alias(f"a{i}"), F.stddev_samp(x).alias(f"s{i}"),
+        F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"))]).first()
+    entries = []
+    for i, c in enumerate(cols):
+        if row[f"n{i}"] == 0:
+            continue
+        for stat, v in (("count", float(row[f"n{i}"])), ("mean", row[f"a{i}"]), ("std", row[f"s{i}"]),
+                        ("min", row[f"lo{i}"]), ("max", row[f"hi{i}"])):
+            entries.append(F.struct(F.lit(c).alias("column_name"), F.lit(stat).alias("stat"),
+                                    F.lit(v).cast("double").alias("value")))
+    quart = _exact_quantiles(
+        df, cols, QUARTILES, counts={c: (row[f"n{i}"], row[f"m{i}"]) for i, c in enumerate(cols)}
+    ).select(
+        "column_name",
+        F.concat((F.col("level") * 100).cast("int").cast("string"), F.lit("%")).alias("stat"),
+        "value",
+    )
+    if not entries:
+        return quart
+    return df.sparkSession.range(1).select(F.inline(F.array(*entries))).unionByName(quart)
+
+
+def _describe_approx(df: DataFrame, cols: Sequence[str], accuracy: int) -> DataFrame:
     long = _long_values(df, cols)
     moments = long.groupBy("column_name").agg(
         F.count(F.lit(1)).cast("double").alias("count"),
@@ -252,22 +286,15 @@ def describe_numeric(
         "column_name",
         "stack(5, 'count', count, 'mean', mean, 'std', std, 'min', min, 'max', max) as (stat, value)",
     )
-    if approx:
-        q = long.groupBy("column_name").agg(
-            F.percentile_approx("v", list(QUARTILES), accuracy).alias("_q")
-        )
-        quart = q.select(
-            "column_name",
-            F.posexplode("_q").alias("_i", "value"),
-        ).select(
-            "column_name",
-            F.element_at(F.array(*[F.lit(f"{int(p * 100)}%") for p in QUARTILES]), F.col("_i") + 1).alias("stat"),
-            "value",
-        )
-    else:
-        quart = _exact_quantiles(df, cols, QUARTILES).select(
-            "column_name",
-            F.concat((F.col("level") * 100).cast("int").cast("string"), F.lit("%")).alias("stat"),
-            "value",
-        )
+    q = long.groupBy("column_name").agg(
+        F.percentile_approx("v", list(QUARTILES), accuracy).alias("_q")
+    )
+    quart = q.select(
+        "column_name",
+        F.posexplode("_q").alias("_i", "value"),
+    ).select(
+        "column_name",
+        F.element_at(F.array(*[F.lit(f"{int(p * 100)}%") for p in QUARTILES]), F.col("_i") + 1).alias("stat"),
+        "value",
+    )
     return stacked.unionByName(quart)
