@@ -3,7 +3,10 @@
 A reload never overwrites the files it may be reading. The new data goes to
 a fresh folder under the shared folder; the table is then pointed at it
 (``ALTER TABLE ... SET LOCATION``) in one catalog operation. Running the
-same reload twice gives the same table.
+same reload twice gives the same table. The previous folder is left in
+place for readers still on the old version and for rollback; removing old
+versions is a retention policy of the storage (e.g. a bucket lifecycle
+rule), not part of the job.
 """
 
 from __future__ import annotations
