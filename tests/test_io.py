@@ -126,3 +126,11 @@ def test_scale_settings():
     assert big["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
     small = scale_settings(10 << 20, 8)
     assert small["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_observed_fingerprint_equals_separate_pass(spark, tmp_dir):
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    observed, obs = files.observed_fingerprint(orders)
+    files.backup(observed, os.path.join(tmp_dir, "copy"), ["o_orderstatus"])
+    direct = files.fingerprint(orders).first()
+    assert (obs.get["rows"], obs.get["hash_sum"]) == (direct["rows"], direct["hash_sum"])

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -49,16 +49,26 @@ def backup(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str
     return path
 
 
+def _fingerprint_aggs(df: DataFrame) -> list[Column]:
+    cols = sorted(df.columns)
+    h = F.xxhash64(*[F.col(f"`{c}`") for c in cols])
+    return [F.count(F.lit(1)).alias("rows"), F.sum(h.cast("decimal(38,0)")).alias("hash_sum")]
+
+
 def fingerprint(df: DataFrame) -> DataFrame:
     """One row: ``(rows, hash_sum)`` where ``hash_sum`` is the order-free sum
     of per-row 64-bit hashes over all columns, in column-name order. Two
     frames with equal multisets of rows have equal fingerprints."""
-    cols = sorted(df.columns)
-    h = F.xxhash64(*[F.col(f"`{c}`") for c in cols])
-    return df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.sum(h.cast("decimal(38,0)")).alias("hash_sum"),
-    )
+    return df.agg(*_fingerprint_aggs(df))
+
+
+def observed_fingerprint(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """``df`` with its fingerprint collected *while* an action runs on it
+    (``DataFrame.observe``), so writing a copy and fingerprinting the
+    source is one pass over the source, not two. Read the result with
+    ``observation.get`` after the action."""
+    obs = Observation("fingerprint")
+    return df.observe(obs, *_fingerprint_aggs(df)), obs
 
 
 def same_content(a: DataFrame, b: DataFrame) -> bool:
