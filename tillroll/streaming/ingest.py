@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -33,17 +34,33 @@ def ingest_text_objects(
     checkpoint: str,
     max_files_per_batch: int = 1000,
     glob: str | None = None,
+    cache_batch: bool = False,
 ) -> StreamingQuery:
-    """Start the ingestion; call ``awaitTermination()`` on the result."""
+    """Start the ingestion; call ``awaitTermination()`` on the result.
+
+    The valid and the quarantine output each read the batch's files.
+    ``cache_batch`` persists the batch first so the files are read once;
+    that pays off when reading is expensive (large objects on remote
+    storage). For small text batches building the cache costs more than
+    the second read (measured: 3.4 s vs 1.9 s for ``q_stream_ingest`` at
+    sf0.1).
+    """
     reader = spark.readStream.format("text").option("maxFilesPerTrigger", max_files_per_batch)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     parsed = parse(reader.load(landing))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        valid, bad = quality.split_valid(batch, rules)
-        valid.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
-        bad.write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
+        if cache_batch:
+            # cached blocks keep their lineage: a lost executor recomputes them
+            batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            valid, bad = quality.split_valid(batch, rules)
+            valid.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+            bad.write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
+        finally:
+            if cache_batch:
+                batch.unpersist()
 
     return (
         parsed.writeStream.foreachBatch(write_batch)
