@@ -96,7 +96,7 @@ def _exact_quantiles(
     cols: Sequence[str],
     levels: Sequence[float],
     accuracy: int = 10_000,
-    max_window: int = 200_000,
+    max_window: int = 1_000_000,
     max_rounds: int = 8,
     counts: dict[str, tuple[int, int]] | None = None,
 ) -> DataFrame:
