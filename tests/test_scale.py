@@ -93,3 +93,18 @@ def test_quantiles_with_nan_and_null(spark):
     assert got[0.25] == pytest.approx(2.25)
     assert got[0.5] == pytest.approx(3.5)
     assert np.isnan(got[0.75])
+
+
+def test_identical_rows_spread_by_file_position(spark, tmp_path):
+    # one key, 6000 identical rows: the content hash alone cannot split them
+    path = str(tmp_path / "same")
+    spark.range(6000, numPartitions=3).select(F.lit(1).alias("k"), F.lit("x").alias("v")) \
+        .write.parquet(path)
+    src = spark.read.parquet(path)
+    alone = nested.nest(src, ["k"], "items", ["v"], max_items=500)
+    assert alone.count() == 1  # documented limit without spread columns
+    docs = nested.nest(src, ["k"], "items", ["v"], max_items=500,
+                       spread=[F.col("_metadata.file_path"), F.col("_metadata.row_index")])
+    sizes = [r[0] for r in docs.select(F.size("items")).collect()]
+    assert sum(sizes) == 6000 and max(sizes) <= 2 * 500 and len(sizes) >= 6
+    assert "_s0" not in docs.columns

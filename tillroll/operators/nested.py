@@ -122,6 +122,7 @@ def nest(
     item_cols: Sequence[str] | None = None,
     max_items: int = 1000,
     chunk_col: str = "chunk",
+    spread: Sequence[str | Column] = (),
 ) -> DataFrame:
     """Group rows into documents ``keys + chunk + name: array<struct<item_cols>>``.
 
@@ -142,9 +143,11 @@ def nest(
        order rows arrive in.
 
     The chunk is a function of the row's content, so a retried task sends
-    every row to the same document again. Limit: rows of one key that are
-    identical in every item column share a chunk. Give such data a
-    distinguishing item column (e.g. a line number) to keep the bound.
+    every row to the same document again. Rows of one key that are identical
+    in every item column share a chunk. For such data, pass ``spread``:
+    columns that tell copies apart and are stable across task retries, e.g.
+    ``_metadata.file_path`` and ``_metadata.row_index`` of a parquet source.
+    They join the hash but not the documents.
     """
     keys = list(keys)
     items = [c for c in (item_cols or df.columns) if c not in keys]
@@ -160,12 +163,15 @@ def nest(
     for i, k in enumerate(keys):
         term = F.col(_q(k)).eqNullSafe(F.col(f"_k{i}"))
         cond = term if cond is None else cond & term
+    extra = [(F.col(_q(c)) if isinstance(c, str) else c).alias(f"_s{i}") for i, c in enumerate(spread)]
     joined = df.join(heavy, cond, "left").select(
-        *[F.col(_q(k)) for k in keys], *[F.col(_q(c)) for c in items], F.col("_n")
+        *[F.col(_q(k)) for k in keys], *[F.col(_q(c)) for c in items], F.col("_n"), *extra
     )
     n_chunks = F.coalesce(F.ceil(F.col("_n") / F.lit(max_items)), F.lit(1))
-    chunk = F.pmod(F.xxhash64(*[F.col(_q(c)) for c in items]), n_chunks).cast("int")
-    keyed = joined.withColumn(chunk_col, chunk).repartition(*keys, chunk_col)
+    hashed = [F.col(_q(c)) for c in items] + [F.col(f"_s{i}") for i in range(len(extra))]
+    chunk = F.pmod(F.xxhash64(*hashed), n_chunks).cast("int")
+    keyed = joined.withColumn(chunk_col, chunk).drop(*[f"_s{i}" for i in range(len(extra))])
+    keyed = keyed.repartition(*keys, chunk_col)
     return keyed.groupBy(*keys, chunk_col).agg(
         F.array_sort(F.collect_list(F.struct(*[F.col(_q(c)) for c in items]))).alias(name)
     )
