@@ -61,3 +61,15 @@ def test_nest_joins_only_heavy_keys(spark):
     p = _plan(spark, "q_explode_items")
     assert "(_n" in p and "> 1000)" in p  # only keys over max_items come back
     assert "LeftOuter" in p
+
+
+@pytest.mark.parametrize("name", ["q_describe", "q_describe_items"])
+def test_quartiles_never_range_partition_the_column(spark, name):
+    p = _plan(spark, name)
+    assert "rangepartitioning" not in p.lower()
+    assert "partial_count" in p  # bracket values collapse to (value, weight) per task
+
+
+def test_fk_check_semi_joins_orphans(spark):
+    p = _plan(spark, "q_fk_orphans")
+    assert "LeftSemi" in p and "LeftAnti" in p
