@@ -7,10 +7,16 @@ import __spark_entry__ as entry
 SF = "/root/testdata/sf0.01"
 
 
+def _final(df):
+    # run this DataFrame's own plan (only a row count reaches the driver) so
+    # that adaptive execution has settled it
+    qe = df._jdf.queryExecution()
+    qe.toRdd().count()
+    return qe.executedPlan().toString()
+
+
 def _plan(spark, name):
-    df = entry.queries()[name](spark, SF)
-    df.write.format("noop").mode("overwrite").save()  # final adaptive plan
-    return df._jdf.queryExecution().executedPlan().toString()
+    return _final(entry.queries()[name](spark, SF))
 
 
 def test_filter_pushed_to_scan(spark):
@@ -57,10 +63,23 @@ def test_checked_broadcast_only_within_bound(spark):
     assert "strategy=broadcast" not in beyond
 
 
-def test_nest_joins_only_heavy_keys(spark):
+def test_nest_without_heavy_keys_has_no_join(spark):
     p = _plan(spark, "q_explode_items")
-    assert "(_n" in p and "> 1000)" in p  # only keys over max_items come back
-    assert "LeftOuter" in p
+    assert "isFinalPlan=true" in p
+    assert "Join" not in p
+
+
+def test_nest_hot_key_is_broadcast_not_shuffled(spark):
+    from pyspark.sql import functions as F
+
+    from tillroll.operators import nested
+
+    li = spark.read.parquet(f"{SF}/lineitem.parquet")
+    hot = li.withColumn("l_orderkey", F.when(F.col("l_linenumber") <= 3, F.lit(0)).otherwise(F.col("l_orderkey")))
+    p = _final(nested.nest(hot, ["l_orderkey"], "itens", ["l_linenumber", "l_partkey"], max_items=500))
+    assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
+    # one shuffle of the rows: the repartition by (key, chunk)
+    assert p.count("REPARTITION_BY_COL") >= 1
 
 
 @pytest.mark.parametrize("name", ["q_describe", "q_describe_items"])
@@ -70,6 +89,6 @@ def test_quartiles_never_range_partition_the_column(spark, name):
     assert "partial_count" in p  # bracket values collapse to (value, weight) per task
 
 
-def test_fk_check_semi_joins_orphans(spark):
+def test_fk_check_broadcasts_orphan_keys(spark):
     p = _plan(spark, "q_fk_orphans")
-    assert "LeftSemi" in p and "LeftAnti" in p
+    assert "LeftSemi" in p and "SortMergeJoin" not in p

@@ -23,6 +23,31 @@ from pyspark.sql import functions as F
 BOUNDED_DIMENSIONS = {"nation": 25, "region": 5}
 
 
+def small_table(df: DataFrame, max_rows: int) -> DataFrame | None:
+    """``df`` computed now and held as a broadcast local table, if it has at
+    most ``max_rows`` rows; ``None`` otherwise.
+
+    For a small side that is itself the result of a job over a large table
+    (heavy keys, orphan keys). Adaptive execution would only see its size
+    after the large side of the join had been shuffled; deciding here, with
+    at most ``max_rows + 1`` rows read back, keeps the large side in place.
+    """
+    rows = collect_small(df, max_rows)
+    return None if rows is None else as_broadcast(df, rows)
+
+
+def collect_small(df: DataFrame, max_rows: int) -> list | None:
+    """The rows of ``df`` if there are at most ``max_rows``, else ``None``
+    (reads at most ``max_rows + 1`` rows)."""
+    rows = df.limit(max_rows + 1).collect()
+    return rows if len(rows) <= max_rows else None
+
+
+def as_broadcast(like: DataFrame, rows: list) -> DataFrame:
+    """Rows collected from ``like`` as a broadcast table with its schema."""
+    return F.broadcast(like.sparkSession.createDataFrame(rows, like.schema))
+
+
 def checked_broadcast(dim: DataFrame, max_rows: int) -> DataFrame:
     """``broadcast(dim)`` if it has at most ``max_rows`` rows, else ``dim``.
 

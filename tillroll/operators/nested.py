@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
+from tillroll.operators.model import as_broadcast, collect_small
+
 
 def _q(name: str) -> str:
     return f"`{name}`"
@@ -123,6 +125,7 @@ def nest(
     max_items: int = 1000,
     chunk_col: str = "chunk",
     spread: Sequence[str | Column] = (),
+    max_heavy_keys: int = 100_000,
 ) -> DataFrame:
     """Group rows into documents ``keys + chunk + name: array<struct<item_cols>>``.
 
@@ -133,11 +136,11 @@ def nest(
 
     1. per-key row counts (partial aggregation, a hot key is one row/task),
        kept only for the heavy keys (more than ``max_items`` rows);
-    2. the heavy keys are left-joined back (null-safe on the keys). There
-       are at most ``rows / max_items`` of them and usually a handful, so
-       adaptive execution broadcasts them after measuring their size and the
-       rows are not shuffled for the join; when there are many, it plans a
-       sort-merge join instead;
+    2. the heavy keys are computed first. There are at most
+       ``rows / max_items`` of them and usually a handful: up to
+       ``max_heavy_keys`` they come back as a broadcast table, so the rows are
+       never shuffled for the join, and with none there is no join at all.
+       With more, they are left-joined (null-safe) as a sort-merge join;
     3. rows are hash-partitioned by ``keys + chunk`` and collected per
        document; elements are sorted so the result does not depend on the
        order rows arrive in.
@@ -159,14 +162,18 @@ def nest(
         .agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > F.lit(max_items))
     )
-    cond = None
-    for i, k in enumerate(keys):
-        term = F.col(_q(k)).eqNullSafe(F.col(f"_k{i}"))
-        cond = term if cond is None else cond & term
     extra = [(F.col(_q(c)) if isinstance(c, str) else c).alias(f"_s{i}") for i, c in enumerate(spread)]
-    joined = df.join(heavy, cond, "left").select(
-        *[F.col(_q(k)) for k in keys], *[F.col(_q(c)) for c in items], F.col("_n"), *extra
-    )
+    cols = [*[F.col(_q(k)) for k in keys], *[F.col(_q(c)) for c in items], *extra]
+    rows = collect_small(heavy, max_heavy_keys)
+    if rows == []:  # no key needs splitting: no join at all
+        joined = df.select(*cols, F.lit(None).cast("bigint").alias("_n"))
+    else:
+        other = heavy if rows is None else as_broadcast(heavy, rows)
+        cond = None
+        for i, k in enumerate(keys):
+            term = F.col(_q(k)).eqNullSafe(other[f"_k{i}"])
+            cond = term if cond is None else cond & term
+        joined = df.join(other, cond, "left").select(*cols, F.col("_n"))
     n_chunks = F.coalesce(F.ceil(F.col("_n") / F.lit(max_items)), F.lit(1))
     hashed = [F.col(_q(c)) for c in items] + [F.col(f"_s{i}") for i in range(len(extra))]
     chunk = F.pmod(F.xxhash64(*hashed), n_chunks).cast("int")

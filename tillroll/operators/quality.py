@@ -12,8 +12,8 @@ Cost model:
 * key rules (primary key, unique) are one grouped count each; partial
   aggregation makes a hot key one row per task before the shuffle;
 * foreign keys: distinct child keys are anti-joined with the parent keys;
-  the child rows of orphan keys are then picked by a semi join, which the
-  planner broadcasts only when the measured orphan set is small.
+  the orphan keys (read back when at most a bound) then pick their child
+  rows with a broadcast semi join, so child rows are not shuffled.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.money import MONEY_LIMIT
+from tillroll.operators.model import as_broadcast, collect_small
 
 REPORT_COLUMNS = ("table_name", "rule", "column_name", "violations")
 
@@ -152,7 +153,8 @@ def key_report(df: DataFrame, table: str, keys: Sequence[str], primary: bool = T
 
 # ----------------------------------------------------------- A20
 def check_foreign_key(
-    child: DataFrame, parent: DataFrame, child_cols: Sequence[str], parent_cols: Sequence[str]
+    child: DataFrame, parent: DataFrame, child_cols: Sequence[str], parent_cols: Sequence[str],
+    max_orphan_keys: int = 100_000,
 ) -> DataFrame:
     """Child rows whose (non-NULL) foreign key has no parent row.
 
@@ -161,9 +163,10 @@ def check_foreign_key(
 
     Only keys are shuffled: the child's distinct foreign keys (partially
     aggregated per task, so a hot key is one row per task) are anti-joined
-    with the parent keys, and the orphan keys then pick their child rows
-    with a semi join. Orphans are usually few, so adaptive execution
-    broadcasts them after measuring them and the child rows never move.
+    with the parent keys first. Up to ``max_orphan_keys`` orphan keys come
+    back as a broadcast table and pick their child rows with a semi join, so
+    the child rows never move (no orphans: no join at all); beyond that the
+    semi join is left to the planner.
     """
     child_cols, parent_cols = list(child_cols), list(parent_cols)
     if len(child_cols) != len(parent_cols):
@@ -172,6 +175,11 @@ def check_foreign_key(
     fks = keyed.select(*[F.col(c).alias(f"_fk{i}") for i, c in enumerate(child_cols)]).distinct()
     p = parent.select(*[F.col(pc).alias(f"_pk{i}") for i, pc in enumerate(parent_cols)])
     orphans = fks.join(p, _all_equal(fks, p, "_fk", "_pk", len(child_cols)), "left_anti")
+    rows = collect_small(orphans, max_orphan_keys)
+    if rows == []:
+        return keyed.filter(F.lit(False))
+    if rows is not None:
+        orphans = as_broadcast(orphans, rows)
     cond = None
     for i, cc in enumerate(child_cols):
         term = keyed[cc] == orphans[f"_fk{i}"]
