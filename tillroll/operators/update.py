@@ -26,6 +26,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.operators.model import as_broadcast, collect_small
+
 
 def update_rows(
     target: DataFrame,
@@ -34,7 +36,13 @@ def update_rows(
     stamp_col: str,
     now: Column,
     protected: Sequence[str] = (),
+    broadcast_rows: int | None = None,
 ) -> DataFrame:
+    """``broadcast_rows``: when set, the prepared batch is read back now if it
+    has at most that many rows and joins as a broadcast table, so the target
+    is not shuffled (a duplicate key then fails here, not at the action).
+    Otherwise the join is planned lazily: adaptive execution broadcasts a
+    batch it measures as small, else both sides are shuffled by key."""
     keys = [key] if isinstance(key, str) else list(key)
     for k in keys:
         if k not in updates.columns or k not in target.columns:
@@ -59,6 +67,10 @@ def update_rows(
         F.when(F.col("_n") > 1, F.raise_error(dup_msg)).otherwise(F.lit(True)).alias("_matched"),
         *[f"_u_{c}" for c in cols],
     )
+    if broadcast_rows is not None:
+        rows = collect_small(batch, broadcast_rows)
+        if rows is not None:
+            batch = as_broadcast(batch, rows)
     joined = target.join(batch, keys, "left")
     matched = F.coalesce(F.col("_matched"), F.lit(False))
     out = []

@@ -202,4 +202,5 @@ def q_update_stamp(spark: SparkSession, sf: str):
         stale,
     )
     now = F.lit(UPDATE_NOW).cast("timestamp_ntz")
-    return update.update_rows(target, pending.unionByName(unknown), "o_orderkey", "o_updated_at", now)
+    return update.update_rows(target, pending.unionByName(unknown), "o_orderkey", "o_updated_at", now,
+                              broadcast_rows=100_000)
