@@ -134,3 +134,22 @@ def test_observed_fingerprint_equals_separate_pass(spark, tmp_dir):
     files.backup(observed, os.path.join(tmp_dir, "copy"), ["o_orderstatus"])
     direct = files.fingerprint(orders).first()
     assert (obs.get["rows"], obs.get["hash_sum"]) == (direct["rows"], direct["hash_sum"])
+
+
+def test_shared_folder_required_on_a_cluster(spark):
+    from tillroll import session
+
+    class FakeContext:
+        master = "spark://cluster:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class FakeSession:
+        sparkContext = FakeContext()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_shared_dir(FakeSession())

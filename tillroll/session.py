@@ -51,7 +51,7 @@ def build_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_shared_dir(spark)
+    # the shared folder is resolved by the first job that writes
     return spark
 
 
