@@ -4,7 +4,6 @@ from decimal import Decimal as D
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, IntegerType, StringType, StructField, StructType
 
 from tillroll.operators import quality, reconcile
 from tillroll.schemas import VARCHAR_LIMITS

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
-    DecimalType, LongType, StringType, StructField, StructType, TimestampNTZType,
+    LongType, StringType, StructField, StructType, TimestampNTZType,
 )
 
 from tillroll.functions.money import MONEY
