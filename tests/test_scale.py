@@ -108,3 +108,26 @@ def test_identical_rows_spread_by_file_position(spark, tmp_path):
     sizes = [r[0] for r in docs.select(F.size("items")).collect()]
     assert sum(sizes) == 6000 and max(sizes) <= 2 * 500 and len(sizes) >= 6
     assert "_s0" not in docs.columns
+
+
+def test_heavy_keys_beyond_bound_fall_back_to_planner(spark):
+    li = spark.read.parquet(f"{SF}/lineitem.parquet")
+    hot = li.withColumn("l_orderkey", F.when(F.col("l_linenumber") <= 3, F.lit(0)).otherwise(F.col("l_orderkey")))
+    cols = ["l_linenumber", "l_partkey", "l_quantity"]
+    # bound 0: the heavy keys stay a lazy join the planner decides on
+    lazy = nested.nest(hot, ["l_orderkey"], "itens", cols, max_items=500, max_heavy_keys=0)
+    eager = nested.nest(hot, ["l_orderkey"], "itens", cols, max_items=500)
+    assert sorted(lazy.select("l_orderkey", "chunk", F.size("itens")).collect()) == \
+        sorted(eager.select("l_orderkey", "chunk", F.size("itens")).collect())
+    assert nested.explode_rows(lazy, "itens", ["l_orderkey"]).count() == hot.count()
+
+
+def test_orphan_keys_beyond_bound_fall_back_to_planner(spark):
+    from tillroll.operators import quality
+
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    cust = spark.read.parquet(f"{SF}/customer.parquet").filter("c_custkey % 3 <> 0")
+    small = quality.check_foreign_key(orders, cust, ["o_custkey"], ["c_custkey"])
+    big = quality.check_foreign_key(orders, cust, ["o_custkey"], ["c_custkey"], max_orphan_keys=0)
+    assert small.count() == big.count() > 0
+    assert small.exceptAll(big).count() == 0
