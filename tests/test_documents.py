@@ -116,3 +116,19 @@ def test_posexplode_position(spark):
     df = spark.createDataFrame([(1, ["x", "y"])], "k int, a array<string>")
     out = nested.explode_rows(df, "a", ["k"], position="pos").collect()
     assert [(r.pos, r.a) for r in out] == [(0, "x"), (1, "y")]
+
+
+def test_malformed_document_kept_for_quarantine(spark, tmp_path):
+    from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+    from tillroll.sources.documents import CORRUPT, read_json
+
+    (tmp_path / "a.json").write_text('[{"k": 1, "v": "x"}, {"k": 2, "v": "y"}]')
+    (tmp_path / "b.json").write_text('[{"k": 3, "v": "z"')  # truncated
+    schema = StructType([StructField("k", LongType()), StructField("v", StringType())])
+    with pytest.raises(Exception):
+        read_json(spark, str(tmp_path), schema).collect()
+    rows = read_json(spark, str(tmp_path), schema, keep_malformed=True).collect()
+    good = sorted(r.k for r in rows if r[CORRUPT] is None)
+    bad = [r for r in rows if r[CORRUPT] is not None]
+    assert good == [1, 2] and len(bad) == 1 and bad[0].k is None
