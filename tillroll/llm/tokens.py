@@ -2,11 +2,12 @@
 
 Arrow batches of texts are encoded in tasks and only lengths (or ids) come
 back. Texts are cut at spaces and line feeds, which no token of the supported
-tokenizer spans: it drops white space and matches words between. So ids of a
-text are the ids of its pieces in order. Each distinct piece of a task is
-encoded once, in batches balanced by bytes, and a bounded memory of pieces is
-kept; a text beyond ``_TEXT`` characters is cut at such a boundary first, so
-memory follows the batch.
+tokenizer spans: it drops white space and matches words between. So the ids of
+a text are the ids of its pieces in order. Each distinct piece is handed to the
+tokenizer once, in batches balanced by bytes; a bounded table of pieces, by
+64-bit hash, is kept by the worker. Batches are worked off in slices of some
+bytes, and a longer text is cut at such a boundary first, so memory follows the
+slice.
 
 Special strings inside a text are handled as the library does by default
 (they hold no white space, so they never span pieces). Null counts as empty;
@@ -24,11 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import append_columns
+from tillroll.llm.common import append_columns, slices_by_bytes, utf8
+from tillroll.llm.textvec import byte_table, scan_words
 
-_TEXT = 1 << 20  # characters cut at once
-_BATCH_BYTES = 1 << 18  # text bytes handed to the tokenizer at once
-_KEPT = 400_000  # pieces remembered by a worker
+_SLICE = 4 << 20  # text bytes worked off at once
+_BATCH_BYTES = 1 << 17  # text bytes handed to the tokenizer at once
+_KEPT = 2_000_000  # pieces remembered by a worker
+_PIECE = byte_table(lambda b: b not in (10, 32), lower=False)
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -37,24 +40,28 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-def safe_parts(text: str, most: int = _TEXT) -> Iterator[str]:
-    """``text`` in parts of about ``most`` characters, cut at a space or line
-    feed; a longer stretch without one stays whole."""
-    lo, n = 0, len(text)
+def safe_parts(raw: np.ndarray, most: int = _SLICE) -> Iterator[tuple[int, int]]:
+    """Byte ranges of one text of about ``most`` bytes, cut behind a space or
+    line feed; a longer stretch without one stays whole."""
+    lo, n = 0, len(raw)
     while n - lo > most:
-        cut = max(text.rfind(" ", lo, lo + most), text.rfind("\n", lo, lo + most))
-        if cut <= lo:
-            ahead = [x for x in (text.find(" ", lo + most), text.find("\n", lo + most)) if x >= 0]
-            if not ahead:
-                break
-            cut = min(ahead)
-        yield text[lo:cut]
-        lo = cut + 1
-    yield text[lo:]
+        gaps = np.flatnonzero(_PIECE[raw[lo:lo + most]] == 0)
+        if gaps.size:
+            cut = lo + int(gaps[-1]) + 1
+        else:
+            cut, size = n, most
+            for at in range(lo + most, n, size):
+                gaps = np.flatnonzero(_PIECE[raw[at:at + size]] == 0)
+                if gaps.size:
+                    cut = at + int(gaps[0]) + 1
+                    break
+        yield lo, cut
+        lo = cut
+    yield lo, n
 
 
 class Encoder:
-    """Ids of pieces; remembers up to ``_KEPT`` of them."""
+    """Ids of pieces, or only their number; remembers up to ``_KEPT`` pieces."""
 
     def __init__(self, path: str, only_lengths: bool) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -64,64 +71,84 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.only_lengths = only_lengths
-        self.known: dict = {"": 0 if only_lengths else b""}
-
-    def learn(self, pieces: set) -> None:
-        batch, size = [], 0
-        for p in pieces:
-            batch.append(p)
-            size += len(p) + 8
-            if size >= _BATCH_BYTES:
-                self._encode(batch)
-                batch, size = [], 0
-        if batch:
-            self._encode(batch)
-
-    def _encode(self, batch: list[str]) -> None:
-        found = self.tokenizer.encode_batch(batch, add_special_tokens=False)
+        self._clear()
+
+    def _clear(self) -> None:
+        self.codes = np.zeros(0, np.uint64)  # sorted
+        self.count = np.zeros(0, np.int64)
+        self.start = np.zeros(0, np.int64)  # into ids
+        self.ids, self.used = np.zeros(0, np.uint32), 0
+
+    def _encode(self, pieces: list[str]) -> list:
+        out, lo, held = [], 0, 0
+        for i, p in enumerate(pieces):
+            held += len(p) + 8
+            if held >= _BATCH_BYTES or i + 1 == len(pieces):
+                out += [len(e) if self.only_lengths else e.ids for e in
+                        self.tokenizer.encode_batch_fast(pieces[lo:i + 1], add_special_tokens=False)]
+                lo, held = i + 1, 0
+        return out
+
+    def _learn(self, codes: np.ndarray, pieces: list[str]) -> None:
+        """Add pieces by their (sorted, unknown) codes."""
+        found = self._encode(pieces)
         if self.only_lengths:
-            self.known.update((p, len(e)) for p, e in zip(batch, found))
+            count = np.array(found, np.int64)
+            start = np.zeros(len(count), np.int64)
         else:
-            self.known.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(batch, found))
-
-    def pieces(self, text: str) -> list[str]:
-        return text.replace("\n", " ").split(" ")
-
-    def over(self, texts: list[str]) -> list:
+            count = np.array([len(x) for x in found], np.int64)
+            total = int(count.sum())
+            if self.used + total > len(self.ids):
+                grown = np.zeros(max(2 * len(self.ids), self.used + total, 1 << 16), np.uint32)
+                grown[:self.used] = self.ids[:self.used]
+                self.ids = grown
+            start = self.used + np.cumsum(count) - count
+            self.ids[self.used:self.used + total] = np.fromiter((i for x in found for i in x), np.uint32, total)
+            self.used += total
+        at = np.searchsorted(self.codes, codes)
+        self.codes = np.insert(self.codes, at, codes)
+        self.count = np.insert(self.count, at, count)
+        self.start = np.insert(self.start, at, start)
+
+    def _look_up(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place in the table, and whether it is known."""
+        at = np.minimum(np.searchsorted(self.codes, codes), max(0, len(self.codes) - 1))
+        return at, (self.codes[at] == codes if len(self.codes) else np.zeros(len(codes), bool))
+
+    def slice(self, raw: np.ndarray, offsets: np.ndarray) -> list:
         """Per text: its token count, or its ids as little-endian uint32."""
+        words = scan_words(raw, offsets, _PIECE)
+        codes, where, back = np.unique(words.code, return_index=True, return_inverse=True)
+        at, known = self._look_up(codes)
+        if not known.all():
+            if len(self.codes) + int((~known).sum()) > _KEPT:
+                self._clear()
+                known = np.zeros(len(codes), bool)
+            new = where[~known]
+            data = raw.tobytes()
+            self._learn(codes[~known], [data[a:b].decode() for a, b in
+                                        zip(words.start[new].tolist(), words.end[new].tolist())])
+            at, _ = self._look_up(codes)
+        count = self.count[at][back] if len(codes) else np.zeros(0, np.int64)
+        ends = np.concatenate([[0], np.cumsum(count)])
+        border = ends[words.first]
+        if self.only_lengths:
+            return np.diff(border).tolist()
+        first = self.start[at][back] if len(codes) else np.zeros(0, np.int64)
+        ids = self.ids[np.repeat(first - ends[:-1], count) + np.arange(ends[-1])].astype("<u4")
+        return [ids[a:b].tobytes() for a, b in zip(border[:-1].tolist(), border[1:].tolist())]
+
+    def over(self, raw: np.ndarray, offsets: np.ndarray) -> list:
         out: list = []
-        todo: list[list[str]] = []
-        held = 0
-        for text in texts:
-            parts = list(safe_parts(text)) if len(text) > _TEXT else [text]
-            if len(parts) > 1:
-                out.extend(self._flush(todo))
-                todo, held = [], 0
-                each = [self._flush([self.pieces(p)])[0] for p in parts]
+        for lo, hi in slices_by_bytes(offsets, _SLICE):
+            part = raw[offsets[lo]:offsets[hi]]
+            if hi == lo + 1 and len(part) > _SLICE:
+                each = [self.slice(part[a:b], np.array([0, b - a]))[0] for a, b in safe_parts(part)]
                 out.append(sum(each) if self.only_lengths else b"".join(each))
-                continue
-            todo.append(self.pieces(text))
-            held += len(text)
-            if held > _TEXT:
-                out.extend(self._flush(todo))
-                todo, held = [], 0
-        out.extend(self._flush(todo))
+            else:
+                out += self.slice(part, offsets[lo:hi + 1] - offsets[lo])
         return out
 
-    def _flush(self, todo: list[list[str]]) -> list:
-        if not todo:
-            return []
-        fresh = {p for t in todo for p in t}
-        missing = fresh - self.known.keys()
-        if len(self.known) + len(missing) > _KEPT:
-            self.known, missing = {"": self.known[""]}, fresh - {""}
-        if missing:
-            self.learn(missing)
-        get = self.known.__getitem__
-        if self.only_lengths:
-            return [sum(map(get, t)) for t in todo]
-        return [b"".join(map(get, t)) for t in todo]
-
 
 _ENCODERS: dict = {}
 
@@ -142,12 +169,7 @@ def count_tokens(docs: DataFrame, path: str | None = None, text_col: str = "text
 
     def work():
         enc = encoder(path, True)
-
-        def each(b):
-            texts = [t or "" for t in b.column(b.schema.get_field_index(text_col)).to_pylist()]
-            return [enc.over(texts)]
-
-        return each
+        return lambda b: [enc.over(*utf8(b.column(b.schema.get_field_index(text_col))))]
 
     return append_columns(docs, out, work)
 
@@ -164,8 +186,8 @@ def token_ids(docs: DataFrame, path: str | None = None, text_col: str = "text",
         enc = encoder(path, False)
 
         def each(b):
-            texts = [t or "" for t in b.column(b.schema.get_field_index(text_col)).to_pylist()]
-            return [pa.array([x + tail for x in enc.over(texts)], pa.binary())]
+            found = enc.over(*utf8(b.column(b.schema.get_field_index(text_col))))
+            return [pa.array([x + tail for x in found], pa.binary())]
 
         return each
 
