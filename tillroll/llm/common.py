@@ -20,7 +20,7 @@ from tillroll.session import shared_path
 from tillroll.sources.tables import read_table
 
 __all__ = ["append_columns", "arrow_schema", "bounded_sample", "crc_fold", "drop_clashes", "numbered",
-           "read_table", "slices_by_bytes", "stage", "utf8"]
+           "parts_of", "read_table", "slices_by_bytes", "stage", "utf8"]
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -46,6 +46,14 @@ def arrow_schema(fields: T.StructType) -> pa.Schema:
     return to_arrow_schema(fields)
 
 
+def parts_of(batches: Iterator[pa.RecordBatch], most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of about ``most`` bytes, so results stay small too."""
+    for b in batches:
+        step = max(1, int(b.num_rows * most / max(1, b.nbytes)))
+        for lo in range(0, b.num_rows, step):
+            yield b.slice(lo, step)
+
+
 def append_columns(df: DataFrame, out: T.StructType,
                    work: Callable[[], Callable[[pa.RecordBatch], list]]) -> DataFrame:
     """Append the columns ``out`` to ``df``, batch by batch.
@@ -59,7 +67,7 @@ def append_columns(df: DataFrame, out: T.StructType,
         schema = arrow_schema(fields)
         extra = [schema.field(i).type for i in range(len(schema) - len(out.fields), len(schema))]
         each = work()
-        for b in batches:
+        for b in parts_of(batches):
             new = [x if isinstance(x, (pa.Array, pa.ChunkedArray)) else pa.array(x, type=t)
                    for x, t in zip(each(b), extra)]
             cols = [c.cast(f.type) if c.type != f.type else c

@@ -19,75 +19,55 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import append_columns, arrow_schema, stage
-from tillroll.llm.tokens import token_ids
-
-_OWN = ("start", "length", "ids", "doc_tokens", "sequence_id", "offset")
+from tillroll.llm.common import append_columns, stage, utf8
+from tillroll.llm.tokens import encoder, tokenizer_path
 
 
 def pack(docs: DataFrame, size: int = 4096, end_id: int = 2, path: str | None = None,
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: ``id_col``, ``start``, ``length``, ``ids`` (binary,
     little-endian uint32), ``doc_tokens``, ``sequence_id``, ``offset``."""
-    spark = docs.sparkSession
+    path = path or tokenizer_path()
     slim = docs.select(F.col(id_col), F.col(text_col).alias("_text"))
-    written = stage(_task_offsets(token_ids(slim, path, "_text", "ids", end_id).drop("_text")), "pack")
+    written = stage(append_columns(slim, _FIRST, lambda: _first_pass(path, end_id)).drop("_text"), "pack")
     # one number per task of the first pass
-    totals = {r[0]: r[1] for r in written.groupBy("part").agg(F.max("upto")).collect()}
-    order = sorted(totals)
-    ends = np.cumsum([totals[p] for p in order], dtype=np.int64)
-    base = dict(zip(order, (ends - [totals[p] for p in order]).tolist()))
-    shared = spark.sparkContext.broadcast(base)
-    fields = T.StructType([written.schema[id_col]] + [
-        T.StructField(n, T.BinaryType() if n == "ids" else T.LongType()) for n in _OWN])
-    kind = arrow_schema(fields)
-
-    def cut(batches):
-        bases = shared.value
-        for b in batches:
-            cols: list[list] = [[] for _ in fields]
-            held = 0
-            rows = zip(*(b.column(b.schema.get_field_index(n)).to_pylist()
-                         for n in (id_col, "part", "upto", "ids")))
-            for doc, part, upto, ids in rows:
-                n = len(ids) // 4
-                first = bases[part] + upto - n
-                lo = 0
-                while lo < n:
-                    seq, at = divmod(first + lo, size)
-                    take = min(n - lo, size - at)
-                    for c, x in zip(cols, (doc, lo, take, ids[4 * lo:4 * (lo + take)], n, seq, at)):
-                        c.append(x)
-                    lo += take
-                held += len(ids)
-                if held > 16 << 20:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, kind)], schema=kind)
-                    cols, held = [[] for _ in fields], 0
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, kind)], schema=kind)
-
-    return written.select(id_col, "part", "upto", "ids").mapInArrow(cut, fields)
-
-
-def _task_offsets(ids: DataFrame) -> DataFrame:
-    """Append the task number and the tokens of the task up to the row's end."""
-    out = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("upto", T.LongType())])
-
-    def work():
-        from pyspark import TaskContext
-
-        task, seen = TaskContext.get().partitionId(), 0
-
-        def each(b):
-            nonlocal seen
-            sizes = np.array([len(x) // 4 for x in b.column(b.schema.get_field_index("ids")).to_pylist()],
-                             np.int64)
-            upto = seen + np.cumsum(sizes)
-            seen = int(upto[-1]) if len(upto) else seen
-            return [np.full(len(sizes), task, np.int32), upto]
-
-        return each
-
-    return append_columns(ids, out, work)
+    totals = sorted((r[0], r[1]) for r in written.groupBy("part").agg(F.max("upto")).collect())
+    ends = np.cumsum([n for _, n in totals], dtype=np.int64).tolist()
+    bases = docs.sparkSession.createDataFrame(
+        [(part, end - n) for (part, n), end in zip(totals, ends)], "part int, base long")
+    # second pass: arithmetic and binary slices only
+    n = (F.octet_length("ids") / 4).cast("long")
+    placed = (written.join(F.broadcast(bases), "part")
+              .select(id_col, "ids", n.alias("doc_tokens"), (F.col("base") + F.col("upto") - n).alias("_first")))
+    cut = placed.withColumn("sequence_id", F.explode(F.expr(
+        f"sequence(_first div {size}L, (_first + doc_tokens - 1L) div {size}L)")))
+    start = F.greatest(F.lit(0), F.col("sequence_id") * size - F.col("_first"))
+    end = F.least(F.col("doc_tokens"), (F.col("sequence_id") + 1) * size - F.col("_first"))
+    cut = cut.withColumns({"start": start.cast("long"), "length": (end - start).cast("long")})
+    ids = F.expr("substring(ids, cast(4 * start + 1 as int), cast(4 * length as int))")
+    return cut.select(id_col, "start", "length", ids.alias("ids"), "doc_tokens", "sequence_id",
+                      (F.col("_first") + F.col("start") - F.col("sequence_id") * size).alias("offset"))
+
+
+_FIRST = T.StructType([T.StructField("ids", T.BinaryType()), T.StructField("part", T.IntegerType()),
+                       T.StructField("upto", T.LongType())])
+
+
+def _first_pass(path: str, end_id: int):
+    """Ids of each text, the task number, and the task's tokens up to the row's end."""
+    from pyspark import TaskContext
+
+    enc, tail = encoder(path, False), np.array([end_id], "<u4").tobytes()
+    task, seen = TaskContext.get().partitionId(), 0
+
+    def each(b):
+        nonlocal seen
+        ids = [x + tail for x in enc.over(*utf8(b.column(b.schema.get_field_index("_text"))))]
+        upto = seen + np.cumsum([len(x) // 4 for x in ids], dtype=np.int64)
+        seen = int(upto[-1]) if len(upto) else seen
+        return [pa.array(ids, pa.binary()), np.full(len(ids), task, np.int32), upto]
+
+    return each
 
 
 def sequences(pieces: DataFrame) -> DataFrame:
