@@ -7,6 +7,7 @@ appended column always wins and no reference is ambiguous.
 
 from __future__ import annotations
 
+import re
 import time
 from collections.abc import Callable, Iterator
 
@@ -20,7 +21,7 @@ from tillroll.session import shared_path
 from tillroll.sources.tables import read_table
 
 __all__ = ["append_columns", "arrow_schema", "bounded_sample", "crc_fold", "drop_clashes", "numbered",
-           "parts_of", "read_table", "slices_by_bytes", "stage", "utf8"]
+           "parts_of", "read_table", "slices_by_bytes", "small_batches", "stage", "utf8"]
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -54,13 +55,50 @@ def parts_of(batches: Iterator[pa.RecordBatch], most: int = 8 << 20) -> Iterator
             yield b.slice(lo, step)
 
 
+def small_batches(df: DataFrame) -> None:
+    """Arrow batches of at most 8 MB and 4,000 rows in this session, so that
+    two tasks of an executor hold little of either side of a Python function.
+    Smaller settings of the session are left as they are."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", 4000),
+                      ("spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20)):
+        now = re.fullmatch(r"(\d+)b?", df.sparkSession.conf.get(key) or "")
+        if not now or not 0 < int(now[1]) <= most:
+            df.sparkSession.conf.set(key, str(most))
+
+
+_NUMBERS = T.StructType([T.StructField("_task", T.IntegerType()), T.StructField("_place", T.LongType())])
+
+
 def append_columns(df: DataFrame, out: T.StructType,
-                   work: Callable[[], Callable[[pa.RecordBatch], list]]) -> DataFrame:
-    """Append the columns ``out`` to ``df``, batch by batch.
+                   work: Callable[[], Callable[[pa.RecordBatch], list]], *,
+                   drop: tuple[str, ...] = (), number: bool = False) -> DataFrame:
+    """Append the columns ``out`` to ``df``, batch by batch, in one Python pass.
 
     ``work()`` runs once per task and returns a function from an Arrow batch
-    to one array per appended column."""
-    kept = drop_clashes(df, out.names)
+    to one array per appended column. ``drop`` names input columns that only
+    the function needs. With ``number``, the task number and the row's place
+    in its task follow as ``_task`` and ``_place``; stage the result before
+    use, as only a written number is the same in every later job."""
+    if number:
+        inner, out = work, T.StructType([*out.fields, *_NUMBERS.fields])
+
+        def work():
+            from pyspark import TaskContext
+
+            each, task, seen = inner(), TaskContext.get().partitionId(), 0
+
+            def numbered(b):
+                nonlocal seen
+                n, seen = b.num_rows, seen + b.num_rows
+                return [*each(b), np.full(n, task, np.int32), np.arange(seen - n, seen)]
+
+            return numbered
+
+    small_batches(df)
+    df = drop_clashes(df, out.names)
+    kept = drop_clashes(df, list(drop))
+    gone = {n.lower() for n in drop}
+    stay = [i for i, c in enumerate(df.columns) if c.lower() not in gone]
     fields = T.StructType(list(kept.schema.fields) + list(out.fields))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -71,32 +109,16 @@ def append_columns(df: DataFrame, out: T.StructType,
             new = [x if isinstance(x, (pa.Array, pa.ChunkedArray)) else pa.array(x, type=t)
                    for x, t in zip(each(b), extra)]
             cols = [c.cast(f.type) if c.type != f.type else c
-                    for c, f in zip([*b.columns, *new], schema)]
+                    for c, f in zip([*(b.column(i) for i in stay), *new], schema)]
             yield pa.RecordBatch.from_arrays(cols, schema=pa.schema(
                 [pa.field(f.name, f.type) for f in schema]))
 
-    return kept.mapInArrow(run, fields)
-
-
-def numbered(df: DataFrame, part: str = "part", pos: str = "pos") -> DataFrame:
-    """Append the task number and the row's place in its task. Stage the result
-    before use: only a written number is the same in every later job."""
-    out = T.StructType([T.StructField(part, T.IntegerType()), T.StructField(pos, T.LongType())])
-
-    def work():
-        from pyspark import TaskContext
-
-        task, seen = TaskContext.get().partitionId(), 0
-
-        def each(b):
-            nonlocal seen
-            n = b.num_rows
-            seen += n
-            return [np.full(n, task, np.int32), np.arange(seen - n, seen)]
+    return df.mapInArrow(run, fields)
 
-        return each
 
-    return append_columns(df, out, work)
+def numbered(df: DataFrame) -> DataFrame:
+    """``df`` with ``_task`` and ``_place`` only."""
+    return append_columns(df, T.StructType([]), lambda: lambda b: [], number=True)
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

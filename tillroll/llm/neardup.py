@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import append_columns, arrow_schema, numbered, slices_by_bytes, stage, utf8
+from tillroll.llm.common import append_columns, slices_by_bytes, small_batches, stage, utf8
 from tillroll.llm.components import components, spanning_forest
 from tillroll.llm.textvec import SPACED, mix, scan_words, shingles
 
@@ -98,7 +98,7 @@ def _set_key(s: np.ndarray) -> bytes | None:
     return xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None
 
 
-def sketch(docs: DataFrame, id_col: str, text_col: str, k: int, signature: bool = True) -> DataFrame:
+def sketch(docs: DataFrame, text_col: str, k: int, signature: bool = True, **how) -> DataFrame:
     """Append ``n_shingles``, ``set_key`` (null for an empty set) and, if asked
     for, the ``signature``."""
     out = T.StructType([T.StructField("n_shingles", T.LongType()), T.StructField("set_key", T.BinaryType())]
@@ -120,7 +120,7 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, k: int, signature: bool
 
         return each
 
-    return append_columns(docs, out, work)
+    return append_columns(docs, out, work, **how)
 
 
 def _buckets(classes: DataFrame) -> DataFrame:
@@ -259,9 +259,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, *, id_col: s
                     text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: the id, ``n_shingles``, ``set_key``,
     ``component_id`` (the smallest id reachable over links) and ``kept``."""
+    small_batches(docs)
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     uid = F.col("_task").cast("long") * F.lit(1 << 40) + F.col("_place")
-    rows = stage(numbered(sketch(slim, "id", "text", k).drop("text"), "_task", "_place"), "sketch")
+    rows = stage(sketch(slim, "text", k, drop=("text",), number=True), "sketch")
     classes = stage(rows.filter("set_key IS NOT NULL").groupBy("set_key")
                     .agg(F.min(uid).alias("c"), F.min("id").alias("least_id"),
                          F.first("signature").alias("signature")), "classes")
@@ -280,7 +281,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, *, id_col: s
     wanted = (members.select("c").distinct().join(classes.select("c", "least_id", "set_key"), "c")
               .withColumnRenamed("set_key", "want"))
     found = slim.join(wanted, slim["id"].eqNullSafe(wanted["least_id"])).select("c", "text", "want")
-    texts = stage(sketch(found, "c", "text", k, signature=False).filter("set_key = want")
+    texts = stage(sketch(found, "text", k, signature=False).filter("set_key = want")
                   .select("c", "text").dropDuplicates(["c"]), "texts")
 
     links = stage(_verified(tested, texts, k, percent), "links")
@@ -344,8 +345,8 @@ def deduplicate(docs: DataFrame, k: int = 5, percent: int = 80, *, id_col: str =
     kept = (near_duplicates(docs, k, percent, id_col=id_col, text_col=text_col)
             .filter("kept AND set_key IS NOT NULL").select(F.col(id_col).alias("_id"), F.col("set_key").alias("_key")))
     names = docs.columns
-    keyed = sketch(docs.select(*[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(names)]), "", f"_c{names.index(text_col)}",
-                   k, signature=False)
+    keyed = sketch(docs.select(*[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(names)]),
+                   f"_c{names.index(text_col)}", k, signature=False)
     mine = f"_c{names.index(id_col)}"
     stay = (keyed.filter("set_key IS NOT NULL")
             .join(kept, keyed[mine].eqNullSafe(kept["_id"]) & (keyed["set_key"] == kept["_key"]), "left_semi")

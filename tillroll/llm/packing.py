@@ -29,7 +29,7 @@ def pack(docs: DataFrame, size: int = 4096, end_id: int = 2, path: str | None =
     little-endian uint32), ``doc_tokens``, ``sequence_id``, ``offset``."""
     path = path or tokenizer_path()
     slim = docs.select(F.col(id_col), F.col(text_col).alias("_text"))
-    written = stage(append_columns(slim, _FIRST, lambda: _first_pass(path, end_id)).drop("_text"), "pack")
+    written = stage(append_columns(slim, _FIRST, lambda: _first_pass(path, end_id), drop=("_text",)), "pack")
     # one number per task of the first pass
     totals = sorted((r[0], r[1]) for r in written.groupBy("part").agg(F.max("upto")).collect())
     ends = np.cumsum([n for _, n in totals], dtype=np.int64).tolist()

@@ -104,13 +104,16 @@ class Scanner:
         return out
 
 
+def _vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
 def scan_secrets(docs: DataFrame, text_col: str = "text", vocabulary: str | None = None,
                  chars_per_token: float = CHARS_PER_TOKEN) -> DataFrame:
     """``docs`` with ``findings``: (kind, start, end) by start, then kind."""
-    if vocabulary is None:
-        import public_tokenizers
-
-        vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    vocabulary = vocabulary or _vocabulary()
 
     def work():
         scanner = Scanner(vocabulary, chars_per_token)
@@ -131,28 +134,31 @@ def joined(findings, kinds: tuple[str, ...] = KINDS):
         ":", f["kind"], f["start"].cast("string"), f["end"].cast("string"))), ",")
 
 
-def redact(docs: DataFrame, text_col: str = "text", mark: str = "[secret]", **options) -> DataFrame:
+def redact(docs: DataFrame, text_col: str = "text", mark: str = "[secret]",
+           vocabulary: str | None = None, chars_per_token: float = CHARS_PER_TOKEN) -> DataFrame:
     """``docs`` with every finding replaced by ``mark``; overlapping findings
     share one mark. Other texts stay as they are."""
+    vocabulary = vocabulary or _vocabulary()
+
     def work():
+        scanner = Scanner(vocabulary, chars_per_token)
+
         def each(b):
-            texts = b.column(b.schema.get_field_index(text_col)).to_pylist()
-            marks = b.column(b.schema.get_field_index("findings")).to_pylist()
-            return [[_redacted(t, f, mark) for t, f in zip(texts, marks)]]
+            texts = b.column(b.schema.get_field_index(text_col))
+            return [[_redacted(t.as_py(), f, mark) for t, f in zip(texts, scanner.batch(texts))]]
 
         return each
 
-    found = scan_secrets(docs, text_col, **options)
-    clean = append_columns(found, T.StructType([T.StructField("_clean", T.StringType())]), work)
-    return clean.withColumn(text_col, F.col("_clean")).drop("_clean", "findings")
+    clean = append_columns(docs, T.StructType([T.StructField("_clean", T.StringType())]), work, drop=(text_col,))
+    return clean.withColumnRenamed("_clean", text_col).select(*docs.columns)
 
 
-def _redacted(text: str | None, findings: list[dict], mark: str) -> str | None:
+def _redacted(text: str | None, findings: list[tuple], mark: str) -> str | None:
     if not findings:
         return text
     out, pos, until = [], 0, -1
-    for f in findings:  # by start
-        if f["start"] >= until:
-            out += [text[pos:f["start"]], mark]
-        until = pos = max(until, f["end"])
+    for _, start, end in findings:  # by start
+        if start >= until:
+            out += [text[pos:start], mark]
+        until = pos = max(until, end)
     return "".join([*out, text[pos:]])

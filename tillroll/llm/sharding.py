@@ -85,7 +85,7 @@ def hilbert_shards(rows: DataFrame, dims: list[str], shards: int = 40, id_col: s
     def numbers():
         return lambda b: [_number(b.column(b.schema.get_field_index(c))) for c in dims]
 
-    keyed = stage(numbered(append_columns(rows, out, numbers), "_task", "_place"), "hilbert-keys")
+    keyed = stage(append_columns(rows, out, numbers, number=True), "hilbert-keys")
     # quantiles by sketch: 2**bits - 1 numbers per dimension reach the driver
     steps = [i / (1 << bits) for i in range(1, 1 << bits)]
     cut_row = keyed.agg(*[F.percentile_approx(F.when(F.col(k) > float("-inf"), F.col(k)), steps, 10_000).alias(k)
@@ -100,25 +100,25 @@ def hilbert_shards(rows: DataFrame, dims: list[str], shards: int = 40, id_col: s
 
         return each
 
-    placed = append_columns(keyed, T.StructType([T.StructField("curve", T.LongType())]), curve).drop(*keys)
+    placed = append_columns(keyed, T.StructType([T.StructField("curve", T.LongType())]), curve, drop=tuple(keys))
     order = ["curve", id_col, "_task", "_place"]
     run = stage(numbered(placed.repartitionByRange(*order).sortWithinPartitions(*order)
-                         .drop("_task", "_place"), "_part", "_pos"), "hilbert-run")
+                         .drop("_task", "_place")), "hilbert-run")
     # one count per task
-    counts = sorted((r[0], r[1]) for r in run.groupBy("_part").agg(F.count("*")).collect())
+    counts = sorted((r[0], r[1]) for r in run.groupBy("_task").agg(F.count("*")).collect())
     total = sum(n for _, n in counts)
     base, seen = [], 0
     for part, n in counts:
         base.append((part, seen))
         seen += n
-    starts = spark.createDataFrame(base, "_part int, _base long")
-    rank = F.col("_base") + F.col("_pos")
-    shard = F.expr(f"cast((_base + _pos) * {shards}L div {max(1, total)}L as int)")
-    return (run.join(F.broadcast(starts), "_part")
+    starts = spark.createDataFrame(base, "_task int, _base long")
+    rank = F.col("_base") + F.col("_place")
+    shard = F.expr(f"cast((_base + _place) * {shards}L div {max(1, total)}L as int)")
+    return (run.join(F.broadcast(starts), "_task")
             .withColumn("shard", shard)
             # the first row of shard k is row ceil(k * N / S)
             .withColumn("slot", rank - F.expr(f"(shard * {total}L + {shards - 1}L) div {shards}L"))
-            .drop("_part", "_pos", "_base"))
+            .drop("_task", "_place", "_base"))
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:

@@ -28,9 +28,9 @@ from pyspark.sql import types as T
 from tillroll.llm.common import append_columns, slices_by_bytes, utf8
 from tillroll.llm.textvec import byte_table, scan_words
 
-_SLICE = 4 << 20  # text bytes worked off at once
+_SLICE = 2 << 20  # text bytes worked off at once
 _BATCH_BYTES = 1 << 17  # text bytes handed to the tokenizer at once
-_KEPT = 1_500_000  # pieces remembered by a worker
+_KEPT = 1_000_000  # pieces remembered by a worker
 _PIECE = byte_table(lambda b: b not in (10, 32), lower=False)
 
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import arrow_schema, numbered, stage
+from tillroll.llm.common import arrow_schema, small_batches, stage
 
 SCALE = 256
 _HUGE = float(1 << 24)
@@ -145,12 +145,18 @@ class BitSlicedIndex:
 
 def quantise(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
              scale: int = SCALE) -> DataFrame:
-    """Valid rows as (id, dims, ints): floor(scale * x) as little-endian int32."""
+    """Valid rows as (id, dims, ints, _task, _place): floor(scale * x) as
+    little-endian int32, and the row's number (stage the result before use)."""
+    small_batches(vectors)
     fields = T.StructType([T.StructField(id_col, vectors.schema[id_col].dataType),
-                           T.StructField("dims", T.IntegerType()), T.StructField("ints", T.BinaryType())])
+                           T.StructField("dims", T.IntegerType()), T.StructField("ints", T.BinaryType()),
+                           T.StructField("_task", T.IntegerType()), T.StructField("_place", T.LongType())])
     kind = arrow_schema(fields)
 
     def run(batches):
+        from pyspark import TaskContext
+
+        task, seen = TaskContext.get().partitionId(), 0
         for b in batches:
             ids, lists = b.column(0), b.column(1).cast(pa.list_(pa.float64()))
             offsets = lists.offsets.to_numpy()
@@ -163,8 +169,10 @@ def quantise(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embe
                                   & lists.is_valid().to_numpy(zero_copy_only=False)
                                   & ids.is_valid().to_numpy(zero_copy_only=False))
             ints = [whole[offsets[i]:offsets[i + 1]].astype("<i4").tobytes() for i in keep.tolist()]
+            n, seen = len(keep), seen + len(keep)
             yield pa.RecordBatch.from_arrays([ids.take(pa.array(keep)), pa.array(size[keep], pa.int32()),
-                                              pa.array(ints, pa.binary())], schema=kind)
+                                              pa.array(ints, pa.binary()), pa.array(np.full(n, task, np.int32)),
+                                              pa.array(np.arange(seen - n, seen))], schema=kind)
 
     return vectors.select(id_col, vector_col).mapInArrow(run, fields)
 
@@ -174,7 +182,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, *, id_col: str = "vec_id",
           block_queries: int = 2048) -> DataFrame:
     """The ``k`` best rows of every query row (``is_query``: a condition on the
     id): ``query_id``, ``rank``, ``vec_id``, ``score``."""
-    table = stage(numbered(quantise(vectors, id_col, vector_col, scale), "_task", "_place"), "topk")
+    table = stage(quantise(vectors, id_col, vector_col, scale), "topk")
     n = table.count()
     n_queries = table.filter(is_query).count()
     row_blocks, query_blocks = max(1, -(-n // block_rows)), max(1, -(-n_queries // block_queries))

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import arrow_schema, stage
+from tillroll.llm.common import arrow_schema, small_batches, stage
 
 MAGIC = "WARC/1.0\r\n"
 END = "\r\n\r\n"
@@ -57,6 +57,7 @@ def write_warc(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col:
                payload_col: str = "html", least: int = 0, date: str = "2000-01-01T00:00:00Z") -> None:
     """Write one record per row below ``path``; payloads of ``least`` bytes or
     more that occur under a smaller id become revisits."""
+    small_batches(pages)
     rows = pages.select(F.col(id_col).cast("string").alias("id"), F.col(id_col).alias("key"),
                         F.col(url_col).cast("string").alias("url"),
                         F.coalesce(F.col(payload_col), F.lit("")).alias("payload"))
@@ -194,7 +195,10 @@ def true_records(chain: DataFrame) -> DataFrame:
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """The records below ``path``: ``file``, ``offset``, ``record_type``, ``id``,
-    ``url``, ``refers_to``, ``digest`` (of the header), ``payload`` (binary)."""
+    ``url``, ``refers_to``, ``digest`` (of the header), ``payload`` (binary), and
+    ``payload_bytes`` and ``payload_digest`` of the payload in the record."""
+
+    small_batches(spark.range(0))
     pieces = stage(_pieces(spark, path), "warc-pieces")
     width = len(_MAGIC)
     # a split's pieces start where those of the splits before it end
@@ -222,7 +226,8 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     bodies = owned.filter("whole").select("file", "offset", "body").unionByName(rejoined)
     out = T.StructType([T.StructField("file", T.StringType()), T.StructField("offset", T.LongType())]
                        + [T.StructField(n, T.StringType()) for n in ("record_type", "id", "url", "refers_to", "digest")]
-                       + [T.StructField("payload", T.BinaryType())])
+                       + [T.StructField("payload", T.BinaryType()), T.StructField("payload_bytes", T.LongType()),
+                          T.StructField("payload_digest", T.StringType())])
     kind = arrow_schema(out)
 
     def parse(batches):
@@ -234,10 +239,11 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                          (x.split(":", 1) for x in head.decode("utf-8", "replace").split("\r\n") if ":" in x)}
                 urn = lambda n: (_unescape(named[n][len("<urn:page:"):-1]) if n in named else None)
                 url = named.get("warc-target-uri")
+                payload = rest[:int(named.get("content-length", "0"))]
                 for c, x in zip(cols, (file, offset, named.get("warc-type"), urn("warc-record-id"),
                                        None if url is None else _unescape(url), urn("warc-refers-to"),
                                        named.get("warc-payload-digest", "").removeprefix("sha1:") or None,
-                                       rest[:int(named.get("content-length", "0"))])):
+                                       payload, len(payload), payload_digest(payload))):
                     c.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, kind)], schema=kind)
 
@@ -248,19 +254,7 @@ def resolve(records: DataFrame) -> DataFrame:
     """Per record: ``record_type``, ``id``, ``refers_to``, and ``payload_bytes``
     and ``payload_digest`` of the full payload. Those of a response are taken
     from its bytes, those of a revisit from the response it refers to."""
-    out = T.StructType([T.StructField("payload_bytes", T.LongType()), T.StructField("payload_digest", T.StringType())])
-
-    from tillroll.llm.common import append_columns
-
-    def work():
-        def each(b):
-            got = b.column(b.schema.get_field_index("payload")).to_pylist()
-            return [[len(x) for x in got], [payload_digest(x) for x in got]]
-
-        return each
-
-    slim = stage(append_columns(records.select("record_type", "id", "refers_to", "digest", "payload"), out, work)
-                 .drop("payload"), "warc-records")
+    slim = stage(records.select("record_type", "id", "refers_to", "payload_bytes", "payload_digest"), "warc-records")
     responses = slim.filter("record_type = 'response'")
     full = stage(responses.filter("id IS NOT NULL").groupBy(F.col("id").alias("to"))
                  .agg(F.max("payload_bytes").alias("full_bytes"), F.max("payload_digest").alias("full_digest")),
