@@ -112,6 +112,7 @@ def append_columns(df: DataFrame, out: T.StructType,
                     for c, f in zip([*(b.column(i) for i in stay), *new], schema)]
             yield pa.RecordBatch.from_arrays(cols, schema=pa.schema(
                 [pa.field(f.name, f.type) for f in schema]))
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, fields)
 

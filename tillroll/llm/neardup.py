@@ -300,8 +300,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, *, id_col: s
     large = _block_pairs(signed.filter(F.col("n") > BLOCK), grouped.filter(F.col("n") > BLOCK))
     more = _cross_pairs(small.unionByName(large), least).join(tested, ["a", "b"], "left_anti")
     more = stage(more, "pairs")
-    links = groups.union(_verified(more, texts, k, percent))
-    groups = components(links)
+    links = stage(_verified(more, texts, k, percent), "links")
+    groups = components(groups.union(links))
 
     # the smallest id of each group of classes
     linked = classes.select("c", "least_id", "set_key").join(

@@ -30,7 +30,7 @@ from tillroll.llm.textvec import byte_table, scan_words
 
 _SLICE = 2 << 20  # text bytes worked off at once
 _BATCH_BYTES = 1 << 17  # text bytes handed to the tokenizer at once
-_KEPT = 1_000_000  # pieces remembered by a worker
+_KEPT = 500_000  # pieces remembered by a worker
 _PIECE = byte_table(lambda b: b not in (10, 32), lower=False)
 
 
