@@ -15,10 +15,11 @@
    shingle sets. Union-find groups the classes.
 5. Round two, for the links that the forest missed: in each bucket that still
    holds several groups, all pairs across groups whose signatures are not
-   clearly below the threshold (6 standard deviations) are verified too. Pairs
-   within a group need no test, so no group's pairs are ever listed. Larger
-   buckets are dealt into block pairs, the rows outside the bucket's largest
-   group against all.
+   clearly below the threshold (6 standard deviations) are tested on full sets
+   too, each in the first band it shares. They are tested where the bucket's
+   rows meet and never listed; pairs within a group need no test. Larger buckets
+   are dealt into block pairs, the rows outside the bucket's largest group
+   against all.
 
 Verification compares full sets, recomputed from the whole texts. Components
 are contracted on the executors; nothing grows with the corpus on the driver.
@@ -123,6 +124,11 @@ def sketch(docs: DataFrame, text_col: str, k: int, signature: bool = True, **how
     return append_columns(docs, out, work, **how)
 
 
+def _codes(bands: np.ndarray) -> np.ndarray:
+    """Bucket of every band: its places and its number, hashed."""
+    return mix(bands + np.arange(1, BANDS + 1, dtype=np.uint64) * _STEP)
+
+
 def _buckets(classes: DataFrame) -> DataFrame:
     """(code, c): one row per class and band."""
     kind = pa.schema([("code", pa.int64()), ("c", pa.int64())])
@@ -133,7 +139,7 @@ def _buckets(classes: DataFrame) -> DataFrame:
             if not n:
                 continue
             sig = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint64).reshape(n, BANDS)
-            code = mix(sig + np.arange(1, BANDS + 1, dtype=np.uint64) * _STEP)
+            code = _codes(sig)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(code.ravel().view(np.int64)),
                  pa.array(np.repeat(b.column(0).to_numpy(), BANDS))], schema=kind)
@@ -206,26 +212,81 @@ def _forest_pairs(members: DataFrame, least: int) -> DataFrame:
     return dealt.sortWithinPartitions("code", "block").mapInArrow(run, "a long, b long").distinct()
 
 
-def _cross_pairs(members: DataFrame, least: int) -> DataFrame:
-    """Round two: near pairs across groups, from (code, i, j, c, g, signature,
-    first, second): rows marked first against rows marked second of a block pair."""
+def _cross(t: pa.Table, at: int, end: int, sig: np.ndarray, g: np.ndarray, least: int):
+    """Candidate pairs of one block pair as (rows marked first, rows marked
+    second, matrix): of different groups, near by signature, and in the first
+    band that the two share, so that a pair is looked at once in all."""
+    first, second = (t.column(n).slice(at, end - at).to_numpy(zero_copy_only=False) for n in ("first", "second"))
+    x, y = at + np.flatnonzero(first), at + np.flatnonzero(second)
+    if not x.size or not y.size:
+        return x, y, np.zeros((x.size, y.size), bool)
+    near = (_alike(sig[x], sig[y]) >= least) & (g[x][:, None] != g[y][None, :])
+    bands = sig.view(np.uint64)
+    codes = _codes(bands[x[:1]])[0].view(np.int64)
+    band = int(np.flatnonzero(codes == t.column("code")[at].as_py())[0])
+    p, q = np.nonzero(near)
+    if band and p.size:
+        near[p, q] = ~(bands[x[p], :band] == bands[y[q], :band]).any(axis=1)
+    return x, y, near
+
+
+def _cross_members(members: DataFrame, least: int) -> DataFrame:
+    """Round two, first pass: of (code, i, j, c, g, signature, first, second),
+    the rows that are in a candidate pair. Pairs are not listed."""
     def run(batches):
         for t, border in _complete_groups(batches, ["code", "i", "j"]):
-            c, g, sig = t.column("c").to_numpy(), t.column("g").to_numpy(), _signatures(t)
-            first, second = (t.column(n).to_numpy(zero_copy_only=False) for n in ("first", "second"))
-            pairs = []
+            g, sig, keep = t.column("g").to_numpy(), _signatures(t), np.zeros(t.num_rows, bool)
             for at, end in zip(border[:-1].tolist(), border[1:].tolist()):
-                x, y = at + np.flatnonzero(first[at:end]), at + np.flatnonzero(second[at:end])
-                if not x.size or not y.size:
-                    continue
-                near = (_alike(sig[x], sig[y]) >= least) & (g[x][:, None] != g[y][None, :])
-                p, q = np.nonzero(near)
-                if p.size:
-                    pairs.append(np.stack([c[x[p]], c[y[q]]], axis=1))
-            yield _pair_batch(pairs)
+                x, y, near = _cross(t, at, end, sig, g, least)
+                keep[x] |= near.any(axis=1)
+                keep[y] |= near.any(axis=0)
+            yield from t.filter(pa.array(keep)).combine_chunks().to_batches()
 
     dealt = members.repartition("code", "i", "j").sortWithinPartitions("code", "i", "j")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return dealt.mapInArrow(run, members.schema)
+
+
+def _cross_links(members: DataFrame, texts: DataFrame, k: int, percent: int, least: int) -> DataFrame:
+    """Round two, second pass: links of each block pair, verified on full sets.
+    A pair that links found before it already join is not tested."""
+    def run(batches):
+        for t, border in _complete_groups(batches, ["code", "i", "j"]):
+            c, g, sig = t.column("c").to_numpy(), t.column("g").to_numpy(), _signatures(t)
+            links = []
+            for at, end in zip(border[:-1].tolist(), border[1:].tolist()):
+                x, y, near = _cross(t, at, end, sig, g, least)
+                if not near.any():
+                    continue
+                raw, offsets = utf8(t.column("text").slice(at, end - at))
+                sets: list = []
+                for lo, hi in slices_by_bytes(offsets, _SLICE):
+                    sets += shingles(scan_words(raw[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], SPACED), k)
+                tree = {int(v): int(v) for v in np.unique(g[at:end])}
+
+                def find(v):
+                    while tree[v] != v:
+                        v = tree[v] = tree[tree[v]]
+                    return v
+
+                for p, q in zip(*(v.tolist() for v in np.nonzero(near))):
+                    u, v = find(int(g[x[p]])), find(int(g[y[q]]))
+                    if u != v and _is_link(sets[x[p] - at], sets[y[q] - at], percent):
+                        tree[max(u, v)] = min(u, v)
+                        links.append((int(c[x[p]]), int(c[y[q]])))
+            yield _pair_batch([np.array(links, np.int64)] if links else [])
+
+    rows = members.join(texts, "c").select("code", "i", "j", "c", "g", "signature", "first", "second", "text")
+    return rows.repartition("code", "i", "j").sortWithinPartitions("code", "i", "j").mapInArrow(run, "a long, b long")
+
+
+def _is_link(s: np.ndarray, t: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets are at least ``percent`` % alike."""
+    small, large = (s, t) if len(s) <= len(t) else (t, s)
+    if 100 * len(small) < percent * len(large):
+        return False
+    at = np.minimum(np.searchsorted(large, small), len(large) - 1)
+    shared = int((large[at] == small).sum())
+    return 100 * shared >= percent * (len(s) + len(t) - shared)
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -241,14 +302,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
             for lo, hi in slices_by_bytes(at_a + at_b, _SLICE):
                 x, y = (shingles(scan_words(raw[at[lo]:at[hi]], at[lo:hi + 1] - at[lo], SPACED), k)
                         for raw, at in ((raw_a, at_a), (raw_b, at_b)))
-                for i, (s, t) in enumerate(zip(x, y)):
-                    small, large = (s, t) if len(s) <= len(t) else (t, s)
-                    if 100 * len(small) < percent * len(large):
-                        continue
-                    at = np.searchsorted(large, small)
-                    shared = int((large[np.minimum(at, len(large) - 1)] == small).sum())
-                    if 100 * shared >= percent * (len(s) + len(t) - shared):
-                        keep.append(lo + i)
+                keep += [lo + i for i, (s, t) in enumerate(zip(x, y)) if _is_link(s, t, percent)]
             got = pa.array(keep, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(got), batch.column(1).take(got)], names=["a", "b"])
 
@@ -298,9 +352,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, *, id_col: s
              .select("code", F.lit(0).cast("long").alias("i"), F.lit(0).cast("long").alias("j"), "c", "g",
                      "signature", F.lit(True).alias("first"), F.lit(True).alias("second")))
     large = _block_pairs(signed.filter(F.col("n") > BLOCK), grouped.filter(F.col("n") > BLOCK))
-    more = _cross_pairs(small.unionByName(large), least).join(tested, ["a", "b"], "left_anti")
-    more = stage(more, "pairs")
-    links = stage(_verified(more, texts, k, percent), "links")
+    crossing = stage(_cross_members(small.unionByName(large), least), "crossing")
+    links = stage(_cross_links(crossing, texts, k, percent, least), "links")
     groups = components(groups.union(links))
 
     # the smallest id of each group of classes
