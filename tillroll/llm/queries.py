@@ -108,7 +108,7 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
     path = shared_path(spark, "llm", "warc", unique=True)
     warc.write_warc(pages, path)
-    back = warc.resolve(warc.read_warc(spark, path))
+    back = warc.resolve(warc.read_warc(spark, path, payload=False))
     as_id = lambda c: F.col(c).cast(pages.schema["page_id"].dataType)
     return back.select(as_id("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
                        as_id("refers_to").alias("refers_to"))

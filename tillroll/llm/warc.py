@@ -98,29 +98,50 @@ def write_warc(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col:
     joined.mapInArrow(records, out).write.mode("overwrite").option("lineSep", END).text(path)
 
 
-def _pieces(spark: SparkSession, path: str) -> DataFrame:
-    """The files cut at every magic line: file, split, offset within the split's
-    pieces, body, and the successor a candidate at this place would have."""
+_PARSED = T.StructType([T.StructField(n, T.StringType()) for n in ("record_type", "id", "url", "refers_to", "digest")]
+                       + [T.StructField("payload_bytes", T.LongType()), T.StructField("payload_digest", T.StringType())])
+
+
+def _parse(body: bytes) -> tuple:
+    """Header fields, payload size and digest, and the payload of one record."""
+    head, _, rest = body.partition(_END)
+    named = {k.strip().lower(): v.strip() for k, v in
+             (x.split(":", 1) for x in head.decode("utf-8", "replace").split("\r\n") if ":" in x)}
+    urn = lambda n: (_unescape(named[n][len("<urn:page:"):-1]) if n in named else None)
+    url, length = named.get("warc-target-uri"), named.get("content-length", "0")
+    payload = rest[:int(length)] if length.isdigit() else b""
+    return (named.get("warc-type"), urn("warc-record-id"), None if url is None else _unescape(url),
+            urn("warc-refers-to"), named.get("warc-payload-digest", "").removeprefix("sha1:") or None,
+            len(payload), payload_digest(payload)), payload
+
+
+def _pieces(spark: SparkSession, path: str, bodies: bool) -> DataFrame:
+    """The files cut at every magic line: file, split, place of the piece within
+    the split's pieces, its size, and the bytes a record that begins here needs
+    (null if none can). With ``bodies`` the piece itself, else the record it is
+    if it is a record and complete."""
     lines = (spark.read.option("lineSep", MAGIC).text(path)
              .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
                      F.col("value").cast("binary").alias("body")))
-    fields = T.StructType([*lines.schema.fields, T.StructField("at", T.LongType()),
-                           T.StructField("need", T.LongType())])
+    fields = T.StructType([*lines.schema.fields[:2]] + [T.StructField(n, T.LongType()) for n in ("at", "size", "need")]
+                          + ([T.StructField("body", T.BinaryType())] if bodies else list(_PARSED.fields)))
     kind = arrow_schema(fields)
 
     def run(batches):
         seen: dict = {}
         for b in batches:
-            at, need = [], []
+            cols: list[list] = [[] for _ in fields]
             for file, split, body in zip(*(c.to_pylist() for c in b.columns)):
                 pos = seen.get((file, split), 0)
                 seen[(file, split)] = pos + len(body) + len(_MAGIC)
-                at.append(pos)
                 end = body.find(_END)
                 found = _LENGTH.search(body, 0, end + 2) if end >= 0 else None
-                need.append(end + len(_END) + int(found[1]) + len(_END) if found else None)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(at, pa.int64()), pa.array(need, pa.int64())],
-                                             schema=kind)
+                need = end + len(_END) + int(found[1]) + len(_END) if found else None
+                complete = need is not None and len(body) >= need
+                more = (body,) if bodies else _parse(body)[0] if complete else (None,) * len(_PARSED)
+                for c, x in zip(cols, (file, split, pos, len(body), need, *more)):
+                    c.append(x)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, kind)], schema=kind)
 
     return lines.mapInArrow(run, fields)
 
@@ -193,61 +214,43 @@ def true_records(chain: DataFrame) -> DataFrame:
             .select("file", "split", "offset", F.coalesce("owner", "carried").alias("owner")))
 
 
-def read_warc(spark: SparkSession, path: str) -> DataFrame:
+def read_warc(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
     """The records below ``path``: ``file``, ``offset``, ``record_type``, ``id``,
-    ``url``, ``refers_to``, ``digest`` (of the header), ``payload`` (binary), and
-    ``payload_bytes`` and ``payload_digest`` of the payload in the record."""
+    ``url``, ``refers_to``, ``digest`` (of the header), ``payload_bytes`` and
+    ``payload_digest`` of the payload in the record, and the ``payload`` itself.
 
+    Without ``payload``, only the pieces of records that hold a magic line are
+    read a second time, and no payload is moved otherwise."""
     small_batches(spark.range(0))
-    pieces = stage(_pieces(spark, path), "warc-pieces")
     width = len(_MAGIC)
+    pieces = stage(_pieces(spark, path, False), "warc-pieces")
     # a split's pieces start where those of the splits before it end
-    sizes = pieces.groupBy("file", "split").agg(F.sum(F.octet_length("body") + F.lit(width)).alias("bytes"))
+    sizes = pieces.groupBy("file", "split").agg(F.sum(F.col("size") + F.lit(width)).alias("bytes"))
     before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     base = sizes.select("file", "split", F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("base"))
-    placed = (pieces.join(base, ["file", "split"])
-              .withColumn("offset", F.col("base") + F.col("at") - width)
-              .filter("offset >= 0").drop("base", "at"))  # the first piece lies before any magic
+    placed = stage(pieces.join(base, ["file", "split"])
+                   .withColumn("offset", F.col("base") + F.col("at") - width)
+                   .filter("offset >= 0").drop("base"), "warc-placed")  # the first piece lies before any magic
     after = F.when(F.col("need").isNull(), F.lit(-1)).otherwise(F.col("offset") + width + F.col("need"))
     marked = true_records(placed.select("file", "split", "offset", after.cast("long").alias("after")))
     owned = placed.join(marked.select("file", "offset", "owner"), ["file", "offset"]).filter("owner IS NOT NULL")
-    whole = (F.col("owner") == F.col("offset")) & (F.octet_length("body") >= F.col("need"))
-    owned = stage(owned.select("file", "offset", "owner", "body", whole.alias("whole")), "warc-owned")
-    fields = T.StructType([T.StructField("file", T.StringType()), T.StructField("offset", T.LongType()),
-                           T.StructField("body", T.BinaryType())])
+    whole = (F.col("owner") == F.col("offset")) & (F.col("size") >= F.col("need"))
+    owned = stage(owned.withColumn("whole", F.coalesce(whole, F.lit(False))), "warc-owned")
+    out = T.StructType([T.StructField("file", T.StringType()), T.StructField("offset", T.LongType()), *_PARSED.fields]
+                       + ([T.StructField("payload", T.BinaryType())] if payload else []))
 
     def rejoin(p: pd.DataFrame) -> pd.DataFrame:
         p = p.sort_values("offset")
-        return pd.DataFrame({"file": p["file"].iloc[:1], "offset": p["owner"].iloc[:1],
-                             "body": [_MAGIC.join(bytes(x) for x in p["body"])]})
+        fields, data = _parse(_MAGIC.join(bytes(x) for x in p["body"]))
+        row = (p["file"].iloc[0], p["owner"].iloc[0], *fields, *([data] if payload else []))
+        return pd.DataFrame([row], columns=out.names)
 
+    again = owned if payload else owned.filter("NOT whole")
+    bodies = (_pieces(spark, path, True).select("file", "split", "at", "body")
+              .join(again.select("file", "split", "at", "offset", "owner"), ["file", "split", "at"]))
     # pieces of one record at most in a group
-    rejoined = (owned.filter("NOT whole").groupBy("file", "owner").applyInPandas(rejoin, fields))
-    bodies = owned.filter("whole").select("file", "offset", "body").unionByName(rejoined)
-    out = T.StructType([T.StructField("file", T.StringType()), T.StructField("offset", T.LongType())]
-                       + [T.StructField(n, T.StringType()) for n in ("record_type", "id", "url", "refers_to", "digest")]
-                       + [T.StructField("payload", T.BinaryType()), T.StructField("payload_bytes", T.LongType()),
-                          T.StructField("payload_digest", T.StringType())])
-    kind = arrow_schema(out)
-
-    def parse(batches):
-        for b in batches:
-            cols: list[list] = [[] for _ in out]
-            for file, offset, body in zip(*(c.to_pylist() for c in b.columns)):
-                head, _, rest = body.partition(_END)
-                named = {k.strip().lower(): v.strip() for k, v in
-                         (x.split(":", 1) for x in head.decode("utf-8", "replace").split("\r\n") if ":" in x)}
-                urn = lambda n: (_unescape(named[n][len("<urn:page:"):-1]) if n in named else None)
-                url = named.get("warc-target-uri")
-                payload = rest[:int(named.get("content-length", "0"))]
-                for c, x in zip(cols, (file, offset, named.get("warc-type"), urn("warc-record-id"),
-                                       None if url is None else _unescape(url), urn("warc-refers-to"),
-                                       named.get("warc-payload-digest", "").removeprefix("sha1:") or None,
-                                       payload, len(payload), payload_digest(payload))):
-                    c.append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, kind)], schema=kind)
-
-    return bodies.mapInArrow(parse, out)
+    rejoined = stage(bodies.groupBy("file", "owner").applyInPandas(rejoin, out), "warc-rejoined")
+    return rejoined if payload else owned.filter("whole").select(*out.names).unionByName(rejoined)
 
 
 def resolve(records: DataFrame) -> DataFrame:
