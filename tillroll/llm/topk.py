@@ -79,6 +79,8 @@ class BitSlicedIndex:
         constant = 0
         for c in range(digits.shape[1]):
             some = np.flatnonzero(digits[:, c])
+            if not some.size:
+                continue
             negative = digits[some, c] < 0
             first = some * self.bits + np.where(negative, half, 0)
             # -x = ~x + 1 - 2**bits, digit by digit

@@ -37,6 +37,7 @@ from tillroll.llm.common import arrow_schema, small_batches, stage
 
 MAGIC = "WARC/1.0\r\n"
 END = "\r\n\r\n"
+_FEW = 100_000  # rows of about 150 bytes that may be broadcast
 _MAGIC, _END = MAGIC.encode(), END.encode()
 _LENGTH = re.compile(rb"(?im)^Content-Length:[ \t]*([0-9]{1,18})[ \t]*\r?$")
 
@@ -246,6 +247,11 @@ def read_warc(spark: SparkSession, path: str, payload: bool = True) -> DataFrame
         return pd.DataFrame([row], columns=out.names)
 
     again = owned if payload else owned.filter("NOT whole")
+    n_again = again.count()
+    if not n_again:
+        return owned.select(*out.names) if not payload else spark.createDataFrame([], out)
+    if n_again <= _FEW:  # counted, so the pieces need not be shuffled to find these
+        again = F.broadcast(again)
     bodies = (_pieces(spark, path, True).select("file", "split", "at", "body")
               .join(again.select("file", "split", "at", "offset", "owner"), ["file", "split", "at"]))
     # pieces of one record at most in a group
