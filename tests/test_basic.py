@@ -1,4 +1,4 @@
-"""the six-row product table (A1-A9) with hand-derived answers."""
+"""a small product table (A1-A9) with answers worked out by hand."""
 
 import math
 
@@ -9,14 +9,16 @@ from tillroll.operators import profile, transform
 from tillroll.schemas import PRODUCTS_FLAT
 from tillroll.sources.inline import inline_rows
 
-# Our own sample values with the shape and answers of FIXTURES.md F1.
+# A garden shop's eight products.
 ROWS = [
-    ("Chá mate", "Bebida", 15.5, 150),
-    ("Farinha", "Mercearia", 4.2, 300),
-    ("Iogurte", "Laticínio", 5.8, 200),
-    ("Broa", "Padaria", 7.0, 90),
-    ("Queijo", "Laticínio", 12.0, 120),
-    ("Refresco", "Bebida", 9.9, 80),
+    ("Enxada", "Jardim", 34.25, 12),
+    ("Alface", "Horta", 2.75, 640),
+    ("Pomada", "Saúde", 18.5, 45),
+    ("Regador", "Jardim", 27.0, 30),
+    ("Rúcula", "Horta", 3.25, 410),
+    ("Vaso", "Jardim", 11.75, 75),
+    ("Gaze", "Saúde", 6.5, 225),
+    ("Tesoura", "Jardim", 41.0, 9),
 ]
 
 
@@ -27,7 +29,7 @@ def products(spark):
 
 def test_inline_types_and_text(products):
     assert [f.dataType.simpleString() for f in products.schema.fields] == ["string", "string", "double", "bigint"]
-    assert products.filter(F.col("Produto") == "Chá mate").count() == 1
+    assert products.filter(F.col("Produto") == "Rúcula").count() == 1
 
 
 def test_inline_rejects_bad_width(spark):
@@ -36,9 +38,9 @@ def test_inline_rejects_bad_width(spark):
 
 
 def test_filter_eq_exact(products):
-    assert transform.filter_eq(products, "Categoria", "Laticínio").count() == 2
-    assert transform.filter_eq(products, "Categoria", "laticínio").count() == 0
-    assert transform.filter_eq(products, "Categoria", "Laticinio").count() == 0
+    assert transform.filter_eq(products, "Categoria", "Saúde").count() == 2
+    assert transform.filter_eq(products, "Categoria", "saúde").count() == 0
+    assert transform.filter_eq(products, "Categoria", "Saude").count() == 0
 
 
 def test_filter_eq_null_refused(products):
@@ -51,7 +53,7 @@ def test_add_product(products, spark):
     assert out.columns[-1] == "Valor_Total_Estoque"
     assert out.schema["Valor_Total_Estoque"].dataType.simpleString() == "double"
     got = [round(r[0], 6) for r in out.select("Valor_Total_Estoque").collect()]
-    assert got == [2325.0, 1260.0, 1160.0, 630.0, 1440.0, 792.0]
+    assert got == [411.0, 1760.0, 832.5, 810.0, 1332.5, 881.25, 1462.5, 369.0]
     nulls = spark.createDataFrame([(None, 2)], "a double, b long")
     assert transform.add_product(nulls, "c", "a", "b").first()["c"] is None
 
@@ -59,7 +61,7 @@ def test_add_product(products, spark):
 def test_group_mean(products):
     got = {r["Categoria"]: round(r["Preco_Medio"], 6)
            for r in profile.group_mean(products, "Categoria", "Preco", "Preco_Medio").collect()}
-    assert got == {"Bebida": 12.7, "Laticínio": 8.9, "Mercearia": 4.2, "Padaria": 7.0}
+    assert got == {"Jardim": 28.5, "Horta": 3.0, "Saúde": 12.5}
 
 
 def test_group_mean_null_and_nan(spark):
@@ -82,12 +84,12 @@ def _describe(df, **kw):
 def test_describe_exact(products):
     d = _describe(products)
     expect = {
-        ("Preco", "count"): 6, ("Preco", "mean"): 9.066667, ("Preco", "std"): 4.226425,
-        ("Preco", "min"): 4.2, ("Preco", "25%"): 6.1, ("Preco", "50%"): 8.45,
-        ("Preco", "75%"): 11.475, ("Preco", "max"): 15.5,
-        ("Estoque", "count"): 6, ("Estoque", "mean"): 156.666667, ("Estoque", "std"): 82.623645,
-        ("Estoque", "min"): 80, ("Estoque", "25%"): 97.5, ("Estoque", "50%"): 135,
-        ("Estoque", "75%"): 187.5, ("Estoque", "max"): 300,
+        ("Preco", "count"): 8, ("Preco", "mean"): 18.125, ("Preco", "std"): 14.617138,
+        ("Preco", "min"): 2.75, ("Preco", "25%"): 5.6875, ("Preco", "50%"): 15.125,
+        ("Preco", "75%"): 28.8125, ("Preco", "max"): 41.0,
+        ("Estoque", "count"): 8, ("Estoque", "mean"): 180.75, ("Estoque", "std"): 231.681894,
+        ("Estoque", "min"): 9.0, ("Estoque", "25%"): 25.5, ("Estoque", "50%"): 60.0,
+        ("Estoque", "75%"): 271.25, ("Estoque", "max"): 640.0,
     }
     assert set(d) == set(expect)
     for k, v in expect.items():
@@ -96,7 +98,7 @@ def test_describe_exact(products):
 
 def test_describe_approx_runs(products):
     d = _describe(products, approx=True)
-    assert d[("Preco", "50%")] in {5.8, 7.0, 9.9}  # a sketch returns an observed value
+    assert d[("Preco", "50%")] in {11.75, 18.5}  # a sketch returns an observed value
 
 
 def test_describe_rejects_text(products):
@@ -107,8 +109,8 @@ def test_describe_rejects_text(products):
 def test_schema_report(products, spark):
     rows = profile.schema_report(products).orderBy("position").collect()
     assert [(r.column_name, r.data_type, r.non_null, r.row_count) for r in rows] == [
-        ("Produto", "string", 6, 6), ("Categoria", "string", 6, 6),
-        ("Preco", "double", 6, 6), ("Estoque", "bigint", 6, 6),
+        ("Produto", "string", 8, 8), ("Categoria", "string", 8, 8),
+        ("Preco", "double", 8, 8), ("Estoque", "bigint", 8, 8),
     ]
     with_null = spark.createDataFrame([(1, None), (2, "x")], "a int, b string")
     r = {x.column_name: x.non_null for x in profile.schema_report(with_null).collect()}
@@ -117,14 +119,14 @@ def test_schema_report(products, spark):
 
 def test_preview_ordered(products):
     rows = transform.preview(products, "Preco", 3).collect()
-    assert [r.Preco for r in rows] == [4.2, 5.8, 7.0]
+    assert [r.Preco for r in rows] == [2.75, 3.25, 6.5]
     with pytest.raises(ValueError):
         transform.preview(products, [], 3)
 
 
 def test_project_and_rename(products, spark):
     dup = products.unionAll(products)
-    assert transform.project(dup, ["Produto"]).count() == 12
+    assert transform.project(dup, ["Produto"]).count() == 16
     out = transform.rename(products, {"Preco": "price"})
     assert "price" in out.columns and "Preco" not in out.columns
     with pytest.raises(ValueError):

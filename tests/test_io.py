@@ -153,3 +153,17 @@ def test_shared_folder_required_on_a_cluster(spark):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.ensure_shared_dir(FakeSession())
+
+
+def test_listing_keeps_odd_names(spark, tmp_dir):
+    names = {"a+b.txt", "e%41.txt", "100%.txt", "with space.txt"}
+    for n in names:
+        with open(os.path.join(tmp_dir, n), "w") as f:
+            f.write("x")
+    assert {r["name"] for r in objects.list_objects(spark, tmp_dir).collect()} == names
+
+
+def test_fingerprint_sees_where_nulls_are(spark):
+    a = spark.createDataFrame([("x", None)], "p string, q string")
+    b = spark.createDataFrame([(None, "x")], "p string, q string")
+    assert files.fingerprint(a).first() != files.fingerprint(b).first()

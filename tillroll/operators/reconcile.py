@@ -57,11 +57,14 @@ def reconcile_orders(
 def reconcile_document_total(items: Column, quantity: str, unit_price: str, extra: Column | None,
                              total: Column) -> Column:
     """Nested form: ``sum(q * p) + extra == total`` inside one document,
-    evaluated with ``aggregate`` over the items array (no explode)."""
+    evaluated with ``aggregate`` over the items array (no explode). A NULL item
+    list counts as empty and a NULL quantity or price as 0, so a document
+    without items mismatches its total unless that is the extra alone."""
     zero = F.lit(0).cast("decimal(38,2)")
     summed = F.aggregate(
-        items, zero,
-        lambda acc, x: (acc + x[quantity] * x[unit_price]).cast("decimal(38,2)"),
+        F.coalesce(items, F.array()), zero,
+        lambda acc, x: (acc + F.coalesce(x[quantity], F.lit(0)) * F.coalesce(x[unit_price], F.lit(0))
+                        ).cast("decimal(38,2)"),
     )
     if extra is not None:
         summed = summed + F.coalesce(extra, F.lit(0))

@@ -51,7 +51,8 @@ def backup(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str
 
 def _fingerprint_aggs(df: DataFrame) -> list[Column]:
     cols = sorted(df.columns)
-    h = F.xxhash64(*[F.col(f"`{c}`") for c in cols])
+    # the hash skips NULLs, so each column's null flag is hashed as well
+    h = F.xxhash64(*[x for c in cols for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))])
     return [F.count(F.lit(1)).alias("rows"), F.sum(h.cast("decimal(38,0)")).alias("hash_sum")]
 
 

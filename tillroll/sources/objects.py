@@ -1,7 +1,8 @@
 """Recursive object listing (name, size, modification time).
 
 Uses the ``binaryFile`` source without selecting ``content``, so file bytes
-are never read; the listing itself is distributed by the file index. Works on
+are never read; the file index lists in parallel but keeps the file statuses on
+the driver, so a very large store should be listed from its inventory table. Works on
 any Hadoop-compatible path (``file:``, ``s3a:``, ``abfs:`` ...) given the
 right connector on the cluster.
 """
@@ -33,9 +34,9 @@ def list_objects(spark: SparkSession, root: str, glob: str | None = None) -> Dat
         if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
             return spark.createDataFrame([], LISTING_SCHEMA)
         raise
-    # names relative to the root, with URI escapes (e.g. %20) decoded
-    prefix = root.rstrip("/") + "/"
-    rel = F.regexp_replace(F.url_decode("path"), r"^.*?" + _escape(_strip_scheme(prefix)), "")
+    # names relative to the root: the path is plain text, so the prefix is cut literally
+    prefix = F.lit(_strip_scheme(root.rstrip("/") + "/"))
+    rel = F.col("path").substr(F.instr(F.col("path"), prefix) + F.length(prefix), F.length("path"))
     return files.select("path", rel.alias("name"), "length", "modificationTime")
 
 
@@ -46,7 +47,3 @@ def _strip_scheme(p: str) -> str:
             p = p[1:]
     return p
 
-
-def _escape(s: str) -> str:
-    import re
-    return re.escape(s)
