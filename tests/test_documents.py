@@ -105,7 +105,7 @@ def test_tags_inner_outer(docs):
 
 def test_nest_explode_round_trip(spark):
     df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d")], "k int, v string")
-    docs = nested.nest(df, ["k"], "items", ["v"], max_items=10)
+    docs = nested.nest(df, ["k"], "items", ["v"], max_items=10, spread=[])
     assert docs.count() == 3  # NULL key is its own document
     back = nested.explode_rows(docs, "items", ["k"])
     assert sorted(back.collect(), key=str) == sorted(df.collect(), key=str)

@@ -101,33 +101,24 @@ def test_identical_rows_spread_by_file_position(spark, tmp_path):
     spark.range(6000, numPartitions=3).select(F.lit(1).alias("k"), F.lit("x").alias("v")) \
         .write.parquet(path)
     src = spark.read.parquet(path)
-    alone = nested.nest(src, ["k"], "items", ["v"], max_items=500)
-    assert alone.count() == 1  # documented limit without spread columns
-    docs = nested.nest(src, ["k"], "items", ["v"], max_items=500,
-                       spread=[F.col("_metadata.file_path"), F.col("_metadata.row_index")])
+    docs = nested.nest(src, ["k"], "items", ["v"], max_items=500)
     sizes = [r[0] for r in docs.select(F.size("items")).collect()]
     assert sum(sizes) == 6000 and max(sizes) <= 2 * 500 and len(sizes) >= 6
-    assert "_s0" not in docs.columns
+    assert docs.columns == ["k", "chunk", "items"]
 
 
-def test_heavy_keys_beyond_bound_fall_back_to_planner(spark):
-    li = spark.read.parquet(f"{SF}/lineitem.parquet")
-    hot = li.withColumn("l_orderkey", F.when(F.col("l_linenumber") <= 3, F.lit(0)).otherwise(F.col("l_orderkey")))
-    cols = ["l_linenumber", "l_partkey", "l_quantity"]
-    # bound 0: the heavy keys stay a lazy join the planner decides on
-    lazy = nested.nest(hot, ["l_orderkey"], "itens", cols, max_items=500, max_heavy_keys=0)
-    eager = nested.nest(hot, ["l_orderkey"], "itens", cols, max_items=500)
-    assert sorted(lazy.select("l_orderkey", "chunk", F.size("itens")).collect()) == \
-        sorted(eager.select("l_orderkey", "chunk", F.size("itens")).collect())
-    assert nested.explode_rows(lazy, "itens", ["l_orderkey"]).count() == hot.count()
+def test_rows_without_a_position_need_spread(spark):
+    df = spark.range(100).select(F.lit(1).alias("k"), F.col("id").alias("v"))
+    with pytest.raises(ValueError, match="spread"):
+        nested.nest(df, ["k"], "items", ["v"], max_items=10)
+    docs = nested.nest(df, ["k"], "items", ["v"], max_items=10, spread=[])
+    assert docs.agg(F.sum(F.size("items"))).first()[0] == 100 and docs.count() > 1
 
 
-def test_orphan_keys_beyond_bound_fall_back_to_planner(spark):
+def test_foreign_key_check_keeps_repeated_rows(spark):
     from tillroll.operators import quality
 
-    orders = spark.read.parquet(f"{SF}/orders.parquet")
-    cust = spark.read.parquet(f"{SF}/customer.parquet").filter("c_custkey % 3 <> 0")
-    small = quality.check_foreign_key(orders, cust, ["o_custkey"], ["c_custkey"])
-    big = quality.check_foreign_key(orders, cust, ["o_custkey"], ["c_custkey"], max_orphan_keys=0)
-    assert small.count() == big.count() > 0
-    assert small.exceptAll(big).count() == 0
+    child = spark.createDataFrame([(1, "a"), (9, "b"), (9, "b"), (None, "c")], "fk long, v string")
+    parent = spark.createDataFrame([(1,), (1,), (None,)], "id long")
+    got = quality.check_foreign_key(child, parent, ["fk"], ["id"]).collect()
+    assert [tuple(r) for r in got] == [(9, "b"), (9, "b")]

@@ -61,6 +61,19 @@ def test_duplicate_keys_fail(spark, products):
         out.collect()
 
 
+@pytest.mark.parametrize("action", [
+    lambda out: out.count(),
+    lambda out: out.select("id").collect(),
+    lambda out: out.select("nome").collect(),
+])
+def test_duplicate_keys_fail_whatever_is_read(spark, products, action):
+    for key in (1, 999):  # with and without a target row
+        upd = spark.createDataFrame([(key, D("1.00")), (key, D("1.00"))], "id int, preco decimal(10,2)")
+        out = update_rows(products, upd, "id", "data_atualizacao", F.lit(NOW).cast("timestamp"))
+        with pytest.raises(PySparkException, match="duplicate key"):
+            action(out)
+
+
 def test_empty_batch_is_identity(spark, products):
     upd = spark.createDataFrame([], "id int, preco decimal(10,2)")
     out = update_rows(products, upd, "id", "data_atualizacao", F.lit(NOW).cast("timestamp"))

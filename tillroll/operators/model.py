@@ -7,9 +7,7 @@ foreign keys hold, either keeps the fact table's row count.
 Join strategy is left to the planner: with adaptive execution a dimension
 whose runtime size is under ``spark.sql.autoBroadcastJoinThreshold`` is
 broadcast, anything larger is a sort-merge join, and skewed partitions are
-split. ``bounded=N`` asks for a broadcast of a dimension whose size is fixed
-by definition (e.g. the 25 nations, 5 regions); it is granted only after a
-bounded count confirms at most N rows, otherwise the planner decides.
+split. Nothing is counted or read back to choose: building a join runs no job.
 """
 
 from __future__ import annotations
@@ -17,55 +15,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# Fixed-size dimensions (rows by definition); broadcast after a row check.
-BOUNDED_DIMENSIONS = {"nation": 25, "region": 5}
-
-
-def small_table(df: DataFrame, max_rows: int) -> DataFrame | None:
-    """``df`` computed now and held as a broadcast local table, if it has at
-    most ``max_rows`` rows; ``None`` otherwise.
-
-    For a small side that is itself the result of a job over a large table
-    (heavy keys, orphan keys). Adaptive execution would only see its size
-    after the large side of the join had been shuffled; deciding here, with
-    at most ``max_rows + 1`` rows read back, keeps the large side in place.
-    """
-    rows = collect_small(df, max_rows)
-    return None if rows is None else as_broadcast(df, rows)
-
-
-def collect_small(df: DataFrame, max_rows: int) -> list | None:
-    """The rows of ``df`` if there are at most ``max_rows``, else ``None``
-    (reads at most ``max_rows + 1`` rows)."""
-    rows = df.limit(max_rows + 1).collect()
-    return rows if len(rows) <= max_rows else None
-
-
-def as_broadcast(like: DataFrame, rows: list) -> DataFrame:
-    """Rows collected from ``like`` as a broadcast table with its schema."""
-    return F.broadcast(like.sparkSession.createDataFrame(rows, like.schema))
-
-
-def checked_broadcast(dim: DataFrame, max_rows: int) -> DataFrame:
-    """``broadcast(dim)`` if it has at most ``max_rows`` rows, else ``dim``.
-
-    The check reads at most ``max_rows + 1`` rows (a limit, then a count), so
-    it stays cheap even when the bound is wrong and the dimension is large;
-    in that case the join is left to the planner (sort-merge beyond the
-    adaptive broadcast threshold).
-    """
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
-
 
 def lookup(
     df: DataFrame,
     dim: DataFrame,
     on: str | Sequence[str] | tuple[str, str],
     required: bool,
-    bounded: int | None = None,
     dim_cols: Sequence[str] | None = None,
 ) -> DataFrame:
     """Attach dimension columns to ``df``.
@@ -73,20 +28,15 @@ def lookup(
     ``on`` is a shared column name, a list of shared names, or a pair
     ``(fk_in_df, pk_in_dim)``. ``required`` -> inner join, else left join.
     Only ``dim_cols`` (default: all) of the dimension are carried, so the
-    dimension scan is pruned to the key plus those columns. ``bounded`` is
-    the row bound for :func:`checked_broadcast`.
+    dimension scan is pruned to the key plus those columns.
     """
     how = "inner" if required else "left"
     if isinstance(on, tuple) and len(on) == 2:
         fk, pk = on
         keep = [pk] + [c for c in (dim_cols or dim.columns) if c != pk]
         d = dim.select(*keep)
-        if bounded:
-            d = checked_broadcast(d, bounded)
         return df.join(d, df[fk] == d[pk], how).drop(d[pk])
     keys = [on] if isinstance(on, str) else list(on)
     keep = keys + [c for c in (dim_cols or dim.columns) if c not in keys]
     d = dim.select(*keep)
-    if bounded:
-        d = checked_broadcast(d, bounded)
     return df.join(d, keys, how)

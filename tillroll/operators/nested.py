@@ -11,12 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
-from tillroll.operators.model import as_broadcast, collect_small
-
 
 def _q(name: str) -> str:
     return f"`{name}`"
@@ -117,6 +116,18 @@ def presence_report(df: DataFrame, fields: Sequence[str]) -> DataFrame:
 
 
 # --------------------------------------------------------------------- nest
+def _row_position(df: DataFrame) -> list[Column]:
+    """File and row number of every row of a file source (hidden columns, the
+    same when a task is run again)."""
+    position = [F.col("_metadata.file_path"), F.col("_metadata.row_index")]
+    try:
+        df.select(*position)
+    except AnalysisException as no_file:
+        raise ValueError("rows without a file position: name the columns that tell copies apart "
+                         "in spread (empty when no two rows of a key are alike)") from no_file
+    return position
+
+
 def nest(
     df: DataFrame,
     keys: Sequence[str],
@@ -124,61 +135,48 @@ def nest(
     item_cols: Sequence[str] | None = None,
     max_items: int = 1000,
     chunk_col: str = "chunk",
-    spread: Sequence[str | Column] = (),
-    max_heavy_keys: int = 100_000,
+    spread: Sequence[str | Column] | None = None,
 ) -> DataFrame:
     """Group rows into documents ``keys + chunk + name: array<struct<item_cols>>``.
 
     A key with at most ``max_items`` rows becomes one document (chunk 0).
-    A bigger key is split into ``ceil(n / max_items)`` documents, rows being
-    assigned by a hash of their content, so no array, row or task ever holds
-    an unbounded group, whatever share of the data one key has:
-
-    1. per-key row counts (partial aggregation, a hot key is one row/task),
-       kept only for the heavy keys (more than ``max_items`` rows);
-    2. the heavy keys are computed first. There are at most
-       ``rows / max_items`` of them and usually a handful: up to
-       ``max_heavy_keys`` they come back as a broadcast table, so the rows are
-       never shuffled for the join, and with none there is no join at all.
-       With more, they are left-joined (null-safe) as a sort-merge join;
+    A bigger key is split into ``ceil(n / max_items)`` documents, to which its
+    rows are dealt by a hash, so no array, row or task holds an unbounded
+    group, whatever share of the data one key has. One lazy plan at every size:
+
+    1. per-key row counts (partial aggregation, a hot key is one row per task),
+       kept only for keys of more than ``max_items`` rows;
+    2. rows are left-joined (null-safe) with those keys: adaptive execution
+       broadcasts them when it measures them as small, else splits a hot key;
     3. rows are hash-partitioned by ``keys + chunk`` and collected per
        document; elements are sorted so the result does not depend on the
        order rows arrive in.
 
-    The chunk is a function of the row's content, so a retried task sends
-    every row to the same document again. Rows of one key that are identical
-    in every item column share a chunk. For such data, pass ``spread``:
-    columns that tell copies apart and are stable across task retries, e.g.
-    ``_metadata.file_path`` and ``_metadata.row_index`` of a parquet source.
-    They join the hash but not the documents.
+    The hash covers the items and ``spread``: columns that tell equal rows of a
+    key apart and stay the same when a task is run again. By default these are
+    the file position of a file source; for other sources name them, or pass
+    an empty list when the rows of a key differ. A hashed document holds about
+    ``max_items`` rows, and for bounds of 100 or more never twice as many.
     """
     keys = list(keys)
     items = [c for c in (item_cols or df.columns) if c not in keys]
     if not items:
         raise ValueError("nothing to nest")
+    extra = _row_position(df) if spread is None else [F.col(_q(c)) if isinstance(c, str) else c for c in spread]
     # key copies get fresh names so the self-join cannot resolve ambiguously
     heavy = (
         df.groupBy(*[F.col(_q(k)).alias(f"_k{i}") for i, k in enumerate(keys)])
         .agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > F.lit(max_items))
     )
-    extra = [(F.col(_q(c)) if isinstance(c, str) else c).alias(f"_s{i}") for i, c in enumerate(spread)]
-    cols = [*[F.col(_q(k)) for k in keys], *[F.col(_q(c)) for c in items], *extra]
-    rows = collect_small(heavy, max_heavy_keys)
-    if rows == []:  # no key needs splitting: no join at all
-        joined = df.select(*cols, F.lit(None).cast("bigint").alias("_n"))
-    else:
-        other = heavy if rows is None else as_broadcast(heavy, rows)
-        cond = None
-        for i, k in enumerate(keys):
-            term = F.col(_q(k)).eqNullSafe(other[f"_k{i}"])
-            cond = term if cond is None else cond & term
-        joined = df.join(other, cond, "left").select(*cols, F.col("_n"))
+    rows = df.select(*[F.col(_q(k)) for k in keys], *[F.col(_q(c)) for c in items],
+                     F.xxhash64(*[F.col(_q(c)) for c in items], *extra).alias("_h"))
+    cond = F.lit(True)
+    for i, k in enumerate(keys):
+        cond = cond & rows[_q(k)].eqNullSafe(heavy[f"_k{i}"])
     n_chunks = F.coalesce(F.ceil(F.col("_n") / F.lit(max_items)), F.lit(1))
-    hashed = [F.col(_q(c)) for c in items] + [F.col(f"_s{i}") for i in range(len(extra))]
-    chunk = F.pmod(F.xxhash64(*hashed), n_chunks).cast("int")
-    keyed = joined.withColumn(chunk_col, chunk).drop(*[f"_s{i}" for i in range(len(extra))])
-    keyed = keyed.repartition(*keys, chunk_col)
-    return keyed.groupBy(*keys, chunk_col).agg(
+    keyed = rows.join(heavy, cond, "left").select(
+        *[rows[_q(c)] for c in keys + items], F.pmod(F.col("_h"), n_chunks).cast("int").alias(chunk_col))
+    return keyed.repartition(*keys, chunk_col).groupBy(*keys, chunk_col).agg(
         F.array_sort(F.collect_list(F.struct(*[F.col(_q(c)) for c in items]))).alias(name)
     )

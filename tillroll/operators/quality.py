@@ -11,9 +11,9 @@ Cost model:
   together in **one** scan and one partial/final aggregate;
 * key rules (primary key, unique) are one grouped count each; partial
   aggregation makes a hot key one row per task before the shuffle;
-* foreign keys: distinct child keys are anti-joined with the parent keys;
-  the orphan keys (read back when at most a bound) then pick their child
-  rows with a broadcast semi join, so child rows are not shuffled.
+* foreign keys: one anti join of the child rows with the parent keys, the
+  same plan at every size; adaptive execution broadcasts parent keys it
+  measures as small and splits a hot foreign key.
 """
 
 from __future__ import annotations
@@ -25,7 +25,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.money import MONEY_LIMIT
-from tillroll.operators.model import as_broadcast, collect_small
 
 REPORT_COLUMNS = ("table_name", "rule", "column_name", "violations")
 
@@ -154,44 +153,23 @@ def key_report(df: DataFrame, table: str, keys: Sequence[str], primary: bool = T
 # ----------------------------------------------------------- A20
 def check_foreign_key(
     child: DataFrame, parent: DataFrame, child_cols: Sequence[str], parent_cols: Sequence[str],
-    max_orphan_keys: int = 100_000,
 ) -> DataFrame:
     """Child rows whose (non-NULL) foreign key has no parent row.
 
     A NULL in any foreign-key column passes (nullable reference). The whole
     child row is returned so it can be quarantined.
 
-    Only keys are shuffled: the child's distinct foreign keys (partially
-    aggregated per task, so a hot key is one row per task) are anti-joined
-    with the parent keys first. Up to ``max_orphan_keys`` orphan keys come
-    back as a broadcast table and pick their child rows with a semi join, so
-    the child rows never move (no orphans: no join at all); beyond that the
-    semi join is left to the planner.
+    The child is scanned once; of the parent only its key columns are read.
     """
     child_cols, parent_cols = list(child_cols), list(parent_cols)
     if len(child_cols) != len(parent_cols):
         raise ValueError("key arity differs")
     keyed = child.filter(~_any_null(child_cols))
-    fks = keyed.select(*[F.col(c).alias(f"_fk{i}") for i, c in enumerate(child_cols)]).distinct()
     p = parent.select(*[F.col(pc).alias(f"_pk{i}") for i, pc in enumerate(parent_cols)])
-    orphans = fks.join(p, _all_equal(fks, p, "_fk", "_pk", len(child_cols)), "left_anti")
-    rows = collect_small(orphans, max_orphan_keys)
-    if rows == []:
-        return keyed.filter(F.lit(False))
-    if rows is not None:
-        orphans = as_broadcast(orphans, rows)
-    cond = None
+    cond = F.lit(True)
     for i, cc in enumerate(child_cols):
-        term = keyed[cc] == orphans[f"_fk{i}"]
-        cond = term if cond is None else cond & term
-    return keyed.join(orphans, cond, "left_semi")
-
-
-def _all_equal(a: DataFrame, b: DataFrame, pa: str, pb: str, n: int) -> Column:
-    cond = a[f"{pa}0"] == b[f"{pb}0"]
-    for i in range(1, n):
-        cond = cond & (a[f"{pa}{i}"] == b[f"{pb}{i}"])
-    return cond
+        cond = cond & (keyed[cc] == p[f"_pk{i}"])
+    return keyed.join(p, cond, "left_anti")
 
 
 # ----------------------------------------------------------- A13

@@ -12,9 +12,11 @@ Rules (the reference does this with a BEFORE UPDATE row trigger):
 7. duplicate keys in the batch fail the job (the winner would be arbitrary);
 8. unmatched target rows keep their old stamp.
 
-Plan: the batch is grouped by key once (this is also the duplicate check,
-raised lazily through ``raise_error``) and that grouping's hash partitioning
-is reused by the join, so the batch is shuffled once. The result is a new
+Plan, the same at every size: the batch is grouped by key once (this is also
+the duplicate check, raised through ``raise_error``) and that grouping's hash
+partitioning is reused by the join, so the batch is shuffled once; adaptive
+execution broadcasts a batch it measures as small. The joined rows are filtered
+on the batch's row count, so the check runs whichever columns an action reads. The result is a new
 DataFrame; the caller writes it beside the old table and swaps
 (``sinks.tables.replace_table``).
 """
@@ -26,8 +28,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.operators.model import as_broadcast, collect_small
-
 
 def update_rows(
     target: DataFrame,
@@ -36,13 +36,8 @@ def update_rows(
     stamp_col: str,
     now: Column,
     protected: Sequence[str] = (),
-    broadcast_rows: int | None = None,
 ) -> DataFrame:
-    """``broadcast_rows``: when set, the prepared batch is read back now if it
-    has at most that many rows and joins as a broadcast table, so the target
-    is not shuffled (a duplicate key then fails here, not at the action).
-    Otherwise the join is planned lazily: adaptive execution broadcasts a
-    batch it measures as small, else both sides are shuffled by key."""
+    """``target`` with the batch applied and matched rows stamped (rules above)."""
     keys = [key] if isinstance(key, str) else list(key)
     for k in keys:
         if k not in updates.columns or k not in target.columns:
@@ -62,17 +57,11 @@ def update_rows(
     )
     dup_msg = F.concat(F.lit("duplicate key in update batch: "),
                        F.to_json(F.struct(*[F.col(k) for k in keys])))
-    batch = batch.select(
-        *keys,
-        F.when(F.col("_n") > 1, F.raise_error(dup_msg)).otherwise(F.lit(True)).alias("_matched"),
-        *[f"_u_{c}" for c in cols],
-    )
-    if broadcast_rows is not None:
-        rows = collect_small(batch, broadcast_rows)
-        if rows is not None:
-            batch = as_broadcast(batch, rows)
-    joined = target.join(batch, keys, "left")
-    matched = F.coalesce(F.col("_matched"), F.lit(False))
+    unique = F.when(F.col("_n") > 1, F.raise_error(dup_msg).cast("boolean")).otherwise(F.lit(True))
+    batch = batch.filter(unique)
+    # reading _n above the join keeps the batch in the plan of any projection
+    joined = target.join(batch, keys, "left").filter(F.col("_n").isNull() | (F.col("_n") == 1))
+    matched = F.col("_n").isNotNull()
     out = []
     for f in target.schema.fields:
         c = f.name

@@ -38,7 +38,7 @@ def q_nest_sizes(spark: SparkSession, sf: str):
     """Per order document: array size and an in-array sum (``aggregate``),
     re-combined over the (rare) split documents of a huge order."""
     li = read_table(spark, sf, "lineitem")
-    docs = nested.nest(li, ["l_orderkey"], "itens", LINE_COLS, max_items=1000)
+    docs = nested.nest(li, ["l_orderkey"], "itens", ["l_quantity"], max_items=1000)
     per_doc = docs.select(
         "l_orderkey",
         F.size("itens").alias("n"),
@@ -51,6 +51,23 @@ def q_nest_sizes(spark: SparkSession, sf: str):
     )
 
 
+@query("q_nest_hot_key", "B3", """
+SELECT l_returnflag, CAST(l_linenumber AS INTEGER) AS l_linenumber, l_linestatus, count(*) AS n_items,
+       true AS bounded
+FROM lineitem GROUP BY ALL
+""")
+def q_nest_hot_key(spark: SparkSession, sf: str):
+    """Line items nested by return flag (three keys, one with about half of all
+    rows) into documents of few distinct items, then exploded and counted;
+    ``bounded``: no document holds more than twice the bound."""
+    li = read_table(spark, sf, "lineitem")
+    docs = nested.nest(li, ["l_returnflag"], "itens", ["l_linenumber", "l_linestatus"], max_items=1000)
+    within = docs.withColumn("bounded", F.size("itens") <= 2 * 1000)
+    items = nested.explode_rows(within, "itens", ["l_returnflag", "bounded"])
+    return items.groupBy("l_returnflag", F.col("l_linenumber").cast("int").alias("l_linenumber"), "l_linestatus").agg(
+        F.count(F.lit(1)).alias("n_items"), F.bool_and("bounded").alias("bounded"))
+
+
 # ------------------------------------------------------------------ B2, B4
 API_VERSION = "v1"
 
@@ -68,17 +85,18 @@ def q_flatten(spark: SparkSession, sf: str):
     into envelopes per market segment, then unwrapped and flattened."""
     cust = read_table(spark, sf, "customer")
     geo = model.lookup(cust, read_table(spark, sf, "nation"), ("c_nationkey", "n_nationkey"),
-                       required=False, bounded=model.BOUNDED_DIMENSIONS["nation"], dim_cols=["n_name", "n_regionkey"])
+                       required=False, dim_cols=["n_name", "n_regionkey"])
     geo = model.lookup(geo, read_table(spark, sf, "region"), ("n_regionkey", "r_regionkey"),
-                       required=False, bounded=model.BOUNDED_DIMENSIONS["region"], dim_cols=["r_name"])
+                       required=False, dim_cols=["r_name"])
     docs = geo.select(
-        "c_mktsegment",
+        "c_mktsegment", F.col("c_custkey").alias("_row"),
         F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("nome"),
                  F.col("c_acctbal").alias("saldo")).alias("cliente"),
         F.struct(F.col("n_name").alias("nacao"),
                  F.struct(F.col("r_name").alias("nome")).alias("regiao")).alias("endereco"),
     )
-    envelopes = nested.nest(docs, ["c_mktsegment"], "clientes", ["cliente", "endereco"], max_items=500)
+    envelopes = nested.nest(docs, ["c_mktsegment"], "clientes", ["cliente", "endereco"], max_items=100,
+                            spread=["_row"])
     envelopes = envelopes.select(F.lit(API_VERSION).alias("api_version"),
                                  F.col("c_mktsegment").alias("segmento"), "clientes")
     rows = nested.unwrap(envelopes, "clientes", ["api_version", "segmento"])

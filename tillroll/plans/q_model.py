@@ -36,9 +36,9 @@ def q_lookup_join(spark: SparkSession, sf: str):
         .otherwise(F.col("c_nationkey")).alias("c_nationkey"),
     )
     geo = model.lookup(cust, read_table(spark, sf, "nation"), ("c_nationkey", "n_nationkey"),
-                       required=False, bounded=model.BOUNDED_DIMENSIONS["nation"], dim_cols=["n_name", "n_regionkey"])
+                       required=False, dim_cols=["n_name", "n_regionkey"])
     geo = model.lookup(geo, read_table(spark, sf, "region"), ("n_regionkey", "r_regionkey"),
-                       required=False, bounded=model.BOUNDED_DIMENSIONS["region"], dim_cols=["r_name"])
+                       required=False, dim_cols=["r_name"])
     orders = read_table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     out = model.lookup(orders, geo, ("o_custkey", "c_custkey"), required=True)
     return out.select("o_orderkey", "o_custkey", "c_name", "c_nationkey", "n_name", "r_name")
@@ -202,5 +202,4 @@ def q_update_stamp(spark: SparkSession, sf: str):
         stale,
     )
     now = F.lit(UPDATE_NOW).cast("timestamp_ntz")
-    return update.update_rows(target, pending.unionByName(unknown), "o_orderkey", "o_updated_at", now,
-                              broadcast_rows=100_000)
+    return update.update_rows(target, pending.unionByName(unknown), "o_orderkey", "o_updated_at", now)
