@@ -16,6 +16,8 @@ from __future__ import annotations
 
 import base64
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -85,9 +87,12 @@ class Scanner:
             found += [("hex", *m.span()) for m in self.hex.finditer(text)]
         if screens[3]:
             base = sorted((a, b) for _, a, b in found)
+            starts = [a for a, _ in base]
+            ends = list(accumulate((b for _, b in base), max))  # of all findings so far
             for m in self.run.finditer(text):
                 a, b = m.span()
-                if not any(x < b and a < y for x, y in base) and self.is_random(m[0]):
+                before = bisect_left(starts, b)  # findings that start before the run's end
+                if not (before and ends[before - 1] > a) and self.is_random(m[0]):
                     found.append(("random", a, b))
         found.sort(key=lambda f: (f[1], KINDS.index(f[0])))
         return found
