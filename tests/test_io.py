@@ -59,6 +59,16 @@ def test_reload_idempotent(spark):
     assert spark.table(t).count() == 10
 
 
+def test_reload_refuses_another_definition(spark):
+    t = "tillroll_test_reload_columns"
+    tables.reload(spark.range(3).withColumn("a", F.lit(1)), t)
+    with pytest.raises(ValueError, match="another definition"):
+        tables.reload(spark.range(3).withColumn("a", F.lit(1)).withColumn("c", F.lit(2)), t)
+    with pytest.raises(ValueError, match="another definition"):
+        tables.reload(spark.range(3).withColumn("a", F.lit(1)), t, fmt="orc")
+    assert spark.table(t).count() == 3
+
+
 def test_append_by_name_with_defaults(spark):
     t = "tillroll_test_append"
     tables.reload(spark.createDataFrame([], "id int, nome string, estoque int, ativo boolean"), t)

@@ -122,3 +122,34 @@ def test_foreign_key_check_keeps_repeated_rows(spark):
     parent = spark.createDataFrame([(1,), (1,), (None,)], "id long")
     got = quality.check_foreign_key(child, parent, ["fk"], ["id"]).collect()
     assert [tuple(r) for r in got] == [(9, "b"), (9, "b")]
+
+
+def test_hot_value_leaves_few_rows_to_the_window(spark):
+    # 60 % of the rows share a value at a quartile's edge; a coarse sketch and a small bound
+    n = 40_000
+    df = spark.range(n, numPartitions=4).select(
+        F.when(F.col("id") < 0.6 * n, F.lit(0.0)).otherwise(F.col("id").cast("double")).alias("x"))
+    levels = (0.25, 0.5, (0.6 * n - 0.5) / (n - 1), 0.75)
+    out = profile._exact_quantiles(df, ["x"], levels, accuracy=100, max_window=100)
+    got = {r["level"]: r["value"] for r in out.collect()}
+    ref = np.sort(df.toPandas()["x"])
+    for q in levels:
+        assert got[q] == pytest.approx(float(np.quantile(ref, q)))
+
+
+def test_quartiles_with_infinite_values(spark):
+    vals = [float("-inf")] * 900 + [float(i) for i in range(1500)] + [float("inf")] * 600
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    got = {r["level"]: r["value"] for r in
+           profile._exact_quantiles(df, ["x"], (0.4, 0.5, 0.7), max_window=50).collect()}
+    for q in (0.4, 0.5, 0.7):
+        assert got[q] == pytest.approx(float(np.quantile(vals, q)))
+
+
+@pytest.mark.parametrize("approx", [False, True])
+def test_describe_reports_a_column_without_values(spark, approx):
+    df = spark.createDataFrame([(1.0, None), (float("nan"), None)], "x double, y double")
+    got = {(r["column_name"], r["stat"]): r["value"]
+           for r in profile.describe_numeric(df, approx=approx, skip_nan=True).collect()}
+    assert len(got) == 16 and got["x", "count"] == 1 and got["x", "max"] == 1 and got["y", "count"] == 0
+    assert all(got["y", s] is None for s in profile.DESCRIBE_STATS[1:])

@@ -96,24 +96,25 @@ def _exact_quantiles(
     cols: Sequence[str],
     levels: Sequence[float],
     accuracy: int = 10_000,
-    max_window: int = 1_000_000,
-    max_rounds: int = 8,
+    max_window: int = 10_000,
     counts: dict[str, tuple[int, int]] | None = None,
 ) -> DataFrame:
     """Exact, linearly interpolated quantiles ``(column_name, level, value)``.
 
     Approximate, then exact. For every (column, level) the two ranks the
     interpolation needs, ``floor`` and ``ceil`` of ``(n - 1) * level``, are
-    kept inside a value bracket ``[lo, hi]``; ``below`` counts the values
-    under it. Each round
-    1. sketches the bracket with ``percentile_approx`` (a bounded summary
+    kept inside a closed value bracket ``[lo, hi]``; ``below`` counts the values
+    under it, ``base`` those up to ``lo`` and ``inside`` those strictly between
+    the ends. Each round
+    1. sketches the inside with ``percentile_approx`` (a bounded summary
        per task, merged in a tiny final aggregate), asking for the two ranks
        widened by a few times the sketch's rank error;
     2. checks the narrower bracket with exact counts and keeps it only if it
        still holds both ranks (otherwise the widening grows).
-    Rounds stop once a bracket holds at most ``max_window`` values. The last
-    pass collapses the values inside each bracket to (value, weight) and
-    numbers them with a running sum, one small window per bracket.
+    A hot value soon is an end of its bracket, so it no longer counts as inside.
+    Rounds go on until at most ``max_window`` values are inside. The last
+    pass collapses the values of each bracket to (value, weight), at most
+    ``max_window + 2`` rows, and numbers them with a running sum.
 
     Every pass is a scan of the numeric columns with partial aggregation;
     only bracket-sized data is shuffled, and a value held by many rows is
@@ -141,13 +142,14 @@ def _exact_quantiles(
                 done.append((c, float(level), float("nan")))
                 continue
             open_.append(dict(col=c, x=xs[i], level=float(level), h=h, r0=r0, r1=r1,
-                              lo=-math.inf, hi=math.inf, below=0, inside=finite,
-                              widen=3.0 / accuracy, stalled=False))
+                              lo=-math.inf, hi=math.inf, below=0, base=0, inside=finite,
+                              widen=3.0 / accuracy))
 
-    for _ in range(max_rounds):
-        active = [t for t in open_ if t["inside"] > max_window and t["lo"] < t["hi"] and not t["stalled"]]
-        if not active:
-            break
+    rounds = 0
+    while active := [t for t in open_ if t["inside"] > max_window]:
+        rounds += 1
+        if rounds > 100:  # each round leaves a few sketch errors of the values inside
+            raise RuntimeError(f"quantile brackets do not narrow: {active[0]['col']}")
         # one sketch per bracket, asked for every rank its levels need
         groups: dict[tuple, list[dict]] = {}
         for t in active:
@@ -157,29 +159,30 @@ def _exact_quantiles(
             x, lo, hi = members[0]["x"], members[0]["lo"], members[0]["hi"]
             fractions = []
             for t in members:
-                inside = t["inside"]
                 t["_at"] = (g, len(fractions))
-                fractions += [min(max((t["r0"] - t["below"]) / inside - t["widen"], 0.0), 1.0),
-                              min(max((t["r1"] - t["below"] + 1) / inside + t["widen"], 0.0), 1.0)]
-            in_bracket = x.between(F.lit(lo), F.lit(hi)) & ~F.isnan(x)
-            sketches.append(F.percentile_approx(F.when(in_bracket, x), fractions, accuracy).alias(f"s{g}"))
+                t["_cut"] = ((t["r0"] - t["base"]) / t["inside"] - t["widen"],
+                             (t["r1"] - t["base"] + 1) / t["inside"] + t["widen"])
+                fractions += [min(max(f, 0.0), 1.0) for f in t["_cut"]]
+            inner = (x > F.lit(lo)) & (x < F.lit(hi))  # NaN is above every number
+            sketches.append(F.percentile_approx(F.when(inner, x), fractions, accuracy).alias(f"s{g}"))
         guess = df.agg(*sketches).first()
         checks = []
         for j, t in enumerate(active):
             g, k = t["_at"]
-            t["_lo"], t["_hi"] = guess[f"s{g}"][k], guess[f"s{g}"][k + 1]
-            checks += [F.count_if(t["x"] < F.lit(t["_lo"])).alias(f"b{j}"),
-                       F.count_if((t["x"] <= F.lit(t["_hi"])) & ~F.isnan(t["x"])).alias(f"u{j}")]
+            seen = guess[f"s{g}"]  # NULL when all values counted inside are infinite
+            t["_lo"] = t["lo"] if seen is None or t["_cut"][0] <= 0 else seen[k]
+            t["_hi"] = t["hi"] if seen is None or t["_cut"][1] >= 1 else seen[k + 1]
+            lo, hi = F.lit(t["_lo"]), F.lit(t["_hi"])
+            checks += [F.count_if(t["x"] < lo).alias(f"b{j}"), F.count_if(t["x"] <= lo).alias(f"l{j}"),
+                       F.count_if(t["x"] < hi).alias(f"h{j}"),
+                       F.count_if((t["x"] <= hi) & ~F.isnan(t["x"])).alias(f"u{j}")]
         seen = df.agg(*checks).first()
         for j, t in enumerate(active):
-            below, upto = seen[f"b{j}"], seen[f"u{j}"]
-            if below <= t["r0"] and upto >= t["r1"] + 1:
-                shrunk = upto - below
-                t["stalled"] = shrunk > t["inside"] // 2  # e.g. few distinct values
-                t.update(lo=t["_lo"], hi=t["_hi"], below=below, inside=shrunk)
-            else:  # the sketch missed a rank: widen and retry
+            if seen[f"b{j}"] <= t["r0"] and seen[f"u{j}"] >= t["r1"] + 1:
+                t.update(lo=t["_lo"], hi=t["_hi"], below=seen[f"b{j}"], base=seen[f"l{j}"],
+                         inside=max(0, seen[f"h{j}"] - seen[f"l{j}"]), widen=3.0 / accuracy)
+            else:  # infinite values shift the first ranks: widen and retry
                 t["widen"] *= 4
-                t["stalled"] = t["widen"] > 1.0
 
     fixed = [F.struct(F.lit(c).alias("column_name"), F.lit(level).alias("level"), F.lit(v).alias("value"))
              for c, level, v in done]
@@ -234,17 +237,23 @@ def _exact_quantiles(
 
 
 def describe_numeric(
-    df: DataFrame, cols: Sequence[str] | None = None, approx: bool = False, accuracy: int = 100_000
+    df: DataFrame, cols: Sequence[str] | None = None, approx: bool = False, accuracy: int = 100_000,
+    skip_nan: bool = False,
 ) -> DataFrame:
     """Long-form summary ``(column_name, stat, value)`` of numeric columns.
 
     count, mean, sample std, min, 25/50/75 % (linear interpolation), max.
     Exact quartiles by default (see ``_exact_quantiles``); ``approx=True``
-    uses ``percentile_approx`` (a bounded sketch per column) instead.
+    uses ``percentile_approx`` (a bounded sketch per column) instead. A column
+    without values has count 0 and NULL elsewhere. NaN counts as the largest
+    value (the Spark form); ``skip_nan`` leaves it out (the pandas form).
     """
     cols = _numeric_columns(df, cols)
     if not cols:
         raise ValueError("no numeric columns")
+    if skip_nan:
+        xs = [(F.col(f"`{c}`").cast("double"), c) for c in cols]
+        df = df.select(*[F.when(~F.isnan(x), x).alias(c) for x, c in xs])
     if approx:
         return _describe_approx(df, cols, accuracy)
     # one pass: moments and the counts the quartile search starts from
@@ -255,10 +264,11 @@ def describe_numeric(
         F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"))]).first()
     entries = []
     for i, c in enumerate(cols):
-        if row[f"n{i}"] == 0:
-            continue
-        for stat, v in (("count", float(row[f"n{i}"])), ("mean", row[f"a{i}"]), ("std", row[f"s{i}"]),
-                        ("min", row[f"lo{i}"]), ("max", row[f"hi{i}"])):
+        stats = [("count", float(row[f"n{i}"])), ("mean", row[f"a{i}"]), ("std", row[f"s{i}"]),
+                 ("min", row[f"lo{i}"]), ("max", row[f"hi{i}"])]
+        if row[f"n{i}"] == 0:  # no quartile row will follow
+            stats += [(f"{int(q * 100)}%", None) for q in QUARTILES]
+        for stat, v in stats:
             entries.append(F.struct(F.lit(c).alias("column_name"), F.lit(stat).alias("stat"),
                                     F.lit(v).cast("double").alias("value")))
     quart = _exact_quantiles(
@@ -268,8 +278,6 @@ def describe_numeric(
         F.concat((F.col("level") * 100).cast("int").cast("string"), F.lit("%")).alias("stat"),
         "value",
     )
-    if not entries:
-        return quart
     return df.sparkSession.range(1).select(F.inline(F.array(*entries))).unionByName(quart)
 
 
@@ -297,4 +305,9 @@ def _describe_approx(df: DataFrame, cols: Sequence[str], accuracy: int) -> DataF
         F.element_at(F.array(*[F.lit(f"{int(p * 100)}%") for p in QUARTILES]), F.col("_i") + 1).alias("stat"),
         "value",
     )
-    return stacked.unionByName(quart)
+    every = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(s).alias("stat"),
+                               F.lit(0.0 if s == "count" else None).cast("double").alias("_none"))
+                      for c in cols for s in DESCRIBE_STATS])
+    found = stacked.unionByName(quart)
+    return (df.sparkSession.range(1).select(F.inline(every)).join(found, ["column_name", "stat"], "left")
+            .select("column_name", "stat", F.coalesce("value", "_none").alias("value")))

@@ -119,7 +119,7 @@ m AS (
   SELECT column_name, CAST(count(v) AS DOUBLE) AS c, avg(v) AS mean, stddev_samp(v) AS std,
          min(v) AS mn, max(v) AS mx, quantile_cont(v, 0.25) AS q1,
          quantile_cont(v, 0.5) AS q2, quantile_cont(v, 0.75) AS q3
-  FROM s WHERE v IS NOT NULL GROUP BY column_name)
+  FROM s GROUP BY column_name)
 SELECT column_name, 'count' AS stat, round(c, 4) AS value FROM m
 UNION ALL SELECT column_name, 'mean', round(mean, 4) FROM m
 UNION ALL SELECT column_name, 'std', round(std, 4) FROM m
@@ -145,14 +145,28 @@ def q_describe(spark: SparkSession, sf: str):
 
 @query("q_describe_items", "A4", _describe_sql("lineitem", DESCRIBE_ITEMS))
 def q_describe_items(spark: SparkSession, sf: str):
-    """The largest table: beyond the window bound, quartile brackets are
-    narrowed by sketch rounds before the exact pass."""
+    """The largest table: quartile brackets are narrowed by sketch rounds before
+    the exact pass."""
     items = read_table(spark, sf, "lineitem")
     return profile.describe_numeric(items, DESCRIBE_ITEMS).select(
         "column_name", "stat", F.round("value", 4).alias("value")
     )
 
 
+@query("q_describe_nulls", "A4", _describe_sql("""(
+  SELECT CASE WHEN p_size = 50 THEN NULL ELSE p_retailprice END AS price,
+         CAST(NULL AS DOUBLE) AS discount FROM part)""", ["price", "discount"]))
+def q_describe_nulls(spark: SparkSession, sf: str):
+    """The pandas form: size 50 has a NaN price, which is skipped, and a column
+    without any value is reported with count 0."""
+    part = read_table(spark, sf, "part").select(
+        F.when(F.col("p_size") == 50, F.lit(float("nan"))).otherwise(F.col("p_retailprice")).alias("price"),
+        F.lit(None).cast("double").alias("discount"))
+    return profile.describe_numeric(part, skip_nan=True).select(
+        "column_name", "stat", F.round("value", 4).alias("value")
+    )
+
+
 @query("q_project", "A5,A9", """
 SELECT p_partkey AS produto_id, p_name AS produto FROM part
 """)

@@ -33,16 +33,32 @@ def stage(df: DataFrame, table: str, fmt: str = "parquet") -> str:
 
 def publish(spark: SparkSession, table: str, location: str, schema, fmt: str = "parquet") -> None:
     """Point ``table`` at a staged folder (one catalog operation); create the
-    table when missing."""
+    table when missing. Other columns or another format than the table's are
+    refused, as the new folder would be read by the old definition."""
+    check_definition(spark, table, schema, fmt)
     if spark.catalog.tableExists(table):
-        spark.sql(f"ALTER TABLE {_quote(table)} SET LOCATION '{location}'")
+        path = location.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"ALTER TABLE {_quote(table)} SET LOCATION '{path}'")
         spark.catalog.refreshTable(table)
     else:
         spark.catalog.createTable(table, path=location, source=fmt, schema=schema)
 
 
+def check_definition(spark: SparkSession, table: str, schema, fmt: str) -> None:
+    """Raise if ``table`` exists with other columns, types or another format."""
+    if not spark.catalog.tableExists(table):
+        return
+    old, new = ([(f.name, f.dataType.simpleString()) for f in x.fields] for x in (spark.table(table).schema, schema))
+    provider = (spark.sql(f"DESCRIBE TABLE EXTENDED {_quote(table)}")
+                .filter("col_name = 'Provider'").first())
+    if old != new or (provider and provider["data_type"].lower() != fmt.lower()):
+        raise ValueError(f"{table} has another definition: {old} ({provider and provider['data_type']}), "
+                         f"reload brings {new} ({fmt}); drop or alter the table first")
+
+
 def reload(df: DataFrame, table: str, fmt: str = "parquet") -> str:
     """Replace ``table``'s contents with ``df``; create it when missing."""
+    check_definition(df.sparkSession, table, df.schema, fmt)
     location = stage(df, table, fmt)
     publish(df.sparkSession, table, location, df.schema, fmt)
     return location
