@@ -44,11 +44,20 @@ def test_text_write_round_trip(spark, tmp_dir):
     df = spark.createDataFrame([(1, "a b"), (2, None)], "k int, v string")
     path = os.path.join(tmp_dir, "out")
     files.write_text(df.select(files.delimited_line(["k", "v"]).alias("line")), path)
-    assert sorted(r.value for r in spark.read.text(path).collect()) == ["1|a b", "2|"]
+    assert sorted(r.value for r in spark.read.text(path).collect()) == ["1|a b", "2|%N"]
     files.write_text(df.select(files.delimited_line(["k"]).alias("line")), path)  # same name: replaced
     assert spark.read.text(path).count() == 2
 
 
+def test_odd_text_round_trips(spark, tmp_dir):
+    rows = [(1, "a|b", None), (2, "c\nd\r", ""), (3, "%0A%N%7C", "%"), (None, "", "%N"), (5, None, "\\")]
+    df = spark.createDataFrame(rows, "k int, v string, w string")
+    path = os.path.join(tmp_dir, "odd")
+    files.write_text(df.select(files.delimited_line(["k", "v", "w"]).alias("line")), path)
+    back = files.parse_delimited(spark.read.text(path), [("k", "int"), ("v", "string"), ("w", "string")])
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(rows, key=str)
+
+
 def test_reload_idempotent(spark):
     df = spark.range(100).withColumn("v", F.col("id") * 2)
     t = "tillroll_test_reload"
@@ -124,7 +133,8 @@ def test_jdbc_options():
         jdbc_source.jdbc_options({"user": "u"}, table="t")
     with pytest.raises(ValueError):
         jdbc_source.jdbc_options(conn, table="t", query="select 1")
-    sql = jdbc_sink.swap_sql("produto", "produto_stage")
+    sql = jdbc_sink.swap_sql("produto", "produto_stage", ["id", "nome"])
+    assert 'INSERT INTO produto ("id", "nome") SELECT "id", "nome" FROM produto_stage' in sql
     assert sql[0] == "BEGIN" and sql[-1] == "COMMIT"
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.money import MONEY_SUM
+from tillroll.operators.quality import RowRule
 
 # Reconciliation outcomes, and the statement's entry types.
 STATUS_OK, STATUS_MISMATCH, STATUS_NO_ITEMS = "ok", "mismatch", "no_items"
@@ -72,11 +73,18 @@ def reconcile_document_total(items: Column, quantity: str, unit_price: str, extr
 
 
 def signed_amount(value: str | Column, kind: str | Column) -> Column:
-    """Debits count negative, credits positive; other kinds are not entries."""
+    """Amounts stored without a sign: debits count negative, credits positive;
+    other kinds are not entries."""
     v, k = _col(value), _col(kind)
     return F.when(k == DEBIT, -F.abs(v)).when(k == CREDIT, F.abs(v))
 
 
+def wrong_sign_rule(value: str, kind: str) -> RowRule:
+    """A debit stored above zero, or a credit below."""
+    v, k = F.col(value), F.col(kind)
+    return RowRule("wrong_sign", value, F.coalesce(((k == DEBIT) & (v > 0)) | ((k == CREDIT) & (v < 0)), F.lit(False)))
+
+
 def balance_by_account(
     accounts: DataFrame,
     account_key: str,
@@ -89,9 +97,11 @@ def balance_by_account(
     """Per account: opening, credits, debits, closing = opening + credits + debits.
 
     Entries are aggregated per account first (map-side combine), then left
-    joined, so an account without entries keeps closing = opening.
+    joined, so an account without entries keeps closing = opening. Amounts count
+    with their stored sign, as in ``statement_balances``; ``wrong_sign_rule``
+    finds entries whose sign contradicts their kind.
     """
-    signed = signed_amount(value, kind).cast(MONEY_SUM)
+    signed = _col(value).cast(MONEY_SUM)
     per = entries.groupBy(F.col(entry_key).alias("_k")).agg(
         F.sum(F.when(_col(kind) == CREDIT, signed)).alias("_cr"),
         F.sum(F.when(_col(kind) == DEBIT, signed)).alias("_db"),

@@ -57,11 +57,17 @@ def load_catalog_table(table: str) -> Callable[[DataFrame, str], None]:
 
 def load_jdbc_staged(conn: Mapping[str, str], live: str, staging: str,
                      num_partitions: int | None = None) -> Callable[[DataFrame, str], list[str]]:
-    """Write a staging table; the returned statements swap it in."""
+    """Write a staging table and count its rows there; the returned statements
+    swap it in, column by column name."""
 
     def run(df: DataFrame, location: str) -> list[str]:
         jdbc_sink.write_jdbc(df, conn, staging, mode="overwrite", num_partitions=num_partitions)
-        return jdbc_sink.swap_sql(live, staging)
+        want = df.count()
+        counted = jdbc_source.read_jdbc(df.sparkSession, conn, query=f"select count(*) as n from {staging}")
+        got = int(counted.first()[0])
+        if got != want:
+            raise AssertionError(f"{staging} holds {got} rows, {want} were written")
+        return jdbc_sink.swap_sql(live, staging, df.columns)
 
     return run
 
@@ -88,6 +94,8 @@ def table_to_backup(source: DataFrame, path: str, partition_by: Sequence[str], v
 
 def database_to_backup(spark: SparkSession, conn: Mapping[str, str], table: str, path: str,
                        partition_by: Sequence[str],
-                       partition: jdbc_source.Partitioning | None = None) -> str:
+                       partition: jdbc_source.Partitioning) -> str:
+    """Back up a database table; ``partition`` is required, as without it one
+    connection and one task would read the whole table."""
     src = jdbc_source.read_jdbc(spark, conn, table=table, partition=partition)
     return table_to_backup(src, path, partition_by)

@@ -121,22 +121,32 @@ def q_backup_partition(spark: SparkSession, sf: str):
 _LINE_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
 
 
+_LINE_FIELDS = [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"),
+                ("o_orderpriority", "string")]
+
+
+def _parse_lines(raw):
+    return files.parse_delimited(raw, _LINE_FIELDS)
+
+
 @query("q_text_roundtrip", "A11", """
-SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders
+SELECT o_orderkey, o_custkey, o_orderstatus,
+       CASE o_orderpriority WHEN '1-URGENT' THEN 'a|b' || chr(10) || 'c%0A' || chr(13)
+                            WHEN '2-HIGH' THEN '' WHEN '5-LOW' THEN NULL WHEN '3-MEDIUM' THEN '%N'
+                            ELSE o_orderpriority END AS o_orderpriority
+FROM orders
 """)
 def q_text_roundtrip(spark: SparkSession, sf: str):
     """Order headers written as text objects ('|'-separated lines) and read
-    back: rows round-trip, not file names or byte layout."""
-    orders = read_table(spark, sf, "orders")
+    back. Priorities are planted with separators, line breaks, percent codes,
+    empty text and NULL: rows round-trip, not file names or byte layout."""
+    p = F.col("o_orderpriority")
+    orders = read_table(spark, sf, "orders").withColumn("o_orderpriority", (
+        F.when(p == "1-URGENT", F.lit("a|b\nc%0A\r")).when(p == "2-HIGH", F.lit(""))
+        .when(p == "5-LOW", F.lit(None)).when(p == "3-MEDIUM", F.lit("%N")).otherwise(p)))
     path = shared_path(spark, "objects", "orders-text", unique=True)
     files.write_text(orders.select(files.delimited_line(_LINE_COLS).alias("line")), path)
-    parts = F.split(F.col("value"), r"\|")
-    return spark.read.text(path).select(
-        parts[0].try_cast("bigint").alias("o_orderkey"),
-        parts[1].try_cast("bigint").alias("o_custkey"),
-        parts[2].alias("o_orderstatus"),
-        parts[3].alias("o_orderpriority"),
-    )
+    return _parse_lines(spark.read.text(path))
 
 
 # ------------------------------------------------------------------ A12
@@ -169,7 +179,7 @@ def q_manifest_missing(spark: SparkSession, sf: str):
     export that left out pending orders actually wrote."""
     orders = read_table(spark, sf, "orders")
     path = shared_path(spark, "objects", "orders-export", unique=True)
-    exported = orders.filter(F.col("o_orderstatus") != "P")
+    exported = orders.filter(~F.col("o_orderstatus").eqNullSafe("P"))
     line = files.delimited_line(["o_orderkey", "o_custkey"]).alias("line")
     files.write_text(exported.select(line, "o_orderstatus"), path, "line", partition_by=["o_orderstatus"])
     folders = objects.list_objects(spark, path, glob="*.txt").select(
@@ -245,17 +255,8 @@ def q_objects_to_table(spark: SparkSession, sf: str):
     path = shared_path(spark, "objects", "orders-landing", unique=True)
     files.write_text(orders.select(files.delimited_line(_LINE_COLS).alias("line")), path)
 
-    def parse(raw):
-        parts = F.split(F.col("value"), r"\|")
-        return raw.select(
-            parts[0].try_cast("bigint").alias("o_orderkey"),
-            parts[1].try_cast("bigint").alias("o_custkey"),
-            parts[2].alias("o_orderstatus"),
-            parts[3].alias("o_orderpriority"),
-        )
-
     t = _table_name("orders_loaded")
-    jobs.objects_to_table(spark.read.text(path), parse, ["o_orderkey"], jobs.load_catalog_table(t))
+    jobs.objects_to_table(spark.read.text(path), _parse_lines, ["o_orderkey"], jobs.load_catalog_table(t))
     return spark.table(t)
 
 
@@ -275,19 +276,11 @@ def q_stream_ingest(spark: SparkSession, sf: str):
     quarantine, checkpoint = f"{base}/quarantine", f"{base}/_checkpoint"
     line = files.delimited_line(_LINE_COLS).alias("line")
 
-    def parse(raw):
-        parts = F.split(F.col("value"), r"\|")
-        return raw.select(
-            parts[0].try_cast("bigint").alias("o_orderkey"),
-            parts[1].try_cast("bigint").alias("o_custkey"),
-            parts[2].alias("o_orderstatus"),
-            parts[3].alias("o_orderpriority"),
-        )
-
     rules = quality.not_null_rules(["o_orderkey", "o_custkey"])
-    waves = [F.col("o_orderstatus") != "P", F.col("o_orderstatus") == "P"]
+    pending = F.col("o_orderstatus").eqNullSafe("P")
+    waves = [~pending, pending]
     for i, wave in enumerate(waves):
         files.write_text(orders.filter(wave).select(line), f"{landing}/wave={i}")
-        run_ingestion(spark, landing, parse, rules, target, quarantine, checkpoint, glob="*.txt")
-    run_ingestion(spark, landing, parse, rules, target, quarantine, checkpoint, glob="*.txt")
+        run_ingestion(spark, landing, _parse_lines, rules, target, quarantine, checkpoint, glob="*.txt")
+    run_ingestion(spark, landing, _parse_lines, rules, target, quarantine, checkpoint, glob="*.txt")
     return spark.read.parquet(target).select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")

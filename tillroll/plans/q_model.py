@@ -10,7 +10,7 @@ from pyspark.sql.types import (
 )
 
 from tillroll.functions.money import MONEY
-from tillroll.operators import load, model, reconcile, transform, update
+from tillroll.operators import load, model, nested, reconcile, transform, update
 from tillroll.plans.registry import query
 from tillroll.sources.tables import read_table
 
@@ -120,6 +120,38 @@ def q_balance(spark: SparkSession, sf: str):
                                         _ledger(spark, sf), "user_id", "valor", "tipo")
 
 
+@query("q_statement_balance", "B9,B3", f"""
+WITH e AS ({_LEDGER_SQL}),
+per AS (SELECT user_id, sum(valor) AS moved FROM e WHERE tipo IS NOT NULL GROUP BY user_id)
+SELECT c_custkey, CAST(c_acctbal AS DECIMAL(18,2)) AS opening,
+       CAST(coalesce(moved, 0) AS DECIMAL(18,2)) AS movement,
+       CAST(CAST(c_acctbal AS DECIMAL(18,2)) + coalesce(moved, 0)
+            + CASE WHEN c_mktsegment = 'MACHINERY' THEN 1 ELSE 0 END AS DECIMAL(18,2)) AS closing,
+       c_mktsegment IS DISTINCT FROM 'MACHINERY' AS balanced
+FROM customer LEFT JOIN per ON c_custkey = user_id
+""")
+def q_statement_balance(spark: SparkSession, sf: str):
+    """Statement documents, one per customer with its entries as an array (a
+    long statement has several, the balances on the first), whose closing
+    balance is one off in one market segment; checked inside each document."""
+    cust = read_table(spark, sf, "customer").select(
+        "c_custkey", "c_acctbal", F.col("c_mktsegment").eqNullSafe("MACHINERY").alias("_fault"))
+    entries = _ledger(spark, sf).filter(F.col("tipo").isNotNull())
+    closing = reconcile.balance_by_account(cust, "c_custkey", "c_acctbal", entries, "user_id", "valor", "tipo")
+    docs = nested.nest(entries, ["user_id"], "transacoes", ["tipo", "valor"], max_items=1000)
+    heads = cust.join(closing.select("c_custkey", "opening", "closing"), "c_custkey")
+    first = F.coalesce(F.col("chunk"), F.lit(0)) == 0
+    money = lambda c: F.when(first, c).otherwise(F.lit(0)).cast("decimal(18,2)")
+    stated = F.col("closing") + F.col("_fault").cast("int")
+    parts = reconcile.statement_balances(heads.join(docs, heads["c_custkey"] == docs["user_id"], "left").select(
+        "c_custkey", "transacoes",
+        F.struct(money(F.col("opening")).alias("saldo_anterior"), money(stated).alias("saldo_atual")).alias("saldos")),
+        key="c_custkey")
+    total = {c: F.sum(c).cast("decimal(18,2)") for c in ("opening", "movement", "closing")}
+    whole = parts.groupBy("c_custkey").agg(*[v.alias(c) for c, v in total.items()])
+    return whole.withColumn("balanced", F.col("opening") + F.col("movement") == F.col("closing"))
+
+
 @query("q_totals_by_type", "B9", f"""
 WITH e AS ({_LEDGER_SQL})
 SELECT user_id, tipo, count(*) AS entries, CAST(sum(valor) AS DECIMAL(18,2)) AS total

@@ -8,6 +8,7 @@ committed atomically by the output committer; re-running with
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -36,8 +37,43 @@ def write_text(df: DataFrame, path: str, column: str | Column | None = None, mod
 
 
 def delimited_line(cols: Sequence[str], sep: str = "|") -> Column:
-    """Columns joined into one text line; NULL becomes an empty field."""
-    return F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
+    """Columns joined into one text line. A percent sign, a line break and the
+    separator are written as percent codes and NULL as ``%N``, so
+    ``parse_delimited`` gives back the same rows."""
+    def field(c: str) -> Column:
+        text = F.col(c).cast("string")
+        for char in _escaped(sep):
+            text = F.replace(text, F.lit(char), F.lit(_code(char)))
+        return F.coalesce(text, F.lit(_NULL))
+
+    return F.concat_ws(sep, *[field(c) for c in cols])
+
+
+def parse_delimited(raw: DataFrame, fields: Sequence[tuple[str, str]], sep: str = "|") -> DataFrame:
+    """Lines (column ``value``) written by ``delimited_line`` as typed columns
+    ``(name, type)``. A missing field, or text that is not of its type, is NULL."""
+    parts = F.split("value", re.escape(sep))
+
+    def column(i: int, name: str, kind: str) -> Column:
+        text = F.get(parts, i)
+        for char in reversed(_escaped(sep)):  # the percent sign last
+            text = F.replace(text, F.lit(_code(char)), F.lit(char))
+        return F.when(F.get(parts, i) != _NULL, text).try_cast(kind).alias(name)
+
+    return raw.select(*[column(i, name, kind) for i, (name, kind) in enumerate(fields)])
+
+
+_NULL = "%N"
+
+
+def _escaped(sep: str) -> list[str]:
+    if len(sep) != 1 or sep in "%\r\n0123456789ABCDEFN":
+        raise ValueError(f"not a separator: {sep!r}")
+    return ["%", "\n", "\r", sep]
+
+
+def _code(char: str) -> str:
+    return f"%{ord(char):02X}"
 
 
 def backup(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite") -> str:

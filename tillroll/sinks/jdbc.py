@@ -1,15 +1,15 @@
 """Database sink over JDBC with a staging table (used by the B12 job).
 
 ``truncate``+``overwrite`` on the live table is not transactional: a job that
-fails half way leaves it half loaded. So the job writes a staging table,
-verifies it (row count, optional key check), and only then replaces the
-live table's contents inside the database in one statement batch, run by
-``swap_sql`` through the caller's own database tooling or a JDBC statement.
+fails half way leaves it half loaded. So the job checks keys, writes a staging
+table and counts its rows (``plans.jobs.load_jdbc_staged``). Only then are the
+statements of ``swap_sql`` given out, which replace the live table's contents
+inside the database and are run by the caller's own database tooling.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
@@ -32,12 +32,16 @@ def write_jdbc(df: DataFrame, conn: Mapping[str, str], table: str, mode: str = "
     df.write.format("jdbc").mode(mode).options(**opts).save()
 
 
-def swap_sql(live: str, staging: str) -> list[str]:
-    """Statements that replace ``live`` with ``staging`` in one transaction."""
+def swap_sql(live: str, staging: str, columns: Sequence[str]) -> list[str]:
+    """Statements that replace ``live`` with ``staging`` in one transaction;
+    columns are matched by name."""
+    if not columns:
+        raise ValueError("no columns")
+    names = ", ".join('"' + c.replace('"', '""') + '"' for c in columns)
     return [
         "BEGIN",
         f"DELETE FROM {live}",
-        f"INSERT INTO {live} SELECT * FROM {staging}",
+        f"INSERT INTO {live} ({names}) SELECT {names} FROM {staging}",
         f"DROP TABLE {staging}",
         "COMMIT",
     ]
