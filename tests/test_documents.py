@@ -73,6 +73,24 @@ def test_order_document_total(docs):
     assert ok is True
 
 
+def test_document_reconciliation(spark):
+    item = "array<struct<q: int, p: decimal(10,2)>>"
+    rows = [
+        (1, D("7.50"), D("2.50"), [(2, D("1.00")), (1, D("3.00"))]),
+        (2, D("9.00"), None, [(1, D("4.00"))]), (2, D("9.00"), None, [(1, D("5.00"))]),  # one order, two documents
+        (3, D("3.00"), D("1.00"), [(1, D("1.00")), (None, D("8.00")), (4, None)]),
+        (4, D("5.00"), D("5.00"), None), (5, None, None, []),
+    ]
+    df = spark.createDataFrame(rows, f"id int, total decimal(10,2), extra decimal(10,2), items {item}")
+    got = {r.id: tuple(r)[1:] for r in
+           reconcile.reconcile_documents(df, "id", "items", "q", "p", "total", "extra").collect()}
+    assert got == {
+        1: (D("7.50"), D("7.50"), D("0.00"), "ok"), 2: (D("9.00"), D("9.00"), D("0.00"), "ok"),
+        3: (D("3.00"), D("2.00"), D("1.00"), "mismatch"), 4: (D("5.00"), D("5.00"), D("0.00"), "no_items"),
+        5: (None, D("0.00"), None, "no_items"),
+    }
+
+
 def test_flatten_order(docs):
     flat = nested.flatten(docs["pedido"])
     assert "entrega_endereco_cidade" in flat.columns and "itens" in flat.columns

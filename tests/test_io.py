@@ -28,6 +28,16 @@ def test_listing_names_and_sizes(spark, tmp_dir):
     assert got == sizes
 
 
+def test_inventory_has_the_columns_of_a_listing(spark, tmp_dir):
+    inv = spark.createDataFrame([("shop/a+b.txt", 3, "2024-01-01T00:00:00Z"), ("shop/d/100%.txt", 0, "2024-01-02T00:00:00Z"),
+                                 ("other/c.txt", 9, None)], "Key string, Size int, LastModifiedDate string")
+    got = objects.from_inventory(inv, "Key", "Size", "LastModifiedDate", prefix="shop/")
+    assert got.columns == objects.list_objects(spark, tmp_dir).columns
+    assert {(r["name"], r["length"]) for r in got.collect()} == {("a+b.txt", 3), ("d/100%.txt", 0)}
+    expected = spark.createDataFrame([("a+b.txt",), ("gone.txt",)], "name string")
+    assert [r.name for r in quality.missing_objects(expected, got).collect()] == ["gone.txt"]
+
+
 def test_listing_empty_dir(spark, tmp_dir):
     _tree(tmp_dir)
     assert objects.list_objects(spark, os.path.join(tmp_dir, "empty")).count() == 0
@@ -113,6 +123,19 @@ def test_json_documents_written_and_read(spark, tmp_dir):
     schema = StructType([StructField("k", LongType()), StructField("v", StringType())])
     back = read_json(spark, path, schema, multi_line=True)
     assert sorted(r.k for r in back.collect()) == list(range(25))
+    assert not any(os.path.isdir(os.path.join(path, n)) for n in os.listdir(path))
+    assert len([n for n in os.listdir(path) if n.endswith(".txt")]) == 3  # a file each
+
+
+def test_json_lines_written_and_read(spark, tmp_dir):
+    from tillroll.sources.documents import read_json
+    rows = [(1, "a\nb"), (2, None), (None, ""), (2, None)]
+    docs = spark.createDataFrame(rows, "k long, v string").coalesce(1)
+    path = os.path.join(tmp_dir, "lines")
+    files.write_json_lines(docs, path, max_records_per_file=3)
+    assert len([n for n in os.listdir(path) if n.endswith(".json")]) == 2
+    back = read_json(spark, path, docs.schema, multi_line=False)
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(rows, key=str)
 
 
 def test_objects_to_table_rejects_duplicate_keys(spark):

@@ -8,7 +8,7 @@ from pyspark.sql.readwriter import DataFrameWriter
 
 from tillroll.operators import quality
 from tillroll.sinks import files
-from tillroll.streaming.ingest import run_ingestion
+from tillroll.streaming.ingest import loaded, quarantined, run_ingestion
 
 
 def _parse(raw):
@@ -26,44 +26,42 @@ def _land(spark, landing, wave, ids):
 
 
 def _paths(tmp_dir):
-    return [os.path.join(tmp_dir, p) for p in ("landing", "table", "quarantine", "_checkpoint")]
+    return [os.path.join(tmp_dir, p) for p in ("landing", "table", "_checkpoint")]
 
 
 def test_waves_load_once(spark, tmp_dir):
-    landing, target, quarantine, ckpt = _paths(tmp_dir)
+    landing, target, ckpt = _paths(tmp_dir)
     _land(spark, landing, 0, range(1, 51))
-    run_ingestion(spark, landing, _parse, _rules(), target, quarantine, ckpt, glob="*.txt")
+    run_ingestion(spark, landing, _parse, _rules(), target, ckpt, glob="*.txt")
     _land(spark, landing, 1, range(51, 101))
-    run_ingestion(spark, landing, _parse, _rules(), target, quarantine, ckpt, glob="*.txt",
-                  cache_batch=True)  # one read of the batch for both outputs
-    run_ingestion(spark, landing, _parse, _rules(), target, quarantine, ckpt, glob="*.txt")  # nothing new
-    good = spark.read.parquet(target)
+    run_ingestion(spark, landing, _parse, _rules(), target, ckpt, glob="*.txt")
+    run_ingestion(spark, landing, _parse, _rules(), target, ckpt, glob="*.txt")  # nothing new
+    good = loaded(spark, target)
     assert good.count() == 90 and good.select("id").distinct().count() == 90
-    bad = spark.read.parquet(quarantine)
+    bad = quarantined(spark, target)
     assert bad.count() == 10
     assert bad.filter(F.array_contains("violations", "not_null:id")).count() == 10
 
 
 def test_crash_mid_batch_is_replayed_without_duplicates(spark, tmp_dir, monkeypatch):
-    landing, target, quarantine, ckpt = _paths(tmp_dir)
+    landing, target, ckpt = _paths(tmp_dir)
     _land(spark, landing, 0, range(1, 101))
     real = DataFrameWriter.parquet
     state = {"crashed": False}
 
     def flaky(self, path, *a, **k):
-        # the valid rows of the batch are written, then the job dies
-        # before the quarantine write and before the batch is committed
-        if path.startswith(quarantine) and not state["crashed"]:
+        # the batch is written, then the job dies before it is committed
+        real(self, path, *a, **k)
+        if not state["crashed"]:
             state["crashed"] = True
             raise RuntimeError("simulated crash")
-        return real(self, path, *a, **k)
 
     monkeypatch.setattr(DataFrameWriter, "parquet", flaky)
     with pytest.raises(Exception):
-        run_ingestion(spark, landing, _parse, _rules(), target, quarantine, ckpt, glob="*.txt")
+        run_ingestion(spark, landing, _parse, _rules(), target, ckpt, glob="*.txt")
     assert state["crashed"]
-    assert spark.read.parquet(target).count() == 90  # partial output of the failed batch
-    run_ingestion(spark, landing, _parse, _rules(), target, quarantine, ckpt, glob="*.txt")
-    good = spark.read.parquet(target)
+    assert loaded(spark, target).count() == 90  # output of the failed batch
+    run_ingestion(spark, landing, _parse, _rules(), target, ckpt, glob="*.txt")
+    good = loaded(spark, target)
     assert good.count() == 90 and good.select("id").distinct().count() == 90
-    assert spark.read.parquet(quarantine).count() == 10
+    assert quarantined(spark, target).count() == 10

@@ -6,8 +6,6 @@ away from zero; under ANSI mode a value that does not fit raises.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 # The declared money type and its limit.
@@ -15,20 +13,3 @@ MONEY = DecimalType(10, 2)
 MONEY_LIMIT = 10 ** 8  # |value| >= 10^8 does not fit NUMERIC(10, 2)
 # Sums and differences are carried at this precision in results.
 MONEY_SUM = DecimalType(18, 2)
-
-
-def to_money(c: Column | str, dtype: DecimalType = MONEY) -> Column:
-    c = F.col(c) if isinstance(c, str) else c
-    return c.cast(dtype)
-
-
-def try_money(c: Column | str, dtype: DecimalType = MONEY) -> Column:
-    """NULL instead of an error when the value does not fit."""
-    c = F.col(c) if isinstance(c, str) else c
-    return c.try_cast(dtype)
-
-
-def money_sum(c: Column | str) -> Column:
-    """Exact decimal sum of a money column, returned as ``decimal(18, 2)``."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.sum(c.cast(MONEY_SUM)).cast(MONEY_SUM)

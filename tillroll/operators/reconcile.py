@@ -72,6 +72,33 @@ def reconcile_document_total(items: Column, quantity: str, unit_price: str, extr
     return summed.cast(MONEY_SUM) == total.cast(MONEY_SUM)
 
 
+def reconcile_documents(docs: DataFrame, key: str, items: str, quantity: str, unit_price: str,
+                        total: str | Column, extra: str | Column | None = None) -> DataFrame:
+    """B8 over order documents: the columns of ``reconcile_orders`` per ``key``,
+    with computed = sum of quantity x price over the item array + ``extra``
+    (freight; NULL is 0). Items are summed inside each document; an order dealt
+    over several documents (``nest``) is added up, its total and ``extra``
+    repeated on each and counted once. Documents without a key count as one."""
+    summed = F.aggregate(
+        F.coalesce(F.col(items), F.array()), F.lit(0).cast("decimal(38,2)"),
+        lambda acc, x: (acc + F.coalesce(x[quantity], F.lit(0)) * F.coalesce(x[unit_price], F.lit(0))
+                        ).cast("decimal(38,2)"),
+    )
+    parts = docs.select(
+        F.col(key), _col(total).cast(MONEY_SUM).alias("declared"),
+        (F.lit(0) if extra is None else F.coalesce(_col(extra), F.lit(0))).cast(MONEY_SUM).alias("_extra"),
+        summed.alias("_sum"), F.size(F.coalesce(F.col(items), F.array())).alias("_items"),
+    )
+    whole = parts.groupBy(key).agg(F.max("declared").alias("declared"), F.max("_extra").alias("_extra"),
+                                   F.sum("_sum").alias("_sum"), F.sum("_items").alias("_items"))
+    computed = (F.col("_sum") + F.col("_extra")).cast(MONEY_SUM)
+    diff = (F.col("declared") - computed).cast(MONEY_SUM)
+    status = (F.when(F.col("_items") == 0, F.lit(STATUS_NO_ITEMS)).when(diff == 0, F.lit(STATUS_OK))
+              .otherwise(F.lit(STATUS_MISMATCH)))
+    return whole.select(F.col(key), "declared", computed.alias("computed"), diff.alias("difference"),
+                        status.alias("status"))
+
+
 def signed_amount(value: str | Column, kind: str | Column) -> Column:
     """Amounts stored without a sign: debits count negative, credits positive;
     other kinds are not entries."""

@@ -3,6 +3,8 @@ soft delete (B11), typed load (A14) and the stamped update (A22)."""
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -76,6 +78,41 @@ def q_order_reconcile(spark: SparkSession, sf: str):
     return reconcile.reconcile_orders(orders, li, "o_orderkey", "o_totalprice", "l_orderkey", _line_amount())
 
 
+@query("q_document_totals", "B8,B3", """
+WITH li AS (
+  SELECT l_orderkey, CAST(sum(CAST(l_quantity AS DECIMAL(10,0)) * CAST(l_extendedprice AS DECIMAL(10,2))) AS DECIMAL(18,2)) AS s
+  FROM lineitem GROUP BY l_orderkey),
+r AS (
+  SELECT o_orderkey, s, coalesce(s, 0) + CASE o_orderpriority WHEN '1-URGENT' THEN 25.50 WHEN '5-LOW' THEN 0 ELSE 9.90 END AS c,
+         CASE WHEN o_orderstatus = 'P' THEN 10 ELSE 0 END AS fault
+  FROM orders LEFT JOIN li ON o_orderkey = l_orderkey)
+SELECT o_orderkey, CAST(c + fault AS DECIMAL(18,2)) AS declared, CAST(c AS DECIMAL(18,2)) AS computed,
+       CAST(fault AS DECIMAL(18,2)) AS difference,
+       CASE WHEN s IS NULL THEN 'no_items' WHEN fault = 0 THEN 'ok' ELSE 'mismatch' END AS status
+FROM r
+""")
+def q_document_totals(spark: SparkSession, sf: str):
+    """Order documents (items and freight, which low priority lacks) whose
+    stated total is ten off for pending orders; checked inside each document."""
+    items = read_table(spark, sf, "lineitem").select(
+        "l_orderkey", F.col("l_quantity").cast("decimal(10,0)").alias("quantidade"),
+        F.col("l_extendedprice").cast("decimal(10,2)").alias("preco_unitario"))
+    priority = F.col("o_orderpriority")
+    orders = read_table(spark, sf, "orders").select(
+        "o_orderkey", F.when(F.col("o_orderstatus") == "P", 10).otherwise(0).alias("_fault"),
+        F.when(priority == "1-URGENT", F.lit(Decimal("25.50"))).when(priority == "5-LOW", F.lit(None))
+        .otherwise(F.lit(Decimal("9.90"))).alias("taxa_frete"))
+    sums = items.groupBy(F.col("l_orderkey").alias("_k")).agg(
+        F.sum(F.col("quantidade") * F.col("preco_unitario")).alias("_sum"))
+    stated = F.coalesce("_sum", F.lit(0)) + F.coalesce("taxa_frete", F.lit(0)) + F.col("_fault")
+    heads = orders.join(sums, orders["o_orderkey"] == sums["_k"], "left").select(
+        "o_orderkey", "taxa_frete", stated.cast("decimal(18,2)").alias("total_pedido"))
+    lists = nested.nest(items, ["l_orderkey"], "itens", ["quantidade", "preco_unitario"], max_items=1000)
+    docs = heads.join(lists, heads["o_orderkey"] == lists["l_orderkey"], "left")
+    return reconcile.reconcile_documents(docs, "o_orderkey", "itens", "quantidade", "preco_unitario",
+                                         "total_pedido", "taxa_frete")
+
+
 # ------------------------------------------------------------------ B9
 _LEDGER_SQL = """
 SELECT user_id,

@@ -7,11 +7,11 @@ and come back as NULL where a record lacks them.
 from __future__ import annotations
 
 from pyspark.sql.types import (
-    ArrayType, BooleanType, DecimalType, DoubleType, IntegerType, LongType,
+    ArrayType, BooleanType, DoubleType, IntegerType, LongType,
     StringType, StructField, StructType, TimestampType,
 )
 
-MONEY = DecimalType(10, 2)
+from tillroll.functions.money import MONEY
 
 
 def _f(name, dtype, nullable=True):

@@ -1,7 +1,6 @@
 """Session construction and the shared working folder.
 
-Everything the library writes (reload targets, backups, landed documents,
-lineage cuts) goes below the folder the cluster names in
+Everything the library writes (reload targets, backups, landed documents) goes below the folder the cluster names in
 ``spark.checkpoint.dir``. That folder is shared by all executors, so a lost
 executor never takes written data with it. A private folder is only created
 when the setting is absent, which is the case in local tests.
@@ -9,11 +8,10 @@ when the setting is absent, which is the case in local tests.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -110,18 +108,3 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     if unique:
         tail = f"{tail}-{uuid.uuid4().hex[:12]}" if tail else uuid.uuid4().hex[:12]
     return f"{base}/{tail}" if tail else base
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder (reliable, not local)."""
-    ensure_shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python-side helpers can open the path."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)

@@ -114,17 +114,28 @@ def same_content(a: DataFrame, b: DataFrame) -> bool:
     return (fa["rows"], fa["hash_sum"]) == (fb["rows"], fb["hash_sum"])
 
 
+def write_json_lines(docs: DataFrame, path: str, max_records_per_file: int = 1_000_000, mode: str = "overwrite",
+                     compression: str | None = None) -> str:
+    """One document a line (NDJSON): the form for large sets. No shuffle, every
+    task streams its own documents into part files of at most
+    ``max_records_per_file``, and readers can split the files."""
+    w = docs.write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
+    if compression:
+        w = w.option("compression", compression)
+    w.json(path)
+    return path
+
+
 def write_json_documents(docs: DataFrame, path: str, file_col: str, mode: str = "overwrite",
                          pretty: bool = True) -> str:
-    """Write documents as JSON *files*, each file one JSON array of the
-    documents sharing ``file_col``. Callers choose ``file_col`` so a file holds
-    a bounded number of documents. Each array is one text row in its own
-    ``file_col=...`` directory, so every file is a single JSON value that a
-    ``multiLine`` reader can parse."""
+    """Exchange files for readers that want one JSON value a file: each file is
+    one JSON array of the documents sharing ``file_col``, all files in one
+    folder. An array is one text cell, so callers choose ``file_col`` for a
+    bounded number of bounded documents; large sets go to ``write_json_lines``."""
     payload = [c for c in docs.columns if c != file_col]
     opts = {"pretty": "true"} if pretty else {}
     files = docs.groupBy(file_col).agg(
         F.to_json(F.collect_list(F.struct(*[F.col(f"`{c}`") for c in payload])), opts).alias("value")
-    )
-    files.write.mode(mode).partitionBy(file_col).text(path)
+    ).select("value")
+    files.write.mode(mode).option("maxRecordsPerFile", 1).text(path)
     return path

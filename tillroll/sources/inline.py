@@ -11,16 +11,14 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-# A driver-side list is serialised into the plan; keep it to reference data.
-MAX_INLINE_ROWS = 10_000
 
-
-def inline_rows(spark: SparkSession, rows: Iterable[Sequence], schema: StructType) -> DataFrame:
+def inline_rows(spark: SparkSession, rows: Iterable[Sequence], schema: StructType,
+                max_rows: int | None = None) -> DataFrame:
+    """The rows are serialised into the plan. A caller that wants to keep that
+    small sets ``max_rows``: more rows are refused, none are dropped."""
     rows = [tuple(r) for r in rows]
-    if len(rows) > MAX_INLINE_ROWS:
-        raise ValueError(
-            f"{len(rows)} inline rows; land larger data as files and read them instead"
-        )
+    if max_rows is not None and len(rows) > max_rows:
+        raise ValueError(f"{len(rows)} inline rows; land larger data as files and read them instead")
     width = len(schema.fields)
     for r in rows:
         if len(r) != width:

@@ -2,7 +2,7 @@
 
 Uses the ``binaryFile`` source without selecting ``content``, so file bytes
 are never read; the file index lists in parallel but keeps the file statuses on
-the driver, so a very large store should be listed from its inventory table. Works on
+the driver, so a very large store should be listed from its inventory table (``from_inventory``). Works on
 any Hadoop-compatible path (``file:``, ``s3a:``, ``abfs:`` ...) given the
 right connector on the cluster.
 """
@@ -40,10 +40,18 @@ def list_objects(spark: SparkSession, root: str, glob: str | None = None) -> Dat
     return files.select("path", rel.alias("name"), "length", "modificationTime")
 
 
+def from_inventory(inventory: DataFrame, key: str, size: str, modified: str, prefix: str = "") -> DataFrame:
+    """The columns of ``list_objects`` from a store's inventory table (one row
+    per object), of the objects below ``prefix``. The table is read like any
+    other, so no file status reaches the driver."""
+    below = inventory.filter(F.col(key).startswith(prefix))
+    return below.select(F.col(key).alias("path"), F.col(key).substr(F.lit(len(prefix) + 1), F.length(key)).alias("name"),
+                        F.col(size).cast("long").alias("length"), F.col(modified).cast("timestamp").alias("modificationTime"))
+
+
 def _strip_scheme(p: str) -> str:
     if p.startswith("file:"):
         p = p[len("file:"):]
         while p.startswith("//"):
             p = p[1:]
     return p
-
