@@ -25,7 +25,7 @@ def _docs(spark, texts):
 
 def _sql(name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "embeddings"):
+    for t in ("documents", "benchmark", "embeddings", "pages"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     return con.sql(queries.SQL[name])
 

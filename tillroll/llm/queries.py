@@ -185,10 +185,26 @@ k AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id, c
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM k WHERE rank <= 5
 """
 
+# base32 of a SHA-1: eight letters for each ten hex digits
+OP7_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+f AS (
+  SELECT page_id, payload, sha1(payload) AS h, min(page_id) OVER (PARTITION BY payload) AS first
+  FROM p)
+SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(
+         (CAST('0x' || substr(h, CAST(10 * (j // 8) + 1 AS BIGINT), 10) AS BIGINT) >> (35 - 5 * (j % 8))) & 31
+         AS BIGINT) + 1, 1)), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM f
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_decontamination, op2_near_duplicates, op3_toxicity, op4_secrets, op5_packing,
                             op6_token_counts, op7_warc, op8_quality, op9_sharding, op10_top_k)
 }
 
 #: DuckDB SQL where it can express the query; the others have brute-force tests
-SQL: dict[str, str] = {"op1_decontamination": OP1_SQL, "op2_near_duplicates": OP2_SQL, "op10_top_k": OP10_SQL}
+SQL: dict[str, str] = {"op1_decontamination": OP1_SQL, "op2_near_duplicates": OP2_SQL, "op7_warc": OP7_SQL,
+                       "op10_top_k": OP10_SQL}

@@ -154,8 +154,9 @@ def redact(docs: DataFrame, text_col: str = "text", mark: str = "[secret]",
 
         return each
 
-    clean = append_columns(docs, T.StructType([T.StructField("_clean", T.StringType())]), work, drop=(text_col,))
-    return clean.withColumnRenamed("_clean", text_col).select(*docs.columns)
+    name = "_" + max(docs.columns, key=len)  # no column has it
+    clean = append_columns(docs, T.StructType([T.StructField(name, T.StringType())]), work, drop=(text_col,))
+    return clean.withColumnRenamed(name, text_col).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def _redacted(text: str | None, findings: list[tuple], mark: str) -> str | None:
