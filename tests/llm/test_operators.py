@@ -188,6 +188,20 @@ def test_secrets_brute_force(spark):
     assert clean[3] == 'é [secret]" end' and hexed not in clean[3]
 
 
+def test_secrets_random_letters_and_short_runs(spark):
+    rng = np.random.default_rng(11)
+    base62 = list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
+    draws = [("".join(rng.choice(base62[:n], size)))
+             for n, size in ((52, 20), (52, 24), (52, 32), (52, 40), (62, 16), (62, 18), (62, 19)) for _ in range(60)]
+    words = ["internationalization", "misunderstandings", "straightforwardness", "well-known-and-often-used", "2024-05-12-10-22-33",
+             "docs/guides/getting-started", "123e4567-e89b-12d3-a456-426614174000", "1234567890123456", "----------------",
+             "test_operators_and_edges"]
+    found = [r["findings"] for r in secrets.scan_secrets(_docs(spark, [f"é {t} x" for t in draws + words])).orderBy("doc_id").collect()]
+    whole = [[tuple(f) for f in found[i]] == [("random", 2, 2 + len(t))] for i, t in enumerate(draws)]
+    assert np.mean(whole) >= 0.98
+    assert [w for w, f in zip(words, found[len(draws):]) if any(r["kind"] == "random" for r in f)] == []
+
+
 ODD = [None, "", " ", "\n\n", "a\x1cb \x85x y\xa0z", "İstanbul ΣΑΣ ς é a ́b", "<|endoftext|> x<|startoftext|>y",
        "don't I'll \U0001F600 x" * 3, "가 각", "x" * 9000 + " " + "é" * 3000, "﻿ab cd\tef\r\ngh 12345 $$$", "same", "same"]
 

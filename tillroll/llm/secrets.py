@@ -1,11 +1,10 @@
 """Secret scans: patterns, and a token-efficiency test for random strings.
 
 Three patterns give the base findings (assignments, access keys, hex strings).
-The token-efficiency test adds spans: a run of key characters that mixes
-digits with letters and that a tiktoken vocabulary can only spell in short
-tokens (few characters per token) is random text, as words and names are
-covered by longer tokens. Known digests (hex of a digest's length), UUIDs and
-runs that a base finding covers are left out.
+The token-efficiency test adds spans: key characters that a tiktoken
+vocabulary can only spell in short tokens (few characters per token) are random
+text, as words and names are covered by longer tokens. Letters need no digits
+among them. Known digests (hex of a digest's length) and UUIDs are left out.
 
 Offsets are code points, the end is exclusive. Defined results: a null or
 empty text has no findings; findings of one kind never overlap; a run longer
@@ -34,11 +33,14 @@ HEX = r"[0-9a-f]+"
 LEAST = {"assign": 12, "access": 18, "hex": 16}
 KINDS = ("assign", "access", "hex", "random")
 
-RUN = r"[A-Za-z0-9+/_=-]{20,}"
+RUN = r"[A-Za-z0-9+/_=-]{16,}"
+LONG = 20  # shorter ones need a lower ratio, SHORT of the usual one
 DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)  # md5, sha1, sha224, sha256, sha384, sha512 in hex
 CHARS_PER_TOKEN = 2.0
+SHORT = 0.925
 _UUID = re.compile(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
 _HEXRUN = re.compile(r"[0-9A-Fa-f]+")
+_SIGN = re.compile(r"[+/_=-]")
 
 OUT = T.StructType([T.StructField("findings", T.ArrayType(T.StructType([
     T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()),
@@ -57,7 +59,8 @@ class Scanner:
         self.run = re.compile(RUN)
         self.vocabulary, self.chars_per_token, self.encoding = vocabulary, chars_per_token, None
 
-    def tokens(self, run: str) -> int:
+    def tokens(self, run: str) -> list[int]:
+        """Characters of each token of an ASCII run."""
         if self.encoding is None:
             import public_tokenizers as P
             import tiktoken
@@ -66,14 +69,23 @@ class Scanner:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
             self.encoding = tiktoken.Encoding("scan", pat_str=P.PATTERN, mergeable_ranks=ranks,
                                               special_tokens={})
-        return sum(len(self.encoding.encode_ordinary(run[i:i + 4096])) for i in range(0, len(run), 4096))
+            self.sizes = {i: len(t) for t, i in ranks.items()}
+        return [self.sizes[t] for i in range(0, len(run), 4096) for t in self.encoding.encode_ordinary(run[i:i + 4096])]
 
     def is_random(self, run: str) -> bool:
-        if not (any(c.isdigit() for c in run) and any(c.isalpha() for c in run)):
+        letters = sum(map(str.isalpha, run))
+        if not letters or _UUID.fullmatch(run) or (len(run) in DIGEST_LENGTHS and _HEXRUN.fullmatch(run)):
             return False
-        if _UUID.fullmatch(run) or (len(run) in DIGEST_LENGTHS and _HEXRUN.fullmatch(run)):
+        sizes = self.tokens(run)
+        if len(run) >= LONG and any(map(str.isdigit, run)):
+            return len(run) < self.chars_per_token * len(sizes)
+        # letters alone and short runs: signs between words are tokens too, so they do not count
+        signs = len(_SIGN.findall(run))
+        if 8 * signs > len(run) or 6 * letters < len(run):
             return False
-        return len(run) < self.chars_per_token * self.tokens(run)
+        sizes = self.tokens(_SIGN.sub(" ", run)) if signs else sizes
+        least = self.chars_per_token * (1 if len(run) >= LONG else SHORT)
+        return len(run) - signs < least * len(sizes)
 
     def text(self, text: str, screens: tuple[bool, ...]) -> list[tuple[str, int, int]]:
         found = []
@@ -102,7 +114,7 @@ class Scanner:
         # linear-time screens over the Arrow buffers; each lets through a superset
         screens = [pc.match_substring_regex(texts, p).to_pylist() for p in (
             r"(?i)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]", r"AKIA[A-Z0-9]",
-            r"[0-9a-f]{16}", r"[A-Za-z0-9+/_=-]{20}")]
+            r"[0-9a-f]{16}", r"[A-Za-z0-9+/_=-]{16}")]
         out = []
         for i, marks in enumerate(zip(*screens)):
             out.append(self.text(texts[i].as_py(), marks) if any(marks) else [])
