@@ -4,7 +4,9 @@ Three patterns give the base findings (assignments, access keys, hex strings).
 The token-efficiency test adds spans: key characters that a tiktoken
 vocabulary can only spell in short tokens (few characters per token) are random
 text, as words and names are covered by longer tokens. Letters need no digits
-among them. Known digests (hex of a digest's length) and UUIDs are left out.
+among them. A run is measured whole, then in segments and stretches, so that
+words beside a key do not hide it; what a base finding covers is not measured.
+Known digests (hex of a digest's length) and UUIDs are left out.
 
 Offsets are code points, the end is exclusive. Defined results: a null or
 empty text has no findings; findings of one kind never overlap; a run longer
@@ -15,7 +17,7 @@ from __future__ import annotations
 
 import base64
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from itertools import accumulate
 
 import pyarrow as pa
@@ -33,7 +35,8 @@ HEX = r"[0-9a-f]+"
 LEAST = {"assign": 12, "access": 18, "hex": 16}
 KINDS = ("assign", "access", "hex", "random")
 
-RUN = r"[A-Za-z0-9+/_=-]{16,}"
+LEAST_RUN = 16
+RUN = r"[A-Za-z0-9+/_=-]{%d,}" % LEAST_RUN
 LONG = 20  # shorter ones need a lower ratio, SHORT of the usual one
 DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)  # md5, sha1, sha224, sha256, sha384, sha512 in hex
 CHARS_PER_TOKEN = 2.0
@@ -41,12 +44,37 @@ SHORT = 0.925
 _UUID = re.compile(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
 _HEXRUN = re.compile(r"[0-9A-Fa-f]+")
 _SIGN = re.compile(r"[+/_=-]")
+SPLIT = "/=_-"
+_SEGMENT = re.compile(r"[A-Za-z0-9+]{%d,}" % LEAST_RUN)
+_KNOWN = re.compile("(?<![A-Za-z0-9])(?:%s)(?![A-Za-z0-9])" % "|".join(
+    [_UUID.pattern, *("[0-9A-Fa-f]{%d}" % n for n in DIGEST_LENGTHS)]))
 
 OUT = T.StructType([T.StructField("findings", T.ArrayType(T.StructType([
     T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()),
     T.StructField("end", T.LongType())])))])
 
 
+def _maximal(score: list[float]) -> list[tuple[int, int]]:
+    """All maximal scoring stretches (Ruzzo and Tompa), in linear time."""
+    found: list[tuple[float, float, int, int, int]] = []  # sums before and after, start, end, nearest lower one
+    total = 0.0
+    for k, s in enumerate(score):
+        total += s
+        if s <= 0:
+            continue
+        low, start, j = total - s, k, len(found) - 1
+        while True:
+            while j >= 0 and found[j][0] >= low:
+                j = found[j][4]
+            if j < 0 or found[j][1] >= total:
+                break
+            low, start, up = found[j][0], found[j][2], found[j][4]
+            del found[j:]
+            j = up
+        found.append((low, total, start, k + 1, j))
+    return [f[2:4] for f in found]
+
+
 class Scanner:
     """Findings of one text at a time, with batch-wide screens in front."""
 
@@ -81,11 +109,47 @@ class Scanner:
             return len(run) < self.chars_per_token * len(sizes)
         # letters alone and short runs: signs between words are tokens too, so they do not count
         signs = len(_SIGN.findall(run))
-        if 8 * signs > len(run) or 6 * letters < len(run):
-            return False
-        sizes = self.tokens(_SIGN.sub(" ", run)) if signs else sizes
-        least = self.chars_per_token * (1 if len(run) >= LONG else SHORT)
-        return len(run) - signs < least * len(sizes)
+        return self.is_dense(len(run), signs, letters, len(self.tokens(_SIGN.sub(" ", run)) if signs else sizes))
+
+    def is_dense(self, size: int, signs: int, letters: int, tokens: int) -> bool:
+        """The test without signs: ``size`` characters with the signs, ``tokens`` without."""
+        least = self.chars_per_token * (1 if size >= LONG else SHORT)
+        return 8 * signs <= size and 6 * letters >= size and size - signs < least * tokens
+
+    def stretches(self, text: str, a: int, b: int) -> list[tuple[int, int]]:
+        """Random parts of ``text[a:b]``, key characters that hold no finding: segments
+        between signs, and stretches of short tokens widened to whole segments."""
+        spans, at = [], a
+        for lo, hi in [*(m.span() for m in _KNOWN.finditer(text, a, b)), (b, b)]:
+            if lo - at >= LEAST_RUN:
+                spans += [m.span() for m in _SEGMENT.finditer(text, at, lo) if self.is_random(m[0])]
+                spans += self.short_tokens(text, at, lo)
+            at = hi
+        merged = []
+        for lo, hi in sorted(spans):
+            if merged and lo <= merged[-1][1]:
+                merged[-1] = (merged[-1][0], max(hi, merged[-1][1]))
+            else:
+                merged.append((lo, hi))
+        return merged
+
+    def short_tokens(self, text: str, a: int, b: int) -> list[tuple[int, int]]:
+        ends = list(accumulate(self.tokens(text[a:b]), initial=a))
+        signs = [_SIGN.match(text, x) is not None for x in ends[:-1]]  # no token holds both
+        score = [0.0 if sign else self.chars_per_token - (y - x) for sign, x, y in zip(signs, ends, ends[1:])]
+        spans = []
+        for i, j in _maximal(score):
+            lo, hi = ends[i], ends[j]
+            if hi - lo < LEAST_RUN:
+                continue
+            n = sum(y - x for sign, x, y in zip(signs[i:j], ends[i:j], ends[i + 1:j + 1]) if sign)
+            if self.is_dense(hi - lo, n, sum(map(str.isalpha, text[lo:hi])), j - i - sum(signs[i:j])):
+                while lo > a and text[lo - 1] not in SPLIT:
+                    lo -= 1
+                while hi < b and text[hi] not in SPLIT:
+                    hi += 1
+                spans.append((lo, hi))
+        return spans
 
     def text(self, text: str, screens: tuple[bool, ...]) -> list[tuple[str, int, int]]:
         found = []
@@ -103,9 +167,15 @@ class Scanner:
             ends = list(accumulate((b for _, b in base), max))  # of all findings so far
             for m in self.run.finditer(text):
                 a, b = m.span()
-                before = bisect_left(starts, b)  # findings that start before the run's end
-                if not (before and ends[before - 1] > a) and self.is_random(m[0]):
+                # findings that end after the run's start and start before its end
+                inside = range(bisect_right(ends, a), bisect_left(starts, b))
+                if not inside and self.is_random(m[0]):
                     found.append(("random", a, b))
+                    continue
+                for i in inside:
+                    found += [("random", *x) for x in self.stretches(text, a, starts[i])]
+                    a = max(a, ends[i])
+                found += [("random", *x) for x in self.stretches(text, a, b)]
         found.sort(key=lambda f: (f[1], KINDS.index(f[0])))
         return found
 
