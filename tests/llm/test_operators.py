@@ -122,6 +122,22 @@ def test_near_duplicates_brute_force(spark):
     assert neardup.near_duplicates(_docs(spark, ["x"]).limit(0)).count() == 0
 
 
+def test_deduplicate_near_copies_under_one_id(spark):
+    def near(name, n):  # near copies with shingle sets of their own
+        words = [f"{name}{i}" for i in range(100)]
+        return [" ".join([*words, f"end{j}"]) for j in range(n)]
+
+    rows = [*((7, t) for t in near("a", 3)), (9, near("a", 4)[3]), *((None, t) for t in near("b", 4)),
+            *((None, t) for t in near("c", 2)), (8, near("c", 3)[2]), (8, near("c", 4)[3]), (None, "alone"), (None, "alone"),
+            (5, "one"), (5, "two"), (None, None), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    left = sorted(((r[0] or 0, (r[1] or "")[:2]) for r in neardup.deduplicate(docs, k=5).collect()))
+    assert left == [(0, ""), (0, ""), (0, "al"), (0, "b0"), (5, "on"), (5, "tw"), (7, "a0"), (8, "c0")]
+    found = neardup.near_duplicates(docs, k=5)
+    assert found.columns == ["doc_id", "n_shingles", "set_key", "component_id", "kept"]
+    assert found.filter("kept").count() == 15  # by id: every row of a group's smallest id
+
+
 def test_superminhash_estimates():
     rng = np.random.default_rng(1)
     pool = rng.integers(0, 2**63, 3000, dtype=np.uint64)

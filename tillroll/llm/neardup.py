@@ -27,7 +27,8 @@ are contracted on the executors; nothing grows with the corpus on the driver.
 Defined results: null and wordless texts have an empty set and stand alone;
 fewer than ``k`` words count as one shingle; repeated rows and ids share a
 class; null ids are ignored when the smallest id is chosen; extra columns are
-left out of the search and kept by ``deduplicate``.
+left out of the search and kept by ``deduplicate``, which keeps one row of each
+group, also where several classes hold its smallest id or all its ids are null.
 """
 
 from __future__ import annotations
@@ -309,10 +310,9 @@ def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
     return both.mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, *, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: the id, ``n_shingles``, ``set_key``,
-    ``component_id`` (the smallest id reachable over links) and ``kept``."""
+def _grouped(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """The sketched rows of ``docs``, and one row per class: its set and smallest
+    id, its group's smallest id, and ``first`` for one class of each group."""
     small_batches(docs)
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     uid = F.col("_task").cast("long") * F.lit(1 << 40) + F.col("_place")
@@ -356,16 +356,27 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, *, id_col: s
     links = stage(_cross_links(crossing, texts, k, percent, least), "links")
     groups = components(groups.union(links))
 
-    # the smallest id of each group of classes
+    # the smallest id of each group of classes, and its class with the smallest number
     linked = classes.select("c", "least_id", "set_key").join(
         groups.union(groups.select("b", "b").distinct()).toDF("c", "root"), "c")
-    ids = linked.groupBy("root").agg(F.min("least_id").alias("group_id"))
-    named = linked.join(ids, "root").select(F.col("set_key").alias("linked_key"), "group_id")
-    final = stage(classes.join(named, F.col("set_key") == F.col("linked_key"), "left")
-                  .select(F.col("set_key").alias("of_key"),
-                          F.coalesce("group_id", "least_id").alias("component_id")), "final")
+    ids = linked.groupBy("root").agg(F.min("least_id").alias("group_id"),
+                                     F.min(F.struct(F.col("least_id").isNull(), "least_id", "c"))["c"].alias("chosen"))
+    named = linked.join(ids, "root").select(F.col("set_key").alias("linked_key"), "group_id",
+                                            (F.col("c") == F.col("chosen")).alias("first"))
+    return rows, stage(classes.join(named, F.col("set_key") == F.col("linked_key"), "left")
+                       .select(F.col("set_key").alias("of_key"), "least_id",
+                               F.coalesce("group_id", "least_id").alias("component_id"),
+                               F.coalesce("first", F.lit(True)).alias("first")), "final")
+
+
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, *, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """One row per row of ``docs``: the id, ``n_shingles``, ``set_key``,
+    ``component_id`` (the smallest id reachable over links) and ``kept``."""
+    rows, final = _grouped(docs, k, percent, id_col, text_col)
     rows = rows.select(F.col("id").alias(id_col), "n_shingles", "set_key")
-    some = (rows.filter("set_key IS NOT NULL").join(final, F.col("set_key") == F.col("of_key")).drop("of_key"))
+    some = (rows.filter("set_key IS NOT NULL").join(final.drop("least_id", "first"), F.col("set_key") == F.col("of_key"))
+            .drop("of_key"))
     alone = rows.filter("set_key IS NULL").withColumn("component_id", F.col(id_col))
     return some.unionByName(alone).withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id")))
 
@@ -393,10 +404,10 @@ def _block_pairs(signed: DataFrame, grouped: DataFrame) -> DataFrame:
 
 def deduplicate(docs: DataFrame, k: int = 5, percent: int = 80, *, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each group of near duplicates, the one with the
+    """``docs`` with one row of each group of near duplicates, one with the
     smallest id; texts without words all stay. Same columns."""
-    kept = (near_duplicates(docs, k, percent, id_col=id_col, text_col=text_col)
-            .filter("kept AND set_key IS NOT NULL").select(F.col(id_col).alias("_id"), F.col("set_key").alias("_key")))
+    _, final = _grouped(docs, k, percent, id_col, text_col)
+    kept = final.filter("first").select(F.col("least_id").alias("_id"), F.col("of_key").alias("_key"))
     names = docs.columns
     keyed = sketch(docs.select(*[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(names)]),
                    f"_c{names.index(text_col)}", k, signature=False)
