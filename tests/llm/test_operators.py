@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillroll.llm import decontam, neardup, packing, quality, queries, secrets, sharding, tokens, topk, toxicity
+from tillroll.llm.common import bounded_sample
 
 SF = "/root/testdata/sf0.01"
 DOC = "doc_id long, text string, n_hit string, Score string"  # with clashing extra columns
@@ -159,6 +160,18 @@ def test_toxicity_and_quality_held_out(spark):
         assert np.mean([r["predicted"] == r[column] for r in rows]) >= least
 
 
+def test_fit_sample_takes_every_picked_id(spark):
+    rows = [(1, "copied")] * 40 + [(2, f"edited {i}") for i in range(40)] + [(i, f"own {i}") for i in range(3, 9)] + [(9, None)] * 9
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    picks = docs.select("doc_id").distinct()
+    assert sorted(r[0] for r in bounded_sample(docs, picks, 9).collect()) == list(range(1, 10))
+    more = [tuple(r) for r in bounded_sample(docs, picks, 15).collect()]
+    assert len(set(more)) == 15 and sorted(i for i, _ in more) == [1, *[2] * 7, *range(3, 10)]
+    assert bounded_sample(docs, picks, 90).count() == 48  # every distinct text has a place
+    few = bounded_sample(docs, picks, 90, most_bytes=40).collect()
+    assert few and sum(len(r["text"] or "") for r in few) <= 40 and bounded_sample(docs, picks, 90, most_bytes=0).count() >= 1
+
+
 def test_classifiers_edges(spark):
     docs = _docs(spark, [None, "", "\n\n", "good words here", "x" * 300_000, "a\n" * 5000])
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")

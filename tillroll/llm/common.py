@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -153,9 +153,21 @@ def crc_fold(id_col: str, mod: int) -> Column:
     return F.crc32(F.encode(text, "UTF-8")) % F.lit(mod)
 
 
-def bounded_sample(docs: DataFrame, picks: DataFrame, most: int, id_col: str = "doc_id") -> DataFrame:
-    """Rows of ``docs`` whose id is in ``picks`` (at most ``most`` rows, so the
-    broadcast is bounded), at most ``most`` of them, in id-hash order."""
-    return (docs.join(F.broadcast(picks), id_col)
-            .orderBy(F.xxhash64(F.col(id_col)), F.col(id_col)).limit(most))
+SAMPLE_BYTES = 256 << 20
+
 
+def bounded_sample(docs: DataFrame, picks: DataFrame, most: int, id_col: str = "doc_id", text_col: str = "text",
+                   most_bytes: int = SAMPLE_BYTES) -> DataFrame:
+    """Rows of ``docs`` whose id is in ``picks`` (at most ``most`` rows, so the
+    broadcast is bounded), at most ``most`` of them, in id-hash order. Copies (equal
+    id and text) count once, and a second text of an id comes after the first
+    texts of all ids. The rows end before their texts pass ``most_bytes``; the
+    first one always stays."""
+    texts = docs.join(F.broadcast(picks), id_col).dropDuplicates([id_col, text_col])
+    by_id = Window.partitionBy(id_col).orderBy(F.xxhash64(text_col), text_col)
+    order = [F.col("_turn"), F.xxhash64(F.col(id_col)), F.col(id_col), F.xxhash64(text_col), F.col(text_col)]
+    few = texts.withColumn("_turn", F.row_number().over(by_id)).orderBy(*order).limit(most)
+    size = F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long")
+    held = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return (few.withColumn("_held", F.sum(size).over(held)).filter((F.col("_held") <= most_bytes) | (F.col("_held") == size))
+            .drop("_turn", "_held"))
