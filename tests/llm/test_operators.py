@@ -311,6 +311,18 @@ def test_hilbert_curve_and_shards(spark):
     assert sharding.hilbert_shards(df.limit(0), ["lang"], shards=40).count() == 0
 
 
+def test_shards_by_whole_text(spark):
+    rows = [(i, f"https://common-{i % 8}", f"wikipedia_{'de' if i % 3 else 'en'}" if i % 7 else None) for i in range(800)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, wiki string").repartition(3)
+    by = {}
+    for r in sharding.hilbert_shards(df.select("doc_id", "source"), ["source"], shards=8).join(df, "doc_id").collect():
+        by.setdefault(r["shard"], set()).add(r["doc_id"] % 8)
+    assert sorted(by.values(), key=min) == [{i} for i in range(8)]
+    curves = {r["doc_id"]: r["curve"] for r in sharding.hilbert_shards(df, ["wiki"], shards=8).collect()}
+    places = {w: {curves[i] for i, _, v in rows if v == w} for w in ("wikipedia_de", "wikipedia_en", None)}
+    assert max(map(len, places.values())) == 1 and places["wikipedia_de"] != places["wikipedia_en"]
+
+
 def test_op9_over_documents(spark):
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     for r in queries.QUERIES["op9_sharding"](spark, SF).collect():

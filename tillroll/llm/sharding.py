@@ -9,6 +9,8 @@ minimum and maximum of any dimension.
 Law ``rows``: with N rows and S shards, row r of the run goes to shard
 floor(r * S / N), so counts are at most one apart whatever the keys hold.
 
+Texts are cut by their whole value.
+
 Defined results: a null dimension sorts first; ties on the curve are ordered by
 id, then by place in the input, so repeated rows get places of their own; an
 empty table gives no rows; extra columns are only kept on request.
@@ -16,9 +18,11 @@ empty table gives no rows; extra columns are only kept on request.
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,18 +64,32 @@ def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
 
 
 def _number(column: pa.Array) -> np.ndarray:
-    """A double that keeps the column's order: the number itself, or a text's
-    first six bytes; -inf for null."""
-    if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
-        found = [-np.inf if t is None else float(int.from_bytes(t.encode()[:6].ljust(6, b"\0"), "big"))
-                 for t in column.to_pylist()]
-        return np.array(found, float)
+    """A double that keeps the column's order; -inf for null."""
     if pa.types.is_boolean(column.type):
         column = column.cast(pa.int8())
     out = column.cast(pa.float64(), safe=False).to_numpy(zero_copy_only=False)
     return np.where(np.isnan(out), -np.inf, out)
 
 
+def _text_cuts(values: DataFrame, column: str, parts: int) -> list[str]:
+    """The values at which a text column is cut into ``parts`` of equal rows, by
+    whole value: counts per value, summed in order of the values."""
+    counts = values.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
+    run = stage(numbered(counts.repartitionByRange("value").sortWithinPartitions("value")), "hilbert-values")
+    sums = sorted((r[0], r[1]) for r in run.groupBy("_task").agg(F.sum("n")).collect())
+    total, base, seen = sum(n for _, n in sums), [], 0
+    for part, n in sums:
+        base.append((part, seen))
+        seen += n
+    starts = values.sparkSession.createDataFrame(base, "_task int, _base long")
+    upto = F.col("_base") + F.sum("n").over(Window.partitionBy("_task").orderBy("_place"))
+    # a cut is the first value that reaches one of the steps i * total / parts
+    step = lambda c: F.least(F.floor(c * F.lit(parts) / F.lit(max(1, total))), F.lit(parts - 1))
+    found = (run.join(F.broadcast(starts), "_task").withColumn("upto", upto)
+             .filter(step(F.col("upto")) > step(F.col("upto") - F.col("n"))).select("value"))
+    return sorted(r[0] for r in found.collect())
+
+
 def hilbert_shards(rows: DataFrame, dims: list[str], shards: int = 40, id_col: str = "doc_id",
                    bits: int = BITS) -> DataFrame:
     """``rows`` with ``curve`` (place on the curve), ``shard`` and ``slot``.
@@ -80,22 +98,30 @@ def hilbert_shards(rows: DataFrame, dims: list[str], shards: int = 40, id_col: s
     its numbers and once in curve order."""
     spark = rows.sparkSession
     keys = [f"_key{i}" for i in range(len(dims))]
-    out = T.StructType([T.StructField(k, T.DoubleType()) for k in keys])
+    texts = {k for k, c in zip(keys, dims) if isinstance(rows.schema[c].dataType, T.StringType)}
+    out = T.StructType([T.StructField(k, T.StringType() if k in texts else T.DoubleType()) for k in keys])
 
     def numbers():
-        return lambda b: [_number(b.column(b.schema.get_field_index(c))) for c in dims]
+        return lambda b: [x if k in texts else _number(x)
+                          for k, x in ((k, b.column(b.schema.get_field_index(c))) for k, c in zip(keys, dims))]
 
     keyed = stage(append_columns(rows, out, numbers, number=True), "hilbert-keys")
-    # quantiles by sketch: 2**bits - 1 numbers per dimension reach the driver
+    # quantiles, numbers by sketch: 2**bits - 1 values per dimension reach the driver
     steps = [i / (1 << bits) for i in range(1, 1 << bits)]
-    cut_row = keyed.agg(*[F.percentile_approx(F.when(F.col(k) > float("-inf"), F.col(k)), steps, 10_000).alias(k)
-                          for k in keys]).first()
-    cuts = [np.unique(np.array(cut_row[k] if cut_row[k] is not None else [], float)) for k in keys]
+    plain = [k for k in keys if k not in texts]
+    cut_row = (keyed.agg(*[F.percentile_approx(F.when(F.col(k) > float("-inf"), F.col(k)), steps, 10_000).alias(k)
+                           for k in plain]).first() if plain else {})
+    cuts = {k: np.unique(np.array(cut_row[k] if cut_row[k] is not None else [], float)) for k in plain}
+    cuts |= {k: _text_cuts(keyed, k, 1 << bits) for k in keys if k in texts}
+
+    def cell(k, column):
+        if k in texts:  # null sorts first
+            return np.array([0 if t is None else bisect_right(cuts[k], t) for t in column.to_pylist()], np.int64)
+        return np.searchsorted(cuts[k], column.to_numpy(), side="right")
 
     def curve():
         def each(b):
-            cells = np.stack([np.searchsorted(c, b.column(b.schema.get_field_index(k)).to_numpy(), side="right")
-                              for k, c in zip(keys, cuts)], axis=1)
+            cells = np.stack([cell(k, b.column(b.schema.get_field_index(k))) for k in keys], axis=1)
             return [hilbert_index(cells, bits)]
 
         return each
