@@ -7,6 +7,8 @@ appended column always wins and no reference is ambiguous.
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import re
 import time
 from collections.abc import Callable, Iterator
@@ -20,8 +22,8 @@ from pyspark.sql import types as T
 from tillroll.session import shared_path
 from tillroll.sources.tables import read_table
 
-__all__ = ["append_columns", "arrow_schema", "bounded_sample", "crc_fold", "drop_clashes", "numbered",
-           "parts_of", "read_table", "slices_by_bytes", "small_batches", "stage", "utf8"]
+__all__ = ["append_columns", "arrow_schema", "bounded_sample", "complete_groups", "crc_fold", "drop_clashes", "numbered",
+           "parts_of", "read_table", "slices_by_bytes", "small_batches", "stage", "tidied", "utf8"]
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -66,6 +68,50 @@ def small_batches(df: DataFrame) -> None:
             df.sparkSession.conf.set(key, str(most))
 
 
+def tidied(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run``, after whose task the worker gives unused memory back: workers
+    stay for later tasks, and an executor has several."""
+    @functools.wraps(run)
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+            if trim:
+                trim(0)
+
+    return work
+
+
+def complete_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables that hold whole groups of the (sorted) keys, with group borders."""
+    def borders(t: pa.Table) -> np.ndarray:
+        new = np.zeros(t.num_rows, bool)
+        for k in keys:
+            x = t.column(k).to_numpy()
+            new[1:] |= x[1:] != x[:-1]
+        return np.flatnonzero(new)
+
+    held, last = [], None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        t = pa.Table.from_batches([b])
+        first = [t.column(k)[0].as_py() for k in keys]
+        inside = borders(t)
+        cut = int(inside[-1]) if inside.size else 0
+        if cut or (held and first != last):
+            whole = pa.concat_tables([*held, t.slice(0, cut)]) if held else t.slice(0, cut)
+            yield whole, np.concatenate([[0], borders(whole), [whole.num_rows]])
+            held = []
+        held.append(t.slice(cut))
+        last = [t.column(k)[t.num_rows - 1].as_py() for k in keys]
+    if held:
+        whole = pa.concat_tables(held)
+        yield whole, np.concatenate([[0], borders(whole), [whole.num_rows]])
+
+
 _NUMBERS = T.StructType([T.StructField("_task", T.IntegerType()), T.StructField("_place", T.LongType())])
 
 
@@ -101,6 +147,7 @@ def append_columns(df: DataFrame, out: T.StructType,
     stay = [i for i, c in enumerate(df.columns) if c.lower() not in gone]
     fields = T.StructType(list(kept.schema.fields) + list(out.fields))
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = arrow_schema(fields)
         extra = [schema.field(i).type for i in range(len(schema) - len(out.fields), len(schema))]
@@ -112,7 +159,6 @@ def append_columns(df: DataFrame, out: T.StructType,
                     for c, f in zip([*(b.column(i) for i in stay), *new], schema)]
             yield pa.RecordBatch.from_arrays(cols, schema=pa.schema(
                 [pa.field(f.name, f.type) for f in schema]))
-        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, fields)
 

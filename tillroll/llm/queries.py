@@ -3,12 +3,14 @@ where DuckDB can say the same."""
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import decontam, neardup, packing, quality, secrets, sharding, tokens, topk, toxicity, warc
+from tillroll.llm import (decontam, neardup, packing, periodic, quality, repeats, secrets, sharding, spelling, tokens, topk,
+                          toxicity, warc)
 from tillroll.llm.common import crc_fold, read_table
 from tillroll.session import shared_path
 
@@ -140,6 +142,52 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op11_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that strings of 50 bytes of earlier documents cover."""
+    found = repeats.remove_repeats(_docs(spark, sf_dir, "doc_id", "text"), span=50)
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def one_letter_less(run: str, doc_id: bytes) -> str:
+    """The run, without one letter if 31 divides the checksum of id and run."""
+    h = zlib.crc32(run.encode(), zlib.crc32(doc_id + b":"))
+    at = h % len(run)
+    return run if h % 31 else run[:at] + run[at + 1:]
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants among the words of all documents, some of which lose a letter."""
+    words = spelling.count_words(_docs(spark, sf_dir, "doc_id", "text"), shortest=7, change=one_letter_less)
+    return spelling.group_variants(words, least=2, ratio=10)
+
+
+def repeated_tail(words: list[bytes], doc_id: bytes) -> list[bytes]:
+    """The words, in one document of ten with a tail that repeats its first words."""
+    h, n = zlib.crc32(doc_id), len(words)
+    if h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a:a + p] * ((n - a) // p + 1))[:n - a]
+
+
+def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document, some of which get a periodic tail."""
+    found = periodic.find_runs(_docs(spark, sf_dir, "doc_id", "text"), least=4, shortest=6, change=repeated_tail)
+    runs = F.col("runs")
+    # the greatest length, then the smallest start and period
+    best = F.array_sort(F.transform(runs, lambda r: F.struct((-r["length"]).alias("l"), r["start"].alias("s"), r["period"].alias("p"))))
+    best = F.get(best, 0)
+    line = lambda r: F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")])
+    return found.withColumn("best", best).select(
+        "doc_id", F.size(runs).cast("long").alias("n_runs"), F.col("best.s").alias("start"), (-F.col("best.l")).alias("length"),
+        F.col("best.p").alias("period"), F.expr("-1000 * best.l div best.p").alias("exponent_milli"),
+        _hex(F.array_join(F.transform(runs, lambda r: F.concat(line(r), F.lit("\n"))), "")).alias("runs_sha256"),
+        _hex(F.col("collapsed")).alias("collapsed_sha256"))
+
+
 OP2_SQL = r"""
 WITH RECURSIVE d AS (
   SELECT row_number() OVER () AS r, doc_id,
@@ -200,11 +248,115 @@ SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
 FROM f
 """
 
+# texts as hex digits, two for each byte
+OP11_SQL = """
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, 9223372036854775807) AS id, hex(encode(coalesce(text, ''))) AS h
+  FROM documents),
+w AS (
+  SELECT r, id, i, substr(h, 2 * i + 1, 100) AS s
+  FROM (SELECT r, id, h, unnest(range(0, len(h) // 2 - 49)) AS i FROM d WHERE len(h) >= 100)),
+m AS (SELECT s, min(id) AS least FROM w GROUP BY s),
+c AS (SELECT r, i FROM w JOIN m USING (s) WHERE least < id),
+g AS (
+  SELECT r, i, sum(CASE WHEN i <= p + 50 THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY i) AS g
+  FROM (SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS p FROM c)),
+s AS (SELECT r, min(i) AS a, max(i) + 50 AS b FROM g GROUP BY r, g),
+k AS (
+  SELECT r, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS tail,
+         string_agg(substr(h, 2 * o + 1, 2 * (a - o)), '' ORDER BY a) AS kept
+  FROM (SELECT r, a, b, h, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS o FROM s JOIN d USING (r)) GROUP BY r)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(CASE WHEN n_spans IS NULL THEN h ELSE kept || substr(h, 2 * tail + 1) END)) AS kept_sha256
+FROM d LEFT JOIN k USING (r)
+"""
+
+# crc32 by its table of 256 entries, from the polynomial
+CRC_SQL = """
+crc_table AS MATERIALIZED (
+  SELECT n AS k, list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, CAST(3988292384 AS BIGINT)) ELSE c >> 1 END) AS v
+  FROM (SELECT CAST(unnest(range(256)) AS BIGINT) AS n)),
+crc(s, h, acc, pos) AS (
+  SELECT s, hex(encode(s)), CAST(4294967295 AS BIGINT), 1 FROM crc_input
+  UNION ALL
+  SELECT s, h, xor(acc >> 8, v), pos + 2
+  FROM crc JOIN crc_table ON k = xor(acc & 255, CAST('0x' || substr(h, pos, 2) AS BIGINT)) WHERE pos < len(h)),
+crc_of AS MATERIALIZED (SELECT s, xor(acc, CAST(4294967295 AS BIGINT)) AS crc FROM crc WHERE pos > len(h))
+"""
+
+OP12_SQL = r"""
+WITH RECURSIVE runs AS MATERIALIZED (
+  SELECT doc, run, count(*) AS n
+  FROM (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS doc, unnest(regexp_extract_all(
+          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run
+        FROM documents) WHERE len(run) >= 7 GROUP BY ALL),
+crc_input AS (SELECT doc || ':' || run AS s FROM runs),
+""" + CRC_SQL + """,
+v AS MATERIALIZED (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n
+  FROM (SELECT CASE WHEN crc % 31 = 0 THEN substr(run, 1, crc % len(run)) || substr(run, crc % len(run) + 2) ELSE run END AS word, n
+        FROM runs JOIN crc_of ON doc || ':' || run = s)
+  WHERE len(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+del AS MATERIALIZED (
+  SELECT word, n, i, len(word) AS l, substr(word, 1, i) || substr(word, i + 2) AS d
+  FROM (SELECT word, n, unnest(range(0, len(word))) AS i FROM v)),
+pair AS (
+  SELECT x.word, y.word AS near, y.n AS near_n FROM del x JOIN del y ON x.d = y.d AND x.i = y.i AND x.l = y.l AND x.word <> y.word
+  UNION SELECT del.word, v.word, v.n FROM del JOIN v ON del.d = v.word
+  UNION SELECT v.word, del.word, del.n FROM del JOIN v ON del.d = v.word),
+best AS (
+  SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, near) AS near, max(near_n) AS near_n FROM pair GROUP BY word),
+f AS MATERIALIZED (
+  SELECT v.word, CASE WHEN near_n >= 10 * n THEN near END AS form, n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN near_n >= 10 * n THEN near_n END AS form_n
+  FROM v LEFT JOIN best USING (word)),
+up(word, root) AS (
+  SELECT word, word AS root FROM f UNION ALL SELECT up.word, f.form FROM up JOIN f ON up.root = f.word WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, up.root, n, CAST(n_near AS BIGINT) AS n_near, form_n
+FROM f JOIN up ON f.word = up.word JOIN (SELECT word FROM f WHERE form IS NULL) e ON up.root = e.word
+"""
+
+OP13_SQL = r"""
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(CAST(doc_id AS VARCHAR), '') AS s,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+crc_input AS (SELECT DISTINCT s FROM d),
+""" + CRC_SQL + """,
+e AS (
+  SELECT r, doc_id, w, len(w) AS n, crc, CASE WHEN crc % 10 = 0 AND len(w) > 0 THEN (crc // 10) % len(w) END AS a
+  FROM d LEFT JOIN crc_of USING (s)),
+q AS (SELECT *, 1 + (n - a) // (3 + (crc // 10) % 8) AS p FROM e),
+t AS MATERIALIZED (
+  SELECT r, doc_id, n, CASE WHEN a IS NULL THEN w ELSE
+    list_transform(range(0, n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) END AS w FROM q),
+x AS MATERIALIZED (SELECT r, n, unnest(range(0, n)) AS i, unnest(w) AS w FROM t),
+y AS (
+  SELECT x.r, x.i, z.i - x.i AS q FROM x JOIN x z ON x.r = z.r AND x.w = z.w AND z.i > x.i AND 4 * (z.i - x.i) <= x.n),
+g AS (SELECT r, q, min(i) AS a, count(*) + q AS l
+      FROM (SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS k FROM y) GROUP BY r, q, k),
+u AS MATERIALIZED (SELECT r, a, l, min(q) AS q FROM g WHERE l >= greatest(6, 4 * q) GROUP BY r, a, l),
+b AS (
+  SELECT r, count(*) AS n_runs, first(a ORDER BY l DESC, a, q) AS start, first(l ORDER BY l DESC, a, q) AS length,
+         first(q ORDER BY l DESC, a, q) AS period, string_agg(a || ',' || l || ',' || q || chr(10), '' ORDER BY a, q) AS runs
+  FROM u GROUP BY r),
+o AS (SELECT DISTINCT r, unnest(range(a + q, a + l)) AS i FROM u),
+c AS (SELECT x.r, string_agg(x.w, ' ' ORDER BY x.i) AS kept FROM x ANTI JOIN o ON x.r = o.r AND x.i = o.i GROUP BY x.r)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, CAST(start AS BIGINT) AS start, CAST(length AS BIGINT) AS length,
+       CAST(period AS BIGINT) AS period, CAST(1000 * length // period AS BIGINT) AS exponent_milli,
+       sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM t LEFT JOIN b USING (r) LEFT JOIN c USING (r)
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_decontamination, op2_near_duplicates, op3_toxicity, op4_secrets, op5_packing,
-                            op6_token_counts, op7_warc, op8_quality, op9_sharding, op10_top_k)
+                            op6_token_counts, op7_warc, op8_quality, op9_sharding, op10_top_k, op11_repeats,
+                            op12_spelling, op13_periodic)
 }
 
 #: DuckDB SQL where it can express the query; the others have brute-force tests
 SQL: dict[str, str] = {"op1_decontamination": OP1_SQL, "op2_near_duplicates": OP2_SQL, "op7_warc": OP7_SQL,
-                       "op10_top_k": OP10_SQL}
+                       "op10_top_k": OP10_SQL, "op11_repeats": OP11_SQL, "op12_spelling": OP12_SQL,
+                       "op13_periodic": OP13_SQL}

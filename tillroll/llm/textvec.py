@@ -44,6 +44,11 @@ class _Powers:
 _POWERS = _Powers()
 
 
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of the hash base, or more, and of its inverse."""
+    return _POWERS.get(n)
+
+
 def byte_table(is_word, lower: bool = True) -> np.ndarray:
     """256 codes: 0 for separators, else 1 + the byte (A-Z folded)."""
     t = np.zeros(256, np.uint64)
