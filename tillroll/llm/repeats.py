@@ -15,8 +15,8 @@ Spark makes the bounded collections:
    strings with one anchor form a segment of at most ``2 * span - gram`` bytes. Equal strings
    have equal anchors, so they meet if segments are dealt by anchor.
 2. The texts lie in a bucketed table, in chunks of a few MB, so that no later step
-   shuffles them. Each chunk sends its anchors, each once with a count, to the anchors'
-   buckets and learns which are repeated anywhere. Only those can matter.
+   shuffles them. Each chunk sends its anchors, each once with the number of its texts, to the
+   anchors' buckets and learns which occur in several texts anywhere. Only those can matter.
 3. The distinct segments of repeated anchors, with their smallest id, are dealt by
    anchor; those of an anchor repeated very often are cut into strings of
    ``span`` bytes first and dealt by their content, so that no collection
@@ -118,8 +118,7 @@ class Collection:
         shared = np.zeros(n, np.uint8)
         while True:
             order = np.argsort(bwt, kind="stable")  # equal symbols in suffix order
-            ends = int(np.searchsorted(bwt[order], 1)) if len(order) else 0
-            order = order[ends:]
+            order = order[len(bwt) - np.count_nonzero(bwt):]
             latest = np.zeros(len(bwt), bool)
             latest[place] = True
             grown = np.flatnonzero(latest[order])
@@ -248,11 +247,17 @@ def _repeated_anchors(table: DataFrame, buckets: int, span: int, gram: int) -> D
             for lo, hi in zip(border[:-1].tolist(), border[1:].tolist()):
                 if lo == hi:
                     continue
-                code = segments(*utf8(b.column(1).slice(lo, hi - lo)), span, gram)[2]
-                bucket, low = (code >> np.uint64(32)) % np.uint64(buckets), code & np.uint64(0xFFFFFFFF)
-                key, n = np.unique((bucket << np.uint64(32)) | low, return_counts=True)
-                if not key.size:
+                raw, at = utf8(b.column(1).slice(lo, hi - lo))
+                first, _, code = segments(raw, at, span, gram)
+                if not len(code):
                     continue
+                bucket, low = (code >> np.uint64(32)) % np.uint64(buckets), code & np.uint64(0xFFFFFFFF)
+                key, text = (bucket << np.uint64(32)) | low, np.searchsorted(at, first, side="right")
+                order = np.argsort(key, kind="stable")  # texts stay in order
+                key, text = key[order], text[order]
+                once = np.ones(len(key), bool)  # in each text
+                once[1:] = (key[1:] != key[:-1]) | (text[1:] != text[:-1])
+                key, n = np.unique(key[once], return_counts=True)
                 of = (key >> np.uint64(32)).astype(np.int64)
                 start = np.concatenate([[0], np.flatnonzero(np.diff(of)) + 1])
                 codes, counts = _cut(np.append(start, len(key)), key.astype("<u4"), np.minimum(n, 255).astype(np.uint8))
