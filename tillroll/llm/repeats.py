@@ -7,7 +7,9 @@ column by column: in every round each document gets one more symbol to the left,
 suffixes are merged into the Burrows-Wheeler transform of the whole collection by
 rank, and the common prefixes are carried along (one more than the least
 one between two equal symbols). Transform and prefixes are read and written once per
-round, in order; they are arrays here, as each collection is bounded.
+round, in order; they are arrays here, as each collection is bounded. A symbol is two bytes
+if ``span`` is even, which halves the rounds; each text is then in the collection
+twice, in both alignments.
 
 Spark makes the bounded collections:
 
@@ -38,6 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -103,21 +106,25 @@ def segments(raw: np.ndarray, at: np.ndarray, span: int, gram: int) -> tuple[np.
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
+def _sorted(symbol: np.ndarray) -> np.ndarray:
+    """Places of symbols in (stable) order; Arrow counts small numbers in one pass."""
+    return pc.array_sort_indices(pa.array(symbol)).to_numpy().view(np.int64)
+
+
 class Collection:
-    """Suffix order of many short texts: transform (0 before a text's first
-    symbol, else the byte + 1) and prefixes shared with the suffix before, up to ``most``."""
+    """Suffix order of many short texts of symbols 1 and up: the transform (0 before a text's first
+    symbol) and the prefix shared with the suffix before, up to ``most`` symbols."""
 
-    def __init__(self, raw: np.ndarray, at: np.ndarray, most: int) -> None:
-        n = len(at) - 1
-        self.n = n
-        symbol = raw.astype(np.uint8) + np.uint8(1)  # no byte of UTF-8 is above 0xF4
+    def __init__(self, symbol: np.ndarray, at: np.ndarray, most: int) -> None:
+        self.n = n = len(at) - 1
         # round 0: the empty suffixes, in the order of the texts
-        left = at[1:] - 1  # next symbol of each text
+        padded = np.append(symbol.astype(np.uint16), np.uint16(0))
+        left = at[1:] - 1  # place of each text's next symbol
         text, place = np.arange(n), np.arange(n)
-        bwt = np.where(left >= at[:-1], symbol[np.maximum(left, 0)], 0).astype(np.uint8)
+        bwt = np.where(left >= at[:-1], padded[left], np.uint16(0))
         shared = np.zeros(n, np.uint8)
         while True:
-            order = np.argsort(bwt, kind="stable")  # equal symbols in suffix order
+            order = _sorted(bwt)  # equal symbols in suffix order
             order = order[len(bwt) - np.count_nonzero(bwt):]
             latest = np.zeros(len(bwt), bool)
             latest[place] = True
@@ -125,16 +132,16 @@ class Collection:
             if not grown.size:
                 break
             # the texts in the order of their new suffixes
-            by = np.argsort(bwt[place], kind="stable")
+            by = _sorted(bwt[place])
             text = text[by[len(by) - len(grown):]]
             left[text] -= 1
             new = n + grown
             size = len(bwt) + len(grown)
             stays = np.ones(size, bool)
             stays[new] = False
-            now, with_before = np.empty(size, np.uint8), np.empty(size, np.uint8)
+            now, with_before = np.empty(size, np.uint16), np.empty(size, np.uint8)
             now[stays], with_before[stays] = bwt, shared
-            now[new] = np.where(left[text] >= at[text], symbol[np.maximum(left[text], 0)], 0)
+            now[new] = np.where(left[text] >= at[text], padded[left[text]], np.uint16(0))
             with_before[new] = self._prefixes(bwt, shared, order, grown, most)
             after = grown[grown + 1 < len(order)] + 1
             with_before[n + after] = self._prefixes(bwt, shared, order, after, most)
@@ -176,17 +183,36 @@ class Collection:
             yield length, text, place
 
 
+def _texts_of_pairs(raw: np.ndarray, at: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The texts as texts of symbols of ``width`` bytes. Of two bytes, every text comes twice,
+    the second time (behind all others) without its last byte, so that each start is in one of them."""
+    if width == 1:
+        symbol, ends = raw.astype(np.int64), [at]
+    else:
+        pair = raw.astype(np.int64) << 8
+        pair[:-1] |= raw[1:]
+        left = np.repeat(at[1:], np.diff(at)) - np.arange(len(raw))  # bytes to the text's end
+        own = [(left & 1 == skip) & (left >= 2 + skip) for skip in (0, 1)]
+        symbol = np.concatenate([pair[x] for x in own])
+        ends = [np.concatenate([[0], np.cumsum(x)])[at] for x in own]
+        ends = [ends[0], ends[0][-1] + ends[1][1:]]
+    used = np.zeros(1 << 8 * width, np.int64)
+    used[symbol] = 1
+    return np.cumsum(used)[symbol], np.concatenate(ends)  # symbols numbered from 1
+
+
 def smallest_ids(raw: np.ndarray, at: np.ndarray, ids: np.ndarray, span: int) -> np.ndarray:
     """For each text (row) and start (column) the smallest id of all texts that hold
     the ``span`` bytes there; ``_NO_ID`` behind the last start."""
-    own = Collection(raw, at, span)
-    group = np.cumsum(own.shared < span)
+    width = 1 if span % 2 else 2
+    own = Collection(*_texts_of_pairs(raw, at, width), span // width)
+    group = np.cumsum(own.shared < span // width)
     least = np.full(int(group[-1]) + 1 if len(group) else 1, _NO_ID)
-    size = np.diff(at)
-    found = []
+    size, found = np.diff(at), []
     for length, text, place in own.suffixes():
-        if length >= span:
-            found.append((text, size[text] - length, group[place]))
+        if width * length >= span:
+            skip, text = np.divmod(text, len(size))
+            found.append((text, size[text] - width * length - skip, group[place]))
             np.minimum.at(least, group[place], ids[text])
     out = np.full((len(size), max(1, int(size.max(initial=span)) - span + 1)), _NO_ID)
     for text, start, g in found:
@@ -299,7 +325,8 @@ _SEGMENTS = ("route long, chunk long, strings binary, sizes binary, least binary
 
 def _dealt_segments(table: DataFrame, repeated: DataFrame, buckets: int, routes: int, span: int, gram: int) -> DataFrame:
     """The distinct segments of repeated anchors in each chunk, by route, with the
-    smallest and largest id there and all places (row, start, number of the segment)."""
+    smallest id there, how much larger the largest is, and all places (row's number in the
+    chunk, start, number of the segment)."""
     def deal(rows: pa.Table, anchors: pa.Table) -> pa.Table:
         names = [x.split()[0] for x in _SEGMENTS.split(", ")]
         kinds = [pa.int64(), pa.int64()] + [pa.binary()] * 7
@@ -344,14 +371,17 @@ def _dealt_segments(table: DataFrame, repeated: DataFrame, buckets: int, routes:
         start = np.concatenate([[0], np.flatnonzero(np.diff(to)) + 1])
         border = np.append(start, n_strings)
         size = np.array([len(texts[k]) for k in order.tolist()], np.uint16)
-        strings = [b"".join(texts[k] for k in order[a:b].tolist()) for a, b in zip(border[:-1].tolist(), border[1:].tolist())]
-        sizes, leasts, mosts = _cut(border, size, least[order], most[order])
+        pack = pa.Codec("zstd", compression_level=1).compress
+        strings = [pack(b"".join(texts[k] for k in order[a:b].tolist()), asbytes=True)
+                   for a, b in zip(border[:-1].tolist(), border[1:].tolist())]
+        sizes, leasts, mosts = _cut(border, size, least[order], (most - least)[order])
         place = rank[string]
         by = np.argsort(place, kind="stable")
         place = place[by]
         group = np.searchsorted(start, place, side="right") - 1
         edge = np.searchsorted(group, np.arange(len(start) + 1))
-        of_row, of_start, of_string = _cut(edge, rows.column("row").to_numpy()[of][by], (lo - at[of])[by],
+        number_of = np.argsort(np.argsort(rows.column("row").to_numpy()))  # of each row among the chunk's
+        of_row, of_start, of_string = _cut(edge, number_of[of][by].astype(np.uint32), (lo - at[of])[by].astype(np.uint32),
                                            (place - start[group]).astype(np.uint32))
         chunk = rows.column("chunk")[0].as_py()
         got = [to[start], np.full(len(start), chunk), strings, sizes, leasts, mosts, of_row, of_start, of_string]
@@ -369,7 +399,10 @@ def _answers(dealt: DataFrame, span: int) -> DataFrame:
             for lo, hi in zip(border[:-1].tolist(), border[1:].tolist()):
                 part = t.slice(lo, hi - lo)
                 size, n = _joined(part.column("sizes"), np.uint16)
-                data = b"".join(part.column("strings").to_pylist())
+                border_of = np.concatenate([[0], np.cumsum(n)])
+                each = np.add.reduceat(size.astype(np.int64), border_of[:-1])  # a chunk's part is never empty
+                unpack = pa.Codec("zstd").decompress
+                data = b"".join(unpack(x, int(k), asbytes=True) for x, k in zip(part.column("strings").to_pylist(), each.tolist()))
                 ends = np.cumsum(size, dtype=np.int64)
                 number: dict[bytes, int] = {}
                 seen = number.setdefault
@@ -378,7 +411,9 @@ def _answers(dealt: DataFrame, span: int) -> DataFrame:
                 own = np.zeros(len(number), np.int64)
                 own[string] = size
                 least = np.full(len(number), _NO_ID)
-                np.minimum.at(least, string, _joined(part.column("least"), np.int64)[0])
+                mine = _joined(part.column("least"), np.int64)[0]
+                most = mine + _joined(part.column("most"), np.int64)[0]
+                np.minimum.at(least, string, mine)
                 raw = np.frombuffer(b"".join(number), np.uint8)
                 found = smallest_ids(raw, np.concatenate([[0], np.cumsum(own)]), least, span)
                 text, first, last, value = _runs(found, own, span)
@@ -386,7 +421,7 @@ def _answers(dealt: DataFrame, span: int) -> DataFrame:
                 times = (edge[string + 1] - edge[string])
                 which = np.repeat(np.arange(len(string)), times)
                 run_of = np.repeat(edge[string] - np.cumsum(times) + times, times) + np.arange(len(which))
-                lower = value[run_of] < _joined(part.column("most"), np.int64)[0][which]
+                lower = value[run_of] < most[which]
                 which, run_of = which[lower], run_of[lower]
                 base = np.cumsum(n) - n
                 row = np.searchsorted(base, which, side="right") - 1
@@ -412,7 +447,6 @@ def _marked(table: DataFrame, dealt: DataFrame, answers: DataFrame, span: int) -
         change = np.zeros(len(raw) + 1, np.int64)
         if told.num_rows and rows.num_rows:
             order = np.argsort(rows.column("row").to_numpy())
-            number = rows.column("row").to_numpy()[order]
             ids = rows.column("id").to_numpy()
             told = told.sort_by("route")
             route = told.column("route").to_numpy()
@@ -425,12 +459,12 @@ def _marked(table: DataFrame, dealt: DataFrame, answers: DataFrame, span: int) -
                 string, first, last, least = (_joined(a.column(c), k)[0] for c, k in (
                     ("string", "<u4"), ("first", np.uint16), ("last", np.uint16), ("least", np.int64)))
                 of_row, of_start, of_string = (_joined(p.column(c), k)[0] for c, k in (
-                    ("of_row", np.int64), ("of_start", np.int64), ("of_string", "<u4")))
+                    ("of_row", "<u4"), ("of_start", "<u4"), ("of_string", "<u4")))
                 lo, hi = np.searchsorted(string, of_string, "left"), np.searchsorted(string, of_string, "right")
                 n = hi - lo
                 which = np.repeat(np.arange(len(n)), n)
                 run = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(len(which))
-                row = order[np.searchsorted(number, of_row[which])]
+                row = order[of_row[which]]
                 lower = least[run] < ids[row]
                 which, run, row = which[lower], run[lower], row[lower]
                 start = at[row] + of_start[which]
