@@ -33,7 +33,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     survives lost executors, as the folder is shared."""
     spark = df.sparkSession
     path = shared_path(spark, "llm", f"{name}-{time.time_ns():x}", unique=True)
-    df.write.mode("overwrite").parquet(path)
+    # small row groups: a writer holds one in memory
+    df.write.mode("overwrite").option("parquet.block.size", str(16 << 20)).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -49,7 +50,7 @@ def arrow_schema(fields: T.StructType) -> pa.Schema:
     return to_arrow_schema(fields)
 
 
-def parts_of(batches: Iterator[pa.RecordBatch], most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def parts_of(batches: Iterator[pa.RecordBatch], most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The batches in parts of about ``most`` bytes, so results stay small too."""
     for b in batches:
         step = max(1, int(b.num_rows * most / max(1, b.nbytes)))
@@ -58,11 +59,13 @@ def parts_of(batches: Iterator[pa.RecordBatch], most: int = 8 << 20) -> Iterator
 
 
 def small_batches(df: DataFrame) -> None:
-    """Arrow batches of at most 8 MB and 4,000 rows in this session, so that
-    two tasks of an executor hold little of either side of a Python function.
-    Smaller settings of the session are left as they are."""
-    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", 4000),
-                      ("spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20)):
+    """In this session, Arrow batches of at most 4 MB and 2,000 rows and Parquet
+    reader batches of at most 512 rows, so that two tasks of an executor hold
+    little of long texts on either side of a Python function. Smaller settings of
+    the session are left as they are."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", 2000),
+                      ("spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20),
+                      ("spark.sql.parquet.columnarReaderBatchSize", 512)):
         now = re.fullmatch(r"(\d+)b?", df.sparkSession.conf.get(key) or "")
         if not now or not 0 < int(now[1]) <= most:
             df.sparkSession.conf.set(key, str(most))

@@ -13,9 +13,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import stage
+from tillroll.llm.common import stage, tidied
 
 
+@tidied
 def _forest(batches):
     """Union-find over one task's edges: (node, smallest node of its tree)."""
     parent: dict[int, int] = {}
@@ -53,18 +54,20 @@ def _small_star(e: DataFrame) -> DataFrame:
             .union(least.select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct())
 
 
+def _are_stars(e: DataFrame) -> bool:
+    """Whether every node has one edge to a smaller one, which has none itself."""
+    sides = e.select(F.col("a").alias("x"), F.lit(1).alias("up")).union(e.select("b", F.lit(0))).groupBy("x")
+    return sides.agg(F.sum("up").alias("up"), F.min("up").alias("least")).filter("up > 1 OR up > least").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(a, b) with ``b`` the smallest node of the component of ``a``, for every
     node but the smallest ones. ``edges`` are two long columns; loops are
     allowed. The rounds grow with the logarithm of the longest path."""
     now = stage(edges.toDF("a", "b").filter("a <> b").mapInArrow(_forest, "a long, b long"), "edges")
-    mark = None
-    while True:
-        seen = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1_000_003)).first()
-        if seen == mark or not seen[0]:
-            return now
-        mark = seen
+    while not _are_stars(now):
         now = stage(_small_star(_large_star(now)), "edges")
+    return now
 
 
 def spanning_forest(weight: np.ndarray, least: float) -> list[tuple[int, int]]:

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import append_columns, slices_by_bytes, small_batches, stage, utf8
+from tillroll.llm.common import append_columns, complete_groups, slices_by_bytes, small_batches, stage, tidied, utf8
 from tillroll.llm.components import components, spanning_forest
 from tillroll.llm.textvec import SPACED, mix, scan_words, shingles
 
@@ -49,6 +49,7 @@ _ROWS = PLACES // BANDS
 _FRACTION = 25  # bits of a value's fraction; the rest is its rank
 _SLICE = 2 << 20
 _ELEMENTS = 1 << 17
+_HELD = 32 << 20  # bytes of shingle sets held while a block is verified
 BLOCK = 512  # classes of one bucket compared at once
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -134,6 +135,7 @@ def _buckets(classes: DataFrame) -> DataFrame:
     """(code, c): one row per class and band."""
     kind = pa.schema([("code", pa.int64()), ("c", pa.int64())])
 
+    @tidied
     def run(batches):
         for b in batches:
             n = b.num_rows
@@ -148,26 +150,6 @@ def _buckets(classes: DataFrame) -> DataFrame:
     return classes.select("c", "signature").mapInArrow(run, "code long, c long")
 
 
-def _complete_groups(batches, keys: list[str]):
-    """Tables that hold whole groups of the (sorted) keys, with group borders."""
-    held = None
-    for b in batches:
-        if not b.num_rows:
-            continue
-        t = pa.Table.from_batches([b])
-        held = t if held is None else pa.concat_tables([held, t])
-        new = np.zeros(held.num_rows, bool)
-        for k in keys:
-            x = held.column(k).to_numpy()
-            new[1:] |= x[1:] != x[:-1]
-        starts = np.flatnonzero(new)
-        if starts.size:
-            yield held.slice(0, starts[-1]), np.concatenate([[0], starts])
-            held = held.slice(starts[-1])
-    if held is not None and held.num_rows:
-        yield held, np.array([0, held.num_rows])
-
-
 def _alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Equal places of every signature of ``a`` with every one of ``b``."""
     out = np.empty((len(a), len(b)), np.int32)
@@ -194,8 +176,9 @@ def _pair_batch(pairs: list[np.ndarray]) -> pa.RecordBatch:
 
 def _forest_pairs(members: DataFrame, least: int) -> DataFrame:
     """Round one: forest edges of each block of each bucket."""
+    @tidied
     def run(batches):
-        for t, border in _complete_groups(batches, ["code", "block"]):
+        for t, border in complete_groups(batches, ["code", "block"]):
             c, sig = t.column("c").to_numpy(), _signatures(t)
             size, pairs = np.diff(border), []
             two = border[:-1][size == 2]
@@ -234,8 +217,9 @@ def _cross(t: pa.Table, at: int, end: int, sig: np.ndarray, g: np.ndarray, least
 def _cross_members(members: DataFrame, least: int) -> DataFrame:
     """Round two, first pass: of (code, i, j, c, g, signature, first, second),
     the rows that are in a candidate pair. Pairs are not listed."""
+    @tidied
     def run(batches):
-        for t, border in _complete_groups(batches, ["code", "i", "j"]):
+        for t, border in complete_groups(batches, ["code", "i", "j"]):
             g, sig, keep = t.column("g").to_numpy(), _signatures(t), np.zeros(t.num_rows, bool)
             for at, end in zip(border[:-1].tolist(), border[1:].tolist()):
                 x, y, near = _cross(t, at, end, sig, g, least)
@@ -250,18 +234,15 @@ def _cross_members(members: DataFrame, least: int) -> DataFrame:
 def _cross_links(members: DataFrame, texts: DataFrame, k: int, percent: int, least: int) -> DataFrame:
     """Round two, second pass: links of each block pair, verified on full sets.
     A pair that links found before it already join is not tested."""
+    @tidied
     def run(batches):
-        for t, border in _complete_groups(batches, ["code", "i", "j"]):
+        for t, border in complete_groups(batches, ["code", "i", "j"]):
             c, g, sig = t.column("c").to_numpy(), t.column("g").to_numpy(), _signatures(t)
             links = []
             for at, end in zip(border[:-1].tolist(), border[1:].tolist()):
                 x, y, near = _cross(t, at, end, sig, g, least)
                 if not near.any():
                     continue
-                raw, offsets = utf8(t.column("text").slice(at, end - at))
-                sets: list = []
-                for lo, hi in slices_by_bytes(offsets, _SLICE):
-                    sets += shingles(scan_words(raw[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], SPACED), k)
                 tree = {int(v): int(v) for v in np.unique(g[at:end])}
 
                 def find(v):
@@ -269,9 +250,10 @@ def _cross_links(members: DataFrame, texts: DataFrame, k: int, percent: int, lea
                         v = tree[v] = tree[tree[v]]
                     return v
 
+                sets = _SetsOf(t.column("text"), k)
                 for p, q in zip(*(v.tolist() for v in np.nonzero(near))):
                     u, v = find(int(g[x[p]])), find(int(g[y[q]]))
-                    if u != v and _is_link(sets[x[p] - at], sets[y[q] - at], percent):
+                    if u != v and _is_link(sets[x[p]], sets[y[q]], percent):
                         tree[max(u, v)] = min(u, v)
                         links.append((int(c[x[p]]), int(c[y[q]])))
             yield _pair_batch([np.array(links, np.int64)] if links else [])
@@ -280,6 +262,25 @@ def _cross_links(members: DataFrame, texts: DataFrame, k: int, percent: int, lea
     return rows.repartition("code", "i", "j").sortWithinPartitions("code", "i", "j").mapInArrow(run, "a long, b long")
 
 
+class _SetsOf:
+    """Shingle sets of the texts of a column, made when asked for; the last ones,
+    of some bytes, are kept."""
+
+    def __init__(self, column: pa.ChunkedArray, k: int) -> None:
+        self.column, self.k, self.kept, self.held = column, k, {}, 0
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        if i in self.kept:
+            return self.kept[i]
+        raw, offsets = utf8(self.column.slice(i, 1))
+        found = shingles(scan_words(raw, offsets, SPACED), self.k)[0]
+        self.kept[i] = found
+        self.held += found.nbytes
+        while self.held > _HELD and len(self.kept) > 1:
+            self.held -= self.kept.pop(next(iter(self.kept))).nbytes
+        return found
+
+
 def _is_link(s: np.ndarray, t: np.ndarray, percent: int) -> bool:
     """Whether two sorted sets are at least ``percent`` % alike."""
     small, large = (s, t) if len(s) <= len(t) else (t, s)
@@ -296,6 +297,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
     right = texts.select(F.col("c").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
 
+    @tidied
     def run(batches):
         for batch in batches:
             keep = []
@@ -314,11 +316,12 @@ def _grouped(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str)
     """The sketched rows of ``docs``, and one row per class: its set and smallest
     id, its group's smallest id, and ``first`` for one class of each group."""
     small_batches(docs)
-    slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    slim = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash"), F.col(text_col).alias("text"))
     uid = F.col("_task").cast("long") * F.lit(1 << 40) + F.col("_place")
     rows = stage(sketch(slim, "text", k, drop=("text",), number=True), "sketch")
     classes = stage(rows.filter("set_key IS NOT NULL").groupBy("set_key")
                     .agg(F.min(uid).alias("c"), F.min("id").alias("least_id"),
+                         F.min(F.struct(F.col("id").isNull(), "id", "hash"))["hash"].alias("hash"),
                          F.first("signature").alias("signature")), "classes")
     least = _least_alike(percent / 100)
 
@@ -331,11 +334,9 @@ def _grouped(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str)
     signed = members.join(signatures, "c")
     tested = stage(_forest_pairs(signed.withColumn("block", F.pmod(F.xxhash64("c"), blocks)), least), "pairs")
 
-    # whole texts of the classes in shared buckets, found by id and checked by set
-    wanted = (members.select("c").distinct().join(classes.select("c", "least_id", "set_key"), "c")
-              .withColumnRenamed("set_key", "want"))
-    found = slim.join(wanted, slim["id"].eqNullSafe(wanted["least_id"])).select("c", "text", "want")
-    texts = stage(sketch(found, "text", k, signature=False).filter("set_key = want")
+    # whole texts of the classes in shared buckets: of each, a row with its smallest id, found by id and text hash
+    wanted = members.select("c").distinct().join(classes.select("c", "least_id", F.col("hash").alias("of")), "c")
+    texts = stage(slim.join(wanted, slim["id"].eqNullSafe(wanted["least_id"]) & (slim["hash"] == wanted["of"]))
                   .select("c", "text").dropDuplicates(["c"]), "texts")
 
     links = stage(_verified(tested, texts, k, percent), "links")

@@ -71,14 +71,28 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.only_lengths = only_lengths
-        self._clear()
-
-    def _clear(self) -> None:
         self.codes = np.zeros(0, np.uint64)  # sorted
+        self.uses = np.zeros(0, np.int64)
         self.count = np.zeros(0, np.int64)
         self.start = np.zeros(0, np.int64)  # into ids
         self.ids, self.used = np.zeros(0, np.uint32), 0
 
+    def _make_room(self) -> None:
+        """Keep the pieces used most, half of the table at most, and none used
+        once; older uses count half from now on."""
+        most = _KEPT // 2
+        kept = np.flatnonzero(self.uses > 1)
+        if len(kept) > most:
+            kept = np.sort(kept[np.argpartition(self.uses[kept], -most)[-most:]])
+        self.codes, self.uses, count = self.codes[kept], self.uses[kept] // 2, self.count[kept]
+        if not self.only_lengths:
+            ends = np.cumsum(count)
+            self.ids = self.ids[np.repeat(self.start[kept] - ends + count, count) + np.arange(int(count.sum()))]
+            self.used, self.start = len(self.ids), ends - count
+        else:
+            self.start = self.start[kept]
+        self.count = count
+
     def _encode(self, pieces: list[str]) -> list:
         out, lo, held = [], 0, 0
         for i, p in enumerate(pieces):
@@ -107,6 +121,7 @@ class Encoder:
             self.used += total
         at = np.searchsorted(self.codes, codes)
         self.codes = np.insert(self.codes, at, codes)
+        self.uses = np.insert(self.uses, at, 0)
         self.count = np.insert(self.count, at, count)
         self.start = np.insert(self.start, at, start)
 
@@ -122,13 +137,15 @@ class Encoder:
         at, known = self._look_up(codes)
         if not known.all():
             if len(self.codes) + int((~known).sum()) > _KEPT:
-                self._clear()
-                known = np.zeros(len(codes), bool)
+                self._make_room()
+                _, known = self._look_up(codes)
             new = where[~known]
             data = raw.tobytes()
             self._learn(codes[~known], [data[a:b].decode() for a, b in
                                         zip(words.start[new].tolist(), words.end[new].tolist())])
             at, _ = self._look_up(codes)
+        if len(codes):
+            self.uses[at] += np.bincount(back, minlength=len(codes))
         count = self.count[at][back] if len(codes) else np.zeros(0, np.int64)
         ends = np.concatenate([[0], np.cumsum(count)])
         border = ends[words.first]

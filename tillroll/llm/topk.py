@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import arrow_schema, small_batches, stage
+from tillroll.llm.common import arrow_schema, small_batches, stage, tidied
 
 SCALE = 256
 _HUGE = float(1 << 24)
@@ -155,6 +155,7 @@ def quantise(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embe
                            T.StructField("_task", T.IntegerType()), T.StructField("_place", T.LongType())])
     kind = arrow_schema(fields)
 
+    @tidied
     def run(batches):
         from pyspark import TaskContext
 
