@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tillroll.llm import decontam, neardup, packing, quality, queries, secrets, sharding, tokens, topk, toxicity
 from tillroll.llm.common import bounded_sample
+from tillroll.session import shared_path
 
 SF = "/root/testdata/sf0.01"
 DOC = "doc_id long, text string, n_hit string, Score string"  # with clashing extra columns
@@ -325,9 +326,86 @@ def test_shards_by_whole_text(spark):
 
 def test_op9_over_documents(spark):
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    slots: dict = {}
     for r in queries.QUERIES["op9_sharding"](spark, SF).collect():
         data = docs[r["doc_id"]].encode()
         assert r["size"] == len(data) + 16 and r["text_crc32"] == zlib.crc32(data) and 0 <= r["shard"] < 40
+        slots.setdefault(r["shard"], []).append(r["slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    sizes = sorted(map(len, slots.values()))
+    assert len(sizes) == 40 and sizes[-1] - sizes[0] <= 1
+
+
+def test_shards_by_date_are_pruned(spark):
+    import datetime as dt
+
+    rows = [(i, dt.date(2020, 1, 1) + dt.timedelta(days=i * 37 % 400) if i % 50 else None,
+             dt.datetime(2021, 1, 1) + dt.timedelta(hours=i * 7 % 1000), i % 5) for i in range(2000)]
+    df = spark.createDataFrame(rows, "doc_id long, day date, at timestamp, lang int").repartition(4)
+    placed = sharding.hilbert_shards(df, ["day", "at", "lang"], shards=64)
+    path = shared_path(spark, "shards-test", unique=True)
+    sharding.write_shards(placed, path)
+    back = spark.read.parquet(path)
+    assert back.count() == 2000 and back.select("shard").distinct().count() == 64
+    assert dict(back.dtypes)["day"] == "date" and back.filter("day IS NULL").count() == 40
+    # a day or an hour lies in few shards, where a deal by id would need all
+    for what in ("day >= '2020-03-01' AND day < '2020-03-21'", "at >= '2021-01-10' AND at < '2021-01-11'"):
+        assert back.filter(what).select("shard").distinct().count() <= 24
+
+
+def test_long_items_in_parts():
+    import pyarrow as pa
+
+    text = " ".join(f"Wörd{i}, " for i in range(300))
+    for n in (1, 3, 10):
+        cut = decontam._parts(n, "t", most=200)()
+        parts, one, none = cut(pa.record_batch([pa.array([text, "short one", None])], names=["t"]))[0]
+        assert one == ["short one"] and none == [""] and len(parts) > 5
+        grams = lambda t: {tuple(w[i:i + n]) for w in [WORD.findall(t.lower())] for i in range(len(w) - n + 1)}
+        assert set().union(*map(grams, parts)) == grams(text) and all(len(WORD.findall(p)) >= n for p in parts)
+
+
+def test_op5_and_op6_queries(spark):
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(tokens.tokenizer_path())
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    ids = dict(zip(texts, (e.ids for e in tok.encode_batch_fast(list(texts.values()), add_special_tokens=False))))
+    for r in queries.QUERIES["op6_token_counts"](spark, SF).collect():
+        n = len(ids[r["doc_id"]])
+        assert (r["n_bytes"], r["n_tokens"], r["over_limit"]) == (len(texts[r["doc_id"]].encode()), n, n > 2048)
+    rows, at, left = queries.QUERIES["op5_packing"](spark, SF).collect(), {}, {i: len(x) + 1 for i, x in ids.items()}
+    for r in sorted(rows, key=lambda r: (r["sequence_id"], r["offset"])):
+        own = np.array(ids[r["doc_id"]] + [2], "<u4")
+        assert r["doc_tokens"] == len(own) and r["offset"] == at.get(r["sequence_id"], 0)
+        assert r["ids_crc32"] == zlib.crc32(own[r["start"]:r["start"] + r["length"]].tobytes())
+        at[r["sequence_id"]] = r["offset"] + r["length"]
+        left[r["doc_id"]] -= r["length"]
+    assert set(left.values()) == {0} and max(at.values()) <= 4096 and sorted(at) == list(range(len(at)))
+    assert sum(4096 - n for n in at.values()) < 4096
+
+
+def test_op4_query(spark):
+    kinds = [("assign", re.compile(r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")),
+             ("access", re.compile("AKIA[A-Z0-9]+")), ("hex", re.compile("[0-9a-f]+"))]
+    least = {"assign": 12, "access": 18, "hex": 16}
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    for r in queries.QUERIES["op4_secrets"](spark, SF).collect():
+        text, found = texts[r["doc_id"]], []
+        for k, (kind, pattern) in enumerate(kinds):
+            for m in pattern.finditer(text):
+                if len(m[m.re.groups]) >= least[kind]:
+                    found.append((m.start(), k, f"{kind}:{m.start()}:{m.end()}"))
+        base = [x for *_, x in sorted(found)]
+        assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(x.startswith(kind) for x in base) for kind, _ in kinds]
+        assert r["base_sha256"] == hashlib.sha256(",".join(base).encode()).hexdigest()
+        assert set(base) <= set(r["spans"].split(","))  | {""}
+
+
+def test_top_k_too_large(spark):
+    df = spark.createDataFrame([(0, [1e300, 1.0]), (1, [1.0, 1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="does not fit 64 bits"):
+        topk.top_k(df, F.col("vec_id") % 50 == 0).collect()
 
 
 def test_top_k_brute_force(spark):
@@ -335,7 +413,8 @@ def test_top_k_brute_force(spark):
     rows = [(i, [float(x) for x in np.round(rng.normal(0, 0.2, 8), 3)]) for i in range(400)]
     rows += [(i, rows[50][1]) for i in range(400, 460)]  # ties
     rows += [(50, rows[7][1]), (None, rows[3][1]), (500, None), (501, []), (502, [float("nan")] * 8), (503, [1.0, None] * 4),
-             (550, [float("inf")] * 8), (600, [0.5, 0.25]), (601, [1.0, 1.0]), (650, [-900.0] * 8)]
+             (550, [float("inf")] * 8), (600, [0.5, 0.25]), (601, [1.0, 1.0]), (650, [-900.0] * 8),
+             (700, [1e6] * 8), (701, [-3e7, 2e5] * 4), (750, [0.25, -7e4] * 4), (751, [1e8] + [0.0] * 7)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
     use = [(u, i, [int(np.floor(256 * x)) for x in v]) for u, (i, v) in enumerate(rows)
            if i is not None and v and all(x is not None and np.isfinite(x) for x in v)]
@@ -345,6 +424,6 @@ def test_top_k_brute_force(spark):
             scored = sorted((-sum(a * b for a, b in zip(q, v)), j) for w, j, v in use if w != u and len(v) == len(q))
             want += [(i, k + 1, -s) for k, (s, _) in enumerate(scored[:5])]
     for block in (8192, 64):
-        got = topk.top_k(df, F.col("vec_id") % 50 == 0, block_rows=block, block_queries=4).collect()
+        got = topk.top_k(df, F.col("vec_id") % 50 == 0, block_rows=block).collect()
         assert sorted((r["query_id"], r["rank"], r["score"]) for r in got) == sorted(want)
     assert topk.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0

@@ -6,10 +6,10 @@ fewer words is one window. Each task scans the windows of its texts against
 the hash set, verifies every hash hit against the window's own words, and marks
 the words inside verified windows.
 
-The broadcast is bounded: the benchmark's size is summed first, and a benchmark
-above ``block_bytes`` is dealt by item into blocks of about that size. Every
-block is then one more pass over the documents, so the result does not depend
-on the number of blocks.
+The broadcast is bounded: what the windows take in memory is summed up first, and
+a benchmark above ``block_bytes`` is dealt into blocks of about that size, long items
+in parts that share ``n - 1`` words. Every block is then one more pass over the
+documents, so the result does not depend on the number of blocks.
 
 Defined results: a null or wordless text has no words and no hits; an item
 without words matches nothing; items that share an id count once; windows of an
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import append_columns, slices_by_bytes, utf8
+from tillroll.llm.common import append_columns, slices_by_bytes, stage, utf8
 from tillroll.llm.textvec import ALNUM, runs_of, scan_words
 
 OUT = T.StructType([
@@ -37,45 +37,71 @@ OUT = T.StructType([
     T.StructField("hit_bytes", T.ArrayType(T.LongType())),  # the same ranges as UTF-8 offsets
     T.StructField("hit_items", T.ArrayType(T.StringType())),  # sorted as strings
 ])
-_SLICE = 4 << 20
+_SLICE = 2 << 20
 _BITS = 20
+_WINDOW = 36  # bytes of a window's code, place and items
+_PART = 1 << 20  # bytes of an item that are kept together
 
 
 class NgramSet:
-    """The windows of one benchmark block, by length."""
+    """The windows of one benchmark block, by length: sorted codes, each with its
+    place in one text of all normalised words and with the items that hold it.
+    About ``_WINDOW`` bytes a window, beside the words themselves."""
 
     def __init__(self, items: list[tuple[str | None, str | None]], n: int) -> None:
         self.n = n
-        self.by_words: dict[int, dict[bytes, set]] = defaultdict(lambda: defaultdict(set))
-        codes: dict[int, set] = defaultdict(set)
-        for item, text in items:
+        self.names = [name for name, _ in items]
+        parts: dict[int, list] = defaultdict(list)
+        texts, held = [], 0
+        for number, (_, text) in enumerate(items):
             raw, at = utf8(pa.array([text], pa.string()))
             words = scan_words(raw, at, ALNUM)
-            total = len(words.code)
-            size = min(n, total)
+            size = min(n, len(words.code))
             if not size:
                 continue
             low = raw.tobytes().lower()  # ASCII only, as bytes
-            for i, code in enumerate(runs_of(words.code, size).tolist()):
-                self.by_words[size][window(low, words, i, size)].add(item)
-                codes[size].add(code)
-        self.by_words = {k: dict(v) for k, v in self.by_words.items()}
-        self.codes = {k: np.array(sorted(v), np.uint64) for k, v in codes.items()}
+            texts.append(b" ".join(low[a:b] for a, b in zip(words.start.tolist(), words.end.tolist())) + b" ")
+            end = np.cumsum(words.end - words.start + 1) - 1 + held
+            start = end - (words.end - words.start)
+            code = runs_of(words.code, size)
+            parts[size].append((code, start[:len(code)], end[size - 1:], np.full(len(code), number)))
+            held += len(texts[-1])
+        self.text = b"".join(texts)
+        self.windows: dict[int, tuple[np.ndarray, ...]] = {}
+        for size, several in parts.items():
+            code, start, end, item = (np.concatenate(x) for x in zip(*several))
+            order = np.lexsort((item, code))
+            code, start, end, item = code[order], start[order], (end - start)[order], item[order]
+            new = np.ones(len(code), bool)  # equal words share an entry
+            new[1:] = code[1:] != code[:-1]
+            for i in np.flatnonzero(~new).tolist():
+                new[i] = self._bytes(start[i], end[i]) != self._bytes(start[i - 1], end[i - 1])
+            first = np.flatnonzero(new)
+            self.windows[size] = (code[first], start[first], end[first].astype(np.int32),
+                                  np.append(first, len(code)), item.astype(np.int32))
+
+    def _bytes(self, start, length) -> bytes:
+        return self.text[int(start):int(start) + int(length)]
+
+    def items_of(self, size: int, at: int, words: bytes) -> list | None:
+        """Items with these words, if the window at place ``at``, or one of equal code behind it, is them."""
+        codes, start, length, border, item = self.windows[size]
+        code = codes[at]
+        while at < len(codes) and codes[at] == code:
+            if self._bytes(start[at], length[at]) == words:
+                return [self.names[i] for i in item[border[at]:border[at + 1]].tolist()]
+            at += 1
+        return None
 
     def tables(self) -> dict[int, np.ndarray]:
         """Per length, a fixed-size table that most windows fail."""
         out = {}
-        for k, codes in self.codes.items():
+        for k, (codes, *_) in self.windows.items():
             out[k] = np.zeros(1 << _BITS, bool)
             out[k][(codes >> np.uint64(64 - _BITS)).astype(np.int64)] = True
         return out
 
 
-def window(low: bytes, words, i: int, size: int) -> bytes:
-    return b" ".join(low[a:b] for a, b in zip(words.start[i:i + size].tolist(),
-                                              words.end[i:i + size].tolist()))
-
-
 def _ranges(covered: np.ndarray) -> np.ndarray:
     """Starts and ends of the runs of True, interleaved."""
     edge = np.diff(np.concatenate([[0], covered.astype(np.int8), [0]]))
@@ -87,22 +113,23 @@ def _scan(grams: NgramSet, tables, raw, offsets, old) -> tuple[list, ...]:
     total, n_texts = len(words.code), len(offsets) - 1
     change = np.zeros(total + 1, np.int64)
     items: dict[int, set] = defaultdict(set)
-    for size, codes in grams.codes.items():
+    for size, (codes, *_) in grams.windows.items():
         seen = runs_of(words.code, size)
         maybe = np.flatnonzero(tables[size][(seen >> np.uint64(64 - _BITS)).astype(np.int64)])
         if not maybe.size:
             continue
         got = np.minimum(np.searchsorted(codes, seen[maybe]), len(codes) - 1)
-        maybe = maybe[codes[got] == seen[maybe]]
+        same = codes[got] == seen[maybe]
+        maybe, got = maybe[same], got[same]
         text = np.searchsorted(words.first, maybe, side="right") - 1
         inside = maybe + size <= words.first[text + 1]
-        for i, t in zip(maybe[inside].tolist(), text[inside].tolist()):
+        for i, t, g in zip(maybe[inside].tolist(), text[inside].tolist(), got[inside].tolist()):
             a, b = int(words.start[i]), int(words.end[i + size - 1])
             local = raw[a:b].tobytes().lower()
             parts = [local[s - a:e - a] for s, e in zip(words.start[i:i + size].tolist(),
                                                         words.end[i:i + size].tolist())]
-            found = grams.by_words[size].get(b" ".join(parts))
-            if found:
+            found = grams.items_of(size, g, b" ".join(parts))
+            if found is not None:
                 change[i] += 1
                 change[i + size] -= 1
                 items[t].update(x for x in found if x is not None)
@@ -172,19 +199,43 @@ def scan_benchmark(docs: DataFrame, benchmark: DataFrame, n: int = 10, *, text_c
     """``docs`` with ``n_words``, ``n_hit``, ``hit_runs``, ``hit_bytes`` and ``hit_items``.
 
     Map-only over the documents: no shuffle, and no row leaves its task."""
-    items = benchmark.select(F.col(item_col).cast("string").alias("item"),
-                             F.col(item_text_col).alias("words"))
-    size = items.agg(F.coalesce(F.sum(F.octet_length("words") + F.lit(16)), F.lit(0))).first()[0]
-    blocks = max(1, -(-int(size) // block_bytes))
-    dealt = items.withColumn("block", F.pmod(F.xxhash64("item", "words"), F.lit(blocks)))
+    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("words"))
+    parts = append_columns(items, T.StructType([T.StructField("parts", T.ArrayType(T.StringType()))]), _parts(n, "words"))
+    parts = parts.select("item", F.explode("parts").alias("words")).distinct()
+    # one window at most for each word, of two bytes at least with the gap behind it
+    cost = F.octet_length("words") + F.lit(_WINDOW) * F.size(F.split("words", r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"))
+    parts = stage(parts.withColumn("cost", cost.cast("long")), "benchmark")
+    blocks = max(1, -(-int(parts.agg(F.sum("cost")).first()[0] or 0) // block_bytes))
+    dealt = parts.withColumn("block", F.pmod(F.xxhash64("item", "words"), F.lit(blocks)))
     out = docs
     for k in range(blocks):
-        # about block_bytes at most: the total is known and items are dealt by hash
-        rows = dealt.filter(F.col("block") == k).select("item", "words").distinct().collect()
+        # about block_bytes at most: the total is known, and parts, each below _PART, are dealt by hash
+        rows = dealt.filter(F.col("block") == k).select("item", "words").collect()
         out = _pass(out, NgramSet([(r[0], r[1]) for r in rows], n), text_col, again=k > 0)
     return out
 
 
+def _parts(n: int, column: str, most: int = _PART):
+    """Per text, itself or, if it is long, parts that share n - 1 words, so that
+    they have the same windows."""
+    def cut(text: str | None) -> list[str]:
+        raw, at = utf8(pa.array([text], pa.string()))
+        if len(raw) <= most:
+            return [text or ""]
+        words, out, first = scan_words(raw, at, ALNUM), [], 0
+        total = len(words.code)
+        while True:
+            last = int(np.searchsorted(words.end, words.start[first] + most, side="right")) if total else 0
+            last = max(last, first + 2 * n)
+            if last + n > total:
+                out.append(raw[words.start[first] if total else 0:].tobytes().decode())
+                return out
+            out.append(raw[words.start[first]:words.end[last - 1]].tobytes().decode())
+            first = last - n + 1
+
+    return lambda: lambda b: [[cut(t) for t in b.column(b.schema.get_field_index(column)).to_pylist()]]
+
+
 def _cut(text: str | None, spans: list[int]) -> str | None:
     if text is None or not spans:
         return text

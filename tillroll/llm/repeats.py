@@ -262,7 +262,7 @@ def _chunked(docs: DataFrame, id_col: str, text_col: str, chunk_bytes: int) -> t
     return table, total
 
 
-def _repeated_anchors(table: DataFrame, buckets: int, span: int, gram: int) -> DataFrame:
+def _repeated_anchors(table: DataFrame, buckets: int, span: int, gram: int, most: int) -> DataFrame:
     """(chunk, bucket, codes, hot): the anchors of each chunk that are repeated
     anywhere, and which of them are very often."""
     @tidied
@@ -303,7 +303,7 @@ def _repeated_anchors(table: DataFrame, buckets: int, span: int, gram: int) -> D
                 start = np.concatenate([[0], np.flatnonzero(np.diff(code)) + 1])
                 total = np.repeat(np.add.reduceat(times, start), np.diff(np.append(start, len(code))))
                 keep = total > 1
-                code, chunk, hot = code[keep], chunk[keep], (total[keep] > _HOT).astype(np.uint8)
+                code, chunk, hot = code[keep], chunk[keep], (total[keep] > most).astype(np.uint8)
                 order = np.argsort(chunk, kind="stable")
                 code, chunk, hot = code[order], chunk[order], hot[order]
                 if not len(code):
@@ -503,9 +503,10 @@ def _marked(table: DataFrame, dealt: DataFrame, answers: DataFrame, span: int) -
 
 
 def remove_repeats(docs: DataFrame, *, span: int = 50, gram: int = 20, id_col: str = "doc_id", text_col: str = "text",
-                   chunk_bytes: int = _CHUNK) -> DataFrame:
+                   chunk_bytes: int = _CHUNK, hot: int = _HOT) -> DataFrame:
     """One row per row of ``docs``: the id (long), ``n_bytes``, ``n_removed``, ``spans``
-    (start, end) of the maximal removed runs, in bytes, and the bytes ``kept``."""
+    (start, end) of the maximal removed runs, in bytes, and the bytes ``kept``. The segments
+    of an anchor in more than ``hot`` texts are dealt string by string."""
     if not 0 < gram <= span <= 1 << 14:
         raise ValueError("gram must be in 1..span, and span at most 16384")
     small_batches(docs)
@@ -513,7 +514,7 @@ def remove_repeats(docs: DataFrame, *, span: int = 50, gram: int = 20, id_col: s
     table, total = _chunked(docs, id_col, text_col, chunk_bytes)
     table = table.withColumn("id", F.coalesce("id", F.lit(_NO_ID)))
     buckets = 1 + 2 * total // ((span - gram + 2) * _ANCHORS)
-    repeated = stage(_repeated_anchors(table, buckets, span, gram), "anchors")
+    repeated = stage(_repeated_anchors(table, buckets, span, gram, hot), "anchors")
     some = repeated.agg(F.sum(F.octet_length("codes").cast("long"))).first()[0] or 0
     routes = 1 + some // 4 // _COLLECTION
     dealt = stage(_dealt_segments(table, repeated, buckets, routes, span, gram), "segments")

@@ -94,8 +94,8 @@ def hilbert_shards(rows: DataFrame, dims: list[str], shards: int = 40, id_col: s
                    bits: int = BITS) -> DataFrame:
     """``rows`` with ``curve`` (place on the curve), ``shard`` and ``slot``.
 
-    ``rows`` should hold only what is needed: it is written twice, once with
-    its numbers and once in curve order."""
+    ``rows`` should hold only what is needed: it is written three times, with
+    its numbers, with its places and in curve order."""
     spark = rows.sparkSession
     keys = [f"_key{i}" for i in range(len(dims))]
     texts = {k for k, c in zip(keys, dims) if isinstance(rows.schema[c].dataType, T.StringType)}
@@ -105,7 +105,13 @@ def hilbert_shards(rows: DataFrame, dims: list[str], shards: int = 40, id_col: s
         return lambda b: [x if k in texts else _number(x)
                           for k, x in ((k, b.column(b.schema.get_field_index(c))) for k, c in zip(keys, dims))]
 
-    keyed = stage(append_columns(rows, out, numbers, number=True), "hilbert-keys")
+    # dates and times as numbers
+    dated = {c: F.unix_date(c) if isinstance(rows.schema[c].dataType, T.DateType) else F.unix_micros(F.col(c).cast("timestamp"))
+             for c in dims if isinstance(rows.schema[c].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType))}
+    own = {c: f"_dim{i}" for i, c in enumerate(dated)}
+    rows = rows.withColumns({own[c]: x for c, x in dated.items()})
+    dims = [own.get(c, c) for c in dims]
+    keyed = stage(append_columns(rows, out, numbers, drop=tuple(own.values()), number=True), "hilbert-keys")
     # quantiles, numbers by sketch: 2**bits - 1 values per dimension reach the driver
     steps = [i / (1 << bits) for i in range(1, 1 << bits)]
     plain = [k for k in keys if k not in texts]
@@ -126,7 +132,9 @@ def hilbert_shards(rows: DataFrame, dims: list[str], shards: int = 40, id_col: s
 
         return each
 
-    placed = append_columns(keyed, T.StructType([T.StructField("curve", T.LongType())]), curve, drop=tuple(keys))
+    # staged, as the range partitioning reads its input twice
+    placed = stage(append_columns(keyed, T.StructType([T.StructField("curve", T.LongType())]), curve, drop=tuple(keys)),
+                   "hilbert-placed")
     order = ["curve", id_col, "_task", "_place"]
     run = stage(numbered(placed.repartitionByRange(*order).sortWithinPartitions(*order)
                          .drop("_task", "_place")), "hilbert-run")

@@ -70,6 +70,8 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        whole = [(t.content, i) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not t.single_word]
+        self.mark, self.mark_id = whole[0] if whole else ("", -1)
         self.only_lengths = only_lengths
         self.codes = np.zeros(0, np.uint64)  # sorted
         self.uses = np.zeros(0, np.int64)
@@ -93,31 +95,41 @@ class Encoder:
             self.start = self.start[kept]
         self.count = count
 
-    def _encode(self, pieces: list[str]) -> list:
-        out, lo, held = [], 0, 0
+    def _encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Token count of every piece, and all ids. Pieces are handed over as one
+        text with a special string between them, which the tokenizer cuts out
+        before anything else; where a piece holds that string, one by one."""
+        count, ids, lo, held = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)], 0, 0
         for i, p in enumerate(pieces):
             held += len(p) + 8
-            if held >= _BATCH_BYTES or i + 1 == len(pieces):
-                out += [len(e) if self.only_lengths else e.ids for e in
-                        self.tokenizer.encode_batch_fast(pieces[lo:i + 1], add_special_tokens=False)]
-                lo, held = i + 1, 0
-        return out
+            if held < _BATCH_BYTES and i + 1 < len(pieces):
+                continue
+            group, lo, held = pieces[lo:i + 1], i + 1, 0
+            text = self.mark.join(group)
+            if self.mark and text.count(self.mark) == len(group) - 1:
+                got = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+                at = np.flatnonzero(got == self.mark_id)
+                count.append(np.diff(np.concatenate([[-1], at, [len(got)]])) - 1)
+                ids.append(np.delete(got, at))
+            else:
+                each = [e.ids for e in self.tokenizer.encode_batch_fast(group, add_special_tokens=False)]
+                count.append(np.array([len(x) for x in each], np.int64))
+                ids.append(np.array([t for x in each for t in x], np.uint32))
+        return np.concatenate(count), np.concatenate(ids)
 
     def _learn(self, codes: np.ndarray, pieces: list[str]) -> None:
         """Add pieces by their (sorted, unknown) codes."""
-        found = self._encode(pieces)
+        count, ids = self._encode(pieces)
         if self.only_lengths:
-            count = np.array(found, np.int64)
             start = np.zeros(len(count), np.int64)
         else:
-            count = np.array([len(x) for x in found], np.int64)
-            total = int(count.sum())
+            total = len(ids)
             if self.used + total > len(self.ids):
                 grown = np.zeros(max(2 * len(self.ids), self.used + total, 1 << 16), np.uint32)
                 grown[:self.used] = self.ids[:self.used]
                 self.ids = grown
             start = self.used + np.cumsum(count) - count
-            self.ids[self.used:self.used + total] = np.fromiter((i for x in found for i in x), np.uint32, total)
+            self.ids[self.used:self.used + total] = ids
             self.used += total
         at = np.searchsorted(self.codes, codes)
         self.codes = np.insert(self.codes, at, codes)

@@ -10,13 +10,15 @@ the most significant slice downward. As the dropped low bits bound the error,
 every row that could still belong to the top k is kept, and those boundary rows
 are resolved by exact integer inner products.
 
-Queries and rows are both dealt into blocks; each pair of blocks is one group
-of bounded size, and at most k rows per query leave it. The query set is a
-stated part of the table, compared to all rows in blocks.
+Rows are dealt into blocks of bounded size. Each block is indexed once, and the
+queries, a stated part of the table, pass by it in batches; at most k rows per query
+leave a block. The index holds the rows whose components stay below 2**24 after
+scaling. Others, and queries with larger components, take the plain exact product, in
+64-bit integers where it is sure to fit and in Python's where not; a
+score that does not fit a long is an error.
 
-Defined results: vectors that are null, empty, or hold a null, non-finite or
-huge (beyond 2**24 after scaling) component take no part, nor do rows with a
-null id; vectors are compared with those of equal length only; rows that share
+Defined results: vectors that are null, empty, or hold a null or non-finite
+component take no part, nor do rows with a null id; vectors are compared with those of equal length only; rows that share
 an id are rows of their own, a query row is never its own candidate; ties go to
 the smaller id.
 """
@@ -33,7 +35,7 @@ from pyspark.sql import types as T
 from tillroll.llm.common import arrow_schema, small_batches, stage, tidied
 
 SCALE = 256
-_HUGE = float(1 << 24)
+_NARROW = float(1 << 24)
 _SLICES = 6  # bits kept of a component
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -147,11 +149,11 @@ class BitSlicedIndex:
 
 def quantise(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
              scale: int = SCALE) -> DataFrame:
-    """Valid rows as (id, dims, ints, _task, _place): floor(scale * x) as
-    little-endian int32, and the row's number (stage the result before use)."""
+    """Valid rows as (id, dims, whole, _task, _place): floor(scale * x) as
+    little-endian doubles, and the row's number (stage the result before use)."""
     small_batches(vectors)
     fields = T.StructType([T.StructField(id_col, vectors.schema[id_col].dataType),
-                           T.StructField("dims", T.IntegerType()), T.StructField("ints", T.BinaryType()),
+                           T.StructField("dims", T.IntegerType()), T.StructField("whole", T.BinaryType()),
                            T.StructField("_task", T.IntegerType()), T.StructField("_place", T.LongType())])
     kind = arrow_schema(fields)
 
@@ -164,69 +166,110 @@ def quantise(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embe
             ids, lists = b.column(0), b.column(1).cast(pa.list_(pa.float64()))
             offsets = lists.offsets.to_numpy()
             flat = lists.values.to_numpy(zero_copy_only=False) if len(lists.values) else np.zeros(0)
+            fine = np.concatenate([[0], np.cumsum(~np.isfinite(flat))])  # nan and null fail
             with np.errstate(over="ignore", invalid="ignore"):
                 whole = np.floor(flat * scale)
-            fine = np.concatenate([[0], np.cumsum(~(np.abs(whole) <= _HUGE))])  # nan and null fail
             size = np.diff(offsets)
             keep = np.flatnonzero((fine[offsets[1:]] == fine[offsets[:-1]]) & (size > 0)
                                   & lists.is_valid().to_numpy(zero_copy_only=False)
                                   & ids.is_valid().to_numpy(zero_copy_only=False))
-            ints = [whole[offsets[i]:offsets[i + 1]].astype("<i4").tobytes() for i in keep.tolist()]
+            rows = [whole[offsets[i]:offsets[i + 1]].astype("<f8").tobytes() for i in keep.tolist()]
             n, seen = len(keep), seen + len(keep)
             yield pa.RecordBatch.from_arrays([ids.take(pa.array(keep)), pa.array(size[keep], pa.int32()),
-                                              pa.array(ints, pa.binary()), pa.array(np.full(n, task, np.int32)),
+                                              pa.array(rows, pa.binary()), pa.array(np.full(n, task, np.int32)),
                                               pa.array(np.arange(seen - n, seen))], schema=kind)
 
     return vectors.select(id_col, vector_col).mapInArrow(run, fields)
 
 
+def _exact(rows: np.ndarray, vec: np.ndarray) -> np.ndarray:
+    """Inner products of whole numbers, exactly."""
+    if len(rows) and len(vec) * float(np.abs(rows).max()) * float(np.abs(vec).max()) < 2.0 ** 62:
+        return rows.astype(np.int64) @ vec.astype(np.int64)
+    if not (np.isfinite(rows).all() and np.isfinite(vec).all()):
+        raise OverflowError("a component is too large to be scaled")
+    whole = [int(x) for x in vec.tolist()]
+    found = [sum(int(x) * y for x, y in zip(row, whole)) for row in rows.tolist()]
+    if any(abs(x) >= 1 << 63 for x in found):
+        raise OverflowError("a score does not fit 64 bits")
+    return np.array(found, np.int64)
+
+
+class _Block:
+    """The rows of a block with one number of dimensions, indexed once."""
+
+    def __init__(self, rows: pa.Table, dims: int) -> None:
+        self.rows = np.frombuffer(b"".join(rows.column("whole").to_pylist()), "<f8").reshape(-1, dims)
+        self.uids, self.ids = rows.column("uid").to_numpy(), rows.column("id").to_pylist()
+        self.by_id = np.empty(len(self.ids), np.int64)
+        order = sorted(range(len(self.ids)), key=lambda i: (self.ids[i], self.uids[i]))
+        self.by_id[np.array(order, np.int64)] = np.arange(len(self.ids))
+        narrow = (np.abs(self.rows) <= _NARROW).all(axis=1)
+        self.narrow, self.wide = np.flatnonzero(narrow), np.flatnonzero(~narrow)
+        self.index = BitSlicedIndex(self.rows[self.narrow]) if self.narrow.size else None
+
+    def best(self, vec: np.ndarray, uid: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The k best rows, but the query's own, and their scores."""
+        if self.index is None or np.abs(vec).max() > _NARROW:
+            maybe = np.arange(len(self.ids))
+        else:  # one more, as the query's own row may be there
+            maybe = np.concatenate([self.narrow[self.index.candidates(vec.astype(np.int64), k + 1)], self.wide])
+        maybe = maybe[self.uids[maybe] != uid]
+        score = _exact(self.rows[maybe], vec)
+        best = np.lexsort((self.by_id[maybe], -score))[:k]
+        return maybe[best], score[best]
+
+
 def top_k(vectors: DataFrame, is_query, k: int = 5, *, id_col: str = "vec_id",
-          vector_col: str = "embedding", scale: int = SCALE, block_rows: int = 8192,
-          block_queries: int = 2048) -> DataFrame:
+          vector_col: str = "embedding", scale: int = SCALE, block_rows: int = 8192) -> DataFrame:
     """The ``k`` best rows of every query row (``is_query``: a condition on the
     id): ``query_id``, ``rank``, ``vec_id``, ``score``."""
     table = stage(quantise(vectors, id_col, vector_col, scale), "topk")
-    n = table.count()
-    n_queries = table.filter(is_query).count()
-    row_blocks, query_blocks = max(1, -(-n // block_rows)), max(1, -(-n_queries // block_queries))
-    uid = F.col("_task").cast("long") * F.lit(1 << 40) + F.col("_place")
+    blocks = max(1, -(-table.count() // block_rows))
+    uid = (F.col("_task").cast("long") * F.lit(1 << 40) + F.col("_place")).alias("uid")
     # dealt by place, so repeated ids and vectors spread too
-    rows = table.select(F.col(id_col).alias("id"), "dims", "ints", uid.alias("uid"),
-                        F.pmod(F.xxhash64("_task", "_place"), F.lit(row_blocks)).alias("rb"),
-                        F.explode(F.expr(f"sequence(0L, {query_blocks - 1}L)")).alias("qb"))
-    queries = table.filter(is_query).select(
-        F.col(id_col).alias("id"), "dims", "ints", uid.alias("uid"),
-        F.explode(F.expr(f"sequence(0L, {row_blocks - 1}L)")).alias("rb"),
-        F.pmod(F.xxhash64("_place", "_task"), F.lit(query_blocks)).alias("qb"))
+    rows = table.select(F.pmod(F.xxhash64("_task", "_place"), F.lit(blocks)).alias("block"), F.lit(False).alias("asks"),
+                        F.col(id_col).alias("id"), "dims", "whole", uid)
+    queries = table.filter(is_query).select(F.explode(F.expr(f"sequence(0L, {blocks - 1}L)")).alias("block"),
+                                            F.lit(True).alias("asks"), F.col(id_col).alias("id"), "dims", "whole", uid)
     id_type = vectors.schema[id_col].dataType
     fields = T.StructType([T.StructField("query_uid", T.LongType()), T.StructField("query_id", id_type),
                            T.StructField("vec_id", id_type), T.StructField("uid", T.LongType()),
                            T.StructField("score", T.LongType())])
     kind = arrow_schema(fields)
 
-    def search(left: pa.Table, right: pa.Table) -> pa.Table:
-        out: list[list] = [[] for _ in fields]
-        for dims in np.unique(left.column("dims").to_numpy()).tolist():
-            a, q = (x.filter(pc.equal(x.column("dims"), dims)) for x in (left, right))
-            if not len(q):
-                continue
-            matrix, asked = (np.frombuffer(b"".join(x.column("ints").to_pylist()), "<i4").reshape(-1, dims)
-                             for x in (a, q))
-            index = BitSlicedIndex(matrix)
-            uids, ids = a.column("uid").to_numpy(), a.column("id").to_pylist()
-            by_id = np.empty(len(ids), np.int64)
-            by_id[np.array(sorted(range(len(ids)), key=lambda i: (ids[i], uids[i])), np.int64)] = np.arange(len(ids))
-            for vec, quid, qid in zip(asked.astype(np.int64), q.column("uid").to_pylist(), q.column("id").to_pylist()):
-                maybe = index.candidates(vec, k + 1)  # one more, as the query's own row may be there
-                maybe = maybe[uids[maybe] != quid]
-                score = index.rows[maybe] @ vec
-                best = np.lexsort((by_id[maybe], -score))[:k]
-                for i, s in zip(maybe[best].tolist(), score[best].tolist()):
-                    for c, x in zip(out, (quid, qid, ids[i], int(uids[i]), s)):
-                        c.append(x)
-        return pa.table([pa.array(c, f.type) for c, f in zip(out, kind)], schema=kind)
-
-    found = (rows.groupBy("rb", "qb").cogroup(queries.groupBy("rb", "qb")).applyInArrow(search, fields))
+    @tidied
+    def search(batches):
+        block, held, made = None, [], {}
+        for b in batches:
+            number, asks = b.column("block").to_numpy(), b.column("asks").to_numpy(zero_copy_only=False)
+            new = np.flatnonzero((number[1:] != number[:-1]) | (asks[1:] != asks[:-1])) + 1
+            for lo, hi in zip([0, *new.tolist()], [*new.tolist(), b.num_rows]):
+                if lo == hi:
+                    continue
+                part = b.slice(lo, hi - lo)
+                if number[lo] != block:
+                    block, held, made = number[lo], [], {}
+                if not asks[lo]:  # the rows of a block come before its queries
+                    held.append(part)
+                    continue
+                out: list[list] = [[] for _ in fields]
+                for q, dims, whole, qid in zip(*(part.column(c).to_pylist() for c in ("uid", "dims", "whole", "id"))):
+                    if dims not in made:
+                        rows = pa.Table.from_batches(held, part.schema)
+                        rows = rows.filter(pc.equal(rows.column("dims"), dims))
+                        made[dims] = _Block(rows, dims) if rows.num_rows else None
+                    own = made[dims]
+                    if own is None:
+                        continue
+                    found, score = own.best(np.frombuffer(whole, "<f8"), q, k)
+                    for i, s in zip(found.tolist(), score.tolist()):
+                        for c, x in zip(out, (q, qid, own.ids[i], int(own.uids[i]), s)):
+                            c.append(x)
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, kind)], schema=kind)
+
+    found = (rows.unionByName(queries).repartition("block").sortWithinPartitions("block", "asks")
+             .mapInArrow(search, fields))
     best = Window.partitionBy("query_uid").orderBy(F.desc("score"), F.asc("vec_id"), F.asc("uid"))
     return (found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
