@@ -149,3 +149,12 @@ def test_malformed_document_kept_for_quarantine(spark, tmp_path):
     good = sorted(r.k for r in rows if r[CORRUPT] is None)
     bad = [r for r in rows if r[CORRUPT] is not None]
     assert good == [1, 2] and len(bad) == 1 and bad[0].k is None
+
+
+def test_flatten_refuses_one_name_for_two_fields(spark):
+    import pytest
+
+    df = spark.sql("SELECT named_struct('b_c', 1) AS a, named_struct('c', 2) AS a_b")
+    with pytest.raises(ValueError, match="one name"):
+        nested.flatten(df)
+    assert nested.flatten(df, sep=".").columns == ["a.b_c", "a_b.c"]

@@ -210,3 +210,11 @@ def test_fingerprint_sees_where_nulls_are(spark):
     a = spark.createDataFrame([("x", None)], "p string, q string")
     b = spark.createDataFrame([(None, "x")], "p string, q string")
     assert files.fingerprint(a).first() != files.fingerprint(b).first()
+
+
+def test_inventory_matches_listing(spark, tmp_dir):
+    _tree(tmp_dir)
+    listed = objects.list_objects(spark, tmp_dir)
+    inv = listed.select(F.concat(F.lit("shop/"), "name").alias("key"), "length", "modificationTime")
+    back = objects.from_inventory(inv, "key", "length", "modificationTime", prefix="shop/")
+    assert sorted(r["name"] for r in back.collect()) == sorted(r["name"] for r in listed.collect())

@@ -48,7 +48,8 @@ def test_backup_partition_pruned(spark):
 @pytest.mark.parametrize("name", sorted(q for q in entry.queries() if q.startswith("q_")))
 def test_no_python_in_plans(spark, name):
     p = _plan(spark, name)
-    for marker in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas"):
+    for marker in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas",
+                   "MapInArrow", "FlatMapGroupsInArrow", "FlatMapCoGroupsIn"):
         assert marker not in p, f"{name} runs Python: {marker}"
 
 

@@ -30,6 +30,7 @@ def flatten(df: DataFrame, sep: str = "_", max_depth: int | None = None) -> Data
     (nested schema pruning).
     """
     cols: list[Column] = []
+    seen: dict[str, list[str]] = {}
 
     def walk(path: list[str], dtype, depth: int):
         if isinstance(dtype, StructType) and (max_depth is None or depth < max_depth):
@@ -38,12 +39,21 @@ def flatten(df: DataFrame, sep: str = "_", max_depth: int | None = None) -> Data
         else:
             ref = F.col(".".join(_q(p) for p in path))
             cols.append(ref.alias(sep.join(path)))
+            seen.setdefault(sep.join(path).lower(), []).append(".".join(path))
 
     for f in df.schema.fields:
         walk([f.name], f.dataType, 0)
+    _refuse_clashes(seen)
     return df.select(*cols)
 
 
+def _refuse_clashes(seen: dict[str, list[str]]) -> None:
+    """Raise if several sources would become one column name (letter case aside)."""
+    clash = {n: p for n, p in seen.items() if len(p) > 1}
+    if clash:
+        raise ValueError(f"columns of one name: {clash}")
+
+
 # --------------------------------------------------------------------- B3
 def explode_rows(
     df: DataFrame,

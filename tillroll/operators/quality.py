@@ -63,6 +63,13 @@ def money_range_rule(column: str) -> RowRule:
     return RowRule("money_range", column, F.coalesce(F.abs(c) >= MONEY_LIMIT, F.lit(False)))
 
 
+def line_rules(fields: Sequence[tuple[str, str]]) -> list[RowRule]:
+    """Rules for lines read by ``parse_delimited(checked=True)``: the text of every
+    field is of its type, and the line has as many fields as there should be."""
+    typed = [RowRule("bad_type", name, F.array_contains("bad_types", name)) for name, _ in fields]
+    return [*typed, RowRule("field_count", "line", F.col("n_fields") != len(fields))]
+
+
 def row_rule_report(df: DataFrame, table: str, rules: Sequence[RowRule]) -> DataFrame:
     """Violation count per rule, all rules in one scan and one aggregate."""
     if not rules:

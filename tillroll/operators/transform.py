@@ -71,7 +71,7 @@ def live_rows(df: DataFrame, flag: str) -> DataFrame:
     """Rows whose soft-delete ``flag`` is false.
 
     The flag is declared NOT NULL with default false, so a NULL flag is a
-    not-null violation (see ``quality.check_not_null``), not a live row;
+    not-null violation (see ``quality.not_null_rules``), not a live row;
     ``NOT NULL`` is NULL and the row is filtered out.
     """
     return df.filter(~F.col(flag))

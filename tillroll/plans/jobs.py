@@ -16,6 +16,8 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tillroll.operators import quality
 from tillroll.sinks import files, jdbc as jdbc_sink, tables
@@ -28,6 +30,8 @@ def objects_to_table(
     key: Sequence[str],
     load: Callable[[DataFrame, str], object],
     name: str = "objects",
+    rules: Sequence[quality.RowRule] = (),
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Parse ``raw`` once into a staged copy, refuse duplicate/NULL keys,
     then ``load(staged, location)``.
@@ -37,15 +41,38 @@ def objects_to_table(
     key columns of that copy (and returns at most one offending row), and
     the load works from the copy. A failed check leaves the live target
     untouched.
+
+    With ``rules``, rows that break one are not loaded: they stay in the staged copy
+    (``quarantined``) with ``violations`` and all columns, the raw line among them. The
+    key is checked on the others, of which ``columns`` are loaded. Returns the loaded rows.
     """
     spark = raw.sparkSession
-    location = tables.stage(parse(raw), f"staging.{name}")
-    staged = spark.read.parquet(location)
+    if not rules:
+        location = tables.stage(parse(raw), f"staging.{name}")
+        staged = spark.read.parquet(location)
+        quality.assert_empty(quality.check_primary_key(staged, key), "key violations in input objects")
+        load(staged, location)
+        return staged
+    marked = quality.annotate_violations(parse(raw), rules, "violations")
+    state = F.when(F.size("violations") == 0, F.lit("valid")).otherwise(F.lit("quarantined"))
+    location = tables.stage(marked.withColumn("load_state", state), f"staging.{name}", partition_by=["load_state"])
+    valid = StructType([marked.schema[c] for c in columns or [c for c in marked.columns if c != "violations"]])
+    if not tables.exists(spark, f"{location}/load_state=valid"):
+        spark.createDataFrame([], valid).write.parquet(f"{location}/load_state=valid")
+    staged = spark.read.schema(valid).parquet(f"{location}/load_state=valid")
     quality.assert_empty(quality.check_primary_key(staged, key), "key violations in input objects")
-    load(staged, location)
+    load(staged, f"{location}/load_state=valid")
     return staged
 
 
+def quarantined(spark: SparkSession, staged_valid: DataFrame, schema: StructType) -> DataFrame:
+    """The rows that ``objects_to_table`` did not load, beside those it returned."""
+    folder = staged_valid.inputFiles()[0].rsplit("/load_state=", 1)[0] + "/load_state=quarantined"
+    if not tables.exists(spark, folder):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(folder)
+
+
 def load_catalog_table(table: str) -> Callable[[DataFrame, str], None]:
     """The staged folder becomes the table's data: no second write."""
 

@@ -129,6 +129,10 @@ def _parse_lines(raw):
     return files.parse_delimited(raw, _LINE_FIELDS)
 
 
+def _parse_checked(raw):
+    return files.parse_delimited(raw, _LINE_FIELDS, checked=True)
+
+
 @query("q_text_roundtrip", "A11", """
 SELECT o_orderkey, o_custkey, o_orderstatus,
        CASE o_orderpriority WHEN '1-URGENT' THEN 'a|b' || chr(10) || 'c%0A' || chr(13)
@@ -168,6 +172,25 @@ def q_listing(spark: SparkSession, sf: str):
     return listing.groupBy(status.alias("o_orderstatus")).agg(F.sum("length").cast("bigint").alias("bytes"))
 
 
+@query("q_inventory", "A12", """
+SELECT o_orderstatus, count(*) AS objects, CAST(sum(strlen(o_orderpriority)) AS BIGINT) AS bytes,
+       max(o_orderdate) AS last_change
+FROM orders WHERE o_orderkey % 3 <> 0 GROUP BY o_orderstatus
+""")
+def q_inventory(spark: SparkSession, sf: str):
+    """A store's inventory table (one object per order), listed below a prefix
+    without any file status on the driver."""
+    orders = read_table(spark, sf, "orders")
+    prefix = F.when(F.col("o_orderkey") % 3 != 0, F.lit("shop/")).otherwise(F.lit("old/"))
+    key = F.concat(prefix, F.lit("o_orderstatus="), "o_orderstatus", F.lit("/"), F.col("o_orderkey").cast("string"), F.lit(".txt"))
+    inventory = orders.select(key.alias("key"), F.length("o_orderpriority").alias("size"), F.col("o_orderdate").alias("modified"))
+    listing = objects.from_inventory(inventory, "key", "size", "modified", prefix="shop/")
+    status = F.regexp_extract("name", r"^o_orderstatus=([^/]+)/", 1)
+    return listing.groupBy(status.alias("o_orderstatus")).agg(
+        F.count(F.lit(1)).alias("objects"), F.sum("length").cast("bigint").alias("bytes"),
+        F.max("modificationTime").cast("timestamp_ntz").alias("last_change"))
+
+
 # ------------------------------------------------------------------ A13
 @query("q_manifest_missing", "A13", """
 SELECT DISTINCT 'o_orderstatus=' || o_orderstatus AS name FROM orders
@@ -271,13 +294,15 @@ SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders
 def q_objects_to_table(spark: SparkSession, sf: str):
     """Object store -> Spark -> table: landed text objects are parsed, their
     key checked, and loaded into a catalog table (the JDBC target takes the
-    same DataFrame through a staging table)."""
-    orders = read_table(spark, sf, "orders")
+    same DataFrame through a staging table). Garbled lines among them stay out."""
+    from tillroll.plans.q_versions import dirty_lines, line_rules
+
     path = shared_path(spark, "objects", "orders-landing", unique=True)
-    files.write_text(orders.select(files.delimited_line(_LINE_COLS).alias("line")), path)
+    files.write_text(dirty_lines(read_table(spark, sf, "orders")), path)
 
     t = _table_name("orders_loaded")
-    jobs.objects_to_table(spark.read.text(path), _parse_lines, ["o_orderkey"], jobs.load_catalog_table(t))
+    jobs.objects_to_table(spark.read.text(path), _parse_checked, ["o_orderkey"], jobs.load_catalog_table(t),
+                          rules=line_rules(), columns=[n for n, _ in _LINE_FIELDS])
     return spark.table(t)
 
 
@@ -286,22 +311,21 @@ def q_objects_to_table(spark: SparkSession, sf: str):
 SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders
 """)
 def q_stream_ingest(spark: SparkSession, sf: str):
-    """Objects land in two waves (finished+open orders, then pending ones);
-    an ``availableNow`` streaming run after each wave, plus a third run with
-    nothing new, loads every row exactly once."""
+    """Objects land in two waves (finished+open orders, then pending ones, with
+    garbled lines among them); an ``availableNow`` streaming run after each wave, plus a third
+    run with nothing new, loads every good row exactly once."""
+    from tillroll.plans.q_versions import dirty_lines, line_rules
     from tillroll.streaming.ingest import loaded, run_ingestion
 
     orders = read_table(spark, sf, "orders")
     base = shared_path(spark, "stream", "orders", unique=True)
     landing, target = f"{base}/landing", f"{base}/table"
     checkpoint = f"{base}/_checkpoint"
-    line = files.delimited_line(_LINE_COLS).alias("line")
-
-    rules = quality.not_null_rules(["o_orderkey", "o_custkey"])
+    rules = [*line_rules(), *quality.not_null_rules(["o_custkey"])]
     pending = F.col("o_orderstatus").eqNullSafe("P")
     waves = [~pending, pending]
     for i, wave in enumerate(waves):
-        files.write_text(orders.filter(wave).select(line), f"{landing}/wave={i}")
-        run_ingestion(spark, landing, _parse_lines, rules, target, checkpoint, glob="*.txt")
-    run_ingestion(spark, landing, _parse_lines, rules, target, checkpoint, glob="*.txt")
-    return loaded(spark, target)
+        files.write_text(dirty_lines(orders.filter(wave)), f"{landing}/wave={i}")
+        run_ingestion(spark, landing, _parse_checked, rules, target, checkpoint, glob="*.txt")
+    run_ingestion(spark, landing, _parse_checked, rules, target, checkpoint, glob="*.txt")
+    return loaded(spark, target).select(*[n for n, _ in _LINE_FIELDS])

@@ -43,7 +43,7 @@ def query(name: str, ops: str, sql: str | None = None) -> Callable[[Builder], Bu
 def _load_all() -> None:
     # importing the modules registers their queries
     from tillroll.plans import (  # noqa: F401
-        q_basic, q_documents, q_io, q_model, q_quality,
+        q_basic, q_documents, q_io, q_model, q_ordered, q_quality, q_versions,
     )
 
 

@@ -40,27 +40,41 @@ def delimited_line(cols: Sequence[str], sep: str = "|") -> Column:
     """Columns joined into one text line. A percent sign, a line break and the
     separator are written as percent codes and NULL as ``%N``, so
     ``parse_delimited`` gives back the same rows."""
+    special = "[" + "".join("\\" + c if c not in "\r\n" else c for c in _escaped(sep)) + "]"
+
     def field(c: str) -> Column:
-        text = F.col(c).cast("string")
+        plain = text = F.col(c).cast("string")
         for char in _escaped(sep):
             text = F.replace(text, F.lit(char), F.lit(_code(char)))
-        return F.coalesce(text, F.lit(_NULL))
+        return F.coalesce(F.when(plain.rlike(special), text).otherwise(plain), F.lit(_NULL))
 
     return F.concat_ws(sep, *[field(c) for c in cols])
 
 
-def parse_delimited(raw: DataFrame, fields: Sequence[tuple[str, str]], sep: str = "|") -> DataFrame:
+def parse_delimited(raw: DataFrame, fields: Sequence[tuple[str, str]], sep: str = "|", checked: bool = False) -> DataFrame:
     """Lines (column ``value``) written by ``delimited_line`` as typed columns
-    ``(name, type)``. A missing field, or text that is not of its type, is NULL."""
+    ``(name, type)``. A missing field, or text that is not of its type, is NULL.
+
+    ``checked`` keeps what would be lost: ``line`` (the raw text), ``n_fields``, and
+    ``bad_types`` (the fields whose text is not of their type), for
+    ``quality.line_rules``."""
     parts = F.split("value", re.escape(sep))
 
-    def column(i: int, name: str, kind: str) -> Column:
-        text = F.get(parts, i)
+    def text(i: int) -> Column:
+        raw_text = F.get(parts, i)
+        out = raw_text
         for char in reversed(_escaped(sep)):  # the percent sign last
-            text = F.replace(text, F.lit(_code(char)), F.lit(char))
-        return F.when(F.get(parts, i) != _NULL, text).try_cast(kind).alias(name)
-
-    return raw.select(*[column(i, name, kind) for i, (name, kind) in enumerate(fields)])
+            out = F.replace(out, F.lit(_code(char)), F.lit(char))
+        # most fields hold no code
+        return F.when(raw_text != _NULL, F.when(raw_text.contains("%"), out).otherwise(raw_text))
+
+    typed = [text(i).try_cast(kind).alias(name) for i, (name, kind) in enumerate(fields)]
+    if not checked:
+        return raw.select(*typed)
+    bad = F.array(*[F.when(text(i).isNotNull() & text(i).try_cast(kind).isNull(), F.lit(name))
+                    for i, (name, kind) in enumerate(fields)])
+    return raw.select(*typed, F.col("value").alias("line"), F.size(parts).alias("n_fields"),
+                      F.filter(bad, lambda x: x.isNotNull()).alias("bad_types"))
 
 
 _NULL = "%N"

@@ -11,8 +11,9 @@ rule), not part of the job.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,13 +25,24 @@ def _quote(name: str) -> str:
     return ".".join(f"`{p}`" for p in name.split("."))
 
 
-def stage(df: DataFrame, table: str, fmt: str = "parquet") -> str:
+def stage(df: DataFrame, table: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> str:
     """Write ``df`` to a fresh folder under the shared folder; return it."""
     location = shared_path(df.sparkSession, "tables", table.replace(".", "_"), unique=True)
-    df.write.mode("errorifexists").format(fmt).save(location)
+    df.write.mode("errorifexists").format(fmt).partitionBy(*partition_by).save(location)
     return location
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder exists, on any file system that Spark reads."""
+    try:
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            return False
+        raise
+    return True
+
+
 def publish(spark: SparkSession, table: str, location: str, schema, fmt: str = "parquet") -> None:
     """Point ``table`` at a staged folder (one catalog operation); create the
     table when missing. Other columns or another format than the table's are
