@@ -22,10 +22,16 @@ from pyspark.sql import types as T
 from tillroll.session import shared_path
 from tillroll.sources.tables import read_table
 
-__all__ = ["append_columns", "arrow_schema", "bounded_sample", "complete_groups", "crc_fold", "drop_clashes", "numbered",
+__all__ = ["append_columns", "arrow_schema", "bounded_sample", "complete_groups", "crc_fold", "drop_clashes", "gathered", "numbered",
            "parts_of", "read_table", "slices_by_bytes", "small_batches", "stage", "tidied", "utf8"]
 
 
+def gathered(df: DataFrame) -> DataFrame:
+    """What a shuffle made, in four tasks a core at most: the partitions of small
+    intermediate results would be thousands of tiny files."""
+    return df.coalesce(4 * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the shared folder and read it back.
 

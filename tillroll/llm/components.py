@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import stage, tidied
+from tillroll.llm.common import gathered, stage, tidied
 
 
 @tidied
@@ -64,9 +64,9 @@ def components(edges: DataFrame) -> DataFrame:
     """(a, b) with ``b`` the smallest node of the component of ``a``, for every
     node but the smallest ones. ``edges`` are two long columns; loops are
     allowed. The rounds grow with the logarithm of the longest path."""
-    now = stage(edges.toDF("a", "b").filter("a <> b").mapInArrow(_forest, "a long, b long"), "edges")
+    now = stage(gathered(edges.toDF("a", "b").filter("a <> b")).mapInArrow(_forest, "a long, b long"), "edges")
     while not _are_stars(now):
-        now = stage(_small_star(_large_star(now)), "edges")
+        now = stage(gathered(_small_star(_large_star(now))), "edges")
     return now
 
 

@@ -40,10 +40,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import append_columns, complete_groups, slices_by_bytes, small_batches, stage, tidied, utf8
+from tillroll.llm.common import append_columns, complete_groups, gathered, slices_by_bytes, small_batches, tidied, utf8
+from tillroll.llm.common import stage as write_table
 from tillroll.llm.components import components, spanning_forest
 from tillroll.llm.textvec import SPACED, mix, scan_words, shingles
 
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """A staged table of something that comes out of a shuffle."""
+    return write_table(gathered(df), name)
+
+
 PLACES, BANDS = 128, 32
 _ROWS = PLACES // BANDS
 _FRACTION = 25  # bits of a value's fraction; the rest is its rank
@@ -318,7 +325,7 @@ def _grouped(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str)
     small_batches(docs)
     slim = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash"), F.col(text_col).alias("text"))
     uid = F.col("_task").cast("long") * F.lit(1 << 40) + F.col("_place")
-    rows = stage(sketch(slim, "text", k, drop=("text",), number=True), "sketch")
+    rows = write_table(sketch(slim, "text", k, drop=("text",), number=True), "sketch")
     classes = stage(rows.filter("set_key IS NOT NULL").groupBy("set_key")
                     .agg(F.min(uid).alias("c"), F.min("id").alias("least_id"),
                          F.min(F.struct(F.col("id").isNull(), "id", "hash"))["hash"].alias("hash"),
@@ -416,5 +423,5 @@ def deduplicate(docs: DataFrame, k: int = 5, percent: int = 80, *, id_col: str =
     stay = (keyed.filter("set_key IS NOT NULL")
             .join(kept, keyed[mine].eqNullSafe(kept["_id"]) & (keyed["set_key"] == kept["_key"]), "left_semi")
             .dropDuplicates([mine, "set_key"]))
-    return (stay.unionByName(keyed.filter("set_key IS NULL"))
+    return (gathered(stay).unionByName(keyed.filter("set_key IS NULL"))
             .select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(names)]))
