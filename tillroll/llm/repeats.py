@@ -52,7 +52,7 @@ _SLICE = 1 << 19  # bytes hashed at once
 _PLACE = np.uint64((1 << 22) - 1)
 _CHUNK = 4 << 20  # text bytes of a chunk
 _ANCHORS = 1 << 20  # anchors of a bucket
-_COLLECTION = 20_000  # segments of a collection
+_COLLECTION = 10_000  # segments of a collection
 _HOT = 4096  # an anchor repeated more often has its segments cut up
 _NO_ID = (1 << 63) - 1
 
@@ -142,9 +142,10 @@ class Collection:
             now, with_before = np.empty(size, np.uint16), np.empty(size, np.uint8)
             now[stays], with_before[stays] = bwt, shared
             now[new] = np.where(left[text] >= at[text], padded[left[text]], np.uint16(0))
-            with_before[new] = self._prefixes(bwt, shared, order, grown, most)
-            after = grown[grown + 1 < len(order)] + 1
-            with_before[n + after] = self._prefixes(bwt, shared, order, after, most)
+            changed = np.zeros(len(order) + 1, bool)  # the new suffixes and those behind them
+            changed[grown] = changed[grown + 1] = True
+            changed = np.flatnonzero(changed[:-1])
+            with_before[n + changed] = self._prefixes(bwt, shared, order, changed, most)
             bwt, shared, place = now, with_before, new
         self.bwt, self.shared, self.order = bwt, shared, order
 
@@ -157,9 +158,9 @@ class Collection:
         out = np.zeros(len(at), np.uint8)
         which = np.flatnonzero(same)
         a, b = lo[which] + 1, hi[which] + 1
-        level = np.frexp((b - a).astype(np.float64))[1] - 1
-        by = np.argsort(level, kind="stable")
-        border = np.searchsorted(level[by], np.arange(int(level.max(initial=-1)) + 2))
+        level = (np.frexp((b - a).astype(np.float64))[1] - 1).astype(np.uint8)
+        by = _sorted(level)
+        border = np.searchsorted(level[by], np.arange(int(level.max(initial=0)) + 2))
         least = shared
         for k in range(len(border) - 1):  # least of 2**k neighbours
             x = by[border[k]:border[k + 1]]
