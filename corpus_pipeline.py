@@ -11,8 +11,17 @@ return the columns of ``documents``.
 4. secrets: findings are replaced by a mark; ``n_chars`` follows the new text.
 5. packing: the texts are packed into sequences of 4,096 tokens.
 
-Null and empty texts pass like any other: the quality field scores them, and
-the later stages keep what it keeps.
+Defined results of each stage, beside those of its operator:
+
+* Null and empty texts: the quality field scores them like any other; near duplicates, decontamination
+  and secrets keep them as they are (a null text stays null); packing gives them the end id alone.
+* Repeated rows and ids: quality and decontamination judge row by row; of equal or near equal
+  texts one row stays, also where they share an id or have none; texts without words all stay.
+* Ties: the smallest id stays, null ids last, then the text seen first; packing keeps no given order.
+* Very long texts are scored, compared, searched and packed whole, in slices.
+* Empty tables give empty results. Extra columns are kept by all stages but the last; the
+  operators work on names of their own, so an extra column may have any name but those of
+  ``documents``.
 """
 
 from __future__ import annotations

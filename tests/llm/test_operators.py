@@ -427,3 +427,76 @@ def test_top_k_brute_force(spark):
         got = topk.top_k(df, F.col("vec_id") % 50 == 0, block_rows=block).collect()
         assert sorted((r["query_id"], r["rank"], r["score"]) for r in got) == sorted(want)
     assert topk.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
+
+
+def test_nnpu_steps_follow_the_risk():
+    """The first Adam step goes against the numeric gradient; later ones undo a negative corrected part."""
+    from tillroll.llm import toxicity as tox
+
+    soft = lambda z: np.logaddexp(0, z)
+    for seed in range(30):
+        rng = np.random.default_rng(seed)
+        prior = rng.uniform(0.05, 0.9)
+        pos, unl = (rng.random((n, 4)).astype(np.float32) for n in (20, 30))
+
+        def corrected(x):
+            return soft(unl @ x[:4] + x[4]).mean() - prior * soft(pos @ x[:4] + x[4]).mean()
+
+        def risk(x):
+            c = corrected(x)
+            return prior * soft(-(pos @ x[:4] + x[4])).mean() + c if c >= 0 else -c
+
+        # the fit starts at w = 0, where the bias has no gradient
+        x0 = np.append(np.zeros(4), np.log(prior / (1 - prior)))
+        grad = np.array([(risk(x0 + e) - risk(x0 - e)) / 2e-6 for e in np.eye(5) * 1e-6])
+        w, b = tox.fit_nnpu(pos, unl, prior, steps=1, rate=0.01)
+        assert np.allclose(w, -0.01 * np.sign(grad[:4]), atol=1e-4)
+        # positives that are easy, unlabelled rows far from them: the corrected part turns negative during the fit
+        far, easy = -3 * np.ones((30, 4), np.float32), 3 * np.ones((20, 4), np.float32)
+        w, b = tox.fit_nnpu(easy, far, prior, steps=400)
+        z = soft(far @ w + b).mean() - prior * soft(easy @ w + b).mean()
+        # undone each time, so it stays near zero; plain descent on the risk would go on to about -12 * prior
+        assert z > -0.3 and (easy @ w).min() > (far @ w).max()
+
+
+def test_field_gradient():
+    """Marginals give the numeric gradient of the log-likelihood, through the first Adam step."""
+    from tillroll.llm import quality as q
+
+    for seed in range(20):
+        rng = np.random.default_rng(seed)
+        first = np.array([0, 1, 4, 9, 15])
+        x, good = rng.normal(size=(15, 3)), rng.random(15) < 0.5
+
+        def loss(w):
+            unary = np.zeros((15, 2))
+            unary[:, 1] = x @ w[:3]
+            total, t = q.forward_backward(unary, first, w[3:].reshape(2, 2))[2], w[3:].reshape(2, 2)
+            own = sum(unary[i, int(good[i])] for i in range(15))
+            own += sum(t[int(good[i - 1]), int(good[i])] for i in range(15) if i not in first)
+            return (total - own) / 15
+
+        grad = np.array([(loss(e) - loss(-e)) / 2e-6 for e in np.eye(7) * 1e-6])
+        w, t = q.fit_field(x, first, good, steps=1, rate=0.01)
+        assert np.allclose(np.append(w, t.ravel()), -0.01 * np.sign(grad), atol=1e-4)
+        w, t = q.fit_field(x, first, good)
+        assert loss(np.append(w, t.ravel())) < loss(np.zeros(7))
+
+
+def test_toxicity_scores_whole_texts():
+    from tillroll.llm import toxicity as tox
+    from tillroll.llm.common import utf8
+    import pyarrow as pa
+
+    code = lambda w: tox._features(*utf8(pa.array([w])))[1]
+    known = {w: int(code(w)[0]) for w in ("idiot", "fool", "été", "calm")}
+    order = sorted(known, key=known.get)
+    weight = dict(zip(order, [2.0, -1.5, 0.75, 3.0]))
+    model = tox.Model(np.array([known[w] for w in order], np.uint64), np.array([weight[w] for w in order]), -1.0)
+    texts = [None, "", "IDIOT idiot calm", "x " * 50_000 + "fool", "foolish", "ÉTÉ été", "a.fool,calm!"]
+    got = model.score(*utf8(pa.array(texts, pa.string())), model.screen())
+    for t, s in zip(texts, got.tolist()):
+        words = set(WORD.findall((t or "").translate(LOW)))
+        hashes = {int(c) for w in words for c in code(w)}  # words and prefixes
+        z = -1.0 + sum(weight[w] for w in known if known[w] in hashes)
+        assert abs(s - 1 / (1 + np.exp(-z))) < 1e-12

@@ -42,6 +42,10 @@ def test_odd_documents(spark):
         docs = stage(step(spark, docs, SF), "odd")
     got = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"] or "") for r in docs.collect())
     assert got == [(False, 1, ""), (False, 2, ""), (False, 2, ""), (False, 3, "x y " * 9), (False, 4, '[secret]"')]
+    for _, step in P.STAGES:  # also the quality stage
+        assert step(spark, docs.limit(0), SF).count() == 0
+    scored = P.quality_stage(spark, spark.createDataFrame(rows, docs.schema).selectExpr("*", "0 AS Score"), SF)
+    assert scored.columns == [*docs.columns, "Score"] and scored.count() <= len(rows)
     assert P.packing_stage(spark, docs, SF).count() == 5
     assert P.packing_stage(spark, docs.limit(0), SF).count() == 0
 
