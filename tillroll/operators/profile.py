@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
@@ -91,13 +91,26 @@ def _long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(F.inline(pairs)).filter(F.col("v").isNotNull())
 
 
+_ACCURACY = 10_000
+_SLACK = 4.0  # the first sketch is asked this many of its rank errors around a level
+
+
+def _opening(xs: Sequence[Column], levels: Sequence[float], accuracy: int) -> list[Column]:
+    """Aggregates of the first quantile pass over column ``i``: non-NULL values ``n``,
+    NaN values ``m``, and ``q``, the finite values found a little under and over each level."""
+    cuts = [min(max(float(q) + side * _SLACK / accuracy, 0.0), 1.0) for q in levels for side in (-1, 1)]
+    return [a for i, x in enumerate(xs) for a in (
+        F.count(x).alias(f"n{i}"), F.count_if(F.isnan(x)).alias(f"m{i}"),
+        F.percentile_approx(F.when((x > F.lit(-math.inf)) & (x < F.lit(math.inf)), x), cuts, accuracy).alias(f"q{i}"))]
+
+
 def _exact_quantiles(
     df: DataFrame,
     cols: Sequence[str],
     levels: Sequence[float],
-    accuracy: int = 10_000,
+    accuracy: int = _ACCURACY,
     max_window: int = 10_000,
-    counts: dict[str, tuple[int, int]] | None = None,
+    opened: dict | None = None,
 ) -> DataFrame:
     """Exact, linearly interpolated quantiles ``(column_name, level, value)``.
 
@@ -105,7 +118,11 @@ def _exact_quantiles(
     interpolation needs, ``floor`` and ``ceil`` of ``(n - 1) * level``, are
     kept inside a closed value bracket ``[lo, hi]``; ``below`` counts the values
     under it, ``base`` those up to ``lo`` and ``inside`` those strictly between
-    the ends. Each round
+    the ends. The first pass counts and sketches every column at once: a level's
+    two ranks lie at the fraction ``level`` whatever the number of rows. The second
+    checks those brackets. So up to about ``max_window * accuracy / 10`` rows (ten
+    million) two jobs come before the last pass. Where more are left inside, or NaN
+    and infinite values shift the ranks, each further round
     1. sketches the inside with ``percentile_approx`` (a bounded summary
        per task, merged in a tiny final aggregate), asking for the two ranks
        widened by a few times the sketch's rank error;
@@ -120,22 +137,21 @@ def _exact_quantiles(
     only bracket-sized data is shuffled, and a value held by many rows is
     one weighted row. The driver sees a few numbers per bracket. NaN sorts
     above every number (as in Spark and DuckDB); NULLs are skipped.
-    ``counts`` (column -> (non-NULL values, NaN values)) saves the first
-    pass when the caller already has them.
+    ``opened``, a row of the ``_opening`` aggregates of the same columns, levels and
+    accuracy, saves the first pass when the caller already has it.
     """
     xs = [F.col(f"`{c}`").cast("double") for c in cols]
-    if counts is None:
-        row = df.agg(*[a for i, x in enumerate(xs) for a in (
-            F.count(x).alias(f"n{i}"), F.count_if(F.isnan(x)).alias(f"m{i}"))]).first()
-        counts = {c: (row[f"n{i}"], row[f"m{i}"]) for i, c in enumerate(cols)}
+    if opened is None:
+        opened = df.agg(*_opening(xs, levels, accuracy)).first().asDict()
+    slack = _SLACK / accuracy
 
     done: list[tuple[str, float, float | None]] = []
     open_: list[dict] = []
     for i, c in enumerate(cols):
-        n, finite = counts[c][0], counts[c][0] - counts[c][1]
+        n, finite, cuts = opened[f"n{i}"], opened[f"n{i}"] - opened[f"m{i}"], opened[f"q{i}"]
         if n == 0:
             continue
-        for level in levels:
+        for j, level in enumerate(levels):
             h = (n - 1) * float(level)
             r0, r1 = math.floor(h), math.ceil(h)
             if r1 >= finite:  # the upper rank is a NaN
@@ -144,6 +160,9 @@ def _exact_quantiles(
             open_.append(dict(col=c, x=xs[i], level=float(level), h=h, r0=r0, r1=r1,
                               lo=-math.inf, hi=math.inf, below=0, base=0, inside=finite,
                               widen=3.0 / accuracy))
+            if cuts is not None:
+                open_[-1]["_guess"] = (cuts[2 * j] if level > slack else -math.inf,
+                                       cuts[2 * j + 1] if level < 1 - slack else math.inf)
 
     rounds = 0
     while active := [t for t in open_ if t["inside"] > max_window]:
@@ -153,7 +172,8 @@ def _exact_quantiles(
         # one sketch per bracket, asked for every rank its levels need
         groups: dict[tuple, list[dict]] = {}
         for t in active:
-            groups.setdefault((t["col"], t["lo"], t["hi"]), []).append(t)
+            if "_guess" not in t:
+                groups.setdefault((t["col"], t["lo"], t["hi"]), []).append(t)
         sketches = []
         for g, members in enumerate(groups.values()):
             x, lo, hi = members[0]["x"], members[0]["lo"], members[0]["hi"]
@@ -165,13 +185,16 @@ def _exact_quantiles(
                 fractions += [min(max(f, 0.0), 1.0) for f in t["_cut"]]
             inner = (x > F.lit(lo)) & (x < F.lit(hi))  # NaN is above every number
             sketches.append(F.percentile_approx(F.when(inner, x), fractions, accuracy).alias(f"s{g}"))
-        guess = df.agg(*sketches).first()
+        guess = df.agg(*sketches).first() if sketches else None
         checks = []
         for j, t in enumerate(active):
-            g, k = t["_at"]
-            seen = guess[f"s{g}"]  # NULL when all values counted inside are infinite
-            t["_lo"] = t["lo"] if seen is None or t["_cut"][0] <= 0 else seen[k]
-            t["_hi"] = t["hi"] if seen is None or t["_cut"][1] >= 1 else seen[k + 1]
+            if "_guess" in t:
+                t["_lo"], t["_hi"] = t["_guess"]
+            else:
+                g, k = t["_at"]
+                seen = guess[f"s{g}"]  # NULL when all values counted inside are infinite
+                t["_lo"] = t["lo"] if seen is None or t["_cut"][0] <= 0 else seen[k]
+                t["_hi"] = t["hi"] if seen is None or t["_cut"][1] >= 1 else seen[k + 1]
             lo, hi = F.lit(t["_lo"]), F.lit(t["_hi"])
             checks += [F.count_if(t["x"] < lo).alias(f"b{j}"), F.count_if(t["x"] <= lo).alias(f"l{j}"),
                        F.count_if(t["x"] < hi).alias(f"h{j}"),
@@ -181,8 +204,9 @@ def _exact_quantiles(
             if seen[f"b{j}"] <= t["r0"] and seen[f"u{j}"] >= t["r1"] + 1:
                 t.update(lo=t["_lo"], hi=t["_hi"], below=seen[f"b{j}"], base=seen[f"l{j}"],
                          inside=max(0, seen[f"h{j}"] - seen[f"l{j}"]), widen=3.0 / accuracy)
-            else:  # infinite values shift the first ranks: widen and retry
+            elif "_guess" not in t:  # infinite values shift the first ranks: widen and retry
                 t["widen"] *= 4
+            t.pop("_guess", None)
 
     fixed = [F.struct(F.lit(c).alias("column_name"), F.lit(level).alias("level"), F.lit(v).alias("value"))
              for c, level, v in done]
@@ -256,10 +280,9 @@ def describe_numeric(
         df = df.select(*[F.when(~F.isnan(x), x).alias(c) for x, c in xs])
     if approx:
         return _describe_approx(df, cols, accuracy)
-    # one pass: moments and the counts the quartile search starts from
+    # one pass: moments, and the counts and sketches the quartile search starts from
     xs = [F.col(f"`{c}`").cast("double") for c in cols]
-    row = df.agg(*[a for i, x in enumerate(xs) for a in (
-        F.count(x).alias(f"n{i}"), F.count_if(F.isnan(x)).alias(f"m{i}"),
+    row = df.agg(*_opening(xs, QUARTILES, _ACCURACY), *[a for i, x in enumerate(xs) for a in (
         F.avg(x).alias(f"a{i}"), F.stddev_samp(x).alias(f"s{i}"),
         F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"))]).first()
     entries = []
@@ -271,9 +294,7 @@ def describe_numeric(
         for stat, v in stats:
             entries.append(F.struct(F.lit(c).alias("column_name"), F.lit(stat).alias("stat"),
                                     F.lit(v).cast("double").alias("value")))
-    quart = _exact_quantiles(
-        df, cols, QUARTILES, counts={c: (row[f"n{i}"], row[f"m{i}"]) for i, c in enumerate(cols)}
-    ).select(
+    quart = _exact_quantiles(df, cols, QUARTILES, _ACCURACY, opened=row.asDict()).select(
         "column_name",
         F.concat((F.col("level") * 100).cast("int").cast("string"), F.lit("%")).alias("stat"),
         "value",
