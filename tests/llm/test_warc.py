@@ -3,6 +3,7 @@
 import base64
 import hashlib
 
+import numpy as np
 import pytest
 
 from tillroll.llm import warc
@@ -51,3 +52,34 @@ def test_empty_table(spark):
     path = shared_path(spark, "warc-test", unique=True)
     warc.write_warc(spark.createDataFrame([], "page_id long, url string, html string"), path)
     assert warc.resolve(warc.read_warc(spark, path, payload=False)).count() == 0
+
+
+def test_chains_of_a_split():
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 40, 900):
+        offset = np.sort(rng.choice(50 * n, n, replace=False))
+        after = offset[np.minimum(np.arange(n) + rng.integers(1, 4, n), n - 1)]
+        after = np.where(rng.random(n) < 0.05, 50 * n + 7, after)  # out of the split
+        after = np.where((after > offset) & (rng.random(n) < 0.9), after, -1)
+        entry = rng.random(n) < 0.1
+        place = {int(o): i for i, o in enumerate(offset)}
+        leaves, real = after.copy(), entry.copy()
+        for i in range(n - 1, -1, -1):
+            if int(after[i]) in place:
+                leaves[i] = leaves[place[int(after[i])]]
+        for i in range(n):
+            if real[i] and int(after[i]) in place:
+                real[place[int(after[i])]] = True
+        assert (warc._leaves(offset, after) == leaves).all()
+        assert (warc._reached(offset, after, entry) == real).all()
+
+
+def test_payload_of_magic_lines(spark):
+    # a chain of one record, and 40,000 places that look like records
+    rows = [(1, "a", "WARC/1.0\r\n" * 40_000), (2, "b", FAKE * 2000), (3, "c", "plain")]
+    path = shared_path(spark, "warc-magic", unique=True)
+    warc.write_warc(spark.createDataFrame(rows, "page_id long, url string, html string"), path)
+    got = {r["id"]: r for r in warc.read_warc(spark, path).collect()}
+    assert len(got) == 3
+    for page, _, html in rows:
+        assert bytes(got[str(page)]["payload"]) == html.encode()

@@ -147,15 +147,31 @@ def _pieces(spark: SparkSession, path: str, bodies: bool) -> DataFrame:
     return lines.mapInArrow(run, fields)
 
 
+def _successors(offset: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """Per candidate of one split (by offset), the index of its successor, and
+    its own where that is no candidate of the split."""
+    at = np.minimum(np.searchsorted(offset, after), len(offset) - 1)
+    return np.where(offset[at] == after, at, np.arange(len(offset)))
+
+
 def _leaves(offset: np.ndarray, after: np.ndarray) -> np.ndarray:
-    """Per candidate of one split (by offset), the first offset on its chain
-    that is no candidate of the split; -1 for a broken one."""
-    at = np.searchsorted(offset, after)
-    inside = (at < len(offset)) & (offset[np.minimum(at, len(offset) - 1)] == after)
-    out = after.copy()
-    for i in np.flatnonzero(inside)[::-1].tolist():  # successors lie behind
-        out[i] = out[at[i]]
-    return out
+    """Per candidate of one split, the first offset on its chain that is no
+    candidate of the split; -1 for a broken one. Pointers jump twice as far each time."""
+    to = _successors(offset, after)
+    while not np.array_equal(further := to[to], to):
+        to = further
+    return after[to]
+
+
+def _reached(offset: np.ndarray, after: np.ndarray, entry: np.ndarray) -> np.ndarray:
+    """Which candidates of one split lie on a chain from an ``entry``."""
+    to, real = _successors(offset, after), entry.copy()
+    while True:
+        real[to[real]] = True  # now those twice as many steps away
+        further = to[to]
+        if np.array_equal(further, to):
+            return real
+        to = further
 
 
 def true_records(chain: DataFrame) -> DataFrame:
@@ -169,7 +185,10 @@ def true_records(chain: DataFrame) -> DataFrame:
         p = p.sort_values("offset", ignore_index=True)
         return p.assign(leaves=_leaves(p["offset"].to_numpy(np.int64), p["after"].to_numpy(np.int64)))
 
-    chain = stage(chain.groupBy("file", "split").applyInPandas(leave, leave_fields), "warc-chain")
+    # pieces that can be no record lead nowhere; most of a payload of magic lines is such
+    some = F.col("after") >= 0
+    chain = stage(chain.filter(some).groupBy("file", "split").applyInPandas(leave, leave_fields)
+                  .unionByName(chain.filter(~some).withColumn("leaves", F.lit(-1).cast("long"))), "warc-chain")
     # the places where a chain can enter a split: few per split
     doors = chain.select("file", F.col("leaves").alias("offset")).distinct()
     start = chain.filter("offset = 0").select("file", "offset")
@@ -195,11 +214,7 @@ def true_records(chain: DataFrame) -> DataFrame:
     def mark(p: pd.DataFrame) -> pd.DataFrame:
         p = p.sort_values("offset", ignore_index=True)
         offset, after = p["offset"].to_numpy(np.int64), p["after"].to_numpy(np.int64)
-        real = p["entry"].eq(True).to_numpy(bool, na_value=False).copy()
-        at = np.minimum(np.searchsorted(offset, after), len(offset) - 1)
-        for i in range(len(offset)):  # from each entry along the chain
-            if real[i] and offset[at[i]] == after[i]:
-                real[at[i]] = True
+        real = _reached(offset, after, p["entry"].eq(True).to_numpy(bool, na_value=False))
         last = np.maximum.accumulate(np.where(real, np.arange(len(real)), -1))
         owner = pd.array(np.where(last >= 0, offset[np.maximum(last, 0)], 0), dtype="Int64")
         owner[last < 0] = pd.NA
