@@ -173,6 +173,19 @@ def test_fit_sample_takes_every_picked_id(spark):
     assert few and sum(len(r["text"] or "") for r in few) <= 40 and bounded_sample(docs, picks, 90, most_bytes=0).count() >= 1
 
 
+def test_fit_sample_of_an_id_with_many_texts(spark):
+    # the parts of one id are cut down first; the sample is that of all its texts
+    docs = spark.range(4000).select((F.col("id") >= 3900).cast("long").alias("doc_id"),
+                                    F.format_string("text %d", "id").alias("text")).repartition(4)
+    got = [tuple(r) for r in bounded_sample(docs, docs.select("doc_id").distinct(), 5).collect()]
+    want = []
+    for i in (0, 1):
+        texts = docs.filter(F.col("doc_id") == i).orderBy(F.xxhash64("text"), "text").select("text").limit(5).collect()
+        want += [(turn, i, r[0]) for turn, r in enumerate(texts)]
+    assert len(got) == 5 and {t for t in got} <= {t[1:] for t in want}
+    assert sorted(sum(i == j for i, _ in got) for j in (0, 1)) == [2, 3]
+
+
 def test_classifiers_edges(spark):
     docs = _docs(spark, [None, "", "\n\n", "good words here", "x" * 300_000, "a\n" * 5000])
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
@@ -196,6 +209,22 @@ def test_forward_backward_matches_enumeration():
     assert np.allclose(marg[:, 1], want) and np.isclose(logz, np.log(z)) and np.isclose(both.sum(), 4)
 
 
+@pytest.mark.parametrize("lengths", [[300, 1], [6, 6], [1, 5, 6, 7, 12, 13, 1, 100], [18, 3, 25], [1]])
+def test_long_chains_in_blocks(lengths):
+    rng = np.random.default_rng(len(lengths))
+    first = np.concatenate([[0], np.cumsum(lengths)])
+    unary, trans = rng.normal(scale=4, size=(first[-1], 2)), rng.normal(scale=2, size=(2, 2))
+    want = quality.forward_backward(unary, first, trans)[0]
+    assert np.allclose(quality.long_marginals(unary, first, trans, block=6), want, rtol=1e-9, atol=1e-12)
+
+
+def test_text_of_very_many_lines_is_scored():
+    rng = np.random.default_rng(5)
+    unary = rng.normal(scale=4, size=(20_000, 2))
+    first, trans = np.array([0, 19_000, 20_000]), np.array([[1.0, -1], [-2, 1]])
+    assert np.allclose(quality.long_marginals(unary, first, trans), quality.forward_backward(unary, first, trans)[0])
+
+
 def test_secrets_brute_force(spark):
     hexed = hashlib.sha1(b"x").hexdigest()
     texts = [None, "", "nothing", f'é token = "{hexed}" end', "PassWord:short", "api_key='abcDEF123456789'", "apikey: AAAABBBBCCCC",

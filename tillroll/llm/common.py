@@ -209,6 +209,7 @@ def crc_fold(id_col: str, mod: int) -> Column:
 
 
 SAMPLE_BYTES = 256 << 20
+_PARTS = 64  # of the texts of one id
 
 
 def bounded_sample(docs: DataFrame, picks: DataFrame, most: int, id_col: str = "doc_id", text_col: str = "text",
@@ -221,7 +222,10 @@ def bounded_sample(docs: DataFrame, picks: DataFrame, most: int, id_col: str = "
     texts = docs.join(F.broadcast(picks), id_col).dropDuplicates([id_col, text_col])
     by_id = Window.partitionBy(id_col).orderBy(F.xxhash64(text_col), text_col)
     order = [F.col("_turn"), F.xxhash64(F.col(id_col)), F.col(id_col), F.xxhash64(text_col), F.col(text_col)]
-    few = texts.withColumn("_turn", F.row_number().over(by_id)).orderBy(*order).limit(most)
+    # ``most`` texts of an id can be wanted at most: an id of very many is first cut down in parts
+    by_part = Window.partitionBy(id_col, F.pmod(F.xxhash64(text_col), F.lit(_PARTS))).orderBy(F.xxhash64(text_col), text_col)
+    few = (texts.withColumn("_turn", F.row_number().over(by_part)).filter(F.col("_turn") <= most)
+           .withColumn("_turn", F.row_number().over(by_id)).orderBy(*order).limit(most))
     size = F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long")
     held = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return (few.withColumn("_held", F.sum(size).over(held)).filter((F.col("_held") <= most_bytes) | (F.col("_held") == size))

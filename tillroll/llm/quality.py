@@ -34,6 +34,7 @@ _WORD = byte_table(lambda b: not (b == 32 or 9 <= b <= 13), lower=False)
 _UPPER, _LOWER, _DIGIT, _BAR, _BANG, _SYMBOL, _POINT = range(1, 8)
 N_OWN = 12
 _CHAIN = 64  # lines of one training chain
+_BLOCK = 256  # lines of a scored chain that are stepped through one by one
 
 
 def _classes() -> np.ndarray:
@@ -113,9 +114,12 @@ def with_neighbours(own: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.concatenate([own, before, after, np.ones((len(own), 1))], axis=1)
 
 
-def forward_backward(unary: np.ndarray, first: np.ndarray, trans: np.ndarray):
+def forward_backward(unary: np.ndarray, first: np.ndarray, trans: np.ndarray,
+                     enter: np.ndarray | None = None, leave: np.ndarray | None = None):
     """Marginals per line, summed transition marginals, and per-text log Z of
-    two-state chains; ``unary`` and ``trans`` are log potentials."""
+    two-state chains; ``unary`` and ``trans`` are log potentials. ``enter`` and
+    ``leave`` are messages from the lines before and behind each chain, where it is a
+    part of a longer one (the sums are then of no use)."""
     n = len(unary)
     top = unary.max(axis=1, keepdims=True) if n else unary
     local, step = np.exp(unary - top), np.exp(trans)
@@ -123,11 +127,13 @@ def forward_backward(unary: np.ndarray, first: np.ndarray, trans: np.ndarray):
     order = np.argsort(-length, kind="stable")
     begin, length = first[:-1][order], length[order]
     fwd, scale, bwd = np.zeros((n, 2)), np.ones(n), np.ones((n, 2))
+    if leave is not None:
+        bwd[first[1:] - 1] = leave
     longest = int(length[0]) if len(length) else 0
     active = np.searchsorted(-length, -np.arange(longest), side="left")  # texts longer than t
     for t in range(longest):
         at = begin[:active[t]] + t
-        a = local[at] * (fwd[at - 1] @ step if t else 1.0)
+        a = local[at] * (fwd[at - 1] @ step if t else 1.0 if enter is None else enter[order])
         s = a.sum(axis=1)
         fwd[at], scale[at] = a / s[:, None], s
     both = np.zeros((2, 2))
@@ -141,6 +147,42 @@ def forward_backward(unary: np.ndarray, first: np.ndarray, trans: np.ndarray):
     return marg, both, float(np.log(scale).sum() + top.sum())
 
 
+def long_marginals(unary: np.ndarray, first: np.ndarray, trans: np.ndarray, block: int = _BLOCK) -> np.ndarray:
+    """The marginals of ``forward_backward`` in about ``3 * block`` vector steps and two for
+    every ``block`` lines of the longest chain. Chains are cut into blocks and the
+    transfer matrices of all blocks are composed at once; messages go from block to
+    block, and each block is solved with the two it gets. Exact up to rounding."""
+    length = np.diff(first)
+    if not len(length) or length.max() <= block:
+        return forward_backward(unary, first, trans)[0]
+    n_blocks = -(-length // block)
+    head = np.cumsum(n_blocks) - n_blocks  # a chain's first block
+    place = np.arange(n_blocks.sum()) - np.repeat(head, n_blocks)
+    begin = np.repeat(first[:-1], n_blocks) + place * block
+    cuts = np.append(begin, first[-1])
+    local, step = np.exp(unary - unary.max(axis=1, keepdims=True)), np.exp(trans)
+    across = np.tile(np.eye(2), (len(begin), 1, 1))  # from the line before a block to its last one
+    for t in range(block):
+        on = np.flatnonzero(np.diff(cuts) > t)
+        here = local[begin[on] + t]
+        line = step * here[:, None, :]
+        if t == 0:  # no step leads to a chain's first line
+            line[place == 0] = np.eye(2) * here[place == 0][:, None, :]
+        line = across[on] @ line
+        across[on] = line / line.max(axis=(1, 2), keepdims=True)
+    enter, leave, last = np.ones((len(begin), 2)), np.ones((len(begin), 2)), np.ones((len(begin), 2))
+    for k in range(int(n_blocks.max()) - 1):
+        at = head[n_blocks > k + 1] + k
+        m = np.einsum("bi,bij->bj", last[at - 1] if k else last[at], across[at])
+        last[at] = m / m.max(axis=1, keepdims=True)
+        enter[at + 1] = last[at] @ step
+    for k in range(int(n_blocks.max()) - 2, -1, -1):
+        at = head[n_blocks > k + 1] + k
+        m = np.einsum("bij,bj->bi", across[at + 1], leave[at + 1])
+        leave[at] = m / m.max(axis=1, keepdims=True)
+    return forward_backward(unary, cuts, trans, enter, leave)[0]
+
+
 @dataclass
 class Model:
     weights: np.ndarray  # of "good" against "bad", per feature
@@ -152,7 +194,7 @@ class Model:
     def marginals(self, x: np.ndarray, first: np.ndarray) -> np.ndarray:
         unary = np.zeros((len(x), 2))
         unary[:, 1] = x @ self.weights
-        return forward_backward(unary, first, self.trans)[0][:, 1]
+        return long_marginals(unary, first, self.trans)[:, 1]
 
     def raw_quality(self, own, size, first) -> np.ndarray:
         good = self.marginals(with_neighbours(own, first), first)
