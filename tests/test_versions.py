@@ -68,6 +68,56 @@ def test_array_files_round_trip_and_malformed(spark, tmp_dir):
         split_json.read_json_array(spark, bad, df.select("k").schema).collect()
 
 
+def test_array_files_join_whole_elements_in_their_split(spark, tmp_dir):
+    # the windows over all pieces are staged: the plan that is left puts only the splits' ends in order
+    df = spark.createDataFrame([(i, "[{,\"" * (i % 3), i % 2) for i in range(200)], "k int, t string, f int")
+    path = os.path.join(tmp_dir, "arrays")
+    split_json.write_json_arrays(df, path, "f")
+    back = split_json.read_json_array(spark, path, df.select("k", "t").schema, split_bytes=500)
+    assert sorted(back.collect()) == sorted(df.select("k", "t").collect())
+    plan = back._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 1
+
+
+def test_array_files_are_written_from_one_pass(spark, tmp_dir):
+    df = spark.range(40).select(F.col("id").alias("k"), (F.col("id") % 3).alias("f"))
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    split_json.write_json_arrays(df.mapInArrow(look, df.schema), os.path.join(tmp_dir, "arrays"), "f")
+    assert seen.value == 40
+
+
+def _shop(spark, path, n=1200):
+    """Orders and items in the driver's columns; some orders have no item."""
+    k = F.col("id")
+    spark.range(n).select(k.alias("o_orderkey"), (k % 7).alias("o_custkey"), F.element_at(F.array(*map(F.lit, "OFP")), (k % 3 + 1).cast("int")).alias("o_orderstatus"),
+                          (k * 1.5).cast("double").alias("o_totalprice"), F.lit("2024-01-01").cast("timestamp_ntz").alias("o_orderdate"),
+                          F.lit("1-URGENT").alias("o_orderpriority")).write.parquet(f"{path}/orders.parquet")
+    spark.range(3 * n).select((k % (n - 5)).alias("l_orderkey"), (k % 4).cast("int").alias("l_linenumber"), (k % 9).cast("double").alias("l_quantity"),
+                              (k % 5).cast("double").alias("l_extendedprice"),
+                              F.date_add(F.lit("2024-01-02").cast("date"), (k % 11).cast("int")).cast("timestamp_ntz").alias("l_shipdate")
+                              ).write.parquet(f"{path}/lineitem.parquet")
+    return path
+
+
+def test_split_json_deals_many_orders_into_several_files(spark, tmp_dir, monkeypatch):
+    from tillroll.plans import q_versions
+
+    sf, written = _shop(spark, tmp_dir), []
+    write = split_json.write_json_arrays
+    monkeypatch.setattr(split_json, "write_json_arrays", lambda *a: written.append(a[1]) or write(*a))
+    whole = files.fingerprint(q_versions.q_split_json(spark, sf)).first()
+    monkeypatch.setattr(q_versions, "ORDERS_A_FILE", 400)
+    assert files.fingerprint(q_versions.q_split_json(spark, sf)).first() == whole
+    few, many = (len([d for d in os.listdir(p.removeprefix("file://").removeprefix("file:")) if "=" in d]) for p in written)
+    assert few < many
+
+
 def test_update_rewrites_touched_files_only(spark, tmp_dir):
     root = os.path.join(tmp_dir, "t")
     df = spark.range(0, 1000, 1, 10).select(F.col("id").alias("k"), F.lit("old").alias("v"), F.lit(0).alias("stamp"))

@@ -5,10 +5,13 @@ bracket counts depends on the quotes before it. But what a piece of text does to
 said for every state it may be entered in. Quotes flip it, so only their number
 counts; brackets add up once it is known which of them stand in strings.
 
-The files are read in splits, in pieces that end at a comma. Sums over the pieces of a split, and
-over the splits before it (one row each), give every piece the state it is entered in. A
-comma on depth one outside strings ends an element; the pieces between are joined and
-parsed. Elements may cross splits. No task holds more than a split or an element.
+The files are read in splits, in pieces that end at a comma. A piece is looked at once for both
+states: the brackets outside strings if it is entered outside one, and those if it is entered inside,
+are together all its brackets. Sums over the pieces of a split say what the split does to either
+state, and sums over the splits before it (one row each) which state it is entered in. A
+comma on depth one outside strings ends an element. Elements inside a split are joined there;
+only the ends of splits meet again, so elements may cross splits. No task holds more than a split or
+an element, and the text is shuffled twice at any size, in partitions of bounded size.
 
 A file is an array of objects or arrays. An empty array or file has no element; a
 malformed element, or a file that does not end where its array does, fails the read.
@@ -16,81 +19,141 @@ malformed element, or a file that does not end where its array does, fails the r
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tillroll.sinks import tables
 
 
-def _pieces(spark: SparkSession, path: str, split_bytes: int | None) -> DataFrame:
-    """(file, split, at, piece) in file order; staged, so that order is fixed."""
+_TEXT_BYTES = 32 << 20  # text of a shuffle partition
+_SPLIT = ["file", "split"]
+_BEFORE = (Window.unboundedPreceding, -1)
+
+
+def _partitions(spark: SparkSession, path: str) -> int:
+    """Partitions for the text below ``path``, by the files' sizes."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    key = F.xxhash64("_metadata.file_path")
+    found = files.agg(F.sum("length").alias("total"), F.count(F.lit(1)).alias("n"), F.count_distinct(key).alias("keys")).first()
+    if found["keys"] != found["n"]:
+        raise ValueError("two file names of one hash")  # files are told apart by it below
+    return max(spark.sparkContext.defaultParallelism, (found["total"] or 0) // _TEXT_BYTES)
+
+
+def _sum_before(value: str, window) -> Column:
+    return F.coalesce(F.sum(value).over(window.rowsBetween(*_BEFORE)), F.lit(0).cast("bigint"))
+
+
+def _depth(text: Column) -> Column:
+    """Opening less closing brackets."""
+    net = F.octet_length(_without(text, "]}")) - F.octet_length(_without(text, "[{"))
+    return F.when(_has_brackets(text), net).otherwise(0).cast("bigint")
+
+
+def _without(text: Column, chars: str) -> Column:
+    for c in chars:  # whole texts of bytes are searched faster than ``translate`` looks at characters
+        text = F.replace(text, F.lit(c))
+    return text
+
+
+def _has_brackets(text: Column) -> Column:
+    return text.contains("{") | text.contains("}") | text.contains("[") | text.contains("]")
+
+
+def _pieces(spark: SparkSession, path: str, split_bytes: int | None, parts: int) -> DataFrame:
+    """(file, split, at, piece) in file order, with the quotes of each piece, whether their number is odd from the
+    split's start to the piece's end (``odd``), and how much deeper the piece leads
+    if the split is entered outside (``outside``) or inside a string (``inside``); staged."""
     reader = spark.read.option("lineSep", ",").option("recursiveFileLookup", "true")
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     if split_bytes:
         spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
     try:
         lines = reader.text(path).select(
-            F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
+            F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
             F.monotonically_increasing_id().alias("at"), F.col("value").alias("piece"))
+        # a task reads many splits, one after the other
+        lines = lines.coalesce(max(parts, 4 * spark.sparkContext.defaultParallelism))
+        bare = F.when(F.col("piece").contains("\\"), F.regexp_replace("piece", r"\\.", "")).otherwise(F.col("piece"))
+        lines = lines.withColumn("bare", bare)
+        lines = lines.withColumn("quotes", (F.octet_length("bare") - F.octet_length(_without(F.col("bare"), '"'))).cast("bigint"))
+        lines = lines.withColumn("every", _depth(F.col("bare")))
+        # close the string that crosses the piece's end, then drop all strings
+        closed = F.when(F.col("quotes") % 2 == 1, F.concat("bare", F.lit('"'))).otherwise(F.col("bare"))
+        strings = (F.col("quotes") > 0) & _has_brackets(F.col("bare"))
+        even = F.when(strings, _depth(F.regexp_replace(closed, '"[^"]*"', ""))).otherwise(F.col("every"))
+        lines = lines.select(*_SPLIT, "at", "piece", "quotes", "every", even.alias("even"))
+        odd = _sum_before("quotes", Window.partitionBy(*_SPLIT).orderBy("at")) % 2
+        lines = lines.repartition(parts, *_SPLIT).withColumn("_odd", odd)
+        other = F.col("every") - F.col("even")
+        lines = lines.select(*_SPLIT, "at", "piece", "quotes", ((F.col("_odd") + F.col("quotes")) % 2).alias("odd"),
+                             F.when(F.col("_odd") == 0, F.col("even")).otherwise(other).alias("outside"),
+                             F.when(F.col("_odd") == 0, other).otherwise(F.col("even")).alias("inside"))
         return spark.read.schema(lines.schema).parquet(tables.stage(lines, "json-pieces"))
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
-def _prefix(df: DataFrame, value: str, name: str) -> DataFrame:
-    """``df`` with the sum of ``value`` over the file's pieces before each one."""
-    per_split = df.groupBy("file", "split").agg(F.sum(value).alias("_sum"))
-    earlier = F.sum("_sum").over(Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1))
-    carry = per_split.select("file", "split", F.coalesce(earlier, F.lit(0).cast("bigint")).alias("_carry"))
-    inside = F.sum(value).over(Window.partitionBy("file", "split").orderBy("at").rowsBetween(Window.unboundedPreceding, -1))
-    return (df.withColumn("_inside", F.coalesce(inside, F.lit(0).cast("bigint"))).join(carry, ["file", "split"])
-            .withColumn(name, F.col("_inside") + F.col("_carry")).drop("_inside", "_carry"))
+def _entered(pieces: DataFrame) -> DataFrame:
+    """(file, split, in_string, depth) in which each split is entered."""
+    earlier = Window.partitionBy("file").orderBy("split")
+    splits = pieces.groupBy(*_SPLIT).agg(*[F.sum(c).alias(c) for c in ("quotes", "outside", "inside")])
+    splits = splits.withColumn("in_string", _sum_before("quotes", earlier) % 2)
+    splits = splits.withColumn("deeper", F.when(F.col("in_string") == 0, F.col("outside")).otherwise(F.col("inside")))
+    return splits.select(*_SPLIT, "in_string", _sum_before("deeper", earlier).alias("depth"))
+
+
+def _joined(parts: str, name: str) -> Column:
+    return F.array_join(F.transform(F.sort_array(parts), lambda p: p[name]), ",")
 
 
 def read_json_array(spark: SparkSession, path: str, schema: StructType, split_bytes: int | None = None) -> DataFrame:
     """One row per element of the array files below ``path``."""
-    bare = F.regexp_replace("piece", r"\\.", "")
-    quotes = (F.length(bare) - F.length(F.translate(bare, '"', ""))).cast("bigint")
-    pieces = _prefix(_pieces(spark, path, split_bytes).withColumn("quotes", quotes), "quotes", "quotes_before")
-    entered, left = F.col("quotes_before") % 2, (F.col("quotes_before") + F.col("quotes")) % 2
-    # close the strings that cross the piece's ends, then drop all strings
-    closed = F.concat(F.when(entered == 1, '"').otherwise(""), bare, F.when(left == 1, '"').otherwise(""))
-    outside = F.regexp_replace(closed, '"[^"]*"', "")
-    opened = F.length(outside) - F.length(F.translate(outside, "[{", ""))
-    shut = F.length(outside) - F.length(F.translate(outside, "]}", ""))
-    pieces = _prefix(pieces.withColumn("deeper", (opened - shut).cast("bigint")), "deeper", "depth_before")
+    parts = _partitions(spark, path)
+    pieces = _pieces(spark, path, split_bytes, parts)
+    in_split = Window.partitionBy(*_SPLIT).orderBy("at")
+    pieces = pieces.select(*_SPLIT, "at", "piece", "odd", "outside", "inside").repartition(parts, *_SPLIT).join(
+        _entered(pieces).hint("shuffle_hash"), _SPLIT)
+    pieces = pieces.select(*_SPLIT, "at", "piece", "depth", ((F.col("odd") + F.col("in_string")) % 2).alias("left"),
+                           F.when(F.col("in_string") == 0, F.col("outside")).otherwise(F.col("inside")).alias("deeper"))
+    pieces = pieces.withColumn("depth", F.col("depth") + _sum_before("deeper", in_split))
     # the comma behind a piece ends an element; at the file's end the depth is 0
-    ends = ((left == 0) & (F.col("depth_before") + F.col("deeper") == 1)).cast("bigint")
-    pieces = _prefix(pieces.withColumn("ends", ends), "ends", "element")
-    # a piece's place: of the split it begins in, then in it
-    parts = F.array_sort(F.collect_list(F.struct("split", "at", "piece")))
-    depth = F.sum("deeper").alias("depth")
-    whole = pieces.groupBy("file", "element").agg(parts.alias("parts"), F.min("depth_before").alias("first_depth"), depth)
-    text = F.array_join(F.transform("parts", lambda p: p["piece"]), ",")
+    ends = ((F.col("left") == 0) & (F.col("depth") + F.col("deeper") == 1)).cast("bigint")
+    pieces = pieces.withColumn("ends", ends).withColumn("element", _sum_before("ends", in_split))
+    found = pieces.groupBy(*_SPLIT, "element").agg(
+        F.collect_list(F.struct("at", "piece")).alias("parts"), F.min("depth").alias("first_depth"),
+        F.sum("deeper").alias("depth"), F.max("ends").alias("ends"))
+    # begun behind a comma of the split, and ended in it
+    whole = (F.col("element") > 0) & (F.col("ends") == 1)
+    found = found.select(*_SPLIT, "element", _joined("parts", "piece").alias("text"), "first_depth", "depth", "ends",
+                         whole.alias("whole"))
+    found = spark.read.schema(found.schema).parquet(tables.stage(found, "json-elements", partition_by=["whole"]))
+    # at most two parts of a split meet those of the splits beside it
+    cut = found.filter(~F.col("whole"))
+    cut = cut.withColumn("of", _sum_before("ends", Window.partitionBy("file").orderBy("split", "element")))
+    met = cut.groupBy("file", "of").agg(F.collect_list(F.struct("split", "element", "text")).alias("parts"),
+                                        F.min("first_depth").alias("first_depth"), F.sum("depth").alias("depth"))
+    text = _joined("parts", "text")
     # the first element carries the opening bracket, the last one the closing bracket
     text = F.when(F.col("first_depth") == 0, F.regexp_replace(text, r"^\s*\[", "")).otherwise(text)
     net = F.col("depth") - F.when(F.col("first_depth") == 0, 1).otherwise(0)
     text = F.when(net == -1, F.regexp_replace(text, r"\]\s*$", "")).otherwise(text)
-    element = F.trim(F.regexp_replace(text, r"^\s+|\s+$", ""))
-    rows = whole.select("file", "element", element.alias("text")).filter("text <> ''")
+    rows = found.filter("whole").select("text").unionByName(met.select(text.alias("text")))
+    rows = rows.select(F.btrim("text", F.lit(" \t\n\x0b\f\r")).alias("text")).filter("text <> ''")
     return rows.select(F.from_json("text", schema, {"mode": "FAILFAST"}).alias("e")).select("e.*")
 
 
 def write_json_arrays(df: DataFrame, path: str, file_col: str) -> str:
     """One array file per value of ``file_col``, each written by one task from a
-    stream of its documents, pretty-printed, without holding them together."""
+    stream of its documents, pretty-printed, without holding them together. The
+    caller bounds the documents of a value."""
     doc = F.struct(*[F.col(c) for c in df.columns if c != file_col])
-    name = F.col(file_col).cast("string")
-    body = df.select(name.alias("file"), F.lit(1).alias("_at"), F.xxhash64(F.to_json(doc)).alias("_by"),
-                     F.to_json(doc, {"pretty": "true"}).alias("value"))
-    files = df.select(name.alias("file")).distinct()
-    ends = files.select("file", F.explode(F.array(F.struct(F.lit(0).alias("_at"), F.lit("[").alias("value")),
-                                                  F.struct(F.lit(2).alias("_at"), F.lit("]").alias("value")))).alias("e"))
-    ends = ends.select("file", "e._at", F.lit(None).cast("bigint").alias("_by"), "e.value")
-    every = body.unionByName(ends).repartition("file").sortWithinPartitions("file", "_at", "_by")
-    # a comma before every document but the file's first
-    first = F.lag("_at").over(Window.partitionBy("file").orderBy("_at", "_by")) == 0
-    every = every.withColumn("value", F.when((F.col("_at") == 1) & ~first, F.concat(F.lit(","), F.col("value"))).otherwise(F.col("value")))
-    every.sortWithinPartitions("file", "_at", "_by").select("value", "file").write.mode("overwrite").partitionBy("file").text(path)
+    body = df.select(F.col(file_col).cast("string").alias("file"), F.to_json(doc, {"pretty": "true"}).alias("value"))
+    body = body.withColumn("_by", F.xxhash64("value")).repartition("file")
+    # the first document of a file opens the array, the last one closes it
+    order = Window.partitionBy("file").orderBy("_by")
+    body = body.select("file", "_by", "value", F.lag(F.lit(1)).over(order).isNull().alias("first"), F.lead(F.lit(1)).over(order).isNull().alias("last"))
+    value = F.concat(F.when(F.col("first"), "[\n").otherwise(","), F.col("value"), F.when(F.col("last"), "\n]").otherwise(""))
+    body.select(value.alias("value"), "file").write.mode("overwrite").partitionBy("file").text(path)
     return path
