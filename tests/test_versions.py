@@ -2,6 +2,7 @@
 
 import json
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -205,3 +206,16 @@ def test_sql_functions(spark):
     assert spark.sql("SELECT count(*) AS n FROM shop_days(DATE '2024-03-02', DATE '2024-03-01')").first()["n"] == 0
     plan = spark.range(3).selectExpr("shop_item_total(cast(id as decimal(10,2)), 2.00) as t")._jdf.queryExecution().toString()
     assert "Python" not in plan
+
+
+def test_items_of_a_task_are_bounded(spark, tmp_dir, monkeypatch):
+    from tillroll.plans import q_versions
+
+    sf = _shop(spark, tmp_dir)
+    few = q_versions.q_sql_functions(spark, sf)
+    monkeypatch.setattr(q_versions, "ITEMS_A_TASK", 100)
+    many = q_versions.q_sql_functions(spark, sf)
+    assert sorted(few.collect()) == sorted(many.collect())
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    # 1,200 orders and 3,600 items
+    assert re.search(r"hashpartitioning\(l_orderkey#\d+L, 49\)", plan) and re.search(r"hashpartitioning\(o_orderkey#\d+L, 49\)", plan)
