@@ -35,6 +35,27 @@ def test_suffix_order():
             assert row[:len(want)].tolist() == want
 
 
+def test_suffix_order_of_wide_symbols(monkeypatch):
+    # five bytes a symbol: a text of 80 bytes takes 16 rounds, in spite of more five-byte strings than numbers
+    rng = np.random.default_rng(4)
+    rounds = []
+    build = repeats.Collection
+    monkeypatch.setattr(repeats, "Collection", lambda symbol, at, *rest: rounds.append(int(np.diff(at).max())) or build(symbol, at, *rest))
+    source = rng.integers(0, 256, 200_000).astype(np.uint8).tobytes()
+    for many, span in ((1500, 50), (40, 10)):
+        texts = [source[a:a + n] for a, n in zip(rng.integers(0, 200_000 - 80, many).tolist(), rng.integers(span, 81, many).tolist())]
+        texts = list(dict.fromkeys([*texts, *[x[5:] + b"tail" for x in texts[::3] if len(x) > span + 4], *[x[:span] for x in texts[::7]]]))
+        ids = np.arange(len(texts))[::-1].copy()
+        got = repeats.smallest_ids(np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in texts])]), ids, span)
+        least: dict = {}
+        for x, i in zip(texts, ids.tolist()):
+            for s in range(len(x) - span + 1):
+                least[x[s:s + span]] = min(least.get(x[s:s + span], i), i)
+        for row, x in zip(got, texts):
+            assert row[:len(x) - span + 1].tolist() == [least[x[s:s + span]] for s in range(len(x) - span + 1)]
+    assert max(rounds) <= 16
+
+
 def _brute_repeats(rows, span):
     first: dict = {}
     texts = [((t or "").encode(), 1 << 62 if i is None else i) for i, t in rows]

@@ -7,9 +7,10 @@ column by column: in every round each document gets one more symbol to the left,
 suffixes are merged into the Burrows-Wheeler transform of the whole collection by
 rank, and the common prefixes are carried along (one more than the least
 one between two equal symbols). Transform and prefixes are read and written once per
-round, in order; they are arrays here, as each collection is bounded. A symbol is two bytes
-if ``span`` is even, which halves the rounds; each text is then in the collection
-twice, in both alignments.
+round, in order; they are arrays here, as each collection is bounded. A symbol is five bytes
+if they divide ``span``, else two if ``span`` is even, as fewer symbols are fewer rounds; each text is then
+in the collection five times or twice, in every alignment. Wide symbols that come once in a
+collection, in whatever alignment, are in no repeated string: they share one number that equals nothing.
 
 Spark makes the bounded collections:
 
@@ -54,6 +55,8 @@ _CHUNK = 4 << 20  # text bytes of a chunk
 _ANCHORS = 1 << 20  # anchors of a bucket
 _COLLECTION = 10_000  # segments of a collection
 _HOT = 4096  # an anchor repeated more often has its segments cut up
+_PLACES = 1 << 16  # places of a chunk looked at together
+_FEW = 4096  # symbols that Arrow sorts by counting
 _NO_ID = (1 << 63) - 1
 
 
@@ -106,16 +109,19 @@ def segments(raw: np.ndarray, at: np.ndarray, span: int, gram: int) -> tuple[np.
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
-def _sorted(symbol: np.ndarray) -> np.ndarray:
-    """Places of symbols in (stable) order; Arrow counts small numbers in one pass."""
+def _sorted(symbol: np.ndarray, few: bool = True) -> np.ndarray:
+    """Places of symbols in (stable) order; Arrow counts numbers of a small range in one pass."""
+    if not few:
+        return np.argsort(symbol, kind="stable")  # by digits
     return pc.array_sort_indices(pa.array(symbol)).to_numpy().view(np.int64)
 
 
 class Collection:
     """Suffix order of many short texts of symbols 1 and up: the transform (0 before a text's first
-    symbol) and the prefix shared with the suffix before, up to ``most`` symbols."""
+    symbol) and the prefix shared with the suffix before, up to ``most`` symbols. A symbol ``alone``
+    is like no other, not even its own kind."""
 
-    def __init__(self, symbol: np.ndarray, at: np.ndarray, most: int) -> None:
+    def __init__(self, symbol: np.ndarray, at: np.ndarray, most: int, alone: int | None = None) -> None:
         self.n = n = len(at) - 1
         # round 0: the empty suffixes, in the order of the texts
         padded = np.append(symbol.astype(np.uint16), np.uint16(0))
@@ -123,16 +129,17 @@ class Collection:
         text, place = np.arange(n), np.arange(n)
         bwt = np.where(left >= at[:-1], padded[left], np.uint16(0))
         shared = np.zeros(n, np.uint8)
+        few = symbol.max(initial=0) < _FEW
         while True:
-            order = _sorted(bwt)  # equal symbols in suffix order
+            order = _sorted(bwt, few)  # equal symbols in suffix order
             order = order[len(bwt) - np.count_nonzero(bwt):]
             latest = np.zeros(len(bwt), bool)
             latest[place] = True
-            grown = np.flatnonzero(latest[order])
+            grown = np.flatnonzero(latest.take(order))
             if not grown.size:
                 break
             # the texts in the order of their new suffixes
-            by = _sorted(bwt[place])
+            by = _sorted(bwt[place], few)
             text = text[by[len(by) - len(grown):]]
             left[text] -= 1
             new = n + grown
@@ -142,19 +149,23 @@ class Collection:
             now, with_before = np.empty(size, np.uint16), np.empty(size, np.uint8)
             now[stays], with_before[stays] = bwt, shared
             now[new] = np.where(left[text] >= at[text], padded[left[text]], np.uint16(0))
-            changed = np.zeros(len(order) + 1, bool)  # the new suffixes and those behind them
-            changed[grown] = changed[grown + 1] = True
-            changed = np.flatnonzero(changed[:-1])
-            with_before[n + changed] = self._prefixes(bwt, shared, order, changed, most)
+            changed = np.repeat(grown, 2)  # the new suffixes and those behind them
+            changed[1::2] += 1
+            changed = changed[np.append(True, changed[1:] != changed[:-1]) & (changed < len(order))]
+            with_before[n + changed] = self._prefixes(bwt, shared, order, changed, most, alone)
             bwt, shared, place = now, with_before, new
         self.bwt, self.shared, self.order = bwt, shared, order
 
     @staticmethod
-    def _prefixes(bwt: np.ndarray, shared: np.ndarray, order: np.ndarray, at: np.ndarray, most: int) -> np.ndarray:
+    def _prefixes(bwt: np.ndarray, shared: np.ndarray, order: np.ndarray, at: np.ndarray, most: int,
+                  alone: int | None) -> np.ndarray:
         """One more than the least prefix between the equal symbols at - 1 and
         at, or 0 where another symbol comes before."""
         lo, hi = order[np.maximum(at - 1, 0)], order[at]
-        same = (at > 0) & (bwt[lo] == bwt[hi])
+        before, here = bwt[lo], bwt[hi]
+        same = (at > 0) & (before == here)
+        if alone is not None:
+            same &= here != alone
         out = np.zeros(len(at), np.uint8)
         which = np.flatnonzero(same)
         a, b = lo[which] + 1, hi[which] + 1
@@ -184,37 +195,48 @@ class Collection:
             yield length, text, place
 
 
-def _texts_of_pairs(raw: np.ndarray, at: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """The texts as texts of symbols of ``width`` bytes. Of two bytes, every text comes twice,
-    the second time (behind all others) without its last byte, so that each start is in one of them."""
-    if width == 1:
-        symbol, ends = raw.astype(np.int64), [at]
-    else:
-        pair = raw.astype(np.int64) << 8
-        pair[:-1] |= raw[1:]
-        left = np.repeat(at[1:], np.diff(at)) - np.arange(len(raw))  # bytes to the text's end
-        own = [(left & 1 == skip) & (left >= 2 + skip) for skip in (0, 1)]
-        symbol = np.concatenate([pair[x] for x in own])
-        ends = [np.concatenate([[0], np.cumsum(x)])[at] for x in own]
-        ends = [ends[0], ends[0][-1] + ends[1][1:]]
-    used = np.zeros(1 << 8 * width, np.int64)
-    used[symbol] = 1
-    return np.cumsum(used)[symbol], np.concatenate(ends)  # symbols numbered from 1
+def _texts_of_symbols(raw: np.ndarray, at: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, int] | None:
+    """The texts as texts of symbols of ``width`` bytes, numbered from 1, those that come once all with
+    the last number (third value); None if there are too many for two bytes. Every text comes
+    ``width`` times, each time (behind all others) without one more of its last bytes, so that each start is in one of them."""
+    length, n = np.diff(at), max(0, len(raw) - width + 1)
+    key = np.zeros(n, np.int64)
+    for k in range(width):
+        key <<= 8
+        key |= raw[k:k + n]
+    left = (np.repeat(at[1:], length) - np.arange(len(raw)))[:n]  # bytes to the text's end
+    turn = (left % width).astype(np.uint8)
+    turn[left < width] = width
+    by = _sorted(turn)[:n - np.count_nonzero(turn == width)]
+    coded = pa.array(key.take(by)).dictionary_encode()
+    code = coded.indices.to_numpy()
+    often = np.bincount(code, minlength=1) > 1
+    alone = int(np.count_nonzero(often)) + 1
+    if alone >= 1 << 16:
+        return None
+    number = np.where(often, np.cumsum(often), alone).astype(np.uint16)
+    each = np.concatenate([np.maximum(length - skip, 0) // width for skip in range(width)])
+    return number.take(code), np.append(0, np.cumsum(each)), alone
 
 
 def smallest_ids(raw: np.ndarray, at: np.ndarray, ids: np.ndarray, span: int) -> np.ndarray:
     """For each text (row) and start (column) the smallest id of all texts that hold
     the ``span`` bytes there; ``_NO_ID`` behind the last start."""
-    width = 1 if span % 2 else 2
-    own = Collection(*_texts_of_pairs(raw, at, width), span // width)
+    for width in (5, 2, 1):  # the fewer symbols the fewer rounds
+        texts = None if span % width else _texts_of_symbols(raw, at, width)
+        if texts:
+            break
+    own = Collection(texts[0], texts[1], span // width, texts[2])
     group = np.cumsum(own.shared < span // width)
     least = np.full(int(group[-1]) + 1 if len(group) else 1, _NO_ID)
     size, found = np.diff(at), []
+    text_of = np.tile(np.arange(len(size)), width)
+    ends = np.concatenate([size - skip for skip in range(width)])
     for length, text, place in own.suffixes():
         if width * length >= span:
-            skip, text = np.divmod(text, len(size))
-            found.append((text, size[text] - width * length - skip, group[place]))
-            np.minimum.at(least, group[place], ids[text])
+            start, text, of = ends[text] - width * length, text_of[text], group[place]
+            found.append((text, start, of))
+            np.minimum.at(least, of, ids[text])
     out = np.full((len(size), max(1, int(size.max(initial=span)) - span + 1)), _NO_ID)
     for text, start, g in found:
         out[text, start] = least[g]
@@ -450,25 +472,24 @@ def _marked(table: DataFrame, dealt: DataFrame, answers: DataFrame, span: int) -
             order = np.argsort(rows.column("row").to_numpy())
             ids = rows.column("id").to_numpy()
             told = told.sort_by("route")
-            route = told.column("route").to_numpy()
-            for part in np.split(np.arange(told.num_rows), np.flatnonzero(np.diff(route)) + 1):
-                part = told.take(pa.array(part))
-                is_answer = part.column("answer").to_pylist()
-                if True not in is_answer:
-                    continue
-                a, p = part.slice(is_answer.index(True), 1), part.slice(is_answer.index(False), 1)
-                string, first, last, least = (_joined(a.column(c), k)[0] for c, k in (
-                    ("string", "<u4"), ("first", np.uint16), ("last", np.uint16), ("least", np.int64)))
-                of_row, of_start, of_string = (_joined(p.column(c), k)[0] for c, k in (
-                    ("of_row", "<u4"), ("of_start", "<u4"), ("of_string", "<u4")))
-                lo, hi = np.searchsorted(string, of_string, "left"), np.searchsorted(string, of_string, "right")
+            a, p = told.filter(told.column("answer")), told.filter(pc.invert(told.column("answer")))
+            p = p.filter(pc.is_in(p.column("route"), a.column("route")))
+            (string, n), (first, _), (last, _), (least, _) = (_joined(a.column(c), k) for c, k in (
+                ("string", "<u4"), ("first", np.uint16), ("last", np.uint16), ("least", np.int64)))
+            (of_row, _), (of_start, _), (of_string, n_places) = (_joined(p.column(c), "<u4") for c in ("of_row", "of_start", "of_string"))
+            # a string's number holds in its route; both sides have one row a route, in one order
+            known = np.repeat(np.arange(a.num_rows) << 32, n) | string
+            asked = np.repeat(np.arange(p.num_rows) << 32, n_places) | of_string
+            for block in range(0, len(asked), _PLACES):
+                own = slice(block, block + _PLACES)
+                lo, hi = np.searchsorted(known, asked[own], "left"), np.searchsorted(known, asked[own], "right")
                 n = hi - lo
                 which = np.repeat(np.arange(len(n)), n)
                 run = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(len(which))
-                row = order[of_row[which]]
+                row = order[of_row[own][which]]
                 lower = least[run] < ids[row]
                 which, run, row = which[lower], run[lower], row[lower]
-                start = at[row] + of_start[which]
+                start = at[row] + of_start[own][which]
                 np.add.at(change, start + first[run], 1)
                 np.add.at(change, start + last[run] + span, -1)
         gone = np.cumsum(change[:-1]) > 0
