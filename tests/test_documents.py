@@ -129,6 +129,18 @@ def test_nest_explode_round_trip(spark):
     assert sorted(back.collect(), key=str) == sorted(df.collect(), key=str)
 
 
+def test_nest_with_staged_heavy_keys(spark, tmp_path):
+    n = F.col("id")
+    spark.range(400).select(F.when(n >= 300, F.lit(7)).when(n >= 20, n).alias("k"), n.alias("v")).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))  # one key of 101 rows and one of NULL
+    plain = nested.nest(df, ["k"], "items", ["v"], max_items=10)
+    staged = nested.nest(df, ["k"], "items", ["v"], max_items=10, stage_heavy=True)
+    assert sorted(staged.collect(), key=str) == sorted(plain.collect(), key=str)
+    # the rows meet the heavy keys where they are, and are shuffled once
+    plan = staged._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 def test_posexplode_position(spark):
     df = spark.createDataFrame([(1, ["x", "y"])], "k int, a array<string>")
     out = nested.explode_rows(df, "a", ["k"], position="pos").collect()

@@ -3,14 +3,17 @@
 import json
 import os
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.readwriter import DataFrameWriter
+from pyspark.sql.types import StructType
 
 from tillroll.functions import catalog
 from tillroll.operators import quality, variants
 from tillroll.plans import jobs
+from tillroll.session import settings, shared_path
 from tillroll.sinks import files, versions
 from tillroll.sources import split_json
 from tillroll.streaming import once
@@ -93,6 +96,75 @@ def test_array_files_are_written_from_one_pass(spark, tmp_dir):
     assert seen.value == 40
 
 
+def _disk(path):
+    return sum(os.path.getsize(os.path.join(d, f)) for d, _, found in os.walk(path) for f in found)
+
+
+def test_array_files_are_read_without_a_copy_of_their_text(spark, tmp_dir):
+    # a field that the schema leaves out, of a text that no compression makes much smaller
+    noise = F.concat(*[F.sha2(F.concat(F.col("k").cast("string"), F.lit(str(j))), 512) for j in range(8)])
+    df = spark.range(3000).select(F.col("id").alias("k")).select("k", noise.alias("noise"), (F.col("k") % 2).alias("f"))
+    path = os.path.join(tmp_dir, "arrays")
+    split_json.write_json_arrays(df, path, "f")
+    base = shared_path(spark, "tables").removeprefix("file://").removeprefix("file:")
+    before = _disk(base)
+    back = split_json.read_json_array(spark, path, df.select("k").schema, split_bytes=1 << 16)
+    assert sorted(r["k"] for r in back.collect()) == list(range(3000))
+    assert _disk(base) - before < _disk(path) / 10
+
+
+def test_array_files_text_is_written_after_the_shuffles(spark, tmp_dir, monkeypatch):
+    plans = []
+    text = DataFrameWriter.text
+    monkeypatch.setattr(DataFrameWriter, "text", lambda self, *a, **k: plans.append(self._df) or text(self, *a, **k))
+    dirs = list(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+    shuffled = lambda: {f for top in dirs for _, _, found in os.walk(top) for f in found if f.startswith("shuffle_")}
+    before, key = shuffled(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(key)
+    df = spark.range(2000).repartition(7, "id").select(F.col("id").alias("k"), (F.col("id") % 5).alias("f"))
+    base = shared_path(spark, "tables").removeprefix("file://").removeprefix("file:")
+    held = _disk(base)
+    split_json.write_json_arrays(df, os.path.join(tmp_dir, "arrays"), "f")
+    assert _disk(base) - held < 2000  # the dealt documents are gone, but for an empty file
+    (body,) = plans
+    plan = body._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan  # of rows that are dealt to their files already
+    assert "Sort [file" in plan and not body.schema["file"].nullable  # a name that may be NULL would have the text sorted again
+    until = time.monotonic() + 20
+    while shuffled() - before and time.monotonic() < until:
+        time.sleep(0.2)  # they are dropped in the background
+    assert not shuffled() - before
+    assert spark.conf.get(key) == was
+
+
+@pytest.mark.parametrize("rows", [1, 7])
+def test_array_files_in_splits_of_several_batches(spark, tmp_dir, rows):
+    docs = [{"k": i, "t": ["}", "\\", '}],\\"{', '"', "]}, "][i % 5], "v": [{"w": j} for j in range(i % 3)]} for i in range(90)]
+    with open(os.path.join(tmp_dir, "a.json"), "w") as f:
+        json.dump(docs, f, indent=1)
+    schema = StructType.fromDDL("k int, t string, v array<struct<w:int>>")
+    with settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows)}):
+        got = split_json.read_json_array(spark, tmp_dir, schema, split_bytes=900).collect()
+    assert sorted((r["k"], r["t"], [x["w"] for x in r["v"]]) for r in got) == [(d["k"], d["t"], [x["w"] for x in d["v"]]) for d in docs]
+
+
+@pytest.mark.parametrize("text", ['[{"k": 1}, {"k": 2}', '[{"k": 1', '[{"k": 1}, {"k": "'])
+def test_array_file_cut_off_fails(spark, tmp_dir, text):
+    with open(os.path.join(tmp_dir, "x.json"), "w") as f:
+        f.write(text)
+    with pytest.raises(Exception):
+        split_json.read_json_array(spark, tmp_dir, StructType.fromDDL("k int")).collect()
+
+
+def test_array_files_of_no_name_are_one(spark, tmp_dir):
+    df = spark.createDataFrame([(i, [None, "", "a"][i % 3]) for i in range(30)], "k int, f string")
+    path = os.path.join(tmp_dir, "arrays")
+    split_json.write_json_arrays(df, path, "f")
+    found = {d: [p for p in os.listdir(os.path.join(path, d)) if p.endswith(".txt")] for d in os.listdir(path) if "=" in d}
+    assert {d: [len(json.load(open(os.path.join(path, d, p)))) for p in parts] for d, parts in found.items()} == {
+        "file=__HIVE_DEFAULT_PARTITION__": [20], "file=a": [10]}
+
+
 def _shop(spark, path, n=1200):
     """Orders and items in the driver's columns; some orders have no item."""
     k = F.col("id")

@@ -16,6 +16,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
+from tillroll.session import DROP_SHUFFLES, settings
+from tillroll.sinks import tables
+
 
 def _q(name: str) -> str:
     return f"`{name}`"
@@ -146,6 +149,7 @@ def nest(
     max_items: int = 1000,
     chunk_col: str = "chunk",
     spread: Sequence[str | Column] | None = None,
+    stage_heavy: bool = False,
 ) -> DataFrame:
     """Group rows into documents ``keys + chunk + name: array<struct<item_cols>>``.
 
@@ -167,6 +171,9 @@ def nest(
     the file position of a file source; for other sources name them, or pass
     an empty list when the rows of a key differ. A hashed document holds about
     ``max_items`` rows, and for bounds of 100 or more never twice as many.
+
+    ``stage_heavy`` runs step 1 at once and keeps its keys in a file: if they are few, which
+    is known before step 2 is planned, the rows are not shuffled to meet them.
     """
     keys = list(keys)
     items = [c for c in (item_cols or df.columns) if c not in keys]
@@ -179,6 +186,9 @@ def nest(
         .agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > F.lit(max_items))
     )
+    if stage_heavy:
+        with settings(df.sparkSession, DROP_SHUFFLES):
+            heavy = df.sparkSession.read.schema(heavy.schema).parquet(tables.stage(heavy, "heavy-keys"))
     rows = df.select(*[F.col(_q(k)) for k in keys], *[F.col(_q(c)) for c in items],
                      F.xxhash64(*[F.col(_q(c)) for c in items], *extra).alias("_h"))
     cond = F.lit(True)

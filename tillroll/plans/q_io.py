@@ -235,14 +235,14 @@ FROM orders o LEFT JOIN (
 """
 
 
-def _order_documents(spark, sf):
+def _order_documents(spark, sf, stage_heavy=False):
     """One document per order, with its items as an array; ``chunk`` numbers
     the documents of an order of more than 1,000 items."""
     orders = read_table(spark, sf, "orders")
     li = read_table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", F.col("l_quantity").cast("decimal(12,2)").alias("l_quantity")
     )
-    docs = nested.nest(li, ["l_orderkey"], "itens", ["l_linenumber", "l_quantity"], max_items=1000)
+    docs = nested.nest(li, ["l_orderkey"], "itens", ["l_linenumber", "l_quantity"], max_items=1000, stage_heavy=stage_heavy)
     return orders.join(docs, orders.o_orderkey == docs.l_orderkey, "left").select(
         F.col("o_orderkey").alias("id_pedido"),
         F.col("o_orderstatus").alias("status"),

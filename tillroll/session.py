@@ -10,10 +10,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
+#: For ``settings``: a job's shuffle files leave the disk when it ends, not when the driver's memory is next cleaned.
+DROP_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
 
 def build_session(
@@ -108,3 +112,16 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     if unique:
         tail = f"{tail}-{uuid.uuid4().hex[:12]}" if tail else uuid.uuid4().hex[:12]
     return f"{base}/{tail}" if tail else base
+
+
+@contextmanager
+def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    """Session settings for the jobs that run inside; a lazy result is planned with those of its own time."""
+    before = {key: spark.conf.get(key) for key in values}
+    try:
+        for key, value in values.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)

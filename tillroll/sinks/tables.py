@@ -25,10 +25,13 @@ def _quote(name: str) -> str:
     return ".".join(f"`{p}`" for p in name.split("."))
 
 
-def stage(df: DataFrame, table: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> str:
+def stage(df: DataFrame, table: str, fmt: str = "parquet", partition_by: Sequence[str] = (), compression: str | None = None) -> str:
     """Write ``df`` to a fresh folder under the shared folder; return it."""
     location = shared_path(df.sparkSession, "tables", table.replace(".", "_"), unique=True)
-    df.write.mode("errorifexists").format(fmt).partitionBy(*partition_by).save(location)
+    w = df.write.mode("errorifexists").format(fmt).partitionBy(*partition_by)
+    if compression:
+        w = w.option("compression", compression)
+    w.save(location)
     return location
 
 

@@ -5,13 +5,13 @@ bracket counts depends on the quotes before it. But what a piece of text does to
 said for every state it may be entered in. Quotes flip it, so only their number
 counts; brackets add up once it is known which of them stand in strings.
 
-The files are read in splits, in pieces that end at a comma. A piece is looked at once for both
-states: the brackets outside strings if it is entered outside one, and those if it is entered inside,
-are together all its brackets. Sums over the pieces of a split say what the split does to either
-state, and sums over the splits before it (one row each) which state it is entered in. A
-comma on depth one outside strings ends an element. Elements inside a split are joined there;
-only the ends of splits meet again, so elements may cross splits. No task holds more than a split or
-an element, and the text is shuffled twice at any size, in partitions of bounded size.
+The files are read in splits, in pieces that end at a closing brace (every object has one), and twice. First, one row per split says
+what it does to either state: how many quotes it holds, and how much deeper it leads if it is entered
+outside or inside a string. Sums over the splits before it say in which state a split is entered. Then each
+split is read from that state. A comma on depth one outside strings ends an element. Elements inside a
+split are parsed there; only the ends of splits meet again, so elements may cross splits. No task holds more
+than a batch of pieces or an element. A brace stands for the file's end, too; the array's depth is -1 behind it. The text is neither shuffled nor copied to disk: what is kept is one row per
+split, the parsed elements, and the text of the splits' ends.
 
 A file is an array of objects or arrays. An empty array or file has no element; a
 malformed element, or a file that does not end where its array does, fails the read.
@@ -19,141 +19,232 @@ malformed element, or a file that does not end where its array does, fails the r
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tillroll.session import DROP_SHUFFLES, settings, shared_path
 from tillroll.sinks import tables
 
 
-_TEXT_BYTES = 32 << 20  # text of a shuffle partition
+_TEXT_BYTES = 32 << 20  # text of a scan task
 _SPLIT = ["file", "split"]
 _BEFORE = (Window.unboundedPreceding, -1)
+_QUOTE, _OPEN, _CLOSE, _COMMA = 1, 2, 3, 4
 
 
 def _partitions(spark: SparkSession, path: str) -> int:
-    """Partitions for the text below ``path``, by the files' sizes."""
+    """Tasks for the text below ``path``, by the files' sizes."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     key = F.xxhash64("_metadata.file_path")
     found = files.agg(F.sum("length").alias("total"), F.count(F.lit(1)).alias("n"), F.count_distinct(key).alias("keys")).first()
     if found["keys"] != found["n"]:
         raise ValueError("two file names of one hash")  # files are told apart by it below
-    return max(spark.sparkContext.defaultParallelism, (found["total"] or 0) // _TEXT_BYTES)
+    # a task reads many splits, one after the other
+    return max(4 * spark.sparkContext.defaultParallelism, (found["total"] or 0) // _TEXT_BYTES)
 
 
 def _sum_before(value: str, window) -> Column:
     return F.coalesce(F.sum(value).over(window.rowsBetween(*_BEFORE)), F.lit(0).cast("bigint"))
 
 
-def _depth(text: Column) -> Column:
-    """Opening less closing brackets."""
-    net = F.octet_length(_without(text, "]}")) - F.octet_length(_without(text, "[{"))
-    return F.when(_has_brackets(text), net).otherwise(0).cast("bigint")
-
-
-def _without(text: Column, chars: str) -> Column:
-    for c in chars:  # whole texts of bytes are searched faster than ``translate`` looks at characters
-        text = F.replace(text, F.lit(c))
-    return text
-
-
-def _has_brackets(text: Column) -> Column:
-    return text.contains("{") | text.contains("}") | text.contains("[") | text.contains("]")
-
-
-def _pieces(spark: SparkSession, path: str, split_bytes: int | None, parts: int) -> DataFrame:
-    """(file, split, at, piece) in file order, with the quotes of each piece, whether their number is odd from the
-    split's start to the piece's end (``odd``), and how much deeper the piece leads
-    if the split is entered outside (``outside``) or inside a string (``inside``); staged."""
-    reader = spark.read.option("lineSep", ",").option("recursiveFileLookup", "true")
-    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    if split_bytes:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
-    try:
-        lines = reader.text(path).select(
-            F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
-            F.monotonically_increasing_id().alias("at"), F.col("value").alias("piece"))
-        # a task reads many splits, one after the other
-        lines = lines.coalesce(max(parts, 4 * spark.sparkContext.defaultParallelism))
-        bare = F.when(F.col("piece").contains("\\"), F.regexp_replace("piece", r"\\.", "")).otherwise(F.col("piece"))
-        lines = lines.withColumn("bare", bare)
-        lines = lines.withColumn("quotes", (F.octet_length("bare") - F.octet_length(_without(F.col("bare"), '"'))).cast("bigint"))
-        lines = lines.withColumn("every", _depth(F.col("bare")))
-        # close the string that crosses the piece's end, then drop all strings
-        closed = F.when(F.col("quotes") % 2 == 1, F.concat("bare", F.lit('"'))).otherwise(F.col("bare"))
-        strings = (F.col("quotes") > 0) & _has_brackets(F.col("bare"))
-        even = F.when(strings, _depth(F.regexp_replace(closed, '"[^"]*"', ""))).otherwise(F.col("every"))
-        lines = lines.select(*_SPLIT, "at", "piece", "quotes", "every", even.alias("even"))
-        odd = _sum_before("quotes", Window.partitionBy(*_SPLIT).orderBy("at")) % 2
-        lines = lines.repartition(parts, *_SPLIT).withColumn("_odd", odd)
-        other = F.col("every") - F.col("even")
-        lines = lines.select(*_SPLIT, "at", "piece", "quotes", ((F.col("_odd") + F.col("quotes")) % 2).alias("odd"),
-                             F.when(F.col("_odd") == 0, F.col("even")).otherwise(other).alias("outside"),
-                             F.when(F.col("_odd") == 0, other).otherwise(F.col("even")).alias("inside"))
-        return spark.read.schema(lines.schema).parquet(tables.stage(lines, "json-pieces"))
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
-
-
-def _entered(pieces: DataFrame) -> DataFrame:
-    """(file, split, in_string, depth) in which each split is entered."""
+def _pieces(spark: SparkSession, path: str, parts: int) -> DataFrame:
+    """(file, split, piece), the pieces of a split in one task and in file order."""
+    lines = spark.read.option("lineSep", "}").option("recursiveFileLookup", "true").text(path)
+    return lines.select(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
+                        F.col("value").alias("piece")).coalesce(parts)
+
+
+def _runs(batch) -> Iterator[tuple]:
+    """The parts of a batch of pieces that are of one split: the row it begins with, its text, and the places and kinds
+    of its quotes, brackets and commas, without those that are escaped."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    n = batch.num_rows
+    if not n:
+        return
+    none, brace = pa.scalar(b"", pa.large_binary()), pa.scalar(b"}", pa.large_binary())
+    texts = pc.binary_join_element_wise(batch.column("piece").cast(pa.large_binary()), none, brace)
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[:n + 1]
+    data = np.frombuffer(texts.buffers()[2], np.uint8)[:offsets[-1]]
+    kinds = np.zeros(256, np.uint8)
+    for kind, chars in ((_QUOTE, b'"'), (_OPEN, b"[{"), (_CLOSE, b"]}"), (_COMMA, b",")):
+        kinds[list(chars)] = kind
+    kind = kinds[data]
+    slashes = np.flatnonzero(data == ord("\\"))
+    if len(slashes):
+        # what follows an odd number of backslashes is escaped; the text ends at a brace
+        begins = np.flatnonzero(np.diff(slashes, prepend=-2) != 1)
+        lengths = np.diff(begins, append=len(slashes))
+        kind[(slashes[begins] + lengths)[lengths % 2 == 1]] = 0
+    at = np.flatnonzero(kind != 0)
+    kind = kind[at]
+    file, split = (batch.column(c).to_numpy() for c in _SPLIT)
+    others = np.flatnonzero((np.diff(file) != 0) | (np.diff(split) != 0)) + 1
+    rows = [0, *others.tolist(), n]
+    for a, b in zip(rows[:-1], rows[1:]):
+        i, j = np.searchsorted(at, (offsets[a], offsets[b]))
+        yield a, data[offsets[a]:offsets[b]], at[i:j] - offsets[a], kind[i:j]
+
+
+def _split_effects(batches) -> Iterator:
+    """(file, split, quotes, outside, inside) of each split: its quotes, and how much deeper it leads if it is entered
+    outside or inside a string."""
+    import numpy as np
+    import pyarrow as pa
+
+    found: list[tuple] = []
+    for batch in batches:
+        file, split = (batch.column(c) for c in _SPLIT)
+        for row, _, _, kind in _runs(batch):
+            key = (file[row].as_py(), split[row].as_py())
+            if not found or found[-1][:2] != key:
+                found.append((*key, 0, 0, 0))
+            *_, quotes, outside, inside = found[-1]
+            odd = (np.cumsum(kind == _QUOTE) + quotes) % 2
+            step = (kind == _OPEN).astype(np.int64) - (kind == _CLOSE)
+            deeper = int(step[odd == 1].sum())
+            found[-1] = (*key, quotes + np.count_nonzero(kind == _QUOTE), outside + int(step.sum()) - deeper, inside + deeper)
+    yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in range(5)],
+                                     [*_SPLIT, "quotes", "outside", "inside"])
+
+
+def _elements(batches) -> Iterator:
+    """The elements of each split, and of those that it may share with others (``whole`` is false) the part in it: the depth
+    on which the part begins, how much deeper it leads, and whether the element ends in it."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    names = [*_SPLIT, "element", "first_depth", "depth", "ends"]
+    cut, whole = [], []  # rows of names and text; arrays of texts
+
+    def out():
+        texts = pa.concat_arrays([*whole, pa.array([c[-1] for c in cut], pa.large_binary())])
+        n = len(texts) - len(cut)
+        columns = [pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array([c[i] for c in cut], pa.int64())]) for i in range(len(names))]
+        is_whole = pa.array(np.arange(len(texts)) < n)
+        texts = texts.cast(pa.binary())
+        # bytes that are no UTF-8 stay as they are
+        texts = pa.StringArray.from_buffers(len(texts), texts.buffers()[1], texts.buffers()[2])
+        cut.clear()
+        whole.clear()
+        return pa.RecordBatch.from_arrays([*columns, texts, is_whole], [*names, "text", "whole"])
+
+    key, held = None, []
+    for batch in batches:
+        file, split, state = (batch.column(c) for c in (*_SPLIT, "state"))
+        for row, data, at, kind in _runs(batch):
+            if key != (file[row].as_py(), split[row].as_py()):
+                if held:
+                    cut.append((*key, element, begun, depth - begun, 0, b"".join(held)[:-1]))
+                key = (file[row].as_py(), split[row].as_py())
+                if state[row].as_py() is None:
+                    raise ValueError("the splits changed between two reads")
+                depth, odd = divmod(state[row].as_py(), 2)
+                element, held, begun = 0, [], depth
+            quotes = np.cumsum(kind == _QUOTE) + odd
+            step = (kind == _OPEN).astype(np.int64) - (kind == _CLOSE)
+            deep = np.cumsum(np.where(quotes % 2 == 0, step, 0)) + depth
+            odd, depth = int(quotes[-1]) % 2, int(deep[-1])
+            behind = at[(kind == _COMMA) & (quotes % 2 == 0) & (deep == 1)] + 1  # the commas that end elements
+            if len(behind):
+                text = b"".join([*held, data[:behind[0]].tobytes()])[:-1]
+                if element:
+                    whole.append(pa.array([text], pa.large_binary()))
+                else:
+                    cut.append((*key, element, begun, 1 - begun, 1, text))
+                # those from the first comma to the last one, without their own
+                texts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(behind) - 1, [None, pa.py_buffer(behind), pa.py_buffer(data)])
+                whole.append(pc.binary_slice(texts, 0, -1))
+                element, held, begun = element + len(behind), [], 1
+            # there is a brace behind the last comma
+            held.append(data[behind[-1] if len(behind) else 0:].tobytes())
+        if cut or whole:
+            yield out()
+    if held:
+        cut.append((*key, element, begun, depth - begun, 0, b"".join(held)[:-1]))
+        yield out()
+
+
+def _entered(splits: DataFrame) -> DataFrame:
+    """(file, split, state) of each split: twice the depth on which it is entered, and one if that is in a string."""
     earlier = Window.partitionBy("file").orderBy("split")
-    splits = pieces.groupBy(*_SPLIT).agg(*[F.sum(c).alias(c) for c in ("quotes", "outside", "inside")])
     splits = splits.withColumn("in_string", _sum_before("quotes", earlier) % 2)
     splits = splits.withColumn("deeper", F.when(F.col("in_string") == 0, F.col("outside")).otherwise(F.col("inside")))
-    return splits.select(*_SPLIT, "in_string", _sum_before("deeper", earlier).alias("depth"))
+    return splits.select(*_SPLIT, (_sum_before("deeper", earlier) * 2 + F.col("in_string")).alias("state"))
+
+
+def _parsed(text: Column, schema: StructType) -> Column:
+    return F.from_json(text, schema, {"mode": "FAILFAST"})
 
 
-def _joined(parts: str, name: str) -> Column:
-    return F.array_join(F.transform(F.sort_array(parts), lambda p: p[name]), ",")
+def _trimmed(text: Column) -> Column:
+    return F.btrim(text, F.lit(" \t\n\x0b\f\r"))
 
 
 def read_json_array(spark: SparkSession, path: str, schema: StructType, split_bytes: int | None = None) -> DataFrame:
     """One row per element of the array files below ``path``."""
     parts = _partitions(spark, path)
-    pieces = _pieces(spark, path, split_bytes, parts)
-    in_split = Window.partitionBy(*_SPLIT).orderBy("at")
-    pieces = pieces.select(*_SPLIT, "at", "piece", "odd", "outside", "inside").repartition(parts, *_SPLIT).join(
-        _entered(pieces).hint("shuffle_hash"), _SPLIT)
-    pieces = pieces.select(*_SPLIT, "at", "piece", "depth", ((F.col("odd") + F.col("in_string")) % 2).alias("left"),
-                           F.when(F.col("in_string") == 0, F.col("outside")).otherwise(F.col("inside")).alias("deeper"))
-    pieces = pieces.withColumn("depth", F.col("depth") + _sum_before("deeper", in_split))
-    # the comma behind a piece ends an element; at the file's end the depth is 0
-    ends = ((F.col("left") == 0) & (F.col("depth") + F.col("deeper") == 1)).cast("bigint")
-    pieces = pieces.withColumn("ends", ends).withColumn("element", _sum_before("ends", in_split))
-    found = pieces.groupBy(*_SPLIT, "element").agg(
-        F.collect_list(F.struct("at", "piece")).alias("parts"), F.min("depth").alias("first_depth"),
-        F.sum("deeper").alias("depth"), F.max("ends").alias("ends"))
-    # begun behind a comma of the split, and ended in it
-    whole = (F.col("element") > 0) & (F.col("ends") == 1)
-    found = found.select(*_SPLIT, "element", _joined("parts", "piece").alias("text"), "first_depth", "depth", "ends",
-                         whole.alias("whole"))
-    found = spark.read.schema(found.schema).parquet(tables.stage(found, "json-elements", partition_by=["whole"]))
+    # both reads have the same splits
+    with settings(spark, {"spark.sql.files.maxPartitionBytes": str(split_bytes)} if split_bytes else {}):
+        pieces = _pieces(spark, path, parts)
+        splits = pieces.mapInArrow(_split_effects, "file long, split long, quotes long, outside long, inside long")
+        splits = spark.read.schema(splits.schema).parquet(tables.stage(splits, "json-splits"))
+        # one row a split: always small beside the text, which stays in its order
+        found = pieces.join(F.broadcast(_entered(splits)), _SPLIT, "left").mapInArrow(
+            _elements, "file long, split long, element long, first_depth long, depth long, ends long, text string, whole boolean")
+        found = found.withColumn("e", F.when(F.col("whole"), _trimmed(F.col("text")))).filter("NOT whole OR e <> ''")
+        found = found.select(*_SPLIT, "element", "first_depth", "depth", "ends", "whole", F.when(~F.col("whole"), F.col("text")).alias("text"),
+                             F.when(F.col("whole"), _parsed(F.col("e"), schema)).alias("e"))
+        found = spark.read.schema(found.schema).parquet(tables.stage(found, "json-elements", compression="zstd"))
     # at most two parts of a split meet those of the splits beside it
     cut = found.filter(~F.col("whole"))
     cut = cut.withColumn("of", _sum_before("ends", Window.partitionBy("file").orderBy("split", "element")))
     met = cut.groupBy("file", "of").agg(F.collect_list(F.struct("split", "element", "text")).alias("parts"),
                                         F.min("first_depth").alias("first_depth"), F.sum("depth").alias("depth"))
-    text = _joined("parts", "text")
+    text = F.array_join(F.transform(F.sort_array("parts"), lambda p: p["text"]), "}")
     # the first element carries the opening bracket, the last one the closing bracket
     text = F.when(F.col("first_depth") == 0, F.regexp_replace(text, r"^\s*\[", "")).otherwise(text)
     net = F.col("depth") - F.when(F.col("first_depth") == 0, 1).otherwise(0)
-    text = F.when(net == -1, F.regexp_replace(text, r"\]\s*$", "")).otherwise(text)
-    rows = found.filter("whole").select("text").unionByName(met.select(text.alias("text")))
-    rows = rows.select(F.btrim("text", F.lit(" \t\n\x0b\f\r")).alias("text")).filter("text <> ''")
-    return rows.select(F.from_json("text", schema, {"mode": "FAILFAST"}).alias("e")).select("e.*")
+    text = F.when(net == -2, F.regexp_replace(text, r"\]\s*$", "")).otherwise(text)
+    met = met.select(_trimmed(text).alias("text")).filter("text <> ''").select(_parsed(F.col("text"), schema).alias("e"))
+    return found.filter("whole").select("e").unionByName(met).select("e.*")
+
+
+_NO_NAME = "__HIVE_DEFAULT_PARTITION__"  # the folder of documents without one
 
 
 def write_json_arrays(df: DataFrame, path: str, file_col: str) -> str:
     """One array file per value of ``file_col``, each written by one task from a
     stream of its documents, pretty-printed, without holding them together. The
-    caller bounds the documents of a value."""
-    doc = F.struct(*[F.col(c) for c in df.columns if c != file_col])
-    body = df.select(F.col(file_col).cast("string").alias("file"), F.to_json(doc, {"pretty": "true"}).alias("value"))
-    body = body.withColumn("_by", F.xxhash64("value")).repartition("file")
+    caller bounds the documents of a value.
+
+    The documents are dealt to the files as columns, in a bucketed table, before any text is made of them:
+    what the plan of ``df`` has shuffled leaves the disk before the text comes, and the text itself
+    is neither shuffled nor sorted. The table is emptied when the text is written."""
+    spark = df.sparkSession
+    buckets = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    file = F.col(file_col).cast("string")
+    rows = df.select(F.when(file != "", file).otherwise(_NO_NAME).alias("file"), F.struct(*[F.col(c) for c in df.columns if c != file_col]).alias("doc"))
+    location = shared_path(spark, "tables", "json-arrays", unique=True)
+    name = "json_arrays_" + location.rsplit("-", 1)[1]
+    with settings(spark, DROP_SHUFFLES):
+        (rows.repartition(buckets, "file").write.bucketBy(buckets, "file")
+         .option("path", location).option("compression", "zstd").saveAsTable(name))
+    dealt = spark.table(name).withColumn("at", F.monotonically_increasing_id())
     # the first document of a file opens the array, the last one closes it
-    order = Window.partitionBy("file").orderBy("_by")
-    body = body.select("file", "_by", "value", F.lag(F.lit(1)).over(order).isNull().alias("first"), F.lead(F.lit(1)).over(order).isNull().alias("last"))
-    value = F.concat(F.when(F.col("first"), "[\n").otherwise(","), F.col("value"), F.when(F.col("last"), "\n]").otherwise(""))
+    order = Window.partitionBy("file").orderBy("at")
+    body = dealt.select("file", "at", "doc", F.lag(F.lit(1)).over(order).isNull().alias("first"), F.lead(F.lit(1)).over(order).isNull().alias("last"))
+    # never NULL: so the writer takes this order, and does not sort the text by file once more, which keeps no order in a file
+    body = body.withColumn("file", F.coalesce("file", F.lit(_NO_NAME))).sortWithinPartitions("file", "at")
+    text = F.to_json("doc", {"pretty": "true"})
+    value = F.concat(F.when(F.col("first"), "[\n").otherwise(","), text, F.when(F.col("last"), "\n]").otherwise(""))
     body.select(value.alias("value"), "file").write.mode("overwrite").partitionBy("file").text(path)
+    spark.sql(f"DROP TABLE {name}")  # the name; the files go with the next line, as nothing reads them any more
+    spark.createDataFrame([], rows.schema).write.mode("overwrite").parquet(location)
     return path
