@@ -5,13 +5,16 @@ bracket counts depends on the quotes before it. But what a piece of text does to
 said for every state it may be entered in. Quotes flip it, so only their number
 counts; brackets add up once it is known which of them stand in strings.
 
-The files are read in splits, in pieces that end at a closing brace (every object has one), and twice. First, one row per split says
-what it does to either state: how many quotes it holds, and how much deeper it leads if it is entered
-outside or inside a string. Sums over the splits before it say in which state a split is entered. Then each
-split is read from that state. A comma on depth one outside strings ends an element. Elements inside a
-split are parsed there; only the ends of splits meet again, so elements may cross splits. No task holds more
-than a batch of pieces or an element. A brace stands for the file's end, too; the array's depth is -1 behind it. The text is neither shuffled nor copied to disk: what is kept is one row per
-split, the parsed elements, and the text of the splits' ends.
+The files are read in splits, in pieces that end at a closing brace (every object has one), and
+twice. First, one row per split says what it does to either state: how many quotes it holds, and how
+much deeper it leads if it is entered outside or inside a string. Sums over the splits before it say in
+which state a split is entered. Then each split is read from that state. A comma on depth one outside
+strings ends an element. Elements inside a split are parsed there; only the ends of splits meet again,
+so elements may cross splits. No task holds more than a batch of pieces or an element. A brace stands
+for the file's end, too, so the depth behind the array is -1.
+
+The text is neither shuffled nor copied to disk: what is kept is one row per split, the parsed
+elements, and the text of the splits' ends.
 
 A file is an array of objects or arrays. An empty array or file has no element; a
 malformed element, or a file that does not end where its array does, fails the read.
@@ -19,8 +22,10 @@ malformed element, or a file that does not end where its array does, fails the r
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -29,6 +34,9 @@ from tillroll.session import DROP_SHUFFLES, settings, shared_path
 from tillroll.sinks import tables
 
 
+# the functions that tasks run are sent to them whole: the workers need not find this module
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _TEXT_BYTES = 32 << 20  # text of a scan task
 _SPLIT = ["file", "split"]
 _BEFORE = (Window.unboundedPreceding, -1)
